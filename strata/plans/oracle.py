@@ -29,7 +29,7 @@ raw AS (
         'qa_api' AS source,
         1 AS payload_version,
         e.event_id // 4 AS question_id,
-        epoch_ms(e.ts) // 1000 AS creation_date,
+        epoch_us(e.ts) // 1000000 AS creation_date,
         'Question ' || CAST(e.event_id // 4 AS VARCHAR) AS title,
         e.k AS score,
         e.k % 5 AS answer_count,
