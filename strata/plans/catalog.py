@@ -34,6 +34,7 @@ def _load_all() -> None:
     # Importing the modules registers their queries.
     from strata.plans import (  # noqa: F401
         queries_behaviour,
+        queries_commerce,
         queries_medallion,
     )
 
