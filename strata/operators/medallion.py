@@ -149,20 +149,27 @@ def user_dimension(fact: DataFrame) -> DataFrame:
     return fact.select("user_id").distinct()
 
 
+def gold_tables(clean: DataFrame) -> dict[str, DataFrame]:
+    """Gold marts and star schema from the cleaned silver table."""
+    fact = behavioral_fact(clean)
+    return {
+        "gold.answer_rate_daily": gold_answer_rate_daily(clean),
+        "gold.returning_vs_new_user": gold_returning_users(clean),
+        "gold.score_distributions": gold_score_distribution(clean),
+        "gold.behavioral_fact_table": fact,
+        "gold.question_dimension_table": question_dimension(fact),
+        "gold.user_dimension_table": user_dimension(fact),
+    }
+
+
 def medallion(raw: DataFrame) -> dict[str, DataFrame]:
     """All layers from one raw frame, keyed by table name (lazy frames)."""
     bronze = dedupe_bronze(load_bronze(None, raw))
     silver = to_silver(bronze)
     clean = clean_silver(silver)
-    fact = behavioral_fact(clean)
     return {
         "bronze.raw_event_table": bronze,
         "silver.raw_event_table": silver,
         "silver.cleaned_silver_table": clean,
-        "gold.answer_rate_daily": gold_answer_rate_daily(clean),
-        "gold.returning_vs_new_user": gold_returning_users(clean),
-        "gold.score_distributions": gold_score_distribution(clean),
-        "gold.behavioral_fact_table": fact,
-        "gold.question_dimension_table": question_dimension(fact),
-        "gold.user_dimension_table": user_dimension(fact),
+        **gold_tables(clean),
     }

@@ -1,0 +1,27 @@
+"""Writers for outputs, tables and text."""
+
+from strata.sinks.files import (
+    clone_database,
+    create_views,
+    dedupe_path,
+    ensure_layers,
+    overwrite_via_staging,
+    replace_table,
+    score_totals_as_text,
+    write_bucketed,
+    write_output,
+    write_score_totals_text,
+)
+
+__all__ = [
+    "clone_database",
+    "create_views",
+    "dedupe_path",
+    "ensure_layers",
+    "overwrite_via_staging",
+    "replace_table",
+    "score_totals_as_text",
+    "write_bucketed",
+    "write_output",
+    "write_score_totals_text",
+]
