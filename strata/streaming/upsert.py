@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from strata.sinks.files import delete_path, path_exists, staging_path
 
@@ -61,20 +62,32 @@ def apply_changes_batch(
     keys, order_by = list(keys), list(order_by)
 
     def run(batch: DataFrame, epoch_id: int) -> None:
+        # The partitions a batch touches: a handful of dates, not data.
         parts = [r[0] for r in batch.select(partition_col).distinct().collect()]
+        if not parts:
+            return
+        # Read with the change schema so partition values keep their type and
+        # an emptied staging folder still reads as an empty frame.
+        schema = StructType([f for f in batch.schema.fields if f.name != delete_col])
         target = None
         if path_exists(spark, target_path):
-            target = spark.read.parquet(target_path).filter(F.col(partition_col).isin(parts))
+            target = spark.read.schema(schema).parquet(target_path).filter(F.col(partition_col).isin(parts))
         merged = merge_changes(target, batch, keys, order_by, delete_col)
         stage = staging_path(target_path) + f"/epoch={epoch_id}"
         merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
+        staged = spark.read.schema(schema).parquet(stage)
         (
-            spark.read.parquet(stage)
-            .write.mode("overwrite")
+            staged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(partition_col)
             .parquet(target_path)
         )
+        # Dynamic overwrite only replaces partitions that receive rows; a
+        # partition whose every key was deleted is removed explicitly.
+        kept = {r[0] for r in staged.select(partition_col).distinct().collect()}
+        for value in parts:
+            if value not in kept:
+                delete_path(spark, f"{target_path.rstrip('/')}/{partition_col}={value}")
         delete_path(spark, stage)
 
     return run
