@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from strata.functions.constants import ONE_TIME_USER, RETURNING_USER
 from strata.functions.time import wall_clock_ntz
@@ -34,11 +34,27 @@ def conform(df: DataFrame, schema: StructType = RAW) -> DataFrame:
     return df.select(*cols)
 
 
-def load_bronze(bronze: DataFrame | None, staged: DataFrame, schema: StructType = RAW) -> DataFrame:
-    """Append staged rows to bronze, matching columns by name (any case)."""
+LOADED_AT = "_loaded_at"
+
+
+def load_bronze(
+    bronze: DataFrame | None,
+    staged: DataFrame,
+    schema: StructType = RAW,
+    with_load_time: bool = False,
+) -> DataFrame:
+    """Append staged rows to bronze, matching columns by name (any case).
+
+    ``with_load_time`` stamps the new rows with ``_loaded_at`` (the query's
+    current time); rows already in bronze keep theirs.
+    """
     new = conform(staged, schema)
+    if with_load_time:
+        new = new.withColumn(LOADED_AT, F.current_timestamp())
     if bronze is None:
         return new
+    if with_load_time:
+        schema = StructType(schema.fields + [StructField(LOADED_AT, TimestampType(), True)])
     return conform(bronze, schema).unionByName(new)
 
 

@@ -36,6 +36,7 @@ def _load_all() -> None:
         queries_behaviour,
         queries_commerce,
         queries_medallion,
+        queries_streaming,
     )
 
 

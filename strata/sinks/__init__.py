@@ -12,6 +12,7 @@ from strata.sinks.files import (
     write_output,
     write_score_totals_text,
 )
+from strata.sinks.messages import publish_messages, write_messages_text
 
 __all__ = [
     "clone_database",
@@ -19,9 +20,11 @@ __all__ = [
     "dedupe_path",
     "ensure_layers",
     "overwrite_via_staging",
+    "publish_messages",
     "replace_table",
     "score_totals_as_text",
     "write_bucketed",
     "write_output",
+    "write_messages_text",
     "write_score_totals_text",
 ]

@@ -51,3 +51,22 @@ def test_messages_roundtrip_keeps_nulls(spark):
     assert body["payload"]["score"] is None and "score" in body["payload"]
     back = envelope.derive_time(envelope.parse_events(envelope.to_messages(events))).first()
     assert back.payload.question_id == 1 and str(back.event_date) == "2026-03-03"
+
+
+def test_load_time_and_landing_roundtrip(spark, scratch):
+    import os
+
+    from strata.operators import medallion
+    from strata.sinks import write_messages_text
+    from strata.sources.driver_tables import events_as_raw
+
+    raw = events_as_raw(spark, "/root/testdata/sf0.001", with_region=False)
+    b1 = medallion.load_bronze(None, raw, with_load_time=True)
+    assert b1.filter("_loaded_at is null").count() == 0
+    b2 = medallion.load_bronze(b1, raw, with_load_time=True)
+    assert b2.count() == 2000 and "_loaded_at" in b2.columns
+    landing = os.path.join(scratch, "landing")
+    write_messages_text(raw, landing)
+    back = envelope.derive_time(envelope.parse_events(spark.read.text(landing)))
+    cols = ["event_id", "timestamp", "user_id", "event_date"]
+    assert back.select(cols).exceptAll(raw.select(cols)).count() == 0 and back.count() == 1000
