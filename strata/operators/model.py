@@ -66,7 +66,7 @@ def dim_regions(nation: DataFrame, region: DataFrame) -> DataFrame:
 
     Both inputs are fixed-size reference tables (25 and 5 rows).
     """
-    j = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left")
+    j = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
     return j.select(
         F.col("n_nationkey").alias("region_key"),
         F.upper(F.regexp_replace(F.col("r_name"), " ", "_")).alias("region_code"),
