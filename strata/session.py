@@ -36,6 +36,7 @@ def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
+    packages: list[str] | None = None,
 ) -> SparkSession:
     """Build (or reuse) a session with the library's required settings.
 
@@ -49,6 +50,9 @@ def build_session(
     settings = dict(BASE_CONF)
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if packages:
+        # e.g. the topic connector for read_event_stream(fmt="kafka")
+        settings["spark.jars.packages"] = ",".join(packages)
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
