@@ -67,23 +67,32 @@ def staging_path(path: str) -> str:
     return path.rstrip("/") + "._staging"
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """A folder written by a finished Spark job (it carries ``_SUCCESS``)."""
+    return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
+
+
 def overwrite_via_staging(
     spark: SparkSession,
     df: DataFrame,
     path: str,
     fmt: str = "parquet",
     partition_by: str | Iterable[str] | None = None,
+    resume: bool = False,
 ) -> DataFrame:
     """Overwrite ``path`` with ``df`` even when ``df`` reads ``path``.
 
     ``df`` is written to a sibling staging folder first (this also cuts the
     lineage: a lost executor re-reads staged files, not the deleted input),
     then copied over the target and the staging folder removed. Not atomic:
-    a failure during the copy leaves the staged data to rerun from.
-    Returns a frame over the new target.
+    if the driver dies during the copy, the target may be incomplete while
+    the staged copy is whole; with ``resume=True`` a complete staging folder
+    left by such a run is copied instead of recomputing ``df`` from the
+    damaged target. Returns a frame over the new target.
     """
     stage = staging_path(path)
-    write_output(df, stage, fmt=fmt, partition_by=partition_by)
+    if not (resume and is_complete(spark, stage)):
+        write_output(df, stage, fmt=fmt, partition_by=partition_by)
     staged = spark.read.format(fmt).load(stage)
     write_output(staged, path, fmt=fmt, partition_by=partition_by)
     delete_path(spark, stage)
@@ -91,10 +100,15 @@ def overwrite_via_staging(
 
 
 def dedupe_path(spark: SparkSession, path: str, fmt: str = "parquet", partition_by=None) -> DataFrame:
-    """Whole-row distinct of a stored table, written back over itself safely."""
-    return overwrite_via_staging(
-        spark, spark.read.format(fmt).load(path).distinct(), path, fmt, partition_by
-    )
+    """Whole-row distinct of a stored table, written back over itself safely.
+
+    Resumable: a rerun after a failed copy finishes from the staged result.
+    """
+    source = spark.read.format(fmt).load(path) if path_exists(spark, path) else None
+    if source is None and not is_complete(spark, staging_path(path)):
+        raise FileNotFoundError(path)
+    df = source.distinct() if source is not None else None
+    return overwrite_via_staging(spark, df, path, fmt, partition_by, resume=True)
 
 
 def ensure_layers(spark: SparkSession, layers: Iterable[str] = LAYERS) -> None:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from strata.sinks.files import delete_path, path_exists, staging_path
+from strata.sinks.files import delete_path, is_complete, path_exists, staging_path
 
 DELETE_FLAG = "_deleted"
 
@@ -69,12 +69,15 @@ def apply_changes_batch(
         # Read with the change schema so partition values keep their type and
         # an emptied staging folder still reads as an empty frame.
         schema = StructType([f for f in batch.schema.fields if f.name != delete_col])
-        target = None
-        if path_exists(spark, target_path):
-            target = spark.read.schema(schema).parquet(target_path).filter(F.col(partition_col).isin(parts))
-        merged = merge_changes(target, batch, keys, order_by, delete_col)
         stage = staging_path(target_path) + f"/epoch={epoch_id}"
-        merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
+        # A replayed epoch whose merge was already staged finishes from the
+        # staged rows: the target may be half-replaced by the failed attempt.
+        if not is_complete(spark, stage):
+            target = None
+            if path_exists(spark, target_path):
+                target = spark.read.schema(schema).parquet(target_path).filter(F.col(partition_col).isin(parts))
+            merged = merge_changes(target, batch, keys, order_by, delete_col)
+            merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
         staged = spark.read.schema(schema).parquet(stage)
         (
             staged.write.mode("overwrite")

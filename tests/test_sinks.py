@@ -136,3 +136,14 @@ def test_incremental_daily_equals_full_recompute(spark, scratch):
     totals = spark.read.parquet(os.path.join(out, "question_score_totals"))
     expected = metrics.question_score_totals(spark.read.parquet(lake_path))
     assert totals.exceptAll(expected).count() == 0 and expected.exceptAll(totals).count() == 0
+
+
+def test_dedupe_resumes_from_complete_staging(spark, scratch):
+    path = os.path.join(scratch, "t")
+    raw = events_as_raw(spark, SF, with_region=False)
+    sinks.write_output(raw.unionByName(raw), path)
+    # simulate a run that staged its result and died while copying: target damaged
+    sinks.write_output(raw.distinct(), path + "._staging")
+    sinks.write_output(raw.limit(10), path)
+    out = sinks.dedupe_path(spark, path)
+    assert out.count() == 1000
