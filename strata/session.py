@@ -37,6 +37,7 @@ def build_session(
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
     packages: list[str] | None = None,
+    large_state: bool = False,
 ) -> SparkSession:
     """Build (or reuse) a session with the library's required settings.
 
@@ -50,6 +51,14 @@ def build_session(
     settings = dict(BASE_CONF)
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if large_state:
+        # Streaming state kept off the JVM heap, checkpointed as changelogs:
+        # the choice for joins and windows whose state outgrows executor
+        # memory. (For small state the default in-heap store is faster.)
+        settings[
+            "spark.sql.streaming.stateStore.providerClass"
+        ] = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        settings["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
     if packages:
         # e.g. the topic connector for read_event_stream(fmt="kafka")
         settings["spark.jars.packages"] = ",".join(packages)
