@@ -124,3 +124,19 @@ def test_foreach_batch_upsert(spark, scratch):
     write("2.json", [(1, "F", "2024-01-01", 3, False), (2, "O", "2024-01-02", 2, True), (3, "O", "2024-01-03", 1, False)])
     assert run() == {1: "F", 3: "O"}
     assert run() == {1: "F", 3: "O"}
+
+
+def test_bounded_interval_run_stops(spark, scratch):
+    import time
+
+    from strata.streaming import ingest
+
+    landing, lake, ckpt = (os.path.join(scratch, d) for d in ("landing", "lake", "ckpt"))
+    _land(landing, "a.json", [message("a"), message("b")])
+    t0 = time.time()
+    q = ingest(
+        spark, lake, ckpt, source={"fmt": "files", "path": landing},
+        trigger="processing_time", interval="1 second", run_seconds=6,
+    )
+    assert not q.isActive and time.time() - t0 < 60
+    assert spark.read.parquet(lake).count() == 2
