@@ -249,17 +249,27 @@ def scd2_apply(
     close = has_cur & ((has_new & changed) | (~has_new & F.lit(close_missing)))
     open_new = has_new & (~has_cur | changed)
 
-    def version(prefix: str, valid_from: Column, valid_to: Column, is_current: Column) -> list[Column]:
-        return [
-            *[F.col(k) for k in keys],
+    def version(prefix: str, valid_from: Column, valid_to: Column, is_current: Column) -> Column:
+        return F.struct(
             *[F.col(f"{prefix}{c}").alias(c) for c in tracked],
             valid_from.cast("date").alias("valid_from"),
             valid_to.cast("date").alias("valid_to"),
             is_current.alias("is_current"),
-        ]
-
-    kept = j.filter(has_cur & ~close).select(*version("_cur_", F.col("_cur_from"), F.lit(None), F.lit(True)))
-    closed = j.filter(close).select(*version("_cur_", F.col("_cur_from"), eff, F.lit(False)))
-    opened = j.filter(open_new).select(*version("_new_", eff, F.lit(None), F.lit(True)))
+        )
+
+    # One pass over the joined rows: each key yields its current version
+    # (kept open or closed) and, when it changed or is new, an opened one.
+    current_version = F.when(
+        has_cur,
+        version(
+            "_cur_",
+            F.col("_cur_from"),
+            F.when(close, eff),
+            ~close,
+        ),
+    )
+    opened_version = F.when(open_new, version("_new_", eff, F.lit(None), F.lit(True)))
+    versions = F.filter(F.array(current_version, opened_version), lambda v: v.isNotNull())
+    out = j.select(*keys, F.explode(versions).alias("_v")).select(*keys, "_v.*")
     cols = attrs + ["valid_from", "valid_to", "is_current"]
-    return history.select(*cols).unionByName(kept).unionByName(closed).unionByName(opened)
+    return history.select(*cols).unionByName(out.select(*cols))

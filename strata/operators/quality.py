@@ -95,9 +95,12 @@ def relationship_violations(
 ) -> DataFrame:
     """Child key values without a parent row, with the number of child rows.
 
-    The child keys are aggregated first (map-side combine: a hot key becomes
-    one row per task), then anti-joined to the parent keys, so the shuffle
-    carries distinct keys, not child rows.
+    Written as aggregate-then-anti-join; Catalyst pushes the anti join below
+    the aggregate (its condition uses only the grouping key), so when the
+    parent keys fit the broadcast threshold the child rows stream through a
+    hash anti join without any shuffle and only violating keys reach the
+    aggregate's exchange. Beyond the threshold it is a sort-merge anti join
+    whose hot-key partitions adaptive execution splits.
     """
     keys = child.filter(F.col(child_key).isNotNull()).groupBy(child_key).agg(
         F.count(F.lit(1)).alias("n_rows")
