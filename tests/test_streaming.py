@@ -140,3 +140,23 @@ def test_bounded_interval_run_stops(spark, scratch):
     )
     assert not q.isActive and time.time() - t0 < 60
     assert spark.read.parquet(lake).count() == 2
+
+
+def test_daily_cycle_end_to_end(spark, scratch):
+    from strata.plans.jobs import run_daily_cycle
+    from strata.sinks import write_messages_text
+
+    landing = os.path.join(scratch, "landing")
+    raw = events_as_raw(spark, "/root/testdata/sf0.001")
+    write_messages_text(raw, landing)
+    result = run_daily_cycle(
+        spark,
+        {"fmt": "files", "path": landing},
+        os.path.join(scratch, "lake"),
+        os.path.join(scratch, "ckpt"),
+        os.path.join(scratch, "out"),
+        table_prefix="cyc_",
+    )
+    assert len(result["recent_partitions"]) == 5
+    assert result["row_counts"]["events_by_type_daily"] == 150
+    assert result["tables"]["cyc_silver.cleaned_silver_table"] == 250
