@@ -12,10 +12,12 @@ from strata.sinks.files import (
     write_output,
     write_score_totals_text,
 )
+from strata.sinks.compaction import compact_partitions
 from strata.sinks.messages import publish_messages, write_messages_text
 
 __all__ = [
     "clone_database",
+    "compact_partitions",
     "create_views",
     "dedupe_path",
     "ensure_layers",

@@ -147,3 +147,20 @@ def test_dedupe_resumes_from_complete_staging(spark, scratch):
     sinks.write_output(raw.limit(10), path)
     out = sinks.dedupe_path(spark, path)
     assert out.count() == 1000
+
+
+def test_compaction_keeps_rows_and_merges_files(spark, scratch):
+    import glob
+
+    raw = events_as_raw(spark, SF, with_region=False)
+    path = os.path.join(scratch, "lake")
+    raw.repartition(16).write.option("maxRecordsPerFile", 5).partitionBy("event_date").parquet(path)
+    day = "2024-01-02"
+    before = len(glob.glob(f"{path}/event_date={day}/*.parquet"))
+    plan = sinks.compact_partitions(spark, path, [day, "2024-01-03"], rows_per_file=20)
+    after = len(glob.glob(f"{path}/event_date={day}/*.parquet"))
+    assert after < before and after <= plan[day] + 2
+    back = spark.read.parquet(path)
+    assert back.count() == 1000
+    cols = ["event_id", "timestamp", "event_date"]
+    assert back.select(cols).exceptAll(raw.select(cols)).count() == 0
