@@ -16,13 +16,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import metrics
+from strata.operators import metrics, model
 from strata.plans.catalog import register
 from strata.plans.oracle import with_raw
 from strata.session import checkpoint_root
 from strata.sinks.files import score_totals_as_text
 from strata.sources.driver_tables import events_as_raw, read_table
 from strata.sources.lake import parse_score_totals_text
+from strata.streaming.upsert import start_apply_changes
 from strata.streaming.windows import join_status_updates, windowed_summary
 
 
@@ -93,6 +94,53 @@ def q_stream_order_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("order_ts", "update_ts")})
 
 
+@register(
+    "order_status_upsert",
+    """WITH derived AS (
+    SELECT l_orderkey AS o_orderkey,
+           CASE WHEN COUNT(*) FILTER (WHERE l_linestatus = 'F') = COUNT(*) THEN 'F'
+                WHEN COUNT(*) FILTER (WHERE l_linestatus = 'O') = COUNT(*) THEN 'O'
+                ELSE 'P' END AS o_orderstatus
+    FROM lineitem GROUP BY l_orderkey)
+SELECT o.o_orderkey AS order_id, COALESCE(d.o_orderstatus, o.o_orderstatus) AS status,
+       CAST(o.o_orderdate AS DATE) AS order_date
+FROM orders o LEFT JOIN derived d ON o.o_orderkey = d.o_orderkey""",
+)
+def q_order_status_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a keyed target; status changes derived from line items are
+    streamed through the ``foreachBatch`` upsert (month partitions)."""
+    base = os.path.join(checkpoint_root(spark), "streams", f"upsert-{uuid.uuid4().hex}")
+    orders = read_table(spark, sf_dir, "orders")
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("order_month")
+    initial = orders.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_orderstatus").alias("status"),
+        F.to_date("o_orderdate").alias("order_date"),
+        month,
+        F.lit(0).alias("version"),
+    )
+    initial.write.partitionBy("order_month").parquet(os.path.join(base, "target"))
+    derived = model.derived_order_status(read_table(spark, sf_dir, "lineitem"))
+    changes = derived.join(orders.select("o_orderkey", "o_orderdate"), "o_orderkey").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_orderstatus").alias("status"),
+        F.to_date("o_orderdate").alias("order_date"),
+        month,
+        F.lit(1).alias("version"),
+        F.lit(False).alias("_deleted"),
+    )
+    changes.write.parquet(os.path.join(base, "changes"))
+    stream = spark.readStream.schema(changes.schema).parquet(os.path.join(base, "changes"))
+    q = start_apply_changes(
+        spark, stream, os.path.join(base, "target"), os.path.join(base, "ckpt"),
+        keys=["order_id"], order_by=["version"], partition_col="order_month", delete_col="_deleted",
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(os.path.join(base, "target")).select("order_id", "status", "order_date")
+
+
 # --- batch variants of the reference outputs ---------------------------------------
 
 TOTALS_SQL = """SELECT question_id, CAST(SUM(COALESCE(score, 0)) AS BIGINT) AS total
