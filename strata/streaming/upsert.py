@@ -77,7 +77,9 @@ def apply_changes_batch(
             if path_exists(spark, target_path):
                 target = spark.read.schema(schema).parquet(target_path).filter(F.col(partition_col).isin(parts))
             merged = merge_changes(target, batch, keys, order_by, delete_col)
-            merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
+            # rebalance: AQE groups rows by partition value (few files per
+            # partition) and splits a hot partition across several writers.
+            merged.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(stage)
         staged = spark.read.schema(schema).parquet(stage)
         (
             staged.write.mode("overwrite")
