@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, TimestampType
+from pyspark.sql.types import StructField, StructType, TimestampType, VariantType
 
 from strata.functions.constants import ONE_TIME_USER, RETURNING_USER
 from strata.functions.time import wall_clock_ntz
@@ -72,22 +72,31 @@ def to_silver(bronze: DataFrame) -> DataFrame:
     """Flatten the envelope into the 12 silver columns.
 
     ``region`` and ``payload_version`` are not carried; question_id and
-    creation_date become text, as in the warehouse layer.
+    creation_date become text, as in the warehouse layer. The payload may be
+    the typed struct or a ``VARIANT`` (fields then read by path).
     """
-    p = "payload"
+    fields = [
+        ("question_id", "string"),
+        ("creation_date", "string"),
+        ("title", "string"),
+        ("score", "int"),
+        ("answer_count", "int"),
+        ("is_answered", "boolean"),
+        ("link", "string"),
+    ]
+    if isinstance(bronze.schema["payload"].dataType, VariantType):
+        # Semi-structured payload: path extraction with a lenient cast, a
+        # field of the wrong type becomes null instead of failing the load.
+        payload = [F.try_variant_get("payload", f"$.{name}", t).alias(name) for name, t in fields]
+    else:
+        payload = [F.col(f"payload.{name}").cast(t).alias(name) for name, t in fields]
     return bronze.select(
         F.col("event_id"),
         F.col("event_type"),
         F.col("timestamp").alias("time_posted"),
         F.col("user_id"),
         F.col("source").alias("api_used"),
-        F.col(f"{p}.question_id").cast("string").alias("question_id"),
-        F.col(f"{p}.creation_date").cast("string").alias("creation_date"),
-        F.col(f"{p}.title").cast("string").alias("title"),
-        F.col(f"{p}.score").cast("int").alias("score"),
-        F.col(f"{p}.answer_count").cast("int").alias("answer_count"),
-        F.col(f"{p}.is_answered").cast("boolean").alias("is_answered"),
-        F.col(f"{p}.link").cast("string").alias("link"),
+        *payload,
     )
 
 

@@ -80,6 +80,14 @@ def q_silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(spark, sf_dir)
 
 
+@register("silver_events_variant", with_raw("SELECT * FROM silver", SILVER_CTE))
+def q_silver_events_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze that kept its payload as a VARIANT, flattened by path."""
+    raw = events_as_raw(spark, sf_dir, with_region=False)
+    bronze = raw.withColumn("payload", F.parse_json(F.to_json("payload")))
+    return medallion.to_silver(bronze)
+
+
 @register("clean_silver", with_raw("SELECT * FROM clean", SILVER_CTE, CLEAN_CTE))
 def q_clean_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clean(spark, sf_dir)

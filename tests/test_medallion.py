@@ -96,3 +96,17 @@ def test_medallion_job_writes_all_layers(spark):
     assert again == counts
     unique = spark.table("t1_silver.cleaned_silver_table").groupBy("question_id").count()
     assert unique.filter(F.col("count") > 1).count() == 0
+
+
+def test_silver_from_variant_payload(spark):
+    raw = raw_from_messages(spark, [message("a", question_id=42, score=-3, is_answered=True)])
+    as_variant = raw.withColumn("payload", F.parse_json(F.to_json("payload")))
+    bad = spark.createDataFrame([("b",)], "event_id string").select(
+        "event_id", F.parse_json(F.lit('{"question_id": "x", "score": "many"}')).alias("payload")
+    )
+    both = as_variant.select("event_id", "payload").unionByName(bad)
+    both = both.join(raw.drop("payload"), "event_id", "left")
+    rows = {r.event_id: r for r in medallion.to_silver(both).collect()}
+    struct_row = medallion.to_silver(raw).first()
+    assert rows["a"].asDict() == struct_row.asDict()
+    assert rows["b"].question_id == "x" and rows["b"].score is None
