@@ -160,3 +160,24 @@ def test_daily_cycle_end_to_end(spark, scratch):
     assert len(result["recent_partitions"]) == 5
     assert result["row_counts"]["events_by_type_daily"] == 150
     assert result["tables"]["cyc_silver.cleaned_silver_table"] == 250
+
+
+def test_landed_files_archived_after_commit(spark, scratch):
+    import glob
+    import time
+
+    landing, archive, lake, ckpt = (os.path.join(scratch, d) for d in ("landing", "archive", "lake", "ckpt"))
+    _land(landing, "a.json", [message("a")])
+    _land(landing, "b.json", [message("b")])
+    stream = read_event_stream(
+        spark, "files", path=landing, max_files_per_trigger=1, clean_source="archive", archive_dir=archive
+    )
+    q = start_raw_sink(stream_to_raw(stream), lake, ckpt, trigger="available_now")
+    q.awaitTermination()
+    assert spark.read.parquet(lake).count() == 2
+    deadline = time.time() + 30
+    while time.time() < deadline and os.path.exists(os.path.join(landing, "a.json")):
+        time.sleep(0.5)
+    # the file of the first committed batch has been moved out of the landing folder
+    assert not os.path.exists(os.path.join(landing, "a.json"))
+    assert glob.glob(os.path.join(archive, "**", "a.json"), recursive=True)
