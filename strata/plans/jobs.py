@@ -157,3 +157,30 @@ def run_daily_cycle(
     daily = run_daily_outputs(spark, raw, out_dir)
     tables = run_medallion(spark, raw, prefix=table_prefix)
     return {"recent_partitions": recent, **daily, "tables": tables}
+
+
+def publish_pages(
+    spark: SparkSession,
+    pages: DataFrame,
+    landing_path: str | None = None,
+    topic: tuple[str, str] | None = None,
+) -> DataFrame:
+    """Landed API pages -> event envelopes -> messages (the producer's cycle).
+
+    Event ids are fresh UUIDs, so the envelopes are checkpointed (reliably,
+    under ``spark.checkpoint.dir``) before they are used: every sink and the
+    returned frame see the same ids, and a lost executor re-reads the
+    checkpoint instead of minting new ones. ``topic`` is (bootstrap servers,
+    topic name); ``landing_path`` appends JSON lines a file stream can read.
+    """
+    from strata.operators.envelope import build_envelope, items_from_pages
+    from strata.session import checkpoint_root
+    from strata.sinks.messages import publish_messages, write_messages_text
+
+    checkpoint_root(spark)
+    events = build_envelope(items_from_pages(pages)).checkpoint(eager=True)
+    if landing_path:
+        write_messages_text(events, landing_path)
+    if topic:
+        publish_messages(events, *topic)
+    return events

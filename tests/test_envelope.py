@@ -70,3 +70,18 @@ def test_load_time_and_landing_roundtrip(spark, scratch):
     back = envelope.derive_time(envelope.parse_events(spark.read.text(landing)))
     cols = ["event_id", "timestamp", "user_id", "event_date"]
     assert back.select(cols).exceptAll(raw.select(cols)).count() == 0 and back.count() == 1000
+
+
+def test_publish_pages_fixes_ids_once(spark, scratch):
+    import os
+
+    from strata.plans.jobs import publish_pages
+    from strata.sources.driver_tables import events_as_pages
+
+    landing = os.path.join(scratch, "landing")
+    events = publish_pages(spark, events_as_pages(spark, "/root/testdata/sf0.001"), landing_path=landing)
+    ids = {r.event_id for r in events.select("event_id").collect()}
+    again = {r.event_id for r in events.select("event_id").collect()}
+    landed = envelope.parse_events(spark.read.text(landing))
+    assert len(ids) == 1000 and ids == again
+    assert {r.event_id for r in landed.select("event_id").collect()} == ids
