@@ -35,6 +35,8 @@ def conform(df: DataFrame, schema: StructType = RAW) -> DataFrame:
 
 
 LOADED_AT = "_loaded_at"
+# Topic metadata carried through silver when present (see stream_to_raw).
+INGEST_ORDER = ("_broker_time", "_offset")
 
 
 def load_bronze(
@@ -71,7 +73,8 @@ def dedupe_bronze(bronze: DataFrame) -> DataFrame:
 def to_silver(bronze: DataFrame) -> DataFrame:
     """Flatten the envelope into the 12 silver columns.
 
-    ``region`` and ``payload_version`` are not carried; question_id and
+    ``region`` and ``payload_version`` are not carried (ingest-order
+    metadata is, when present); question_id and
     creation_date become text, as in the warehouse layer. The payload may be
     the typed struct or a ``VARIANT`` (fields then read by path).
     """
@@ -90,6 +93,7 @@ def to_silver(bronze: DataFrame) -> DataFrame:
         payload = [F.try_variant_get("payload", f"$.{name}", t).alias(name) for name, t in fields]
     else:
         payload = [F.col(f"payload.{name}").cast(t).alias(name) for name, t in fields]
+    ingest_order = [c for c in INGEST_ORDER if c in bronze.columns]
     return bronze.select(
         F.col("event_id"),
         F.col("event_type"),
@@ -97,6 +101,7 @@ def to_silver(bronze: DataFrame) -> DataFrame:
         F.col("user_id"),
         F.col("source").alias("api_used"),
         *payload,
+        *ingest_order,
     )
 
 
@@ -104,8 +109,9 @@ def clean_silver(silver: DataFrame) -> DataFrame:
     """One row per question_id, the latest posting first.
 
     Order: posting day descending with nulls first (the warehouse's DESC
-    rule), then the full time descending, then event_id, so the winner is
-    deterministic. All null question ids form one group and keep one row.
+    rule), then the full time descending, then ingest order when the topic
+    metadata was kept (broker time, offset: latest first), then event_id, so
+    the winner is deterministic. All null question ids form one group and keep one row.
     ``time_posted`` becomes a zone-less timestamp (wall clock kept).
 
     ``row_number() = 1`` is planned as a partial ``WindowGroupLimit`` before
@@ -113,9 +119,11 @@ def clean_silver(silver: DataFrame) -> DataFrame:
     row per task.
     """
     posted = wall_clock_ntz("time_posted")
+    ingest_order = [F.col(c).desc_nulls_last() for c in INGEST_ORDER if c in silver.columns]
     w = Window.partitionBy("question_id").orderBy(
         F.to_date(posted).desc_nulls_first(),
         posted.desc_nulls_first(),
+        *ingest_order,
         F.col("event_id").asc_nulls_last(),
     )
     return (

@@ -15,7 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.envelope import derive_time, parse_events
 
-TOPIC_METADATA = ["partition", "offset", "timestamp"]
+# Topic metadata kept on request, renamed so it cannot collide with envelope
+# fields (the envelope has its own ``timestamp``).
+TOPIC_METADATA = {"partition": "_partition", "offset": "_offset", "timestamp": "_broker_time"}
 
 
 def read_event_stream(
@@ -66,10 +68,13 @@ def stream_to_raw(stream: DataFrame, lenient: bool = False, keep_metadata: bool
     """Message stream -> raw lake rows (envelope + event_time + event_date).
 
     With ``keep_metadata`` the topic partition, offset and broker time are
-    kept, which gives a true ingest order for "latest" questions.
+    kept as ``_partition``, ``_offset`` and ``_broker_time``, which gives a
+    true ingest order for "latest" questions.
     """
-    keep = [c for c in TOPIC_METADATA if keep_metadata and c in stream.columns]
-    return derive_time(parse_events(stream, "value", keep=keep), lenient=lenient)
+    meta = {c: alias for c, alias in TOPIC_METADATA.items() if keep_metadata and c in stream.columns}
+    if meta:
+        stream = stream.withColumnsRenamed(meta)
+    return derive_time(parse_events(stream, "value", keep=list(meta.values())), lenient=lenient)
 
 
 def start_raw_sink(

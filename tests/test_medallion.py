@@ -110,3 +110,23 @@ def test_silver_from_variant_payload(spark):
     struct_row = medallion.to_silver(raw).first()
     assert rows["a"].asDict() == struct_row.asDict()
     assert rows["b"].question_id == "x" and rows["b"].score is None
+
+
+def test_clean_prefers_latest_ingest_when_metadata_kept(spark):
+    import datetime as _dt
+
+    from strata.streaming import stream_to_raw
+
+    same = "2026-03-03T10:00:00+00:00"
+    rows = [
+        (message("z-ingested-last", ts=same, question_id=1, score=1).encode(), 0, 9, _dt.datetime(2026, 3, 3, 10, 5)),
+        (message("a-ingested-first", ts=same, question_id=1, score=2).encode(), 0, 5, _dt.datetime(2026, 3, 3, 10, 1)),
+    ]
+    topic_like = spark.createDataFrame(rows, "value binary, partition int, offset long, timestamp timestamp")
+    raw = stream_to_raw(topic_like, keep_metadata=True)
+    clean = medallion.clean_silver(medallion.to_silver(raw)).collect()
+    assert [r.event_id for r in clean] == ["z-ingested-last"]
+    assert "_offset" not in clean[0].asDict()
+    # without metadata the event id decides
+    plain = medallion.clean_silver(medallion.to_silver(stream_to_raw(topic_like))).collect()
+    assert [r.event_id for r in plain] == ["a-ingested-first"]

@@ -181,3 +181,13 @@ def test_landed_files_archived_after_commit(spark, scratch):
     # the file of the first committed batch has been moved out of the landing folder
     assert not os.path.exists(os.path.join(landing, "a.json"))
     assert glob.glob(os.path.join(archive, "**", "a.json"), recursive=True)
+
+
+def test_topic_metadata_kept_without_name_clash(spark):
+    import datetime as _dt
+
+    rows = [(message("a").encode(), 0, 17, _dt.datetime(2026, 3, 3, 16, 13))]
+    topic_like = spark.createDataFrame(rows, "value binary, partition int, offset long, timestamp timestamp")
+    out = stream_to_raw(topic_like, keep_metadata=True).first()
+    assert out.timestamp == "2026-03-03T16:12:47+00:00"
+    assert (out._partition, out._offset) == (0, 17) and out._broker_time is not None
