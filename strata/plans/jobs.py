@@ -1,8 +1,13 @@
-"""End-to-end batch runs: the daily outputs job and the medallion build.
-
-These compose sources, operators and sinks in the order the event model's
-schedule runs them: ingest -> raw check -> daily outputs -> validation ->
-bronze -> silver -> clean -> star schema and gold marts.
+"""End-to-end runs composed from sources, operators and sinks.
+
+- ``run_daily_outputs``: the four daily outputs and the score totals (Parquet
+  and text) from one projected, persisted base, then output validation.
+- ``run_daily_increment``: the same for chosen lake partitions only.
+- ``run_medallion``: bronze -> silver -> clean -> star schema and gold marts,
+  each layer stored and read back before the next.
+- ``run_daily_cycle``: one scheduled cycle in the event model's order:
+  ingest -> raw check -> daily outputs -> validation -> layers.
+- ``publish_pages``: landed API pages -> envelopes (checkpointed) -> messages.
 """
 
 from __future__ import annotations
