@@ -92,6 +92,6 @@ def checkpoint_root(spark: SparkSession) -> str:
             raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
     return root
