@@ -191,3 +191,39 @@ def test_topic_metadata_kept_without_name_clash(spark):
     out = stream_to_raw(topic_like, keep_metadata=True).first()
     assert out.timestamp == "2026-03-03T16:12:47+00:00"
     assert (out._partition, out._offset) == (0, 17) and out._broker_time is not None
+
+
+def test_windows_with_off_heap_state_store(spark, scratch):
+    # the settings build_session(large_state=True) applies, set on this session
+    keys = {
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        src = os.path.join(scratch, "src")
+        spark.createDataFrame(
+            [("2024-01-01 00:05:00", 1.0), ("2024-01-01 01:10:00", 4.0), ("2024-01-01 03:00:00", 8.0)],
+            "ts string, v double",
+        ).select(F.to_timestamp("ts").alias("ts"), "v").write.parquet(src)
+        stream = spark.readStream.schema("ts timestamp, v double").parquet(src)
+        agg = windowed_summary(stream, ts_col="ts", amount_col="v")
+        q = (
+            agg.writeStream.format("parquet").outputMode("append")
+            .option("path", os.path.join(scratch, "out"))
+            .option("checkpointLocation", os.path.join(scratch, "ckpt"))
+            .trigger(availableNow=True).start()
+        )
+        q.awaitTermination()
+        assert q.exception() is None
+        got = {r.window_start.hour: r.event_count for r in spark.read.parquet(os.path.join(scratch, "out")).collect()}
+        assert got == {0: 1, 1: 1}
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
