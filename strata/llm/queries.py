@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, sharding
-from strata.llm.common import table
+from strata.llm import language, mixing, quality_crf, secrets, sharding
+from strata.llm.common import fold, table
 
 QUERIES = {}
 ORACLE = {}
@@ -51,3 +51,44 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get("passes", F.lit(0))["position"].alias("position"),
         F.get("passes", F.lit(1))["position"].alias("position_2"),
     )
+
+
+@register
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold(5) == 0
+    model = language.fit(docs.where(~held_out))
+    found = docs.select("doc_id", held_out.alias("held_out"), language.language(model, F.col("text"), spark).alias("r"))
+    return found.select("doc_id", "held_out", "r.lang_pred", "r.score", "r.n_letters")
+
+
+@register
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    formats = secrets.fit(docs)
+    found = docs.select("doc_id", secrets.find_secrets(formats, F.col("text"), spark).alias("spans"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    base = F.filter("spans", lambda s: s["kind"] != secrets.FORMAT)
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+        count(secrets.FORMAT).alias("n_format"),
+    )
+
+
+@register
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    crf = quality_crf.fit(docs, table(spark, sf_dir, "labels"))
+    found = docs.select("doc_id", quality_crf.assess(crf, F.col("text"), spark).alias("r"))
+    return found.select("doc_id", "r.*")
