@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import language, mixing, quality_crf, secrets, sharding
+from strata.llm import language, mixing, quality_crf, secrets, sentencepieces, sharding, vptree
 from strata.llm.common import fold, table
 
 QUERIES = {}
@@ -92,3 +92,21 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     crf = quality_crf.fit(docs, table(spark, sf_dir, "labels"))
     found = docs.select("doc_id", quality_crf.assess(crf, F.col("text"), spark).alias("r"))
     return found.select("doc_id", "r.*")
+
+
+@register
+def op7_vp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vptree.nearest(vectors, F.col("vec_id") % 20 == 0, k=20, factor=1.0)
+
+
+@register
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = docs.withColumn("ids", sentencepieces.encode(F.col("text")))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        "ids",
+        sentencepieces.decode(F.col("ids")).eqNullSafe(F.col("text")).alias("round_trip"),
+    )
