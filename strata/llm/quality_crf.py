@@ -149,8 +149,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 2000, max_bytes: int =
     """
     marked = labels.where("quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     order = Window.partitionBy("quality").orderBy("h", "doc_id")
-    rows = docs.where(f"octet_length(text) <= {int(max_bytes)}").select("doc_id", "text").join(marked, "doc_id")
-    rows = rows.withColumn("h", F.xxhash64("doc_id")).withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample)
+    short = docs.where(f"octet_length(text) <= {int(max_bytes)}")
+    ranked = short.select("doc_id").join(marked, "doc_id").withColumn("h", F.xxhash64("doc_id"))
+    picked = ranked.withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample).select("doc_id", "quality")
+    # At most 2 * sample ids: the texts are picked where they are read, not shuffled.
+    rows = short.select("doc_id", "text").join(F.broadcast(picked.distinct()), "doc_id")
     # One row per document: lines' features, flattened.
     names = rows.select("quality", "text").mapInPandas(_training_rows, "quality int, lines int, features array<double>")
     got = [r for r in names.collect() if r["lines"]]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import language, mixing, quality_crf, secrets, sentencepieces, sharding, vptree
+from strata.llm import language, mixing, ngram_join, quality_crf, secrets, sentencepieces, sharding, vptree
 from strata.llm.common import fold, table
 
 QUERIES = {}
@@ -110,3 +110,9 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ids",
         sentencepieces.decode(F.col("ids")).eqNullSafe(F.col("text")).alias("round_trip"),
     )
+
+
+@register
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
