@@ -29,11 +29,12 @@ Candidates. Sets that share a signature meet in one bucket; equal sets are one
 entry. A group of up to ``GROUP`` sets gives all its pairs of fitting size. In
 a larger group the least set meets all others, and after the links found so
 far are joined to components, only pairs of different components of that group
-remain. They are verified in rounds: first those with PIVOTS of its members,
-then with eight times as many and so on, each round after joining what the one
-before has linked, until no group spans two components or all its members were
-pivots. A pair left out is thus already connected: the components are exact.
-Every candidate is verified on the full sets.
+remain: first those with PIVOTS of its members, then, after joining what these
+have linked, all that are left, unless parity sketches of the two sets differ
+in more than h bits (no two sets that differ in h shingles do; a sketch bit is
+the parity of the shingles hashed to it). A pair left out is thus connected
+already or no link: the components are exact. Every candidate is verified on
+the full sets.
 
 Null or empty texts have an empty set, no links, and are their own component.
 Texts of fewer words than ``width`` have one shingle, the whole sequence. Null
@@ -62,6 +63,9 @@ SAMPLE = 16
 FREQUENT = 3
 GROUP = 32
 PIVOTS = 16
+TILE = 1024
+#: Bits of a parity sketch.
+SKETCH_BITS = 4096
 #: Bits of the Bloom filters that are sent to the tasks (fixed; a fuller filter costs time, never links).
 BLOOM_BITS = 1 << 25
 #: Signatures that a task holds before it sends them on.
@@ -438,8 +442,15 @@ def candidates(docs: DataFrame, schemes: Schemes, total: int, width: int = WIDTH
 # ---- verification -----------------------------------------------------------------------------------------------
 
 
+def _sketch(hashes: np.ndarray) -> bytes:
+    """Parities of the shingles per hash bucket, as SKETCH_BITS bits."""
+    bucket = (mix(hashes) >> np.uint64(16)) % np.uint64(SKETCH_BITS)
+    odd = np.bincount(bucket.astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _wanted_sets(docs: DataFrame, sids: DataFrame, width: int) -> DataFrame:
-    """(sid, hashes) of the wanted set ids (and of few others), each once."""
+    """(sid, hashes, sketch) of the wanted set ids (and of few others), each once."""
     shared = docs.sparkSession.sparkContext.broadcast(bloom(sids, "sid"))  # BLOOM_BITS
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -447,10 +458,11 @@ def _wanted_sets(docs: DataFrame, sids: DataFrame, width: int) -> DataFrame:
             sets = {set_id(s): s for s in shingle_sets(pdf["text"].tolist(), width) if len(s)}
             ids = np.array(list(sets), dtype=np.int64)
             ids = ids[in_bloom(shared.value, ids)] if len(ids) else ids
-            yield pd.DataFrame({"sid": ids, "hashes": [sets[int(i)].tobytes() for i in ids]})
+            found = [sets[int(i)] for i in ids]
+            yield pd.DataFrame({"sid": ids, "hashes": [s.tobytes() for s in found], "sketch": [_sketch(s) for s in found]})
 
-    rows = docs.select("text").mapInPandas(pick, "sid long, hashes binary")
-    return stored(rows.groupBy("sid").agg(F.first("hashes").alias("hashes")), "sets")
+    rows = docs.select("text").mapInPandas(pick, "sid long, hashes binary, sketch binary")
+    return stored(rows.groupBy("sid").agg(F.first("hashes").alias("hashes"), F.first("sketch").alias("sketch")), "sets")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -489,17 +501,50 @@ def _open_groups(named: DataFrame) -> DataFrame:
     return groups.where("lo <> hi").groupBy("n", "x", "y").agg(F.min("sig").alias("sig")).select("sig", "n")
 
 
-def _pivot_pairs(named: DataFrame, open_: DataFrame, pivots: int, num: int, den: int) -> DataFrame:
-    """Pairs of the ``pivots`` first members by hash of each open group with its members of other components."""
+def _pivot_pairs(named: DataFrame, open_: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of the first PIVOTS members by hash of each open group with its members of other components."""
     members = named.join(open_.select("sig"), "sig")
     order = Window.partitionBy("sig").orderBy(F.xxhash64("sid"), "sid")
-    chosen = members.withColumn("r", F.row_number().over(order)).where(F.col("r") <= pivots)
+    chosen = members.withColumn("r", F.row_number().over(order)).where(F.col("r") <= PIVOTS)
     x, y = chosen.alias("x"), members.alias("y")
     fits = den * F.least("x.size", "y.size") >= num * F.greatest("x.size", "y.size")
     met = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & fits)
     return met.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
 
 
+def _tile_pairs(named: DataFrame, open_: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """All pairs of different components of each open group that their sketches don't rule out.
+
+    Every group is cut into tiles of about TILE x TILE members, so a task holds
+    few members whatever the group's size.
+    """
+    tiles = open_.select("sig", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+    members = named.join(tiles, "sig").join(sets.select("sid", "sketch"), "sid")
+    tiled = members.withColumn("t", F.pmod(F.xxhash64("sid"), F.col("tiles")).cast("int"))
+    tiled = tiled.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    tiled = tiled.withColumn("i", F.least("t", "o")).withColumn("j", F.greatest("t", "o"))
+
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("size", kind="stable")
+        one_tile = pdf["i"].iloc[0] == pdf["j"].iloc[0]
+        sid, size, comp, t = (pdf[c].to_numpy() for c in ("sid", "size", "comp", "t"))
+        sketch = np.stack([np.frombuffer(b, dtype=np.uint64) for b in pdf["sketch"]])
+        stop = np.searchsorted(size, size * den // num, side="right")  # partners: the larger ones that fit
+        a, b = [], []
+        for x in range(len(sid)):
+            y = np.arange(x + 1, stop[x])
+            y = y[(comp[y] != comp[x]) & (one_tile | (t[y] != t[x]))]
+            if len(y):
+                apart = np.bitwise_count(sketch[y] ^ sketch[x]).sum(axis=1, dtype=np.int64)
+                y = y[apart * (den + num) <= (size[x] + size[y]) * (den - num)]
+                a.append(np.full(len(y), sid[x]))
+                b.append(sid[y])
+        lo, hi = _unique_pairs(*(np.concatenate(v) if v else sid[:0] for v in (a, b)))
+        return pd.DataFrame({"a": lo, "b": hi})
+
+    return tiled.groupBy("sig", "i", "j").applyInPandas(pairs, "a long, b long").distinct()
+
+
 def jaccard_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, set_id, component_id."""
     docs = docs.select("doc_id", "text")
@@ -515,22 +560,17 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den:
     sets = _wanted_sets(docs, wanted.distinct(), width)
     links = stored(verify(pairs, sets, num, den), "links")
     comp = stored(components(links), "components")
-    pivots = PIVOTS
-    while True:
+    for step in (_pivot_pairs, _tile_pairs):
         named = _named(entries, comp)
         open_ = stored(_open_groups(named), "open")
-        largest = open_.agg(F.max("n")).first()[0]
-        if largest is None:
+        if open_.isEmpty():
             break
-        cross = _pivot_pairs(named, open_, pivots, num, den).join(pairs, ["a", "b"], "left_anti")
-        cross = stored(cross, "pairs")
+        cross = stored(step(named, open_, sets, num, den).join(pairs, ["a", "b"], "left_anti"), "pairs")
         more = stored(verify(cross, sets, num, den), "links")
         if not more.isEmpty():
             known = comp.select(F.col("node").alias("a"), F.col("component").alias("b"))
             comp = stored(components(known.unionByName(more)), "components")
-        if pivots >= largest:  # every pair of different components has been verified
-            break
-        pairs, pivots = pairs.unionByName(cross), pivots * 8
+        pairs = pairs.unionByName(cross)
     named = ids.join(comp, ids["sid"] == comp["node"], "left").select(
         "doc_id", "n_shingles", F.col("sid").alias("set_id"), F.coalesce("component", "sid").alias("comp")
     )
