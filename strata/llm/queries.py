@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import language, mixing, ngram_join, quality_crf, secrets, sentencepieces, sharding, vptree
+from strata.llm import cotraining, language, mixing, ngram_join, pitman_yor, quality_crf, secrets, sentencepieces, sharding, vptree
 from strata.llm.common import fold, table
 
 QUERIES = {}
@@ -116,3 +116,26 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@register
+def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = pitman_yor.fit(docs.where(fold(10) != 0))
+    scored = pitman_yor.score(model, docs)
+    return scored.select(
+        "doc_id",
+        (fold(10) == 0).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.n).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
+@register
+def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang", "n_chars")
+    model = cotraining.fit(docs, table(spark, sf_dir, "labels"))
+    return docs.select("doc_id", cotraining.quality(model, docs).alias("r")).select("doc_id", "r.*")
