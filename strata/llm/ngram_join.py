@@ -48,7 +48,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import Words, blocks, fold, mix, stored
@@ -109,7 +109,9 @@ def set_id(hashes: np.ndarray) -> int:
     return int(mix(total).view(np.int64)[0])
 
 
-def _set_column(width: int):
+def set_ids(text: Column, width: int = WIDTH) -> Column:
+    """Struct (n_shingles, sid) of a text's set; sid is null if the set is empty."""
+
     @F.pandas_udf("n_shingles long, sid long")
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
@@ -117,7 +119,7 @@ def _set_column(width: int):
             ids = pd.array([set_id(s) if len(s) else None for s in sets], dtype="Int64")
             yield pd.DataFrame({"n_shingles": np.array([len(s) for s in sets], dtype=np.int64), "sid": ids})
 
-    return udf.asNondeterministic()
+    return udf.asNondeterministic()(text)
 
 
 # ---- schemes ----------------------------------------------------------------------------------------------------
@@ -546,9 +548,12 @@ def _tile_pairs(named: DataFrame, open_: DataFrame, sets: DataFrame, num: int, d
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, set_id, component_id."""
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, set_id, component (a set id) and component_id.
+
+    component is null, and component_id the row's own id, where the set is empty.
+    """
     docs = docs.select("doc_id", "text")
-    ids = docs.select("doc_id", _set_column(width)("text").alias("s"))
+    ids = docs.select("doc_id", set_ids(F.col("text"), width).alias("s"))
     ids = stored(ids.select("doc_id", "s.n_shingles", "s.sid"), "set_ids")
     total = ids.agg(F.sum("n_shingles")).first()[0] or 0
     schemes = plan_schemes(docs, width, num, den)
@@ -572,8 +577,8 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den:
             comp = stored(components(known.unionByName(more)), "components")
         pairs = pairs.unionByName(cross)
     named = ids.join(comp, ids["sid"] == comp["node"], "left").select(
-        "doc_id", "n_shingles", F.col("sid").alias("set_id"), F.coalesce("component", "sid").alias("comp")
+        "doc_id", "n_shingles", F.col("sid").alias("set_id"), F.coalesce("component", "sid").alias("component")
     )
-    least = named.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    out = named.join(least, "comp", "left")
-    return out.select("doc_id", "n_shingles", "set_id", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    least = named.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    own = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return named.join(least, "component", "left").select("doc_id", "n_shingles", "set_id", "component", own.alias("component_id"))
