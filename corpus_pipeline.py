@@ -20,12 +20,14 @@ empty through all stages.
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm import language, mixing, ngram_join, secrets, sentencepieces
+from strata.llm.common import prepare
 from strata.session import checkpoint_root
 
 #: Least share of a text's trigrams that its language must explain.
@@ -71,16 +73,25 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    coded = docs.select("doc_id", "lang", "source", sentencepieces.encode(F.col("text")).alias("ids"))
+    coded = docs.select("doc_id", "lang", "source", sentencepieces.encode(F.col("text"))["ids"].alias("ids"))
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
 
+def _stage(fn):
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        return fn(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language_id", language_id),
-    ("near_duplicates", near_duplicates),
-    ("secrets", redact_secrets),
-    ("mixing", mix_sources),
-    ("sentencepiece", encode),
+    ("language_id", _stage(language_id)),
+    ("near_duplicates", _stage(near_duplicates)),
+    ("secrets", _stage(redact_secrets)),
+    ("mixing", _stage(mix_sources)),
+    ("sentencepiece", _stage(encode)),
 ]
 
 #: Learned models, hashed joins and a tokenizer: SQL can't express the stages (tests/llm compares with brute force).

@@ -8,7 +8,10 @@ longer character equals one of those separators.
 from __future__ import annotations
 
 import functools
+import pathlib
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,13 +19,40 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import strata
 from strata.session import checkpoint_root
 
 #: Text bytes that one vectorised step handles at once; a longer text is a step of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 
+_SHIPPED: set[str] = set()
+
+
+#: Bytes of a batch that goes to a Python worker at once (texts can be long, and rows of packed arrays are large).
+BATCH_BYTES = 4 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """Bound the batches of Python workers, and send them this package once per application.
+
+    They import it by name; where the session was started decides whether they
+    could find it otherwise.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = pathlib.Path(strata.__file__).parent
+    target = pathlib.Path(tempfile.mkdtemp(prefix="strata-ship-")) / "strata.zip"  # served by the driver from here
+    with zipfile.ZipFile(target, "w") as out:
+        for f in sorted(package.rglob("*.py")):
+            out.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(target))
+    _SHIPPED.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import cotraining, language, mixing, ngram_join, pitman_yor, quality_crf, secrets, sentencepieces, sharding, vptree
-from strata.llm.common import fold, table
+from strata.llm.common import fold, prepare, table
+from strata.llm.oracle import ORACLE  # noqa: F401  (read with QUERIES)
 
 QUERIES = {}
-ORACLE = {}
 
 
 def register(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @register
@@ -103,13 +110,8 @@ def op7_vp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = docs.withColumn("ids", sentencepieces.encode(F.col("text")))
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        "ids",
-        sentencepieces.decode(F.col("ids")).eqNullSafe(F.col("text")).alias("round_trip"),
-    )
+    coded = docs.select("doc_id", sentencepieces.encode(F.col("text")).alias("r"))
+    return coded.select("doc_id", F.size("r.ids").cast("bigint").alias("n_tokens"), "r.ids", F.col("r.exact").alias("round_trip"))
 
 
 @register

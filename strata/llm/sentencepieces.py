@@ -5,7 +5,8 @@ Per block of texts:
 1. A text is prefixed with one space and every space becomes U+2581. No piece
    continues past a U+2581 that follows another character (checked when the
    model is loaded), so a text falls into chunks "spaces + non-spaces". The
-   batch text is the concatenation of the block's distinct chunks.
+   batch text is the concatenation of the block's distinct chunks, less those
+   that the task has matched in an earlier block.
 2. Its suffix array is built to the depth of the longest piece by prefix
    doubling on packed ranks. Every piece of the vocabulary is looked up in it
    by two binary searches, level by level; the range between them holds all
@@ -28,8 +29,9 @@ are read; tokenizers are never trained here.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -42,8 +44,10 @@ SPACE = "▁"
 #: The public model that the queries use; its path is a parameter everywhere.
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*")
-#: Characters encoded at once: longer blocks repeat more of their words.
-_BLOCK = 2 * BLOCK_BYTES
+#: Chunks that a task remembers; then it starts anew.
+KEPT = 200_000
+#: Characters of the batch text that one suffix array covers.
+MATCHED = 300_000
 
 
 class _Numbered(dict):
@@ -73,6 +77,7 @@ class Pieces:
         self.longest = max(map(len, words), default=1)
         self.codes = np.zeros((len(words), self.longest), dtype=np.int64)
         self.length = np.array([len(w) for w in words], dtype=np.int64)
+        self.rank = np.unique(-self.scores, return_inverse=True)[1].astype(np.int64)  # 0 is the best score
         for k, w in enumerate(words):
             self.codes[k, : len(w)] = [ord(c) for c in w]
         self.byte_of = np.full(len(self.surface), -1)
@@ -107,7 +112,7 @@ def suffix_array(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, list[tupl
     key = np.zeros(n, dtype=np.int64)
     for k in range(width):
         key <<= bits
-        key[: n - k] |= symbols[k:]
+        key[: max(0, n - k)] |= symbols[k:]
     levels, have = [(width, key)], width
     order = np.argsort(key)
     while have < depth:
@@ -158,9 +163,10 @@ def occurrences(symbols: np.ndarray, pieces: Pieces, rank_of: np.ndarray) -> tup
         first, last = bound(low, False), bound(high, True)
         lo[open_], hi[open_] = first, last
     count = np.maximum(hi - lo, 0)
-    which = np.repeat(np.arange(len(possible)), count)
-    inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    return possible[which], order[lo[which] + inner]
+    # Positions lo..hi of the array for every piece, one after another.
+    step = np.repeat((lo - (np.cumsum(count) - count)).astype(np.int32), count)
+    step += np.arange(len(step), dtype=np.int32)
+    return np.repeat(possible.astype(np.int32), count), order.astype(np.int32)[step]
 
 
 def _split(chunk_of: np.ndarray, n_chunks: int) -> np.ndarray:
@@ -169,32 +175,29 @@ def _split(chunk_of: np.ndarray, n_chunks: int) -> np.ndarray:
 
 def _contract(pieces: Pieces, n: int, chunk: np.ndarray, piece: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """BPE relaxation: token starts and their piece (-1: none), by position."""
-    length = pieces.length[piece]
-    by_position = np.argsort(start * (pieces.longest + 1) + length)
-    piece, start, length = piece[by_position], start[by_position], length[by_position]
+    # The edges by position: a counting sort into one row per start, one column per length.
     at = np.full((n, pieces.longest + 1), -1, dtype=np.int16 if len(pieces.scores) < 32767 else np.int32)
-    at[start, length] = piece
-    token, size = np.arange(n), np.ones(n, dtype=np.int64)  # starts and lengths of the current tokens
-    done = np.zeros(n, dtype=np.int64)  # lengths of the final tokens, by their starts
+    at[start, pieces.length[piece]] = piece
+    token, size = np.arange(n, dtype=np.int32), np.ones(n, dtype=np.int16)  # starts and lengths of the current tokens
+    done = np.zeros(n, dtype=np.int16)  # lengths of the final tokens, by their starts
     owner = chunk
     while len(token):
-        joined = np.where(owner[1:] == owner[:-1], size[1:] + size[:-1], 0)
-        fits = (joined > 0) & (joined <= pieces.longest)
-        edge = np.where(fits, at[token[:-1], np.where(fits, joined, 0)], -1)
-        score = np.r_[np.where(edge >= 0, pieces.scores[edge], -np.inf), -np.inf]
-        heads = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        top = np.maximum.reduceat(score, heads)
-        reps = np.diff(np.r_[heads, len(token)])
-        live = np.repeat(top > -np.inf, reps)
-        done[token[~live]] = size[~live]
-        if not live.any():
-            break
-        best = live & (score == np.repeat(top, reps))
-        where = np.flatnonzero(best)
-        leftmost = where[np.r_[True, owner[where[1:]] != owner[where[:-1]]]]
-        size[leftmost] += size[leftmost + 1]
-        live[leftmost + 1] = False
-        token, size, owner = token[live], size[live], owner[live]
+        joined = size[:-1] + size[1:]
+        fits = np.flatnonzero((owner[1:] == owner[:-1]) & (joined <= pieces.longest))
+        edge = at[token[fits], joined[fits]]
+        fits, edge = fits[edge >= 0], edge[edge >= 0]
+        # Best score, then leftmost, as one number; the best of each chunk.
+        key = (pieces.rank[edge] << np.int64(32)) | fits
+        own = owner[fits]
+        heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(fits) else fits
+        left = (np.minimum.reduceat(key, heads) & np.int64(0xFFFFFFFF)) if len(heads) else heads
+        live = np.zeros(chunk[-1] + 1, dtype=bool)
+        live[owner[left]] = True
+        keep = live[owner]
+        done[token[~keep]] = size[~keep]
+        size[left] += size[left + 1]
+        keep[left + 1] = False
+        token, size, owner = token[keep], size[keep], owner[keep]
     token = np.flatnonzero(done)
     return token, at[token, done[token]]
 
@@ -241,33 +244,23 @@ def _best_path(pieces: Pieces, n: int, chunk: np.ndarray, piece: np.ndarray, sta
     return token[order], found[order]
 
 
-def encode_block(pieces: Pieces, texts: list[str | None]) -> list[np.ndarray | None]:
-    """The ids of each text of a block."""
-    known = _Numbered()
-    uses, edges = [], [0]
-    for t in texts:
-        if t:
-            uses += map(known.__getitem__, _CHUNK.findall(SPACE + t.replace(" ", SPACE)))
-        edges.append(len(uses))
-    if not known:
-        return [None if t is None else np.zeros(0, dtype=np.int32) for t in texts]
-    batch = "".join(known)
-    points = np.frombuffer(batch.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
-    size = np.fromiter((len(c) for c in known), dtype=np.int64, count=len(known))
-    chunk = np.repeat(np.arange(len(known)), size)
+def _match(pieces: Pieces, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all chunks one after another, number of ids per chunk)."""
+    points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int32)
+    size = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
+    chunk = np.repeat(np.arange(len(chunks), dtype=np.int32), size)
     alphabet = np.unique(points)
-    rank_of = np.zeros(0x110000, dtype=np.int64)
+    rank_of = np.zeros(0x110000, dtype=np.int32)
     rank_of[alphabet] = np.arange(1, len(alphabet) + 1)
-    # The ranks end each chunk: matches must not run on into the next one.
-    ended = np.zeros(len(points) + len(known), dtype=np.int64)
-    place = np.arange(len(points)) + chunk
-    ended[place] = rank_of[points]
-    ended[np.cumsum(size) + np.arange(len(known))] = len(alphabet) + 1
+    # Each chunk gets an end of its own rank: matches must not run on into the next one.
+    end = len(alphabet) + 1
+    ended = np.full(len(points) + len(chunks), end, dtype=np.int64)
+    ended[np.arange(len(points)) + chunk] = rank_of[points]
     piece, start = occurrences(ended, pieces, rank_of)
-    back = np.cumsum(ended != len(alphabet) + 1) - 1  # positions without the ends
+    back = np.cumsum(ended != end, dtype=np.int32) - 1  # positions without the ends
     relax = _contract if pieces.kind == "bpe" else _best_path
     token, found = relax(pieces, len(points), chunk, piece, back[start])
-    # Single characters that are pieces keep their id; others fall back to bytes.
+    # Tokens without a piece are single characters: their bytes, or unknown.
     bare = np.flatnonzero(found < 0)
     lengths = np.ones(len(token), dtype=np.int64)
     ids = np.where(found >= 0, pieces.text_ids[found], pieces.unknown)
@@ -283,14 +276,54 @@ def encode_block(pieces: Pieces, texts: list[str | None]) -> list[np.ndarray | N
             longer = lengths[bare] > k
             out[first[bare[longer]] + k] = pieces.byte_ids[padded[kind[longer], k]]
         ids = out
-    per_chunk = np.bincount(chunk[token], weights=lengths, minlength=len(known)).astype(np.int64)
-    chunk_first = np.cumsum(per_chunk) - per_chunk
-    uses = np.array(uses, dtype=np.int64)
-    counts = per_chunk[uses]
-    total = np.r_[0, np.cumsum(counts)]
-    ids = ids.astype(np.int32)[np.repeat(chunk_first[uses] - total[:-1], counts) + np.arange(total[-1])]
-    cut = total[np.array(edges)]
-    return [None if t is None else ids[a:b] for t, a, b in zip(texts, cut, cut[1:], strict=False)]
+    per_chunk = np.bincount(chunk[token], weights=lengths, minlength=len(chunks)).astype(np.int64)
+    return ids.astype(np.int32), per_chunk
+
+
+def _batches(chunks: Iterable[str]) -> Iterator[list[str]]:
+    """Batches of at most MATCHED characters (or one chunk)."""
+    batch, size = [], 0
+    for c in chunks:
+        if batch and size + len(c) > MATCHED:
+            yield batch
+            batch, size = [], 0
+        batch.append(c)
+        size += len(c)
+    if batch:
+        yield batch
+
+
+class Encoder:
+    """Encodes blocks of texts; chunks of earlier blocks are matched once, up to KEPT of them."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        self.clear()
+
+    def clear(self) -> None:
+        self.known = _Numbered()
+        self.ids, self.first, self.size = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """The ids of each text."""
+        if len(self.known) > KEPT or len(self.ids) > 8 * KEPT:
+            self.clear()
+        before = len(self.known)
+        uses, edges = [], [0]
+        for t in texts:
+            if t:
+                uses += map(self.known.__getitem__, _CHUNK.findall(SPACE + t.replace(" ", SPACE)))
+            edges.append(len(uses))
+        for chunks in _batches(islice(self.known, before, None)):
+            ids, size = _match(self.pieces, chunks)
+            self.first = np.r_[self.first, len(self.ids) + np.cumsum(size) - size]
+            self.ids, self.size = np.r_[self.ids, ids], np.r_[self.size, size]
+        uses = np.array(uses, dtype=np.int32)
+        counts = self.size[uses]
+        total = np.r_[0, np.cumsum(counts)]
+        out = self.ids[np.repeat(self.first[uses] - total[:-1], counts) + np.arange(total[-1])]
+        cut = total[np.array(edges)]
+        return [None if t is None else out[a:b] for t, a, b in zip(texts, cut, cut[1:], strict=False)]
 
 
 def decode_ids(pieces: Pieces, ids: list[int] | np.ndarray | None) -> str | None:
@@ -318,7 +351,7 @@ def _text_blocks(texts: list[str | None]) -> Iterator[list[str | None]]:
     for t in texts:
         block.append(t)
         size += len(t or "")
-        if size >= _BLOCK:
+        if size >= 2 * BLOCK_BYTES:
             yield block
             block, size = [], 0
     if block:
@@ -326,14 +359,19 @@ def _text_blocks(texts: list[str | None]) -> Iterator[list[str | None]]:
 
 
 def encode(text: Column, model: str = DEFAULT_MODEL, kind: str = "bpe") -> Column:
-    """array<int> of the text's ids. ``model`` must be readable where the tasks run."""
+    """Struct (ids, exact) of the text; ``exact`` says whether the ids decode to it (null for null).
 
-    @F.pandas_udf("array<int>")
-    def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        pieces = Pieces.load(model, kind)
+    ``model`` must be readable where the tasks run.
+    """
+
+    @F.pandas_udf("ids array<int>, exact boolean")
+    def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = Encoder(Pieces.load(model, kind))
         for texts in batches:
             texts = [t if isinstance(t, str) else None for t in texts]
-            yield pd.Series([ids for b in _text_blocks(texts) for ids in encode_block(pieces, b)], dtype=object)
+            ids = [x for b in _text_blocks(texts) for x in encoder.encode(b)]
+            exact = [None if t is None else decode_ids(encoder.pieces, x) == t for t, x in zip(texts, ids, strict=True)]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "exact": pd.Series(exact, dtype=object)})
 
     return udf.asNondeterministic()(text)  # evaluated once
 
