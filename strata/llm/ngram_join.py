@@ -69,9 +69,9 @@ SKETCH_BITS = 4096
 #: Bits of the Bloom filters that are sent to the tasks (fixed; a fuller filter costs time, never links).
 BLOOM_BITS = 1 << 25
 #: Signatures that a task holds before it sends them on.
-FLUSH = 1 << 21
-#: Bytes of signatures per bucket task.
-BUCKET_BYTES = 48 << 20
+FLUSH = 1 << 20
+#: Signatures per bucket; a task holds one bucket at a time.
+BUCKET_ENTRIES = 1_000_000
 SINGLES, SUBSETS, DELETIONS = 0, 1, 2
 _EXACT, _BIG = 1, 2  # flags of an entry: contents without deletion; part of a large group
 
@@ -109,15 +109,27 @@ def set_id(hashes: np.ndarray) -> int:
     return int(mix(total).view(np.int64)[0])
 
 
-def set_ids(text: Column, width: int = WIDTH) -> Column:
-    """Struct (n_shingles, sid) of a text's set; sid is null if the set is empty."""
+def _sketch(hashes: np.ndarray) -> bytes:
+    """Parities of the shingles per hash bucket, as SKETCH_BITS bits."""
+    bucket = (mix(hashes) >> np.uint64(16)) % np.uint64(SKETCH_BITS)
+    odd = np.bincount(bucket.astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
 
-    @F.pandas_udf("n_shingles long, sid long")
+def set_ids(text: Column, width: int = WIDTH, sketches: bool = False) -> Column:
+    """Struct (n_shingles, sid, sketch) of a text's set; sid is null if the set is empty, sketch if not asked for."""
+
+    @F.pandas_udf("n_shingles long, sid long, sketch binary")
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            sets = [s for b in blocks(iter([texts.to_frame("text")])) for s in shingle_sets(b["text"].tolist(), width)]
-            ids = pd.array([set_id(s) if len(s) else None for s in sets], dtype="Int64")
-            yield pd.DataFrame({"n_shingles": np.array([len(s) for s in sets], dtype=np.int64), "sid": ids})
+            n, ids, marks = [], [], []
+            for block in blocks(iter([texts.to_frame("text")])):
+                for s in shingle_sets(block["text"].tolist(), width):
+                    n.append(len(s))
+                    ids.append(set_id(s) if len(s) else None)
+                    marks.append(_sketch(s) if len(s) and sketches else None)
+            columns = {"n_shingles": np.array(n, dtype=np.int64), "sid": pd.array(ids, dtype="Int64")}
+            yield pd.DataFrame(columns | {"sketch": pd.Series(marks, dtype=object)})
 
     return udf.asNondeterministic()(text)
 
@@ -285,11 +297,45 @@ def _merged(make, rows: int = 512):
 
 # ---- candidates -------------------------------------------------------------------------------------------------
 
-_BLOB = "bucket int, kind int, a binary, b binary, c binary"
+_BLOB = "bucket int, kind int, " + ", ".join(f"{c} binary" for c in ("keys", "flags", "sids", "sizes", "counts"))
 _SIG, _PAIR, _ENTRY = 0, 1, 2
 
 
+class Buckets:
+    """Deals the signatures of each band to a run of buckets in proportion to the band's load.
+
+    A document takes part in two bands, so its signatures meet few buckets. An
+    entry carries 32 bits of its signature inside the bucket; a chance match is
+    only one more candidate.
+    """
+
+    def __init__(self, loads: np.ndarray, n: int):
+        """``loads`` per band; ``n`` buckets."""
+        share = loads / max(loads.sum(), 1)
+        self.n, self.width = n, share * n
+        self.first = np.cumsum(self.width) - self.width
+
+    def place(self, band: int, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bucket, key) of signatures of a band."""
+        part = (sig >> np.uint64(32)).astype(np.float64) / 2.0**32
+        bucket = np.minimum((self.first[band] + part * self.width[band]).astype(np.int64), self.n - 1)
+        return bucket, (sig & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def _band_loads(ids: DataFrame, num: int, den: int) -> np.ndarray:
+    """About the number of signatures per band (own ones, and those of the next band)."""
+    ends = band_ends(num, den).tolist()
+    band = F.size(F.filter(F.array(*[F.lit(e) for e in ends]), lambda e: e < F.col("n_shingles")))
+    rows = ids.where("n_shingles > 0").groupBy(band.alias("band")).agg(F.sum("n_shingles").alias("n")).collect()
+    load = np.zeros(len(ends) + 1)
+    for r in rows:
+        load[r["band"]] = r["n"]
+    # A band without sets of its own gets a little, for what only chance or a change of the data brings.
+    return np.maximum(load[:-1] / 3 + load[1:] / 4, load.sum() * 1e-6)
+
+
 def _fits(x: np.ndarray, y: np.ndarray, num: int, den: int) -> np.ndarray:
+    x, y = x.astype(np.int64), y.astype(np.int64)
     return den * np.minimum(x, y) >= num * np.maximum(x, y)
 
 
@@ -333,79 +379,83 @@ class Grouped:
         return head + inner, head
 
 
-def _mapper(bands: frozenset[int], num: int, den: int, frequent, width: int, n_buckets: int):
+def _mapper(bands: frozenset[int], num: int, den: int, frequent, width: int, buckets: Buckets):
     """Signatures of the texts as packed rows per bucket; ``frequent`` is the broadcast filter."""
-
-    def flush(held: list[tuple]) -> pd.DataFrame:
-        sig, sid, size, flags = (np.concatenate(x) for x in zip(*held, strict=True))
-        g = Grouped(sig, sid, size, flags)
+    columns = ["bucket", "kind", "keys", "flags", "sids", "sizes", "counts"]
+
+    def flush(groups: list, exact: list, sids: list, sizes: list, counts: list) -> pd.DataFrame:
+        sids, sizes = np.array(sids, dtype=np.int64), np.array(sizes, dtype=np.int32)
+        group = np.concatenate(groups)
+        flags = np.where(np.concatenate(exact), _EXACT, 0).astype(np.uint8)
+        doc = np.repeat(np.arange(len(sids), dtype=np.int32), counts)
+        g = Grouped(group, doc, sizes[doc], flags)
         rows = []
         # Groups that are large already here: one entry goes on, the others are written now.
         large = (g.count > GROUP) & ((g.any & _EXACT) > 0)
         entry, head = g.members(np.flatnonzero(large))
         if len(entry):
             fits = _fits(g.size[entry], g.size[head], num, den) & (entry != head)
-            a, b = _unique_pairs(g.sid[head[fits]], g.sid[entry[fits]])
-            rows.append((int(g.sid[entry[0]] % n_buckets), _PAIR, a.tobytes(), b.tobytes(), b""))
-            rows.append((int(g.sid[entry[-1]] % n_buckets), _ENTRY, g.sig[entry].tobytes(), g.sid[entry].tobytes(), g.size[entry].astype(np.int32).tobytes()))
+            a, b = _unique_pairs(sids[g.sid[head[fits]]], sids[g.sid[entry[fits]]])
+            rows.append((int(g.sig[entry[0]] >> 32), _PAIR, a.tobytes(), b"", b.tobytes(), b"", b""))
+            packed = g.sig[entry].tobytes(), b"", sids[g.sid[entry]].tobytes(), g.size[entry].tobytes(), b""
+            rows.append((int(g.sig[entry[-1]] >> 32), _ENTRY, *packed))
         rest, _ = g.members(np.flatnonzero(~large))
         heads = g.first[large]
         keep = np.r_[rest, heads]
-        flags_out = np.r_[g.flags[rest], g.any[large] | _BIG]
-        sig = np.r_[g.sig[keep], sig[g.alone]]
-        sid = np.r_[g.sid[keep], sid[g.alone]]
-        packed = np.r_[g.size[keep] * 4 + flags_out, size[g.alone] * 4 + flags[g.alone]].astype(np.int64)
-        bucket = (sig.view(np.uint64) % np.uint64(n_buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        edges = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-        for k in range(n_buckets):
+        group = np.r_[g.sig[keep], group[g.alone]]
+        flags = np.r_[g.flags[rest], g.any[large] | _BIG, flags[g.alone]].astype(np.uint8)
+        doc = np.r_[g.sid[keep], doc[g.alone]]
+        del g
+        bucket = group >> 32
+        order = np.lexsort((doc, bucket))  # by document inside a bucket: only counts are needed to tell them apart
+        edges = np.searchsorted(bucket[order], np.arange(buckets.n + 1))
+        for k in np.flatnonzero(np.diff(edges)):
             part = order[edges[k] : edges[k + 1]]
-            if len(part):
-                rows.append((k, _SIG, sig[part].tobytes(), sid[part].tobytes(), packed[part].astype(np.int32).tobytes()))
-        return pd.DataFrame(rows, columns=["bucket", "kind", "a", "b", "c"])
+            own, count = np.unique(doc[part], return_counts=True)
+            packed = (group[part] & 0xFFFFFFFF).astype(np.uint32), flags[part], sids[own], sizes[own], count.astype(np.int32)
+            rows.append((int(k), _SIG, *(x.tobytes() for x in packed)))
+        return pd.DataFrame(rows, columns=columns)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         schemes = Schemes(bands, frequent.value, num, den)
-        held, n, seen = [], 0, set()
+        held, n, seen = ([], [], [], [], []), 0, set()
         for pdf in blocks(batches):
             for s in shingle_sets(pdf["text"].tolist(), width):
                 if not len(s) or (sid := set_id(s)) in seen:
                     continue
                 seen.add(sid)
-                for _, _, sig, exact in schemes.signatures(s):
-                    k = len(sig)
-                    held.append((sig.view(np.int64), np.full(k, sid), np.full(k, len(s)), np.where(exact, _EXACT, 0)))
-                    n += k
+                own = 0
+                for band, _, sig, exact in schemes.signatures(s):
+                    bucket, key = buckets.place(band, sig)
+                    held[0].append((bucket << 32) | key)
+                    held[1].append(exact)
+                    own += len(sig)
+                for part, value in zip(held[2:], (sid, len(s), own), strict=True):
+                    part.append(value)
+                n += own
                 if n >= FLUSH:
-                    yield flush(held)
-                    held, n, seen = [], 0, set()
-        if held:
-            yield flush(held)
+                    yield flush(*held)
+                    held, n, seen = ([], [], [], [], []), 0, set()
+        if n:
+            yield flush(*held)
 
     return run
 
 
 def _reducer(num: int, den: int):
-    columns = ["kind", "a", "b", "size"]
-
     def rows(kind: int, a: np.ndarray, b: np.ndarray, size: np.ndarray | None = None) -> pd.DataFrame:
-        return pd.DataFrame({"kind": np.int32(kind), "a": a, "b": b, "size": np.zeros(len(a), dtype=np.int64) if size is None else size}, columns=columns)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = []
-        for pdf in batches:
-            for kind, a, b, c in zip(pdf["kind"], pdf["a"], pdf["b"], pdf["c"], strict=True):
-                a, b, c = np.frombuffer(a, dtype=np.int64), np.frombuffer(b, dtype=np.int64), np.frombuffer(c, dtype=np.int32)
-                if kind == _SIG:
-                    held.append((a, b, c))
-                else:
-                    yield rows(kind, a, b, c.astype(np.int64) if kind == _ENTRY else None)
-        if not held:
-            return
-        sig, sid, packed = (np.concatenate(x) for x in zip(*held, strict=True))
-        del held
-        g = Grouped(sig, sid, (packed >> 2).astype(np.int64), packed & 3)
-        del sig, sid, packed
+        return pd.DataFrame({"kind": np.int32(kind), "a": a, "b": b, "size": np.zeros(len(a), dtype=np.int64) if size is None else size.astype(np.int64)})
+
+    def unpack(r) -> tuple[np.ndarray, ...]:
+        counts = np.frombuffer(r.counts, dtype=np.int32)
+        key = np.frombuffer(r.keys, dtype=np.uint32).astype(np.int64)
+        sid = np.repeat(np.frombuffer(r.sids, dtype=np.int64), counts)
+        size = np.repeat(np.frombuffer(r.sizes, dtype=np.int32), counts)
+        return (np.int64(r.bucket) << 32) | key, sid, size, np.frombuffer(r.flags, dtype=np.uint8)
+
+    def matched(held: list[tuple]) -> Iterator[pd.DataFrame]:
+        """The candidates of one bucket."""
+        g = Grouped(*(np.concatenate(x) for x in zip(*held, strict=True)))
         usable = (g.count > 1) & ((g.any & _EXACT) > 0)
         big = usable & ((g.count > GROUP) | ((g.any & _BIG) > 0))
         found_a, found_b = [], []
@@ -427,63 +477,99 @@ def _reducer(num: int, den: int):
         if found_a:
             yield rows(_PAIR, *_unique_pairs(np.concatenate(found_a), np.concatenate(found_b)))
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, bucket = [], None  # rows come sorted by bucket
+        for pdf in batches:
+            for r in pdf.itertuples():
+                if r.kind != _SIG:
+                    a, b = np.frombuffer(r.keys, dtype=np.int64), np.frombuffer(r.sids, dtype=np.int64)
+                    yield rows(r.kind, a, b, np.frombuffer(r.sizes, dtype=np.int32) if r.kind == _ENTRY else None)
+                    continue
+                if r.bucket != bucket and held:
+                    yield from matched(held)
+                    held = []
+                bucket = r.bucket
+                held.append(unpack(r))
+        if held:
+            yield from matched(held)
+
     return run
 
 
-def candidates(docs: DataFrame, schemes: Schemes, total: int, width: int = WIDTH) -> DataFrame:
+def candidates(docs: DataFrame, schemes: Schemes, loads: np.ndarray, width: int = WIDTH) -> DataFrame:
     """Rows (kind, a, b, size): pairs of set ids, and (signature, set id, size) entries of large groups."""
     spark = docs.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total * 14 // BUCKET_BYTES))
+    parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(loads.sum()) // BUCKET_ENTRIES))
     frequent = spark.sparkContext.broadcast(schemes.frequent)  # BLOOM_BITS
-    mapper = _mapper(schemes.deletion_bands, schemes.num, schemes.den, frequent, width, 4 * parts)
+    mapper = _mapper(schemes.deletion_bands, schemes.num, schemes.den, frequent, width, Buckets(loads, parts))
     blobs = docs.select("text").mapInPandas(mapper, _BLOB)
-    found = blobs.repartition(parts, "bucket").mapInPandas(_reducer(schemes.num, schemes.den), "kind int, a long, b long, size long")
+    dealt = blobs.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    found = dealt.mapInPandas(_reducer(schemes.num, schemes.den), "kind int, a long, b long, size long")
     return stored(found, "candidates")
 
 
 # ---- verification -----------------------------------------------------------------------------------------------
 
 
-def _sketch(hashes: np.ndarray) -> bytes:
-    """Parities of the shingles per hash bucket, as SKETCH_BITS bits."""
-    bucket = (mix(hashes) >> np.uint64(16)) % np.uint64(SKETCH_BITS)
-    odd = np.bincount(bucket.astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
+def _some_sketches(ids: DataFrame, sids: DataFrame) -> DataFrame:
+    """(sid, n, sketch, tid) of the given set ids (and of few others), each once; tid is a text of that set."""
+    shared = ids.sparkSession.sparkContext.broadcast(bloom(sids, "sid"))  # BLOOM_BITS
 
+    @F.pandas_udf("boolean")
+    def wanted(sid: pd.Series) -> pd.Series:
+        return pd.Series(in_bloom(shared.value, sid.to_numpy(dtype=np.int64)))
 
-def _wanted_sets(docs: DataFrame, sids: DataFrame, width: int) -> DataFrame:
-    """(sid, hashes, sketch) of the wanted set ids (and of few others), each once."""
-    shared = docs.sparkSession.sparkContext.broadcast(bloom(sids, "sid"))  # BLOOM_BITS
+    some = ids.where("sid IS NOT NULL").where(wanted("sid"))
+    once = some.groupBy("sid").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.min("tid").alias("tid"))
+    return stored(once, "sketches")
 
-    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in blocks(batches):
-            sets = {set_id(s): s for s in shingle_sets(pdf["text"].tolist(), width) if len(s)}
-            ids = np.array(list(sets), dtype=np.int64)
-            ids = ids[in_bloom(shared.value, ids)] if len(ids) else ids
-            found = [sets[int(i)] for i in ids]
-            yield pd.DataFrame({"sid": ids, "hashes": [s.tobytes() for s in found], "sketch": [_sketch(s) for s in found]})
 
-    rows = docs.select("text").mapInPandas(pick, "sid long, hashes binary, sketch binary")
-    return stored(rows.groupBy("sid").agg(F.first("hashes").alias("hashes"), F.first("sketch").alias("sketch")), "sets")
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(sid, text) of ``wanted`` (sid, tid); only texts that a Bloom filter lets pass are shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(bloom(wanted, "tid"))  # BLOOM_BITS
+
+    @F.pandas_udf("boolean")
+    def asked(tid: pd.Series) -> pd.Series:
+        return pd.Series(in_bloom(shared.value, tid.to_numpy(dtype=np.int64)))
+
+    marked = docs.where("text IS NOT NULL").select("text", F.xxhash64("text").alias("tid")).where(asked("tid"))
+    once = marked.groupBy("tid").agg(F.first("text").alias("text"))
+    return once.join(wanted, "tid").select("sid", "text")
 
 
-def verify(pairs: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
-    """The pairs (a, b) that link."""
+def _with_both(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
+    left = sets.select(F.col("sid").alias("a"), *[F.col(c).alias(f"{c}_a") for c in columns])
+    right = sets.select(F.col("sid").alias("b"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    return pairs.select("a", "b").join(left, "a").join(right, "b")
+
+
+def verify(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that link: by their sketches first, which rule most others out, then by their whole sets."""
 
     @F.pandas_udf("boolean")
-    def linked(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = np.zeros(len(x), dtype=bool)
-        for k, (s, t) in enumerate(zip(x, y, strict=True)):
-            s, t = np.frombuffer(s, dtype=np.uint64), np.frombuffer(t, dtype=np.uint64)
-            both = np.sort(np.concatenate([s, t]), kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            out[k] = den * common >= num * (len(both) - common)
-        return pd.Series(out)
+    def plausible(n: pd.Series, m: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+        if not len(x):
+            return pd.Series([], dtype=bool)
+        x, y = (np.frombuffer(b"".join(v), dtype=np.uint64).reshape(len(v), -1) for v in (x, y))
+        apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+        return pd.Series(apart * (den + num) <= (n + m).to_numpy() * (den - num))
 
-    left = sets.select(F.col("sid").alias("a"), F.col("hashes").alias("x"))
-    right = sets.select(F.col("sid").alias("b"), F.col("hashes").alias("y"))
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return joined.where(linked("x", "y")).select("a", "b")
+    @F.pandas_udf("boolean")
+    def linked(x: pd.Series, y: pd.Series) -> pd.Series:
+        out = []
+        for part in blocks(iter([pd.DataFrame({"text": x, "other": y})])):
+            sets = zip(shingle_sets(part["text"].tolist(), width), shingle_sets(part["other"].tolist(), width), strict=True)
+            for s, t in sets:
+                both = np.sort(np.concatenate([s, t]), kind="stable")
+                common = int((both[1:] == both[:-1]).sum())
+                out.append(den * common >= num * (len(both) - common))
+        return pd.Series(out, dtype=bool)
+
+    likely = _with_both(pairs, sketches, ["n", "sketch"]).where(plausible("n_a", "n_b", "sketch_a", "sketch_b"))
+    likely = stored(likely.select("a", "b"), "likely")
+    named = likely.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    texts = stored(_texts(docs, named.join(sketches.select("sid", "tid"), "sid")), "texts")
+    return _with_both(likely, texts, ["text"]).where(linked("text_a", "text_b")).select("a", "b")
 
 
 def _named(entries: DataFrame, comp: DataFrame) -> DataFrame:
@@ -503,7 +589,7 @@ def _open_groups(named: DataFrame) -> DataFrame:
     return groups.where("lo <> hi").groupBy("n", "x", "y").agg(F.min("sig").alias("sig")).select("sig", "n")
 
 
-def _pivot_pairs(named: DataFrame, open_: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _pivot_pairs(named: DataFrame, open_: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of the first PIVOTS members by hash of each open group with its members of other components."""
     members = named.join(open_.select("sig"), "sig")
     order = Window.partitionBy("sig").orderBy(F.xxhash64("sid"), "sid")
@@ -514,14 +600,14 @@ def _pivot_pairs(named: DataFrame, open_: DataFrame, sets: DataFrame, num: int,
     return met.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
 
 
-def _tile_pairs(named: DataFrame, open_: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _tile_pairs(named: DataFrame, open_: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
     """All pairs of different components of each open group that their sketches don't rule out.
 
     Every group is cut into tiles of about TILE x TILE members, so a task holds
     few members whatever the group's size.
     """
     tiles = open_.select("sig", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
-    members = named.join(tiles, "sig").join(sets.select("sid", "sketch"), "sid")
+    members = named.join(tiles, "sig").join(sketches.select("sid", "sketch"), "sid")
     tiled = members.withColumn("t", F.pmod(F.xxhash64("sid"), F.col("tiles")).cast("int"))
     tiled = tiled.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     tiled = tiled.withColumn("i", F.least("t", "o")).withColumn("j", F.greatest("t", "o"))
@@ -553,25 +639,24 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den:
     component is null, and component_id the row's own id, where the set is empty.
     """
     docs = docs.select("doc_id", "text")
-    ids = docs.select("doc_id", set_ids(F.col("text"), width).alias("s"))
-    ids = stored(ids.select("doc_id", "s.n_shingles", "s.sid"), "set_ids")
-    total = ids.agg(F.sum("n_shingles")).first()[0] or 0
+    ids = docs.select("doc_id", F.xxhash64("text").alias("tid"), set_ids(F.col("text"), width, sketches=True).alias("s"))
+    ids = stored(ids.select("doc_id", "tid", "s.n_shingles", "s.sid", "s.sketch"), "set_ids")
     schemes = plan_schemes(docs, width, num, den)
-    found = candidates(docs, schemes, total, width)
+    found = candidates(docs, schemes, _band_loads(ids, num, den), width)
     pairs = stored(found.where(F.col("kind") == _PAIR).select("a", "b").distinct(), "pairs")
     entries = found.where(F.col("kind") == _ENTRY).select(F.col("a").alias("sig"), F.col("b").alias("sid"), "size").distinct()
     entries = stored(entries, "entries")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).unionByName(entries.select("sid"))
-    sets = _wanted_sets(docs, wanted.distinct(), width)
-    links = stored(verify(pairs, sets, num, den), "links")
+    named = pairs.select(F.explode(F.array("a", "b")).alias("sid")).unionByName(entries.select("sid"))
+    sketches = _some_sketches(ids, named.distinct())
+    links = stored(verify(pairs, sketches, docs, width, num, den), "links")
     comp = stored(components(links), "components")
     for step in (_pivot_pairs, _tile_pairs):
         named = _named(entries, comp)
         open_ = stored(_open_groups(named), "open")
         if open_.isEmpty():
             break
-        cross = stored(step(named, open_, sets, num, den).join(pairs, ["a", "b"], "left_anti"), "pairs")
-        more = stored(verify(cross, sets, num, den), "links")
+        cross = stored(step(named, open_, sketches, num, den).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        more = stored(verify(cross, sketches, docs, width, num, den), "links")
         if not more.isEmpty():
             known = comp.select(F.col("node").alias("a"), F.col("component").alias("b"))
             comp = stored(components(known.unionByName(more)), "components")

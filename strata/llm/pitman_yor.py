@@ -49,7 +49,7 @@ MAX_FREQUENT = 100_000
 BUCKET_DISHES = 600_000
 BUCKET_TOKENS = 4_000_000
 #: Tokens that a task holds before it sends their counts on.
-FLUSH = 1 << 22
+FLUSH = 1 << 20
 STRENGTH = 1.0
 _END = int(mix(np.array([0xE0D], dtype=np.uint64)).view(np.int64)[0]) & ~(CLASSES - 1)
 
@@ -429,6 +429,8 @@ def _frequent(model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             for _, row in pdf.iterrows():
                 words = _Words(row, samples)
                 some = np.flatnonzero(words.count >= least)
+                if not len(some):
+                    continue
                 keys = (words.words[some][:, None] | np.arange(CLASSES)).ravel()
                 p = np.log10(words.look_up(keys)[1]).reshape(-1, CLASSES)
                 yield pd.DataFrame({"word": words.words[some], "count": words.count[some], "p": list(p)})

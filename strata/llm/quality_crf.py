@@ -5,7 +5,8 @@ classes, repetition inside the line and of earlier lines). The CRF scores a
 label sequence by emission weights per feature and transition weights between
 neighbouring lines. It is fitted by maximum likelihood (forward-backward) on a
 bounded sample of labelled documents: lines of good documents are content,
-lines of bad ones boilerplate. Viterbi decoding then labels the lines of every
+lines of bad ones boilerplate; two documents make one training sequence, so
+that changes inside a text are learned too. Viterbi decoding then labels the lines of every
 document, and the share of its characters in content lines decides.
 
 Base rules (they fail a document whatever its lines are): fewer than 50 words,
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import blocks
+from strata.llm.common import blocks, mix
 from strata.llm.textstats import TextStats
 
 MIN_WORDS = 50
@@ -155,14 +156,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 2000, max_bytes: int =
     # At most 2 * sample ids: the texts are picked where they are read, not shuffled.
     rows = short.select("doc_id", "text").join(F.broadcast(picked.distinct()), "doc_id")
     # One row per document: lines' features, flattened.
-    names = rows.select("quality", "text").mapInPandas(_training_rows, "quality int, lines int, features array<double>")
-    got = [r for r in names.collect() if r["lines"]]
+    names = rows.select("doc_id", "quality", "text").mapInPandas(_training_rows, "h long, quality int, lines int, features array<double>")
+    got = sorted((r for r in names.collect() if r["lines"]), key=lambda r: (r["h"], r["lines"], r["features"]))
     if {r["quality"] for r in got} != {0, 1}:
         return None
     lengths = np.array([r["lines"] for r in got])
     features = np.concatenate([np.array(r["features"]).reshape(r["lines"], -1) for r in got])
     quality = np.repeat([r["quality"] for r in got], lengths)
-    return train(features, np.where(quality == 1, CONTENT, BOILERPLATE), lengths)
+    pairs = np.add.reduceat(lengths, np.arange(0, len(lengths), 2))
+    return train(features, np.where(quality == 1, CONTENT, BOILERPLATE), pairs)
 
 
 def _training_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -172,6 +174,7 @@ def _training_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cut = np.searchsorted(stats.line_doc[some], np.arange(len(pdf) + 1))
         yield pd.DataFrame(
             {
+                "h": mix(pdf["doc_id"].to_numpy(dtype=np.int64)).view(np.int64),
                 "quality": pdf["quality"].astype(np.int32),
                 "lines": np.diff(cut).astype(np.int32),
                 "features": [features[a:b].ravel() for a, b in zip(cut, cut[1:], strict=False)],

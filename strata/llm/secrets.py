@@ -11,9 +11,10 @@ order) into a probabilistic automaton. A background automaton is inferred from
 ordinary tokens in the same way. Every token of the text is a candidate; its
 score is the log2 likelihood of the best format against the background per
 character. A candidate is added as kind ``format`` when it touches no base
-span, its score is at least ``margin`` above every background token's, and its
-own likelihood under that format is no lower than that of the least likely
-part of the credentials.
+span, its score is at least ``margin``, and its own likelihood under that
+format is at most ``slack`` bits per character below that of the least likely
+twentieth of the credentials. (Ordinary tokens may hold unmarked credentials,
+so they set no threshold themselves.)
 
 Null texts count as empty. Empty tables, or tables without credentials, give
 base spans only. Rows are independent, so repeated rows repeat their result.
@@ -200,7 +201,7 @@ def _training(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(sorted(rows), columns=["kind", "value"])
 
 
-def fit(docs: DataFrame, sample: int = 2000, background: int = 4000, margin: float = 0.25) -> Formats:
+def fit(docs: DataFrame, sample: int = 2000, background: int = 4000, margin: float = 1.0, slack: float = 0.75) -> Formats:
     """Infer the formats from all texts' credentials.
 
     Bounded sample: per kind the ``sample`` (for ordinary tokens ``background``)
@@ -228,11 +229,8 @@ def fit(docs: DataFrame, sample: int = 2000, background: int = 4000, margin: flo
             words = sorted(map(symbols, by[kind]))
             automaton = infer(words)
             own = sorted(automaton.likelihood(w) for w in words)
-            kinds[kind] = (automaton, own[len(own) // 20])
-    out = Formats(kinds, plain, 0.0)
-    ordinary = [s for t in by.get("", []) if (s := out.score(t)) is not None]
-    out.least_score = max(ordinary, default=0.0) + margin
-    return out
+            kinds[kind] = (automaton, own[len(own) // 20] - slack)
+    return Formats(kinds, plain, margin)
 
 
 def scan(text: str | None, formats: Formats) -> list[tuple[str, int, int, float | None]]:

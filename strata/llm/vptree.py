@@ -147,7 +147,8 @@ def _pair(k: int, factor: float):
         q = np.stack(queries["vector"].to_numpy())
         search = _Search(build(x), q, min(k + SPARE, len(x)), factor)
         found = search.tree.order[search.found]
-        score = np.stack([(x[f] * v).sum(axis=1) for f, v in zip(found, q, strict=True)])
+        # Added up from the first component on, whatever the position of the pair.
+        score = np.stack([np.cumsum(x[f] * v, axis=1)[:, -1] for f, v in zip(found, q, strict=True)])
         ids = shard["ids"].to_numpy()
         rows = np.repeat(np.arange(len(q)), found.shape[1])
         hit = pd.DataFrame(
