@@ -29,8 +29,8 @@ Candidates. Sets that share a signature meet in one bucket; equal sets are one
 entry. A group of up to ``GROUP`` sets gives all its pairs of fitting size. In
 a larger group the least set meets all others, and after the links found so
 far are joined to components, only pairs of different components of that group
-remain: first those with PIVOTS of its members, then, after joining what these
-have linked, all that are left, unless parity sketches of the two sets differ
+remain: in PIVOT_ROUNDS rounds those with PIVOTS of its members, each round after
+joining what the one before has linked, then all that are left, unless parity sketches of the two sets differ
 in more than h bits (no two sets that differ in h shingles do; a sketch bit is
 the parity of the shingles hashed to it). A pair left out is thus connected
 already or no link: the components are exact. Every candidate is verified on
@@ -51,7 +51,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import Words, blocks, fold, mix, stored
+from strata.llm.common import Words, blocks, fold, mix, stored, trim
 from strata.llm.components import components
 
 WIDTH, NUM, DEN = 5, 75, 100
@@ -62,7 +62,7 @@ SAMPLE = 16
 #: Sampled documents that make a shingle frequent.
 FREQUENT = 3
 GROUP = 32
-PIVOTS = 16
+PIVOTS, PIVOT_ROUNDS = 4, 2
 TILE = 1024
 #: Bits of a parity sketch.
 SKETCH_BITS = 4096
@@ -492,6 +492,7 @@ def _reducer(num: int, den: int):
                 held.append(unpack(r))
         if held:
             yield from matched(held)
+        trim()
 
     return run
 
@@ -589,10 +590,10 @@ def _open_groups(named: DataFrame) -> DataFrame:
     return groups.where("lo <> hi").groupBy("n", "x", "y").agg(F.min("sig").alias("sig")).select("sig", "n")
 
 
-def _pivot_pairs(named: DataFrame, open_: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of the first PIVOTS members by hash of each open group with its members of other components."""
+def _pivot_pairs(named: DataFrame, open_: DataFrame, sketches: DataFrame, num: int, den: int, seed: int) -> DataFrame:
+    """Pairs of the first PIVOTS members by seeded hash of each open group with its members of other components."""
     members = named.join(open_.select("sig"), "sig")
-    order = Window.partitionBy("sig").orderBy(F.xxhash64("sid"), "sid")
+    order = Window.partitionBy("sig").orderBy(F.xxhash64("sid", F.lit(seed)), "sid")
     chosen = members.withColumn("r", F.row_number().over(order)).where(F.col("r") <= PIVOTS)
     x, y = chosen.alias("x"), members.alias("y")
     fits = den * F.least("x.size", "y.size") >= num * F.greatest("x.size", "y.size")
@@ -650,7 +651,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den:
     sketches = _some_sketches(ids, named.distinct())
     links = stored(verify(pairs, sketches, docs, width, num, den), "links")
     comp = stored(components(links), "components")
-    for step in (_pivot_pairs, _tile_pairs):
+    for step in [*(functools.partial(_pivot_pairs, seed=k) for k in range(PIVOT_ROUNDS)), _tile_pairs]:
         named = _named(entries, comp)
         open_ = stored(_open_groups(named), "open")
         if open_.isEmpty():

@@ -39,14 +39,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Words, blocks, mix, stored
+from strata.llm.common import Words, blocks, mix, stored, trim
 
 #: Contexts; word identities leave their lowest bits for them.
 CLASSES = 32
 _CLASS_MASK = np.int64(CLASSES - 1)
 MAX_FREQUENT = 100_000
 #: Dishes of one bucket, and tokens that one task takes for a bucket at once.
-BUCKET_DISHES = 600_000
+BUCKET_DISHES = 400_000
 BUCKET_TOKENS = 4_000_000
 #: Tokens that a task holds before it sends their counts on.
 FLUSH = 1 << 20
@@ -126,6 +126,7 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b, parts in held.items():
         keys, counts = _summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
         yield pd.DataFrame({"bucket": [b], "keys": [keys.tobytes()], "counts": [counts.tobytes()]})
+    trim()
 
 
 # ---- seating ----------------------------------------------------------------------------------------------------
@@ -351,6 +352,8 @@ def fit(docs: DataFrame, burn_in: int = 2, samples: int = 2, seed: int = 8) -> M
                         [(b, k, c, *(np.concatenate(x).tobytes() for x in (tables, root_c, root_t)))],
                         columns=["bucket", "keys", "counts", "tables", "root_c", "root_t"],
                     )
+                    del at, tables, root_c, root_t
+            trim()
 
         return run
 
@@ -523,6 +526,7 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
             total = lambda x: np.bincount(text, weights=x, minlength=len(marks))  # noqa: E731, B023
             known = total(count > 0).astype(np.int64)
             out.append(pd.DataFrame({"mark": marks, "n_known": known, "base": total(_base(count, n, v)), "p": total(np.log10(p))}))
+        trim()
         return pd.concat(out) if out else pd.DataFrame({"mark": [], "n_known": [], "base": [], "p": []})
 
     sums = events.groupBy("bucket", "salt").cogroup(state.groupBy("bucket", "salt")).applyInPandas(meet, "mark long, n_known long, base double, p double")
