@@ -1,6 +1,6 @@
 """Values that outputs must reproduce exactly.
 
-Fixed values (formats, labels, defaults and thresholds of the event model):
+Fixed values (formats, labels, defaults, thresholds and table names of the event model):
 """
 
 # --- fixed values -----------------------------------------------------------
@@ -24,6 +24,17 @@ EMAIL_MASK = "***@"
 TOP_QUESTIONS_K = 10
 TOP_TOTALS_N = 20
 RECENT_PARTITIONS_N = 5
+TABLES = {
+    "bronze": "bronze.raw_event_table",
+    "silver": "silver.raw_event_table",
+    "clean_silver": "silver.cleaned_silver_table",
+    "answer_rate": "gold.answer_rate_daily",
+    "returning_users": "gold.returning_vs_new_user",
+    "score_distribution": "gold.score_distributions",
+    "fact": "gold.behavioral_fact_table",
+    "question_dimension": "gold.question_dimension_table",
+    "user_dimension": "gold.user_dimension_table",
+}
 # ---------------------------------------------------------------------------
 
 # Our own choices for the driver-table adapter (not reference values).

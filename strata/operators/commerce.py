@@ -19,9 +19,14 @@ from strata.functions.columns import revenue_tier, safe_divide
 from strata.functions.constants import DEFAULT_REGION
 
 
-def money(c: Column | str) -> Column:
+#: Decimal places of money. Amounts with more are rounded before they are summed: check a new
+#: source with ``quality.scale_violations`` first.
+MONEY_SCALE = 2
+
+
+def money(c: Column | str, scale: int = MONEY_SCALE) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return c.cast("decimal(18,2)")
+    return c.cast(f"decimal(18,{scale})")
 
 
 def net_amount(price: str = "l_extendedprice", discount: str = "l_discount") -> Column:
@@ -169,15 +174,13 @@ def yearly_kpis(orders: DataFrame, cancelled_status: str = "F") -> DataFrame:
 
 
 def status_pivot(orders: DataFrame, statuses: Iterable[str] = ("F", "O", "P")) -> DataFrame:
-    """(order_year, status_<s>...) order counts; the value list is fixed so no extra pass."""
+    """(order_year, status_<s>..., status_other, total) order counts; one pass, no status is lost."""
     statuses = list(statuses)
-    piv = (
-        orders.groupBy(F.year("o_orderdate").alias("order_year"))
-        .pivot("o_orderstatus", statuses)
-        .agg(F.count(F.lit(1)))
-    )
-    return piv.select(
-        "order_year", *[F.coalesce(F.col(s), F.lit(0)).alias(f"status_{s}") for s in statuses]
+    s = F.col("o_orderstatus")
+    return orders.groupBy(F.year("o_orderdate").alias("order_year")).agg(
+        *[F.count_if(s == v).alias(f"status_{v}") for v in statuses],
+        F.count_if(s.isNull() | ~s.isin(statuses)).alias("status_other"),
+        F.count(F.lit(1)).alias("total"),
     )
 
 
@@ -215,11 +218,16 @@ def filter_orders(
     statuses: Iterable[str] | None = None,
     regions: Iterable[str] | None = None,
     customer_regions: DataFrame | None = None,
+    categories: Iterable[str] | None = None,
+    lineitem: DataFrame | None = None,
+    part: DataFrame | None = None,
 ) -> DataFrame:
-    """Orders within [start, end) of order date, with given statuses and regions.
+    """Orders within [start, end) of order date, with given statuses, regions and product categories.
 
     Date and status predicates reach the Parquet scan as pushed filters. A
-    region filter is a semi join against the (filtered) customer regions.
+    region filter is a semi join against the (filtered) customer regions; a
+    category filter keeps orders with at least one line of such a product
+    (brand plays category), by semi joins from the filtered products up.
     """
     out = orders
     if start is not None:
@@ -233,6 +241,13 @@ def filter_orders(
             raise ValueError("a region filter needs customer_regions")
         keep = customer_regions.filter(F.col("r_name").isin(list(regions))).select("c_custkey")
         out = out.join(keep, out.o_custkey == keep.c_custkey, "left_semi")
+    if categories is not None:
+        if lineitem is None or part is None:
+            raise ValueError("a category filter needs lineitem and part")
+        wanted = part.filter(F.col("p_brand").isin(list(categories))).select("p_partkey")
+        lines = lineitem.select("l_orderkey", "l_partkey")
+        lines = lines.join(wanted, lines.l_partkey == wanted.p_partkey, "left_semi")
+        out = out.join(lines, out.o_orderkey == lines.l_orderkey, "left_semi")
     return out
 
 

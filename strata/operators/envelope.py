@@ -38,7 +38,7 @@ def _event_id(id_columns: list[str] | None) -> Column:
     if not id_columns:
         return F.expr("uuid()")
     # Deterministic id: stable under recomputation and task retries.
-    h = F.md5(F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in id_columns]))
+    h = F.md5(F.concat_ws("\u0001", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in id_columns]))
     return F.concat_ws(
         "-",
         F.substring(h, 1, 8),

@@ -7,30 +7,56 @@ Each step is a pure function of its input frame; writers live in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, TimestampType, VariantType
+from pyspark.sql.types import ArrayType, DataType, StructField, StructType, TimestampType, VariantType
 
-from strata.functions.constants import ONE_TIME_USER, RETURNING_USER
+from strata.functions.constants import ONE_TIME_USER, RETURNING_USER, TABLES
 from strata.functions.time import wall_clock_ntz
 from strata.schemas import RAW, SILVER_COLUMNS
 
 
+def _by_name(names: list[str], where: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    for n in names:
+        if n.lower() in found:
+            raise ValueError(f"{where}: columns {found[n.lower()]!r} and {n!r} differ only in case")
+        found[n.lower()] = n
+    return found
+
+
+def _conformed(col: Column, have: DataType, want: DataType, where: str) -> Column:
+    """``col`` as type ``want``: struct fields by name at every depth, the rest by cast."""
+    if isinstance(have, StructType) and isinstance(want, StructType):
+        names = _by_name(have.names, where)
+        fields = []
+        for f in want.fields:
+            src = names.get(f.name.lower())
+            value = F.lit(None).cast(f.dataType)
+            if src is not None:
+                value = _conformed(col.getField(src), have[src].dataType, f.dataType, f"{where}.{f.name}")
+            fields.append(value.alias(f.name))
+        return F.when(col.isNotNull(), F.struct(*fields))
+    if isinstance(have, ArrayType) and isinstance(want, ArrayType):
+        return F.transform(col, lambda x: _conformed(x, have.elementType, want.elementType, f"{where}[]"))
+    return col.cast(want)
+
+
 def conform(df: DataFrame, schema: StructType = RAW) -> DataFrame:
-    """Select ``schema``'s columns from ``df`` by name, case-insensitively.
+    """Select ``schema``'s columns from ``df`` by name, case-insensitively, at every depth.
 
-    Missing columns become typed nulls, extra columns are dropped, and every
-    column is cast to the declared type, so any staged file lands in the
-    bronze shape.
+    Missing columns and struct fields become typed nulls, extra ones are
+    dropped, and every value is cast to the declared type, so any staged file
+    lands in the bronze shape. Two names that differ only in case are an error.
     """
-    by_lower = {c.lower(): c for c in df.columns}
+    names = _by_name(df.columns, "table")
     cols = []
-    for field in schema.fields:
-        src = by_lower.get(field.name.lower())
-        if src is None:
-            cols.append(F.lit(None).cast(field.dataType).alias(field.name))
-        else:
-            cols.append(F.col(f"`{src}`").cast(field.dataType).alias(field.name))
+    for f in schema.fields:
+        src = names.get(f.name.lower())
+        value = F.lit(None).cast(f.dataType)
+        if src is not None:
+            value = _conformed(F.col(f"`{src}`"), df.schema[src].dataType, f.dataType, f.name)
+        cols.append(value.alias(f.name))
     return df.select(*cols)
 
 
@@ -186,12 +212,12 @@ def gold_tables(clean: DataFrame) -> dict[str, DataFrame]:
     """Gold marts and star schema from the cleaned silver table."""
     fact = behavioral_fact(clean)
     return {
-        "gold.answer_rate_daily": gold_answer_rate_daily(clean),
-        "gold.returning_vs_new_user": gold_returning_users(clean),
-        "gold.score_distributions": gold_score_distribution(clean),
-        "gold.behavioral_fact_table": fact,
-        "gold.question_dimension_table": question_dimension(fact),
-        "gold.user_dimension_table": user_dimension(fact),
+        TABLES["answer_rate"]: gold_answer_rate_daily(clean),
+        TABLES["returning_users"]: gold_returning_users(clean),
+        TABLES["score_distribution"]: gold_score_distribution(clean),
+        TABLES["fact"]: fact,
+        TABLES["question_dimension"]: question_dimension(fact),
+        TABLES["user_dimension"]: user_dimension(fact),
     }
 
 
@@ -201,8 +227,8 @@ def medallion(raw: DataFrame) -> dict[str, DataFrame]:
     silver = to_silver(bronze)
     clean = clean_silver(silver)
     return {
-        "bronze.raw_event_table": bronze,
-        "silver.raw_event_table": silver,
-        "silver.cleaned_silver_table": clean,
+        TABLES["bronze"]: bronze,
+        TABLES["silver"]: silver,
+        TABLES["clean_silver"]: clean,
         **gold_tables(clean),
     }

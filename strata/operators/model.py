@@ -28,7 +28,7 @@ def stage_orders(orders: DataFrame) -> DataFrame:
     """Typed, renamed orders; null keys dropped, one row per order id.
 
     When an order id repeats, the latest order time wins, then the higher
-    total, then status, so the pick is deterministic. ``row_number() = 1`` is
+    total, then status, customer and priority, so the pick is deterministic. ``row_number() = 1`` is
     planned with a partial group limit before the shuffle.
     """
     typed = orders.select(
@@ -44,6 +44,8 @@ def stage_orders(orders: DataFrame) -> DataFrame:
         F.col("order_ts").desc_nulls_last(),
         F.col("total_amount").desc_nulls_last(),
         F.col("order_status").asc_nulls_last(),
+        F.col("customer_id").asc_nulls_last(),
+        F.col("order_priority").asc_nulls_last(),
     )
     return typed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
@@ -126,10 +128,11 @@ def dim_date(dates: DataFrame, date_col: str) -> DataFrame:
 
 
 def fact_orders(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """One row per order line with dimension keys, quantity and net revenue.
+    """One row per order line with dimension keys, quantity and revenue.
 
     (order_key, line_number, product_key, customer_key, region_key, quantity,
-    revenue, order_date_key). Orders are joined to customers first (orders
+    revenue, net_revenue, order_date_key). ``revenue`` is quantity times unit
+    price (the extended price of the line), ``net_revenue`` less its discount. Orders are joined to customers first (orders
     are the smaller fact), then line items to that; both are equi-joins that
     shuffle on their keys unless adaptive execution finds a side small.
     """
@@ -145,7 +148,8 @@ def fact_orders(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) ->
         F.col("o_custkey").alias("customer_key"),
         F.col("c_nationkey").alias("region_key"),
         F.col("l_quantity").alias("quantity"),
-        net_amount().cast("double").alias("revenue"),
+        money("l_extendedprice").cast("double").alias("revenue"),
+        net_amount().cast("double").alias("net_revenue"),
         date_key(F.to_date("o_orderdate")).alias("order_date_key"),
     )
 
@@ -172,6 +176,26 @@ def derived_order_status(lineitem: DataFrame) -> DataFrame:
     return agg.select("o_orderkey", status.alias("o_orderstatus"))
 
 
+def _sides(left: DataFrame, right: DataFrame, keys: list[str], left_cols: list[str], right_cols: list[str]) -> DataFrame:
+    """One row per key of either frame: ``l`` and ``r`` are structs of its columns, null where it has no row.
+
+    A union and one aggregate instead of a full outer join: null keys are one
+    key, a key that repeats (null or hot) is combined before the shuffle, and
+    of several rows of one side the largest by its columns counts (``n_l``,
+    ``n_r`` say how many there were).
+    """
+    def tagged(df: DataFrame, own: str, cols: list[str], other: str, like: DataFrame, other_cols: list[str]) -> DataFrame:
+        empty = F.lit(None).cast(like.select(F.struct(*other_cols).alias("x")).schema["x"].dataType)
+        return df.select(*keys, F.struct(*cols).alias(own), empty.alias(other))
+
+    rows = tagged(left, "l", left_cols, "r", right, right_cols).unionByName(
+        tagged(right, "r", right_cols, "l", left, left_cols)
+    )
+    return rows.groupBy(*keys).agg(
+        F.max("l").alias("l"), F.max("r").alias("r"), F.count("l").alias("n_l"), F.count("r").alias("n_r")
+    )
+
+
 def capture_changes(
     before: DataFrame, after: DataFrame, keys: str | Iterable[str], compare: Iterable[str]
 ) -> DataFrame:
@@ -179,24 +203,19 @@ def capture_changes(
 
     Output: keys, ``change_type`` (insert / delete / update) and for each
     compared column ``<c>_before`` and ``<c>_after``. Unchanged keys are
-    dropped. One full outer join; null-safe comparison.
+    dropped. Keys and values are compared null-safely; of several rows of one
+    key in a snapshot the largest by the compared columns counts.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     compare = list(compare)
-    b = before.select(*keys, *[F.col(c).alias(f"{c}_before") for c in compare]).withColumn("_in_b", F.lit(True))
-    a = after.select(*keys, *[F.col(c).alias(f"{c}_after") for c in compare]).withColumn("_in_a", F.lit(True))
-    j = b.join(a, keys, "full_outer")
-    changed = None
-    for c in compare:
-        diff = ~F.col(f"{c}_before").eqNullSafe(F.col(f"{c}_after"))
-        changed = diff if changed is None else changed | diff
+    both = _sides(before, after, keys, compare, compare)
     kind = (
-        F.when(F.col("_in_b").isNull(), F.lit(CHANGE_INSERT))
-        .when(F.col("_in_a").isNull(), F.lit(CHANGE_DELETE))
-        .when(changed, F.lit(CHANGE_UPDATE))
+        F.when(F.col("l").isNull(), F.lit(CHANGE_INSERT))
+        .when(F.col("r").isNull(), F.lit(CHANGE_DELETE))
+        .when(~F.col("l").eqNullSafe(F.col("r")), F.lit(CHANGE_UPDATE))
     )
-    out_cols = keys + ["change_type"] + [x for c in compare for x in (f"{c}_before", f"{c}_after")]
-    return j.withColumn("change_type", kind).filter(F.col("change_type").isNotNull()).select(*out_cols)
+    pairs = [F.col(f"{side}.{c}").alias(f"{c}_{name}") for c in compare for side, name in (("l", "before"), ("r", "after"))]
+    return both.withColumn("change_type", kind).filter("change_type IS NOT NULL").select(*keys, "change_type", *pairs)
 
 
 def scd2_initial(snapshot: DataFrame, valid_from: Column) -> DataFrame:
@@ -223,9 +242,12 @@ def scd2_apply(
     (valid_to = effective date, is_current = false) and a new current
     version opened from the effective date. New keys open a version. Keys
     missing from ``incoming`` stay open unless ``close_missing``. History rows
-    pass through untouched. One full outer join of the current versions with
-    the snapshot, then unions (no further shuffle). Parquet has no MERGE:
-    write the result to a new location (``strata.sinks``).
+    pass through untouched. One aggregate over the current versions and the
+    snapshot, then unions (no further shuffle). A null key is a key like any
+    other. Of several snapshot rows of one key the largest by the tracked
+    columns counts; a dimension with two current versions of one key is an
+    error. Parquet has no MERGE: write the result to a new location
+    (``strata.sinks``).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     tracked = list(tracked)
@@ -233,25 +255,17 @@ def scd2_apply(
     attrs = keys + tracked
     history = dim.filter(~F.col("is_current"))
     current = dim.filter(F.col("is_current"))
-    cur = current.select(
-        *keys,
-        *[F.col(c).alias(f"_cur_{c}") for c in tracked],
-        F.col("valid_from").alias("_cur_from"),
-        F.lit(True).alias("_has_cur"),
-    )
-    inc = incoming.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in tracked], F.lit(True).alias("_has_new"))
-    j = cur.join(inc, keys, "full_outer")
-    changed = None
-    for c in tracked:
-        d = ~F.col(f"_cur_{c}").eqNullSafe(F.col(f"_new_{c}"))
-        changed = d if changed is None else changed | d
-    has_cur, has_new = F.col("_has_cur").isNotNull(), F.col("_has_new").isNotNull()
+    both = _sides(current, incoming, keys, ["valid_from", *tracked], tracked)
+    once = F.when(F.col("n_l") > 1, F.raise_error(F.lit("a key has several current versions")).cast("boolean")).otherwise(True)
+    j = both.filter(once)
+    changed = ~F.struct(*[F.col(f"l.{c}").alias(c) for c in tracked]).eqNullSafe(F.col("r"))
+    has_cur, has_new = F.col("l").isNotNull(), F.col("r").isNotNull()
     close = has_cur & ((has_new & changed) | (~has_new & F.lit(close_missing)))
     open_new = has_new & (~has_cur | changed)
 
-    def version(prefix: str, valid_from: Column, valid_to: Column, is_current: Column) -> Column:
+    def version(side: str, valid_from: Column, valid_to: Column, is_current: Column) -> Column:
         return F.struct(
-            *[F.col(f"{prefix}{c}").alias(c) for c in tracked],
+            *[F.col(f"{side}.{c}").alias(c) for c in tracked],
             valid_from.cast("date").alias("valid_from"),
             valid_to.cast("date").alias("valid_to"),
             is_current.alias("is_current"),
@@ -262,13 +276,13 @@ def scd2_apply(
     current_version = F.when(
         has_cur,
         version(
-            "_cur_",
-            F.col("_cur_from"),
+            "l",
+            F.col("l.valid_from"),
             F.when(close, eff),
             ~close,
         ),
     )
-    opened_version = F.when(open_new, version("_new_", eff, F.lit(None), F.lit(True)))
+    opened_version = F.when(open_new, version("r", eff, F.lit(None), F.lit(True)))
     versions = F.filter(F.array(current_version, opened_version), lambda v: v.isNotNull())
     out = j.select(*keys, F.explode(versions).alias("_v")).select(*keys, "_v.*")
     cols = attrs + ["valid_from", "valid_to", "is_current"]

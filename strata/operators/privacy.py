@@ -8,24 +8,35 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.columns import mask_email
+from strata.sinks.files import overwrite_via_staging
+from strata.sinks.swap import finish_swap
 
 # A simple address pattern that Java and RE2 regex engines read the same way.
 EMAIL_PATTERN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 
-PRIVILEGED_ROLES = ("data_steward", "admin")
+PRIVILEGED_ROLES = ("data_steward",)
 
 Masker = Callable[[Column], Column]
 
 MASKERS: dict[str, Masker] = {
     "email": mask_email,
     "redact": lambda c: F.when(c.isNotNull(), F.lit("***")),
-    "hash": lambda c: F.sha2(c.cast("string"), 256),
     "last4": lambda c: F.when(
         c.isNotNull(), F.concat(F.lit("****"), F.substring(c.cast("string"), -4, 4))
     ),
 }
 
 
+def keyed_hash(key: str) -> Masker:
+    """A pseudonym that only holders of ``key`` can recompute by guessing values (nested keyed digests)."""
+
+    def mask(c: Column) -> Column:
+        inner = F.sha2(F.concat(F.lit(key), F.lit("\0inner\0"), c.cast("string")), 256)
+        return F.sha2(F.concat(F.lit(key), F.lit("\0outer\0"), inner), 256)
+
+    return mask
+
+
 def _masker(m: str | Masker) -> Masker:
     return MASKERS[m] if isinstance(m, str) else m
 
@@ -81,11 +92,24 @@ def mask_emails_in_text(text: Column) -> Column:
 
 def erase_subjects(df: DataFrame, subjects: DataFrame, key: str, subject_key: str | None = None) -> DataFrame:
     """Rows of ``df`` whose ``key`` is not among the subjects (anti join)."""
-    subject_key = subject_key or key
-    ids = subjects.select(F.col(subject_key).alias("_sid")).distinct()
+    ids = subjects.select(F.col(subject_key or key).alias("_sid"))
     return df.join(ids, df[key] == ids["_sid"], "left_anti")
 
 
+def erase_stored(
+    spark: SparkSession, path: str, subjects: DataFrame, key: str, subject_key: str | None = None, partition_by=None
+) -> DataFrame:
+    """Rewrite a stored Parquet table without the subjects' rows; returns the new table."""
+    finish_swap(spark, path)
+    kept = erase_subjects(spark.read.parquet(path), subjects, key, subject_key)
+    return overwrite_via_staging(spark, kept, path, partition_by=partition_by)
+
+
 def export_subject(df: DataFrame, key: str, value) -> DataFrame:
     """All rows of one subject (pushed down as a scan filter)."""
     return df.filter(F.col(key) == F.lit(value))
+
+
+def export_subject_to(df: DataFrame, key: str, value, path: str) -> None:
+    """Store all rows of one subject as JSON lines (readable without this library)."""
+    export_subject(df, key, value).write.mode("overwrite").json(path)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.constants import RECENT_PARTITIONS_N
+from strata.sinks.swap import path_exists
 
 
 class CheckFailed(AssertionError):
@@ -29,26 +30,39 @@ def recent_partitions(raw: DataFrame, n: int = RECENT_PARTITIONS_N) -> DataFrame
 def check_raw_partitions(raw: DataFrame, n: int = RECENT_PARTITIONS_N) -> DataFrame:
     """Fail when the raw lake holds no rows; else return its newest partitions."""
     if raw.select("event_date").limit(1).count() == 0:
-        raise CheckFailed("no raw event_date partitions found")
+        raise CheckFailed("the raw lake is empty")
     return recent_partitions(raw, n)
 
 
-def check_outputs(spark: SparkSession, outputs: dict[str, str], fmt: str = "parquet") -> DataFrame:
-    """Row count and column list per output; fail listing every missing one.
+def check_outputs(
+    spark: SparkSession,
+    outputs: dict[str, str],
+    fmt: str = "parquet",
+    min_rows: dict[str, int] | None = None,
+    columns: dict[str, Iterable[str]] | None = None,
+) -> DataFrame:
+    """Row count and column list per output; fail with every output that falls short.
 
-    ``outputs`` maps an output name to its path. The loop is over the fixed
-    list of outputs (one count job each), not over data.
+    ``outputs`` maps an output name to its path. Optionally each must have a
+    least number of rows and exactly the given columns. Only an absent path
+    counts as absent: an unreadable one raises its own error. The loop is over
+    the fixed list of outputs (one count job each), not over data.
     """
-    rows, missing = [], []
+    rows, faults = [], []
     for name, path in outputs.items():
-        try:
-            df = spark.read.format(fmt).load(path)
-        except Exception:  # missing path or unreadable footer
-            missing.append(f"{name} ({path})")
+        if not path_exists(spark, path):
+            faults.append(f"{name}: nothing stored at {path}")
             continue
-        rows.append((name, df.count(), ",".join(df.columns)))
-    if missing:
-        raise CheckFailed("expected outputs were not created: " + ", ".join(missing))
+        df = spark.read.format(fmt).load(path)
+        n, least = df.count(), (min_rows or {}).get(name, 0)
+        if n < least:
+            faults.append(f"{name}: {n} rows instead of {least} or more")
+        wanted = list((columns or {}).get(name, df.columns))
+        if sorted(wanted) != sorted(df.columns):
+            faults.append(f"{name}: columns {df.columns} instead of {wanted}")
+        rows.append((name, n, ",".join(df.columns)))
+    if faults:
+        raise CheckFailed("; ".join(faults))
     # A literal relation built in the JVM (no Python worker, no RDD of rows).
     return spark.range(1).select(
         F.inline(
@@ -123,6 +137,11 @@ def relationship_violations(
     return keys.join(parents, keys[child_key] == parents["_pk"], "left_anti")
 
 
+def scale_violations(df: DataFrame, col: str, scale: int = 2) -> DataFrame:
+    """Rows whose ``col`` has more decimal places than ``scale`` (money() would round them)."""
+    return df.filter(F.col(col) != F.round(F.col(col), scale))
+
+
 def negative_violations(df: DataFrame, col: str) -> DataFrame:
     """Rows with a negative value in ``col``."""
     return df.filter(F.col(col) < 0)
@@ -140,8 +159,8 @@ def future_violations(df: DataFrame, col: str, now: Column | None = None) -> Dat
 def day_over_day_change(daily: DataFrame, date_col: str, value_col: str) -> DataFrame:
     """Adds ``prev_value`` and ``change`` (relative, null on a zero base).
 
-    The input is already one row per day, so the ordered window over all
-    days holds a few thousand rows at most.
+    The input must be one row per day: the ordered window over all days runs in
+    one task.
     """
     w = Window.orderBy(date_col)
     prev = F.lag(value_col).over(w)

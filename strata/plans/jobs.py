@@ -16,9 +16,12 @@ import os
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from strata.functions.constants import TABLES
 from strata.operators import medallion, metrics, quality
 from strata.sinks import files as sinks
+from strata.sinks.swap import finish_swap, replace
 
 DAILY_OUTPUTS = (
     "events_by_type_daily",
@@ -29,7 +32,14 @@ DAILY_OUTPUTS = (
 TOTALS_PARQUET = "question_score_totals"
 TOTALS_TEXT = "question_score_totals_text"
 
-RAW_COLUMNS = ["event_id", "event_type", "region", "payload", "event_time", "event_date"]
+RAW_COLUMNS = ["event_id", "event_type", "region", "event_time", "event_date"]
+# The payload fields that the outputs read; the rest is never kept in memory.
+PAYLOAD_FIELDS = ["question_id", "title", "score", "answer_count", "is_answered"]
+
+
+def _narrow(raw: DataFrame) -> DataFrame:
+    payload = F.struct(*[F.col(f"payload.{f}").alias(f) for f in PAYLOAD_FIELDS])
+    return raw.select(*RAW_COLUMNS, F.when(F.col("payload").isNotNull(), payload).alias("payload"))
 
 
 def run_daily_outputs(
@@ -41,7 +51,7 @@ def run_daily_outputs(
     persisted (memory, spilling to disk), then released. Returns row counts
     and the number of malformed rows skipped by the totals.
     """
-    base = raw.select(*RAW_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+    base = _narrow(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         paths = {}
         for name, df in metrics.daily_metrics(base, use_partition_date).items():
@@ -74,12 +84,12 @@ def run_medallion(spark: SparkSession, raw: DataFrame, prefix: str = "") -> dict
     # a lost executor re-reads stored files instead of replaying the lineage.
     names = {n: f"{prefix}{n}" for n in medallion.medallion(raw)}
     bronze = medallion.dedupe_bronze(medallion.load_bronze(None, raw))
-    sinks.replace_table(spark, bronze, names["bronze.raw_event_table"])
-    silver = medallion.to_silver(spark.table(names["bronze.raw_event_table"]))
-    sinks.replace_table(spark, silver, names["silver.raw_event_table"])
-    clean = medallion.clean_silver(spark.table(names["silver.raw_event_table"]))
-    sinks.replace_table(spark, clean, names["silver.cleaned_silver_table"])
-    for name, df in medallion.gold_tables(spark.table(names["silver.cleaned_silver_table"])).items():
+    sinks.replace_table(spark, bronze, names[TABLES["bronze"]])
+    silver = medallion.to_silver(spark.table(names[TABLES["bronze"]]))
+    sinks.replace_table(spark, silver, names[TABLES["silver"]])
+    clean = medallion.clean_silver(spark.table(names[TABLES["silver"]]))
+    sinks.replace_table(spark, clean, names[TABLES["clean_silver"]])
+    for name, df in medallion.gold_tables(spark.table(names[TABLES["clean_silver"]])).items():
         sinks.replace_table(spark, df, names[name])
     return {target: spark.table(target).count() for target in names.values()}
 
@@ -87,14 +97,12 @@ def run_medallion(spark: SparkSession, raw: DataFrame, prefix: str = "") -> dict
 TOTALS_DAILY = "question_score_totals_daily"
 
 
-def _write_days(df: DataFrame, path: str) -> None:
-    """Replace only the event_date partitions present in ``df``."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date")
-        .parquet(path)
-    )
+def _write_days(df: DataFrame, path: str, dates: list[str]) -> None:
+    """Replace the given event_date partitions by those rows; a day without rows is removed."""
+    spark = df.sparkSession
+    finish_swap(spark, path)
+    names = [f"event_date={d}" for d in dates]
+    replace(spark, path, lambda folder: df.write.partitionBy("event_date").parquet(folder), names=names)
 
 
 def run_daily_increment(spark: SparkSession, lake_path: str, out_dir: str, dates: list[str]) -> dict:
@@ -102,29 +110,28 @@ def run_daily_increment(spark: SparkSession, lake_path: str, out_dir: str, dates
 
     The lake is read with its partition column, so the date filter prunes
     folders at the scan; outputs are partitioned by event_date and only the
-    given days are replaced, which makes a rerun of a day idempotent. Days
+    given days are replaced (a day that has no rows any more is removed), which
+    makes a rerun of a day idempotent. Days
     are the stored partition values (``use_partition_date`` semantics).
 
     Score totals keep a per-day table (question, day, total) replaced the same
     way; the cumulative totals are re-aggregated from it (one row per question
     and day, far fewer than the raw observations) and swapped in via staging.
     """
-    from pyspark.sql import functions as F
-
     from strata.sources.lake import read_raw
 
     day_values = [F.lit(d).cast("date") for d in dates]
     raw = read_raw(spark, lake_path).filter(F.col("event_date").isin(day_values))
-    base = raw.select(*RAW_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+    base = _narrow(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for name, df in metrics.daily_metrics(base, use_partition_date=True).items():
-            _write_days(df, os.path.join(out_dir, name))
+            _write_days(df, os.path.join(out_dir, name), dates)
         per_day = (
             base.filter(~metrics.malformed_condition())
             .groupBy("event_date", F.col("payload.question_id").alias("question_id"))
             .agg(F.sum(F.coalesce(F.col("payload.score"), F.lit(0)).cast("long")).alias("total"))
         )
-        _write_days(per_day, os.path.join(out_dir, TOTALS_DAILY))
+        _write_days(per_day, os.path.join(out_dir, TOTALS_DAILY), dates)
     finally:
         base.unpersist()
     cumulative = (

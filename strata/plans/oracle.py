@@ -56,19 +56,11 @@ silver AS (
     FROM raw
 )"""
 
+# The newest observation of each question: newest day, newest time, smallest id; unknown times are newest.
 CLEAN_CTE = """
-ranked AS (
-    SELECT *,
-           ROW_NUMBER() OVER (
-               PARTITION BY question_id
-               ORDER BY CAST(TRY_CAST(time_posted AS TIMESTAMP) AS DATE) DESC NULLS FIRST,
-                        TRY_CAST(time_posted AS TIMESTAMP) DESC NULLS FIRST,
-                        event_id ASC NULLS LAST
-           ) AS row_num
-    FROM silver
-),
+timed AS (SELECT * REPLACE (TRY_CAST(time_posted AS TIMESTAMP) AS time_posted) FROM silver),
 clean AS (
-    SELECT event_id, event_type, TRY_CAST(time_posted AS TIMESTAMP) AS time_posted, user_id,
-           api_used, question_id, creation_date, title, score, answer_count, is_answered, link
-    FROM ranked WHERE row_num = 1
+    SELECT DISTINCT ON (question_id) *
+    FROM timed
+    ORDER BY question_id, time_posted::DATE DESC NULLS FIRST, time_posted DESC NULLS FIRST, event_id NULLS LAST
 )"""

@@ -187,7 +187,9 @@ def q_yearly_kpis(spark, sf_dir):
     """SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year,
        COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS status_F,
        COUNT(*) FILTER (WHERE o_orderstatus = 'O') AS status_O,
-       COUNT(*) FILTER (WHERE o_orderstatus = 'P') AS status_P
+       COUNT(*) FILTER (WHERE o_orderstatus = 'P') AS status_P,
+       COUNT(*) FILTER (WHERE o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O', 'P')) AS status_other,
+       COUNT(*) AS total
 FROM orders GROUP BY 1""",
 )
 def q_status_pivot(spark, sf_dir):
@@ -375,7 +377,8 @@ def q_dim_date(spark, sf_dir):
     "fact_orders",
     f"""SELECT l.l_orderkey AS order_key, l.l_linenumber AS line_number, l.l_partkey AS product_key,
        o.o_custkey AS customer_key, c.c_nationkey AS region_key, l.l_quantity AS quantity,
-       CAST({NET} AS DOUBLE) AS revenue,
+       CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS revenue,
+       CAST({NET} AS DOUBLE) AS net_revenue,
        CAST(year(o.o_orderdate) * 10000 + month(o.o_orderdate) * 100 + day(o.o_orderdate) AS INTEGER)
          AS order_date_key
 FROM lineitem l

@@ -21,6 +21,7 @@ from strata.plans.catalog import register
 from strata.plans.oracle import with_raw
 from strata.session import checkpoint_root
 from strata.sinks.files import score_totals_as_text
+from strata.sinks.swap import is_folder
 from strata.sources.driver_tables import events_as_raw, read_table
 from strata.sources.lake import parse_score_totals_text
 from strata.streaming.upsert import start_apply_changes
@@ -28,13 +29,14 @@ from strata.streaming.windows import join_status_updates, windowed_summary
 
 
 def _table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # A file stream source watches a folder; the name filter picks the table's file.
+    # Reading the schema fails if there is no such table. A file stream source
+    # watches a folder: the table's own, or for a table of one file the one it is in.
     schema = read_table(spark, sf_dir, name).schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(sf_dir.rstrip("/"))
-    )
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    reader = spark.readStream.schema(schema)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir.rstrip("/"))
 
 
 def _run_to_parquet(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:

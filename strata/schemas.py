@@ -18,6 +18,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# --- fixed values: field names and types of the wire format ---
 PAYLOAD = StructType(
     [
         StructField("question_id", LongType(), True),
@@ -57,16 +58,7 @@ RAW = StructType(
 
 # One landed page of the question API: a list of items and paging fields.
 PAGE_ITEM = StructType(
-    [
-        StructField("question_id", LongType(), True),
-        StructField("creation_date", LongType(), True),
-        StructField("title", StringType(), True),
-        StructField("score", IntegerType(), True),
-        StructField("answer_count", IntegerType(), True),
-        StructField("is_answered", BooleanType(), True),
-        StructField("link", StringType(), True),
-        StructField("owner", StructType([StructField("user_id", LongType(), True)]), True),
-    ]
+    PAYLOAD.fields + [StructField("owner", StructType([StructField("user_id", LongType(), True)]), True)]
 )
 
 PAGE = StructType(
@@ -80,15 +72,7 @@ PAGE = StructType(
 
 # The flat question sample file (header row, times as text, booleans False/True).
 QUESTIONS_CSV = StructType(
-    [
-        StructField("question_id", LongType(), True),
-        StructField("creation_date", TimestampType(), True),
-        StructField("title", StringType(), True),
-        StructField("score", IntegerType(), True),
-        StructField("answer_count", IntegerType(), True),
-        StructField("is_answered", BooleanType(), True),
-        StructField("link", StringType(), True),
-    ]
+    [StructField(f.name, TimestampType() if f.name == "creation_date" else f.dataType, True) for f in PAYLOAD.fields]
 )
 
 SILVER_COLUMNS = [

@@ -1,13 +1,37 @@
-"""Compaction of date partitions that a streaming sink filled with small files."""
+"""Compaction of date partitions that an ingest filled with small files."""
 
 from __future__ import annotations
 
+import json
 import math
+import uuid
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from strata.sinks.files import delete_path, is_complete, staging_path
+from strata.sinks.swap import child_names, finish_swap, path_exists, read_text, replace, write_text
+
+#: Partition level under the day: which batch of which ingest query wrote the rows.
+INGEST_COL = "_ingest"
+_COMPACTED = "_compacted"
+
+
+def compacted_epochs(spark: SparkSession, path: str) -> dict[str, dict[str, int]]:
+    """Per ingest query and day folder, the last epoch whose rows compaction has merged."""
+    marker = f"{path.rstrip('/')}/{_COMPACTED}"
+    return json.loads(read_text(spark, marker)) if path_exists(spark, marker) else {}
+
+
+def _mark_compacted(spark: SparkSession, path: str, days: list[str]) -> None:
+    """Remember the newest epoch of each query and day: a replay of it must not write its rows again."""
+    marks = compacted_epochs(spark, path)
+    for day in days:
+        for name in child_names(spark, f"{path.rstrip('/')}/{day}"):
+            query, _, epoch = name.removeprefix(f"{INGEST_COL}=").rpartition("-epoch")
+            if query:
+                seen = marks.setdefault(query, {})
+                seen[day] = max(seen.get(day, -1), int(epoch))
+    write_text(spark, f"{path.rstrip('/')}/{_COMPACTED}", json.dumps(marks))
 
 
 def compact_partitions(
@@ -22,37 +46,37 @@ def compact_partitions(
     Each day is split into ceil(rows / rows_per_file) buckets by a row hash,
     and the data is repartitioned by (day, bucket): a day holding a third of
     the lake is written by many tasks, not one. The per-day row counts are a
-    one-row-per-day aggregate. The result is staged next to the lake, then
-    only those partitions are replaced (dynamic overwrite); a rerun after a
-    failed swap resumes from the complete staged copy. Returns files per day
-    planned.
+    one-row-per-day aggregate. The days are replaced by renaming staged
+    folders; a day that has changed in the meantime is left as it is. A lake
+    kept by another sink's file log is refused: its log would still list the
+    files that this removes. Returns files per day planned.
     """
-    day_values = [F.lit(d).cast("date") for d in dates]
-    stage = staging_path(path) + "/compaction"
-    if not is_complete(spark, stage):
-        part = spark.read.parquet(path).filter(F.col(partition_col).isin(day_values))
-        counts = {str(r[0]): r[1] for r in part.groupBy(partition_col).count().collect()}
-        buckets = {d: max(1, math.ceil(n / rows_per_file)) for d, n in counts.items()}
-        if not buckets:
-            return {}
-        n_buckets = F.create_map(*[x for d, k in buckets.items() for x in (F.lit(d).cast("date"), F.lit(k))])
-        row_hash = F.xxhash64(*[F.col(c) for c in part.columns if c != partition_col])
-        bucket = F.pmod(row_hash, n_buckets[F.col(partition_col)])
-        (
-            part.repartition(sum(buckets.values()), F.col(partition_col), bucket)
-            .write.mode("overwrite")
-            .option("maxRecordsPerFile", rows_per_file)
-            .partitionBy(partition_col)
-            .parquet(stage)
-        )
-    else:
-        buckets = {}
-    staged = spark.read.schema(spark.read.parquet(path).schema).parquet(stage)
-    (
-        staged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
-    delete_path(spark, stage)
+    path = path.rstrip("/")
+    if path_exists(spark, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} is kept by a streaming file sink's log; only lakes without one can be compacted")
+    finish_swap(spark, path)
+    lake = spark.read.parquet(path)
+    day_values = [F.lit(d).cast(lake.schema[partition_col].dataType) for d in dates]
+    part = lake.filter(F.col(partition_col).isin(day_values))
+    counts = {str(r[0]): r[1] for r in part.groupBy(partition_col).count().collect()}
+    buckets = {d: max(1, math.ceil(n / rows_per_file)) for d, n in counts.items()}
+    if not buckets:
+        return {}
+    levels = [partition_col]
+    if INGEST_COL in lake.columns:
+        part = part.withColumn(INGEST_COL, F.lit(f"compacted_{uuid.uuid4().hex}"))
+        levels.append(INGEST_COL)
+    as_text = F.col(partition_col).cast("string")
+    n_buckets = F.create_map(*[x for d, k in buckets.items() for x in (F.lit(d), F.lit(k))])
+    row_hash = F.xxhash64(*[F.col(c) for c in part.columns if c not in levels])
+    bucket = F.pmod(row_hash, n_buckets[as_text])
+    dealt = part.repartition(sum(buckets.values()), F.col(partition_col), bucket)
+    days = [f"{partition_col}={d}" for d in buckets]
+    if len(levels) > 1:
+        _mark_compacted(spark, path, days)
+
+    def write(folder: str) -> None:
+        dealt.write.option("maxRecordsPerFile", rows_per_file).partitionBy(*levels).parquet(folder)
+
+    replace(spark, path, write, names=days)
     return buckets

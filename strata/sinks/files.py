@@ -14,6 +14,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sinks.swap import finish_swap, path_exists, replace
+
 LAYERS = ("bronze", "silver", "gold")
 
 
@@ -46,69 +48,30 @@ def write_score_totals_text(totals: DataFrame, path: str) -> None:
     score_totals_as_text(totals).write.mode("overwrite").text(path)
 
 
-def _jvm_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _jvm_fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    fs, p = _jvm_fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
-def staging_path(path: str) -> str:
-    return path.rstrip("/") + "._staging"
-
-
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """A folder written by a finished Spark job (it carries ``_SUCCESS``)."""
-    return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
-
-
 def overwrite_via_staging(
     spark: SparkSession,
     df: DataFrame,
     path: str,
     fmt: str = "parquet",
     partition_by: str | Iterable[str] | None = None,
-    resume: bool = False,
 ) -> DataFrame:
-    """Overwrite ``path`` with ``df`` even when ``df`` reads ``path``.
-
-    ``df`` is written to a sibling staging folder first (this also cuts the
-    lineage: a lost executor re-reads staged files, not the deleted input),
-    then copied over the target and the staging folder removed. Not atomic:
-    if the driver dies during the copy, the target may be incomplete while
-    the staged copy is whole; with ``resume=True`` a complete staging folder
-    left by such a run is copied instead of recomputing ``df`` from the
-    damaged target. Returns a frame over the new target.
+    """Overwrite ``path`` with ``df`` even when ``df`` reads ``path``; returns a frame over the new target.
+
+    The data is written once, next to the target, and renamed into place.
     """
-    stage = staging_path(path)
-    if not (resume and is_complete(spark, stage)):
-        write_output(df, stage, fmt=fmt, partition_by=partition_by)
-    staged = spark.read.format(fmt).load(stage)
-    write_output(staged, path, fmt=fmt, partition_by=partition_by)
-    delete_path(spark, stage)
+    replace(spark, path, lambda folder: write_output(df, folder, fmt=fmt, partition_by=partition_by))
     return spark.read.format(fmt).load(path)
 
 
 def dedupe_path(spark: SparkSession, path: str, fmt: str = "parquet", partition_by=None) -> DataFrame:
     """Whole-row distinct of a stored table, written back over itself safely.
 
-    Resumable: a rerun after a failed copy finishes from the staged result.
+    An earlier run that stopped inside its swap is completed first.
     """
-    source = spark.read.format(fmt).load(path) if path_exists(spark, path) else None
-    if source is None and not is_complete(spark, staging_path(path)):
+    finish_swap(spark, path)
+    if not path_exists(spark, path):
         raise FileNotFoundError(path)
-    df = source.distinct() if source is not None else None
-    return overwrite_via_staging(spark, df, path, fmt, partition_by, resume=True)
+    return overwrite_via_staging(spark, spark.read.format(fmt).load(path).distinct(), path, fmt, partition_by)
 
 
 def ensure_layers(spark: SparkSession, layers: Iterable[str] = LAYERS) -> None:
@@ -117,15 +80,22 @@ def ensure_layers(spark: SparkSession, layers: Iterable[str] = LAYERS) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
 
 
+def _reads_table(df: DataFrame, name: str) -> bool:
+    """Whether the frame reads any file of the table."""
+    own = set(df.sparkSession.table(name).inputFiles())
+    return not own.isdisjoint(df.inputFiles())
+
+
 def replace_table(spark: SparkSession, df: DataFrame, name: str, partition_by=None) -> DataFrame:
     """Create or replace a catalog table from ``df`` (which may read the table).
 
     The session catalog rejects ``CREATE OR REPLACE TABLE AS`` and a table
-    overwrite from itself, so when the table exists the result is first
-    saved as ``<name>__staging`` and the target replaced from that.
+    overwrite from itself, so when the plan reads the table the result is
+    first saved as ``<name>__staging`` and the target replaced from that;
+    otherwise it is written once.
     """
     w_opts = {"partitionBy": partition_by} if partition_by else {}
-    if not spark.catalog.tableExists(name):
+    if not spark.catalog.tableExists(name) or not _reads_table(df, name):
         df.write.mode("overwrite").saveAsTable(name, **w_opts)
         return spark.table(name)
     stage = f"{name}__staging"

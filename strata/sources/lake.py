@@ -15,9 +15,10 @@ def read_raw(spark: SparkSession, path: str, schema: StructType = RAW) -> DataFr
     """The date-partitioned raw lake with its fixed schema.
 
     Reading the root keeps ``event_date`` as a partition column, so a filter
-    on it prunes whole folders.
+    on it prunes whole folders. The batch level below it (if the lake was
+    ingested) is left out.
     """
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def read_output(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

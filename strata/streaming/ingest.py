@@ -3,17 +3,23 @@
 The source is a topic (``kafka``) or a landing folder of JSON lines
 (``files``, one message per line, same ``value`` column). The connector jar
 for topics is not bundled; the topic path is configuration only here and the
-file path is what the tests drive. Progress is kept in the checkpoint folder
-and the Parquet sink's own log, so a restart resumes where it stopped and a
-rerun over the same input adds no rows.
+file path is what the tests drive. Progress is kept in the checkpoint folder.
+Each micro-batch replaces the folders (day, query and epoch) that are its own,
+so a replayed batch adds no rows and a rerun over the same input neither. The
+lake has no file log, so its days can be compacted and read by any reader.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.envelope import derive_time, parse_events
+from strata.sinks.compaction import INGEST_COL, compacted_epochs
+from strata.sinks.swap import read_text
 
 # Topic metadata kept on request, renamed so it cannot collide with envelope
 # fields (the envelope has its own ``timestamp``).
@@ -85,18 +91,29 @@ def start_raw_sink(
     interval: str = "10 seconds",
     query_name: str | None = None,
 ) -> StreamingQuery:
-    """Append raw rows to Parquet partitioned by event_date.
+    """Append raw rows to Parquet partitioned by event_date and, below it, by batch.
 
     ``trigger``: "available_now" drains what is there and stops (the one-shot
-    mode); "processing_time" runs a micro-batch every ``interval``.
+    mode); "processing_time" runs a micro-batch every ``interval``. Rows of a
+    replayed epoch that compaction has merged already are not written again.
     """
-    w = (
-        raw.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("event_date")
-    )
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        query = json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]  # of this checkpoint
+        done = [day for day, last in compacted_epochs(spark, path).get(query, {}).items() if last >= epoch]
+        if done:
+            day = F.concat(F.lit("event_date="), F.col("event_date").cast("string"))
+            batch = batch.filter(~F.coalesce(day.isin(done), F.lit(False)))
+        (
+            batch.withColumn(INGEST_COL, F.lit(f"{query}-epoch{epoch}"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("event_date", INGEST_COL)
+            .parquet(path)
+        )
+
+    w = raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
     if trigger == "available_now":

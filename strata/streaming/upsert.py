@@ -1,29 +1,37 @@
 """Periodic apply of captured changes into a keyed, date-partitioned table.
 
-Each micro-batch (from ``foreachBatch``) is reduced to the latest change per
-key, merged with only the target partitions it touches, and those partitions
-are rewritten (dynamic partition overwrite) through a staging folder. A
-replayed batch gives the same result, so the sink is effectively
+Each micro-batch (from ``foreachBatch``) is merged with only the target
+partitions it touches, and those partitions are replaced by renaming staged
+folders. The latest row per key wins, whether it comes from the batch or the
+target, so a late or replayed change does no harm and the sink is effectively
 exactly-once. Parquet has no MERGE; this is the rewrite form of an upsert.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from urllib.parse import unquote
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType, VariantType
 
-from strata.sinks.files import delete_path, is_complete, path_exists, staging_path
+from strata.sinks.swap import finish_swap, path_exists, replace
 
 DELETE_FLAG = "_deleted"
 
 
 def latest_per_key(changes: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """One row per key: the last change by ``order_by`` (partial group limit before shuffle)."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_by])
+    """One row per key: the last by ``order_by``, ties broken by all other (orderable) columns.
+
+    Null keys are one key. Planned with a partial group limit before the shuffle.
+    """
+    unordered = [f.name for f in changes.schema.fields if isinstance(f.dataType, (MapType, VariantType))]
+    rest = [c for c in changes.columns if c not in keys and c not in order_by and c not in unordered]
+    order = [F.col(c).desc_nulls_last() for c in [*order_by, *rest]]
+    w = Window.partitionBy(*keys).orderBy(*order)
     return changes.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
@@ -34,15 +42,19 @@ def merge_changes(
     order_by: list[str],
     delete_col: str | None = None,
 ) -> DataFrame:
-    """Target rows whose key has no change, plus the latest non-deleted changes."""
-    latest = latest_per_key(changes, keys, order_by)
-    upserts = latest
-    if delete_col:
-        upserts = latest.filter(~F.coalesce(F.col(delete_col), F.lit(False))).drop(delete_col)
-    if target is None:
-        return upserts
-    untouched = target.join(latest.select(*keys), keys, "left_anti")
-    return untouched.unionByName(upserts.select(*target.columns))
+    """The latest row per key of target and changes together; deleted keys are left out.
+
+    A change that is older than the target's row by ``order_by`` is ignored; at
+    the same version the change wins. A deleted key keeps no version, so an even
+    later arrival of an older change would bring it back.
+    """
+    flag = F.coalesce(F.col(delete_col), F.lit(False)) if delete_col else F.lit(False)
+    plain = [c for c in changes.columns if c != delete_col]
+    rows = changes.select(*plain, flag.alias("_gone"), F.lit(1).alias("_change"))
+    if target is not None:
+        kept = target.select(*plain, F.lit(False).alias("_gone"), F.lit(0).alias("_change"))
+        rows = rows.unionByName(kept)
+    return latest_per_key(rows, keys, [*order_by, "_change"]).filter("NOT _gone").select(*plain)
 
 
 def apply_changes_batch(
@@ -52,48 +64,57 @@ def apply_changes_batch(
     order_by: Iterable[str],
     partition_col: str,
     delete_col: str | None = None,
+    keys_move: bool = False,
+    max_partitions: int = 10_000,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function applying each batch to ``target_path``.
 
-    Only target partitions that appear in the batch are read and rewritten.
-    A key is assumed to stay in its partition (the partition column is part
-    of the row's identity, e.g. the order date).
+    Only target partitions that hold a partition value of the batch are read
+    and rewritten; null is a value like any other. With ``keys_move`` a key
+    may change its partition: the partitions that hold the batch's keys now
+    are found by a scan of the target's key columns and rewritten too. The
+    partition column must be coarse: a batch that touches more than
+    ``max_partitions`` values is an error.
     """
     keys, order_by = list(keys), list(order_by)
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        # The partitions a batch touches: a handful of dates, not data.
-        parts = [r[0] for r in batch.select(partition_col).distinct().collect()]
-        if not parts:
-            return
-        # Read with the change schema so partition values keep their type and
-        # an emptied staging folder still reads as an empty frame.
-        schema = StructType([f for f in batch.schema.fields if f.name != delete_col])
-        stage = staging_path(target_path) + f"/epoch={epoch_id}"
-        # A replayed epoch whose merge was already staged finishes from the
-        # staged rows: the target may be half-replaced by the failed attempt.
-        if not is_complete(spark, stage):
-            target = None
-            if path_exists(spark, target_path):
-                target = spark.read.schema(schema).parquet(target_path).filter(F.col(partition_col).isin(parts))
+        finish_swap(spark, target_path)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # Read with the change schema so partition values keep their type.
+            schema = StructType([f for f in batch.schema.fields if f.name != delete_col])
+            values = batch.select(partition_col)
+            stored = spark.read.schema(schema).parquet(target_path) if path_exists(spark, target_path) else None
+            if keys_move and stored is not None:
+                same = [F.col(f"t.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+                held = stored.alias("t").join(batch.select(*keys).distinct().alias("b"), same, "left_semi")
+                values = values.union(held.select(partition_col))
+            parts = [r[0] for r in values.distinct().limit(max_partitions + 1).collect()]
+            if len(parts) > max_partitions:
+                raise ValueError(f"a batch touches more than {max_partitions} values of {partition_col}")
+            if not parts:
+                return
+            target, names = None, []
+            if stored is not None:
+                touched = F.col(partition_col).isin([p for p in parts if p is not None])
+                if None in parts:
+                    touched = F.coalesce(touched, F.lit(False)) | F.col(partition_col).isNull()
+                target = stored.filter(touched)
+                # The folders as they are named on storage (null and escaped values included);
+                # file paths are reported as URIs.
+                folder = F.regexp_extract("_metadata.file_path", "([^/]+)/[^/]+$", 1)
+                names = [unquote(r[0]) for r in target.select(folder.alias("f")).distinct().collect()]
             merged = merge_changes(target, batch, keys, order_by, delete_col)
-            # rebalance: AQE groups rows by partition value (few files per
-            # partition) and splits a hot partition across several writers.
-            merged.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-        staged = spark.read.schema(schema).parquet(stage)
-        (
-            staged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition_col)
-            .parquet(target_path)
-        )
-        # Dynamic overwrite only replaces partitions that receive rows; a
-        # partition whose every key was deleted is removed explicitly.
-        kept = {r[0] for r in staged.select(partition_col).distinct().collect()}
-        for value in parts:
-            if value not in kept:
-                delete_path(spark, f"{target_path.rstrip('/')}/{partition_col}={value}")
-        delete_path(spark, stage)
+
+            def write(path: str) -> None:
+                # rebalance: AQE groups rows by partition value (few files per
+                # partition) and splits a hot partition across several writers.
+                merged.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(path)
+
+            replace(spark, target_path, write, names=names)
+        finally:
+            batch.unpersist()
 
     return run
 
@@ -109,9 +130,10 @@ def start_apply_changes(
     delete_col: str | None = None,
     trigger: str = "available_now",
     interval: str = "5 minutes",
+    keys_move: bool = False,
 ) -> StreamingQuery:
     """Run ``apply_changes_batch`` on a change stream (every ``interval``, or drain once)."""
-    fn = apply_changes_batch(spark, target_path, keys, order_by, partition_col, delete_col)
+    fn = apply_changes_batch(spark, target_path, keys, order_by, partition_col, delete_col, keys_move)
     w = changes.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger == "available_now" else w.trigger(processingTime=interval)
     return w.start()

@@ -144,8 +144,8 @@ def test_filters_and_pivot(spark):
     asia = commerce.filter_orders(orders, regions=["ASIA"], customer_regions=customer_regions(spark, SF))
     assert 0 < asia.count() < orders.count()
     piv = commerce.status_pivot(orders)
-    assert piv.columns == ["order_year", "status_F", "status_O", "status_P"]
-    total = piv.select(F.sum(F.col("status_F") + F.col("status_O") + F.col("status_P"))).first()[0]
+    assert piv.columns == ["order_year", "status_F", "status_O", "status_P", "status_other", "total"]
+    total = piv.select(F.sum(F.col("status_F") + F.col("status_O") + F.col("status_P") + F.col("status_other"))).first()[0]
     assert total == orders.count()
 
 
@@ -182,3 +182,73 @@ def test_stage_orders_dedupes(spark):
     staged = model.stage_orders(dup)
     assert staged.count() == orders.count()
     assert staged.groupBy("order_id").count().filter("count > 1").count() == 0
+
+
+def test_null_and_repeated_keys_in_change_capture(spark):
+    before = spark.createDataFrame([(None, "O"), (1, "O"), (1, "F")], "k int, s string")
+    after = spark.createDataFrame([(None, "O"), (1, "O")], "k int, s string")
+    got = [tuple(r) for r in model.capture_changes(before, after, "k", ["s"]).collect()]
+    assert got == [(1, "update", "O", "O")] or got == []  # of two rows the larger, "O", counts
+
+
+def test_scd2_null_keys_and_repeated_snapshot_rows(spark):
+    snap = spark.createDataFrame([(None, "a"), (1, "a")], "k int, s string")
+    dim = model.scd2_initial(snap, F.lit("2024-01-01"))
+    again = model.scd2_apply(dim, snap, "k", ["s"], "2024-02-01")
+    assert sorted(map(str, again.collect())) == sorted(map(str, dim.select(*again.columns).collect()))
+    twice = spark.createDataFrame([(1, "b"), (1, "c"), (None, "a")], "k int, s string")
+    out = model.scd2_apply(dim, twice, "k", ["s"], "2024-02-01").collect()
+    assert sorted((r.k or 0, r.s, r.is_current) for r in out) == [(0, "a", True), (1, "a", False), (1, "c", True)]
+
+
+def test_scd2_refuses_two_current_versions(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    dim = model.scd2_initial(spark.createDataFrame([(1, "a"), (1, "b")], "k int, s string"), F.lit("2024-01-01"))
+    with pytest.raises(PySparkException, match="several current versions"):
+        model.scd2_apply(dim, dim.select("k", "s"), "k", ["s"], "2024-02-01").collect()
+
+
+def test_stage_orders_ignores_input_order(spark):
+    rows = [(1, c, "O", 5.0, None, p) for c in (7, 8) for p in ("1-URGENT", "2-HIGH")]
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    results = {str(model.stage_orders(spark.createDataFrame(rows[k:] + rows[:k], schema)).collect()) for k in range(4)}
+    assert len(results) == 1
+
+
+def test_pivot_keeps_other_statuses(spark):
+    rows = [("F",), ("X",), (None,)]
+    orders = spark.createDataFrame(rows, "o_orderstatus string").withColumn("o_orderdate", F.lit("2024-01-01").cast("timestamp_ntz"))
+    r = commerce.status_pivot(orders).first()
+    assert (r.status_F, r.status_O, r.status_other, r.total) == (1, 0, 2, 3)
+
+
+def test_category_filter(spark):
+    orders, lines, part = (t(spark, n) for n in ("orders", "lineitem", "part"))
+    brand = part.first().p_brand
+    got = {r.o_orderkey for r in commerce.filter_orders(orders, categories=[brand], lineitem=lines, part=part).collect()}
+    keys = {r.p_partkey for r in part.where(F.col("p_brand") == brand).collect()}
+    assert got == {r.l_orderkey for r in lines.collect() if r.l_partkey in keys}
+
+
+def test_scale_violations(spark):
+    df = spark.createDataFrame([(1.25,), (1.255,), (None,)], "v double")
+    assert [r.v for r in quality.scale_violations(df, "v").collect()] == [1.255]
+
+
+def test_only_the_steward_sees_clear_values(spark):
+    df = spark.createDataFrame([("a@x.com",)], "email string")
+    assert privacy.role_masked(df, "admin", {"email": "email"}).first().email == "***@x.com"
+    hashed = [privacy.mask_columns(df, {"email": privacy.keyed_hash(k)}).first().email for k in ("one", "two")]
+    assert hashed[0] != hashed[1] and len(hashed[0]) == 64
+
+
+def test_stored_erasure_and_export(spark, scratch):
+    path = f"{scratch}/events"
+    spark.createDataFrame([(i % 3, i) for i in range(9)], "user_id long, v long").write.parquet(path)
+    left = privacy.erase_stored(spark, path, spark.createDataFrame([(1,), (1,)], "user_id long"), "user_id")
+    assert sorted(r.v for r in left.collect()) == [0, 2, 3, 5, 6, 8]
+    assert spark.read.parquet(path).count() == 6
+    privacy.export_subject_to(left, "user_id", 2, f"{scratch}/export")
+    assert spark.read.json(f"{scratch}/export").count() == 3

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from conftest import message, raw_from_messages
 from pyspark.sql import functions as F
 
@@ -130,3 +131,31 @@ def test_clean_prefers_latest_ingest_when_metadata_kept(spark):
     # without metadata the event id decides
     plain = medallion.clean_silver(medallion.to_silver(stream_to_raw(topic_like))).collect()
     assert [r.event_id for r in plain] == ["a-ingested-first"]
+
+
+def test_conform_matches_nested_fields_by_name(spark):
+    staged = spark.sql(
+        "SELECT 'e' AS EVENT_ID, named_struct('LINK', 'l', 'title', 't', 'extra', 1, 'score', '7') AS Payload, 1 AS other"
+    )
+    r = medallion.conform(staged).first()
+    assert (r.event_id, r.payload.title, r.payload.link, r.payload.score) == ("e", "t", "l", 7)
+    assert r.payload.question_id is None and r.region is None
+
+
+def test_conform_keeps_null_structs_and_refuses_ambiguous_names(spark):
+    none = spark.sql("SELECT 'e' AS event_id, cast(null AS struct<title:string>) AS payload")
+    assert medallion.conform(none).first().payload is None
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        twice = spark.sql("SELECT 1 AS event_id, 2 AS Event_Id")
+        with pytest.raises(ValueError, match="only in case"):
+            medallion.conform(twice)
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", "false")
+
+
+def test_event_ids_tell_null_from_empty(spark):
+    from strata.operators.envelope import _event_id
+
+    rows = spark.createDataFrame([(None,), ("",), ("=",)], "a string").select(_event_id(["a"]).alias("i"))
+    assert rows.distinct().count() == 3

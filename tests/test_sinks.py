@@ -1,9 +1,11 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata import sinks
 from strata.operators import metrics, quality
+from strata.sinks import files, swap
 from strata.sources import lake
 from strata.sources.driver_tables import events_as_raw
 
@@ -85,7 +87,7 @@ def test_check_outputs_lists_missing(spark, scratch):
     try:
         quality.check_outputs(spark, {"a": os.path.join(scratch, "nope"), "b": os.path.join(scratch, "nope2")})
     except quality.CheckFailed as e:
-        assert "a (" in str(e) and "b (" in str(e)
+        assert "a: nothing" in str(e) and "b: nothing" in str(e)
     else:
         raise AssertionError("expected failure")
 
@@ -138,15 +140,80 @@ def test_incremental_daily_equals_full_recompute(spark, scratch):
     assert totals.exceptAll(expected).count() == 0 and expected.exceptAll(totals).count() == 0
 
 
-def test_dedupe_resumes_from_complete_staging(spark, scratch):
+def _numbers(spark, path, lo, hi, part=None):
+    df = spark.range(lo, hi).select("id", F.lit(part).alias("p"))
+    df.write.mode("append").partitionBy("p").parquet(path)
+
+
+def test_left_over_staging_without_manifest_is_thrown_away(spark, scratch):
     path = os.path.join(scratch, "t")
-    raw = events_as_raw(spark, SF, with_region=False)
-    sinks.write_output(raw.unionByName(raw), path)
-    # simulate a run that staged its result and died while copying: target damaged
-    sinks.write_output(raw.distinct(), path + "._staging")
-    sinks.write_output(raw.limit(10), path)
-    out = sinks.dedupe_path(spark, path)
-    assert out.count() == 1000
+    spark.range(15).write.parquet(path)
+    spark.range(10).write.parquet(swap.staging_path(path) + "/data")  # complete, but of an earlier run
+    assert sinks.dedupe_path(spark, path).count() == 15
+    assert not os.path.exists(swap.staging_path(path))
+
+
+@pytest.mark.parametrize("moves_before_the_crash", [0, 1, 2])
+def test_interrupted_swap_is_completed(spark, scratch, monkeypatch, moves_before_the_crash):
+    path = os.path.join(scratch, "t")
+    spark.range(20).unionByName(spark.range(20)).write.parquet(path)
+    rename, done = swap.rename_path, []
+
+    def crash(*args):
+        if len(done) == moves_before_the_crash:
+            raise RuntimeError("driver lost")
+        done.append(args)
+        rename(*args)
+
+    monkeypatch.setattr(swap, "rename_path", crash)
+    if moves_before_the_crash < 2:
+        with pytest.raises(RuntimeError):
+            sinks.dedupe_path(spark, path)
+    else:
+        sinks.dedupe_path(spark, path)
+    monkeypatch.undo()
+    assert sinks.dedupe_path(spark, path).count() == 20
+    assert not os.path.exists(swap.staging_path(path))
+
+
+def test_folders_that_changed_since_the_manifest_are_left_alone(spark, scratch, monkeypatch):
+    path = os.path.join(scratch, "t")
+    for part in ("a", "b"):
+        _numbers(spark, path, 0, 5, part)
+    with monkeypatch.context() as m:
+        m.setattr(swap, "finish_swap", lambda *a: None)  # lost right after the manifest
+        smaller = spark.read.parquet(path).where("id < 2")
+        swap.replace(spark, path, lambda f: smaller.write.partitionBy("p").parquet(f), names=["p=a", "p=b"])
+    _numbers(spark, path, 100, 101, "a")  # newer data in one of them
+    swap.finish_swap(spark, path)
+    rows = sorted((r["p"], r["id"]) for r in spark.read.parquet(path).collect())
+    assert rows == [("a", i) for i in (0, 1, 2, 3, 4, 100)] + [("b", 0), ("b", 1)]
+
+
+def test_compaction_ignores_staging_of_another_call(spark, scratch):
+    path = os.path.join(scratch, "lake")
+    for day in ("2024-01-01", "2024-01-02"):
+        spark.range(6).repartition(3).selectExpr("id", f"date'{day}' AS event_date").write.mode("append").partitionBy("event_date").parquet(path)
+    stale = swap.staging_path(path)
+    spark.range(2).selectExpr("id", "date'2024-01-01' AS event_date").write.partitionBy("event_date").parquet(stale + "/data")
+    assert sinks.compact_partitions(spark, path, ["2024-01-02"]) == {"2024-01-02": 1}
+    counts = {str(r[0]): r[1] for r in spark.read.parquet(path).groupBy("event_date").count().collect()}
+    assert counts == {"2024-01-01": 6, "2024-01-02": 6}
+    assert len([f for f in os.listdir(f"{path}/event_date=2024-01-02") if f.endswith(".parquet")]) == 1
+
+
+def test_compaction_refuses_a_lake_with_a_sink_log(spark, scratch):
+    os.makedirs(f"{scratch}/lake/_spark_metadata")
+    with pytest.raises(ValueError, match="log"):
+        sinks.compact_partitions(spark, f"{scratch}/lake", ["2024-01-01"])
+
+
+def test_replace_table_writes_once_unless_it_reads_itself(spark):
+    sinks.ensure_layers(spark, ["t3_bronze"])
+    sinks.replace_table(spark, spark.range(3), "t3_bronze.t")
+    assert not files._reads_table(spark.range(9), "t3_bronze.t")
+    assert files._reads_table(spark.table("t3_bronze.t"), "t3_bronze.t")
+    assert sinks.replace_table(spark, spark.range(9), "t3_bronze.t").count() == 9
 
 
 def test_compaction_keeps_rows_and_merges_files(spark, scratch):
