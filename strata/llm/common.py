@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,10 +78,14 @@ def fold(n: int, col: str = "doc_id") -> Column:
 
 @functools.cache
 def _libc():
+    """The C library, once told to give large freed blocks back at once; Arrow is told to use it too."""
     try:
-        return ctypes.CDLL("libc.so.6")
+        lib = ctypes.CDLL("libc.so.6")
     except OSError:  # another C library: nothing to do
         return None
+    lib.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD: no longer grows with the blocks that were freed
+    pa.set_memory_pool(pa.system_memory_pool())
+    return lib
 
 
 def trim() -> None:
@@ -91,6 +96,7 @@ def trim() -> None:
 
 def blocks(batches: Iterator[pd.DataFrame], col: str = "text") -> Iterator[pd.DataFrame]:
     """Cut batches into blocks of about BLOCK_BYTES of text (whole rows only)."""
+    _libc()
     for pdf in batches:
         if len(pdf) == 0:
             continue

@@ -38,14 +38,14 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strata.llm.common import BLOCK_BYTES
+from strata.llm.common import BLOCK_BYTES, trim
 
 SPACE = "▁"
 #: The public model that the queries use; its path is a parameter everywhere.
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*")
 #: Chunks that a task remembers; then it starts anew.
-KEPT = 200_000
+KEPT = 150_000
 #: Characters of the batch text that one suffix array covers.
 MATCHED = 300_000
 
@@ -367,11 +367,14 @@ def encode(text: Column, model: str = DEFAULT_MODEL, kind: str = "bpe") -> Colum
     @F.pandas_udf("ids array<int>, exact boolean")
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(Pieces.load(model, kind))
+        trim()
         for texts in batches:
             texts = [t if isinstance(t, str) else None for t in texts]
             ids = [x for b in _text_blocks(texts) for x in encoder.encode(b)]
             exact = [None if t is None else decode_ids(encoder.pieces, x) == t for t, x in zip(texts, ids, strict=True)]
             yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "exact": pd.Series(exact, dtype=object)})
+        del encoder
+        trim()
 
     return udf.asNondeterministic()(text)  # evaluated once
 
