@@ -481,6 +481,7 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
         def rows() -> pd.DataFrame:
             keys, text = (np.concatenate(x) for x in zip(*held, strict=True))
             all_marks = np.concatenate(marks)
+            chunk = int(mix(np.array([mix(all_marks).sum(dtype=np.uint64)])).view(np.int64)[0])
             at = _bucket(keys, buckets)
             order = np.argsort(at, kind="stable")
             edges = np.searchsorted(at[order], np.arange(buckets + 1))
@@ -488,8 +489,8 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
             for b in np.flatnonzero(np.diff(edges)):
                 part = order[edges[b] : edges[b + 1]]
                 own, index = np.unique(text[part], return_inverse=True)
-                out.append((int(b), keys[part].tobytes(), index.astype(np.int32).tobytes(), all_marks[own].tobytes()))
-            return pd.DataFrame(out, columns=["bucket", "keys", "text", "marks"])
+                out.append((int(b), chunk, keys[part].tobytes(), index.astype(np.int32).tobytes(), all_marks[own].tobytes()))
+            return pd.DataFrame(out, columns=["bucket", "chunk", "keys", "text", "marks"])
 
         first = 0
         for pdf in blocks(batches):
@@ -511,8 +512,8 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
     split = F.lit(1)
     for b, k in salts.items():
         split = F.when(F.col("bucket") == b, k).otherwise(split)
-    events = marked.select("text", "mark").mapInPandas(rest, "bucket int, keys binary, text binary, marks binary")
-    events = events.withColumn("salt", F.pmod(F.xxhash64("marks"), split).cast("int"))
+    events = marked.select("text", "mark").mapInPandas(rest, "bucket int, chunk long, keys binary, text binary, marks binary")
+    events = events.withColumn("salt", F.pmod(F.xxhash64("chunk"), split).cast("int"))
     state = model.state.withColumn("salt", F.explode(F.sequence(F.lit(0), split - 1)))
 
     def meet(key, tokens_: pd.DataFrame, state_: pd.DataFrame) -> pd.DataFrame:
@@ -520,16 +521,29 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
         empty = np.zeros(0, dtype=np.int64).tobytes()
         none = {"keys": empty, "counts": empty, "tables": b"", "root_c": b"", "root_t": b""}
         words = _Words(state_.iloc[0] if len(state_) else none, samples)
-        for k, t, m in zip(tokens_["keys"], tokens_["text"], tokens_["marks"], strict=True):
+        for chunk, k, t, m in zip(tokens_["chunk"], tokens_["keys"], tokens_["text"], tokens_["marks"], strict=True):
             text, marks = np.frombuffer(t, dtype=np.int32), np.frombuffer(m, dtype=np.int64)
             count, p = words.look_up(np.frombuffer(k, dtype=np.int64))
             total = lambda x: np.bincount(text, weights=x, minlength=len(marks))  # noqa: E731, B023
-            known = total(count > 0).astype(np.int64)
-            out.append(pd.DataFrame({"mark": marks, "n_known": known, "base": total(_base(count, n, v)), "p": total(np.log10(p))}))
+            sums = total(count > 0).astype(np.int32), total(_base(count, n, v)), total(np.log10(p))
+            out.append((chunk, key[0], m, *(x.tobytes() for x in sums)))
         trim()
-        return pd.concat(out) if out else pd.DataFrame({"mark": [], "n_known": [], "base": [], "p": []})
-
-    sums = events.groupBy("bucket", "salt").cogroup(state.groupBy("bucket", "salt")).applyInPandas(meet, "mark long, n_known long, base double, p double")
+        return pd.DataFrame(out, columns=["chunk", "bucket", "marks", "n_known", "base", "p"])
+
+    def gather(pdf: pd.DataFrame) -> pd.DataFrame:
+        """The sums of a chunk's texts over all buckets, added up in the order of the buckets."""
+        pdf = pdf.sort_values(["bucket", "marks"])
+        kinds = {"marks": np.int64, "n_known": np.int32, "base": np.float64, "p": np.float64}
+        flat = {c: np.concatenate([np.frombuffer(x, dtype=k) for x in pdf[c]]) for c, k in kinds.items()}
+        marks, text = np.unique(flat["marks"], return_inverse=True)
+        total = {c: np.bincount(text, weights=flat[c], minlength=len(marks)) for c in ("n_known", "base", "p")}
+        return pd.DataFrame({"mark": marks, "n_known": total["n_known"].astype(np.int64), "base": total["base"], "p": total["p"]})
+
+    sums = events.groupBy("bucket", "salt").cogroup(state.groupBy("bucket", "salt")).applyInPandas(
+        meet, "chunk long, bucket int, marks binary, n_known binary, base binary, p binary"
+    )
+    # A chunk has at most FLUSH tokens (or one text), so it is a group of bounded size.
+    sums = sums.groupBy("chunk").applyInPandas(gather, "mark long, n_known long, base double, p double")
     sums = sums.groupBy("mark").agg(F.sum("n_known").alias("rest_known"), F.sum("base").alias("rest_base"), F.sum("p").alias("rest_p"))
     whole = marked.select("doc_id", "mark", frequent_part.asNondeterministic()("text").alias("r")).select("doc_id", "mark", "r.*")
     # Equal rows brought their rest once each: count them to share it.
