@@ -36,7 +36,9 @@ def _load_all() -> None:
         queries_behaviour,
         queries_commerce,
         queries_medallion,
+        queries_stored,
         queries_streaming,
+        queries_violations,
     )
 
 
