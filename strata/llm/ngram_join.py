@@ -29,12 +29,12 @@ Candidates. Sets that share a signature meet in one bucket; equal sets are one
 entry. A group of up to ``GROUP`` sets gives all its pairs of fitting size. In
 a larger group the least set meets all others, and after the links found so
 far are joined to components, only pairs of different components of that group
-remain: in PIVOT_ROUNDS rounds those with PIVOTS of its members, each round after
-joining what the one before has linked, then all that are left, unless parity sketches of the two sets differ
-in more than h bits (no two sets that differ in h shingles do; a sketch bit is
-the parity of the shingles hashed to it). A pair left out is thus connected
-already or no link: the components are exact. Every candidate is verified on
-the full sets.
+remain, unless parity sketches of the two sets differ in more than h bits (no
+two sets that differ in h shingles do; a sketch bit is the parity of the
+shingles hashed to it): for each member first the pair that looks most alike,
+then, after joining what these have linked, all that are left. A pair left out
+is thus connected already or no link: the components are exact. Every
+candidate is verified on the full sets.
 
 Null or empty texts have an empty set, no links, and are their own component.
 Texts of fewer words than ``width`` have one shingle, the whole sequence. Null
@@ -62,7 +62,6 @@ SAMPLE = 16
 #: Sampled documents that make a shingle frequent.
 FREQUENT = 3
 GROUP = 32
-PIVOTS, PIVOT_ROUNDS = 4, 2
 TILE = 1024
 #: Bits of a parity sketch.
 SKETCH_BITS = 4096
@@ -590,22 +589,13 @@ def _open_groups(named: DataFrame) -> DataFrame:
     return groups.where("lo <> hi").groupBy("n", "x", "y").agg(F.min("sig").alias("sig")).select("sig", "n")
 
 
-def _pivot_pairs(named: DataFrame, open_: DataFrame, sketches: DataFrame, num: int, den: int, seed: int) -> DataFrame:
-    """Pairs of the first PIVOTS members by seeded hash of each open group with its members of other components."""
-    members = named.join(open_.select("sig"), "sig")
-    order = Window.partitionBy("sig").orderBy(F.xxhash64("sid", F.lit(seed)), "sid")
-    chosen = members.withColumn("r", F.row_number().over(order)).where(F.col("r") <= PIVOTS)
-    x, y = chosen.alias("x"), members.alias("y")
-    fits = den * F.least("x.size", "y.size") >= num * F.greatest("x.size", "y.size")
-    met = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & fits)
-    return met.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
+def _tile_pairs(named: DataFrame, open_: DataFrame, sketches: DataFrame, num: int, den: int, nearest: bool) -> DataFrame:
+    """Pairs of different components of each open group that their sketches don't rule out.
 
-
-def _tile_pairs(named: DataFrame, open_: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
-    """All pairs of different components of each open group that their sketches don't rule out.
-
-    Every group is cut into tiles of about TILE x TILE members, so a task holds
-    few members whatever the group's size.
+    All of them, or with ``nearest`` for each member outside the tile's largest
+    component only the one that looks most alike. Every group is cut into tiles
+    of about TILE x TILE members, so a task holds few members whatever the
+    group's size.
     """
     tiles = open_.select("sig", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
     members = named.join(tiles, "sig").join(sketches.select("sid", "sketch"), "sid")
@@ -614,21 +604,35 @@ def _tile_pairs(named: DataFrame, open_: DataFrame, sketches: DataFrame, num: in
     tiled = tiled.withColumn("i", F.least("t", "o")).withColumn("j", F.greatest("t", "o"))
 
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("size", kind="stable")
+        pdf = pdf.sort_values(["size", "sid"], kind="stable")
         one_tile = pdf["i"].iloc[0] == pdf["j"].iloc[0]
         sid, size, comp, t = (pdf[c].to_numpy() for c in ("sid", "size", "comp", "t"))
         sketch = np.stack([np.frombuffer(b, dtype=np.uint64) for b in pdf["sketch"]])
         stop = np.searchsorted(size, size * den // num, side="right")  # partners: the larger ones that fit
-        a, b = [], []
+        least, partner = np.full(len(sid), np.iinfo(np.int64).max), np.zeros(len(sid), dtype=np.int64)
+        a, b = [sid[:0]], [sid[:0]]
         for x in range(len(sid)):
             y = np.arange(x + 1, stop[x])
             y = y[(comp[y] != comp[x]) & (one_tile | (t[y] != t[x]))]
-            if len(y):
-                apart = np.bitwise_count(sketch[y] ^ sketch[x]).sum(axis=1, dtype=np.int64)
-                y = y[apart * (den + num) <= (size[x] + size[y]) * (den - num)]
+            apart = np.bitwise_count(sketch[y] ^ sketch[x]).sum(axis=1, dtype=np.int64)
+            likely = apart * (den + num) <= (size[x] + size[y]) * (den - num)
+            y, apart = y[likely], apart[likely]
+            if not len(y):
+                continue
+            if not nearest:
                 a.append(np.full(len(y), sid[x]))
                 b.append(sid[y])
-        lo, hi = _unique_pairs(*(np.concatenate(v) if v else sid[:0] for v in (a, b)))
+                continue
+            k = int(apart.argmin())
+            if apart[k] < least[x]:
+                least[x], partner[x] = apart[k], sid[y[k]]
+            closer = apart < least[y]
+            least[y[closer]], partner[y[closer]] = apart[closer], sid[x]
+        if nearest:
+            names, count = np.unique(comp, return_counts=True)
+            asks = (least < np.iinfo(np.int64).max) & (comp != names[count.argmax()])
+            a, b = [sid[asks]], [partner[asks]]
+        lo, hi = _unique_pairs(np.concatenate(a), np.concatenate(b))
         return pd.DataFrame({"a": lo, "b": hi})
 
     return tiled.groupBy("sig", "i", "j").applyInPandas(pairs, "a long, b long").distinct()
@@ -651,12 +655,12 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den:
     sketches = _some_sketches(ids, named.distinct())
     links = stored(verify(pairs, sketches, docs, width, num, den), "links")
     comp = stored(components(links), "components")
-    for step in [*(functools.partial(_pivot_pairs, seed=k) for k in range(PIVOT_ROUNDS)), _tile_pairs]:
+    for nearest in (True, False):
         named = _named(entries, comp)
         open_ = stored(_open_groups(named), "open")
         if open_.isEmpty():
             break
-        cross = stored(step(named, open_, sketches, num, den).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        cross = stored(_tile_pairs(named, open_, sketches, num, den, nearest).join(pairs, ["a", "b"], "left_anti"), "pairs")
         more = stored(verify(cross, sketches, docs, width, num, den), "links")
         if not more.isEmpty():
             known = comp.select(F.col("node").alias("a"), F.col("component").alias("b"))

@@ -60,7 +60,6 @@ def test_components_against_all_pairs(spark, monkeypatch, group):
     """Near copies of all sizes, and a passage that unrelated texts share; also when almost every group is large."""
     monkeypatch.setattr(nj, "GROUP", group)
     monkeypatch.setattr(nj, "TILE", 5)
-    monkeypatch.setattr(nj, "PIVOTS", 2)
     rng = random.Random(group)
     docs = []
     for size in (1, 3, 5, 6, 7, 9, 12, 20, 35, 60, 130, 400):
