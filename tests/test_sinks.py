@@ -231,3 +231,21 @@ def test_compaction_keeps_rows_and_merges_files(spark, scratch):
     assert back.count() == 1000
     cols = ["event_id", "timestamp", "event_date"]
     assert back.select(cols).exceptAll(raw.select(cols)).count() == 0
+
+
+def test_increment_removes_days_that_have_no_rows_any_more(spark, scratch):
+    from strata.plans.jobs import run_daily_increment
+    from strata.sinks.swap import delete_path
+
+    raw = events_as_raw(spark, SF, with_region=False)
+    days = [str(r[0]) for r in raw.select("event_date").distinct().orderBy("event_date").limit(2).collect()]
+    lake_path, out = f"{scratch}/lake", f"{scratch}/out"
+    raw.filter(F.col("event_date").cast("string").isin(days)).write.partitionBy("event_date").parquet(lake_path)
+    run_daily_increment(spark, lake_path, out, days)
+    delete_path(spark, f"{lake_path}/event_date={days[1]}")
+    run_daily_increment(spark, lake_path, out, [days[1]])
+    left = spark.read.parquet(f"{out}/events_by_type_daily").select("event_date").distinct().collect()
+    assert [str(r[0]) for r in left] == days[:1]
+    kept = metrics.question_score_totals(raw.filter(F.col("event_date").cast("string") == days[0]))
+    totals = spark.read.parquet(f"{out}/question_score_totals")
+    assert totals.exceptAll(kept.select(totals.columns)).count() == 0 and totals.count() == kept.count()
