@@ -1,36 +1,42 @@
 """Hierarchical Pitman-Yor language model, seated by Gibbs sampling, learned and applied on Spark.
 
 Tokens are the words of a text with A-Z lowered, then one end. The context of
-a token is the class of the token before it (a hash of its last three bytes,
-or the start), one of CLASSES. Every context is a restaurant that serves words;
-all of them share one parent restaurant, whose base is uniform over the V
+a token is the word before it, or the start. Three levels of restaurants serve
+words: one per context; above them one per class of contexts (a hash of the
+last three bytes of the context's word, or the start; CLASSES in all), which
+smooths rare contexts; above these one root, whose base is uniform over the V
 training words and one unknown. The customers of a context's dish are its
-occurrences there; each of its tables is a customer of the parent.
+occurrences there; each of its tables is a customer of the class, each table of
+a class one of the root.
 
 Learning. Occurrences are counted per (word, context) in each task, then per
-hash bucket of the words, so that all dishes of a word are in one bucket and no
-frequent word is shuffled one occurrence at a time. In each bucket a seating is
-drawn and then resampled: a Gibbs step takes a random customer of every dish
-from its table (closing it, and taking its customer from the parent, if it was
-the last one) and seats it again: at a table in proportion to its customers
-less the discount, or at a new one in proportion to (strength + discount *
-tables of the restaurant) * probability of the word in the parent. The step
-runs for all dishes of a bucket at once, with the restaurants' totals of the
-initial seating. After ``burn_in`` sweeps, ``samples`` sweeps are kept; the
+hash bucket of the words, so that no frequent word is shuffled one occurrence
+at a time; a context's dishes are spread over all buckets. A sweep resamples
+the seating of all customers of every dish: the number of tables of a dish is
+drawn at once from its law given its customers, the other tables of its
+restaurant and the parent without the dish (``draw_tables``), first in the
+contexts, then in the classes, then in the root. Between sweeps the tables of
+each context are added up over all buckets and sent back to the buckets that
+have it, and the totals of the classes and the root are refreshed. Within a
+sweep the dishes of a restaurant are drawn side by side, given the totals of
+the sweep before. After ``burn_in`` sweeps, ``samples`` sweeps are kept; the
 predictive probability of a word is the mean over the kept seatings.
 
-Scoring. Words of at least 1 / MAX_FREQUENT of the training tokens, hence at
-most MAX_FREQUENT, are sent to the tasks with their probabilities in every
-context; all other tokens of the texts meet their word's bucket, large buckets
-split by salt. Sums per text are exact sums over all its tokens.
+Scoring. (word, context) pairs of at least 1 / MAX_FREQUENT of the training
+tokens, hence at most MAX_FREQUENT, are sent to the tasks with their
+probabilities, and as many contexts with their back-off weights; all other
+tokens of the texts meet their word's bucket, large buckets split by salt.
+Tokens of a rare context whose pair was never seen go on to the bucket of the
+context. Sums per text are exact sums over all its tokens.
 
-Word identity is a 59-bit hash. Null texts count as empty: one token, the end.
-Rows equal in id and text are scored alike. With no training text the model is
-uniform over one unknown word.
+Words are told apart by 59-bit hashes, pairs by 64-bit hashes. Null texts count
+as empty: one token, the end. Rows equal in id and text are scored alike. With
+no training text the model is uniform over one unknown word.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,12 +47,12 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import Words, blocks, mix, stored, trim
 
-#: Contexts; word identities leave their lowest bits for them.
+#: Classes of contexts; word identities leave their lowest bits for them.
 CLASSES = 32
 _CLASS_MASK = np.int64(CLASSES - 1)
 MAX_FREQUENT = 100_000
 #: Dishes of one bucket, and tokens that one task takes for a bucket at once.
-BUCKET_DISHES = 400_000
+BUCKET_DISHES = 100_000
 BUCKET_TOKENS = 4_000_000
 #: Tokens that a task holds before it sends their counts on.
 FLUSH = 1 << 20
@@ -54,8 +60,8 @@ STRENGTH = 1.0
 _END = int(mix(np.array([0xE0D], dtype=np.uint64)).view(np.int64)[0]) & ~(CLASSES - 1)
 
 
-def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(word | context per token, tokens per text): every text's words, then the end."""
+def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word and context per token, tokens per text): every text's words, then the end; a context's low bits are its class."""
     w = Words(texts)
     ids = w.hashes().view(np.int64) & ~_CLASS_MASK
     size = w.end - w.start
@@ -71,40 +77,55 @@ def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     is_end[last] = True
     out[is_end], out[~is_end] = _END, ids
     before = np.zeros(len(out), dtype=np.int64)
-    before[~is_end] = classes
+    before[~is_end] = ids | classes
     context = np.r_[np.int64(0), before[:-1]]
     context[np.r_[0, last[:-1] + 1]] = 0
-    return out | context, per_text
+    return out, context, per_text
+
+
+def _pair(words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    """Identity of (word, context)."""
+    return mix(mix(contexts.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) ^ words.view(np.uint64)).view(np.int64)
 
 
 def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (mix((keys & ~_CLASS_MASK).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, dtype=np.int64)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+def _parts(at: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, positions) of the buckets that occur in ``at``."""
+    order = np.argsort(at, kind="stable")
+    edges = np.searchsorted(at[order], np.arange(buckets + 1))
+    for b in np.flatnonzero(np.diff(edges)):
+        yield int(b), order[edges[b] : edges[b + 1]]
+
+
+def _summed(words: np.ndarray, contexts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal pairs added up, by word (equal neighbours take hardly any room once compressed), then by context."""
+    order = np.lexsort((contexts, words))
+    words, contexts = words[order], contexts[order]
+    first = np.flatnonzero(np.r_[True, (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1])]) if len(words) else np.zeros(0, dtype=np.int64)
+    return words[first], contexts[first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
+_COUNTS = "bucket int, words binary, contexts binary, counts binary"
 
 
 def _count(buckets: int):
-    def rows(held: list[np.ndarray]) -> pd.DataFrame:
-        keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        at = _bucket(keys, buckets)
-        order = np.argsort(at, kind="stable")
-        edges = np.searchsorted(at[order], np.arange(buckets + 1))
-        parts = [(b, order[lo:hi]) for b, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)) if hi > lo]
+    def rows(held: list) -> pd.DataFrame:
+        words, contexts = (np.concatenate(x) for x in zip(*held, strict=True))
+        words, contexts, counts = _summed(words, contexts, np.ones(len(words), dtype=np.int64))
         return pd.DataFrame(
-            [(b, keys[p].tobytes(), counts[p].astype(np.int64).tobytes()) for b, p in parts], columns=["bucket", "keys", "counts"]
+            [(b, words[p].tobytes(), contexts[p].tobytes(), counts[p].tobytes()) for b, p in _parts(_bucket(words, buckets), buckets)],
+            columns=["bucket", "words", "contexts", "counts"],
         )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, n = [], 0
         for pdf in blocks(batches):
-            keys, _ = tokens(pdf["text"].tolist())
-            held.append(keys)
-            n += len(keys)
+            words, contexts, _ = tokens(pdf["text"].tolist())
+            held.append((words, contexts))
+            n += len(words)
             if n >= FLUSH:
                 yield rows(held)
                 held, n = [], 0
@@ -115,17 +136,17 @@ def _count(buckets: int):
 
 
 def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row per bucket; equal keys are added up as they come, so a frequent word stays one entry per context."""
+    """One row per bucket; equal pairs are added up as they come, so a frequent pair stays one entry."""
     held: dict[int, list] = {}
     for pdf in batches:
-        for b, k, c in zip(pdf["bucket"], pdf["keys"], pdf["counts"], strict=True):
+        for b, *arrays in zip(pdf["bucket"], pdf["words"], pdf["contexts"], pdf["counts"], strict=True):
             parts = held.setdefault(b, [])
-            parts.append((np.frombuffer(k, dtype=np.int64), np.frombuffer(c, dtype=np.int64)))
+            parts.append(tuple(np.frombuffer(x, dtype=np.int64) for x in arrays))
             if len(parts) >= 16:
                 held[b] = [_summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
     for b, parts in held.items():
-        keys, counts = _summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        yield pd.DataFrame({"bucket": [b], "keys": [keys.tobytes()], "counts": [counts.tobytes()]})
+        sums = _summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        yield pd.DataFrame([(b, *(x.tobytes() for x in sums))], columns=["bucket", "words", "contexts", "counts"])
     trim()
 
 
@@ -133,7 +154,7 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class Seating:
-    """Tables of many dishes: customers and tables per dish, and the size of every table in dish order."""
+    """Customer by customer, the reference of ``draw_tables``. Tables of many dishes: customers and tables per dish, and the size of every table in dish order."""
 
     def __init__(self, customers: np.ndarray, weight: np.ndarray, discount: float, rng: np.random.Generator):
         """Seat the customers in doubling blocks; ``weight`` is that of a new table."""
@@ -197,85 +218,182 @@ class Seating:
         return opened
 
 
+#: Up to so many customers the law of a dish's tables is tabulated; above, it is integrated numerically.
+EXACT = 1024
+
+
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """Stirling's series for x > 0, carried back from x + 8."""
+    back = sum(np.log(x + k) for k in range(8))
+    x = x + 8
+    return (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + 1 / (12 * x) - 1 / (360 * x**3) - back
+
+
+@functools.lru_cache(maxsize=4)
+def _log_ways(discount: float) -> np.ndarray:
+    """Row c - 1, column t - 1: log of the generalised Stirling number of c customers at t tables."""
+    out = np.full((EXACT, EXACT), -np.inf)
+    out[0, 0] = 0.0
+    for c in range(1, EXACT):
+        t = np.arange(1, c + 1)
+        out[c, :c] = out[c - 1, :c] + np.log(c - discount * t)
+        out[c, 1 : c + 1] = np.logaddexp(out[c, 1 : c + 1], out[c - 1, :c])
+    return out
+
+
+def _log_ways_of(c: np.ndarray, t: np.ndarray, discount: float) -> np.ndarray:
+    """The same for any c > EXACT: the coefficient of z^c in ((1 - (1 - z)^d) / d)^t, times c! / t!.
+
+    Cauchy's integral over z = exp(-w), w on a hyperbola through the saddle point that wraps the cut; where the
+    tables are so many that the integrand turns within the nodes, the saddle-point approximation.
+    """
+    log_mean = lambda y: np.log(discount) + np.log(-np.expm1(-y)) + (1 - discount) * y - np.log(-np.expm1(-discount * y))
+    want = np.log(c / t)
+    lo, hi = np.full(c.shape, 1e-12), (want - np.log(discount) + 1) / (1 - discount) + 1  # 1 - z = exp(-y)
+    for _ in range(45):
+        y = (lo + hi) / 2
+        below = log_mean(y) < want
+        lo, hi = np.where(below, y, lo), np.where(below, hi, y)
+    y = (lo + hi) / 2
+    out = _log_gamma(c + 1.0) - _log_gamma(t + 1.0)
+    many = t > c * (0.25 if discount < 0.6 else 0.9)
+    if many.any():
+        z, k, n = y[many], t[many], c[many]
+        slope = 1 / np.expm1(z) + 1 - discount - discount / np.expm1(discount * z)
+        spread = np.maximum(k * np.exp(log_mean(z)) * slope * np.expm1(z), 1e-300)
+        out[many] += k * np.log(-np.expm1(-discount * z) / discount) - n * np.log(-np.expm1(-z)) - 0.5 * np.log(2 * np.pi * spread)
+    if not many.all():
+        k, n = t[~many][:, None], c[~many][:, None]
+        angle, h = 0.8, 4.0 / 48
+        least = np.maximum(-np.log(-np.expm1(-y[~many])), 6 * (1 - np.sin(angle)) / c[~many])[:, None]
+        bend = least / (1 - np.sin(angle))
+        u = 1j * (np.arange(48) + 0.5) * h - angle
+        w = bend * (1 + np.sin(u))
+        value = k * np.log((1 - (-np.expm1(-w)) ** discount) / discount) + n * w
+        top = value.real.max(axis=1, keepdims=True)
+        total = (np.exp(value - top) * bend * 1j * np.cos(u)).sum(axis=1).imag * h / np.pi
+        out[~many] += top[:, 0] + np.log(np.abs(total))
+    return out
+
+
+def draw_tables(
+    customers: np.ndarray, others: np.ndarray, p: np.ndarray, gain: np.ndarray, less: np.ndarray, discount: float, rng: np.random.Generator
+) -> np.ndarray:
+    """Tables of every dish, drawn from their law: the ways to seat the customers at t tables, times the product
+    over k < t of (STRENGTH + discount * (others + k)) * (p + gain * (k - less)), the second term from k = 1 on.
+
+    ``others`` are the other tables of the restaurant, ``p`` the parent's probability of the word without this dish,
+    ``gain`` how much each of the dish's own customers there adds, ``less`` the discount if it opens a table there.
+    """
+    t = np.minimum(customers, 1).astype(np.int64)
+    ways = _log_ways(discount)
+    width = 2
+    while width <= EXACT:
+        some = np.flatnonzero((customers > width // 2) & (customers <= width))
+        k = np.arange(width)
+        for at in range(0, len(some), max(1, (1 << 19) // width)):
+            d = some[at : at + max(1, (1 << 19) // width)]
+            step = np.log(STRENGTH + discount * (others[d][:, None] + k))
+            step += np.log(p[d][:, None] + gain[d][:, None] * np.maximum(k - less[d][:, None], 0.0))
+            law = np.cumsum(step, axis=1) + ways[customers[d] - 1, :width]
+            law = np.cumsum(np.exp(law - law.max(axis=1, keepdims=True)), axis=1)
+            t[d] = 1 + (law < rng.random(len(d))[:, None] * law[:, -1:]).sum(axis=1)
+        width *= 2
+    hot = np.flatnonzero(customers > EXACT)
+    for at in range(0, len(hot), 512):
+        d = hot[at : at + 512]
+        c, base = customers[d].astype(float), STRENGTH / discount + others[d]
+        more = p[d] / gain[d] - less[d]
+
+        def law(t: np.ndarray, c=c, base=base, more=more, d=d) -> np.ndarray:
+            one = lambda x: x if t.ndim == 1 else x[:, None]
+            own = t * np.log(discount) + _log_gamma(one(base) + t) - _log_gamma(one(base))
+            parent = (t - 1) * np.log(one(gain[d])) + _log_gamma(one(more) + t) - _log_gamma(one(more) + 1)
+            return _log_ways_of(np.broadcast_to(one(c), t.shape), t, discount) + own + parent
+
+        lo, hi = np.ones(len(d)), c - 1  # the law rises up to its mode
+        while (lo < hi).any():
+            mid = np.floor((lo + hi) / 2)
+            rises = law(mid + 1) > law(mid)
+            lo, hi = np.where(rises & (lo < hi), mid + 1, lo), np.where(rises | (lo >= hi), hi, mid)
+        stride = np.ceil(8 * np.sqrt(lo) / 32)
+        grid = lo[:, None] + stride[:, None] * np.arange(-32, 33)
+        sound = (grid >= 1) & (grid < c[:, None])
+        values = np.where(sound, law(np.clip(grid, 1, c[:, None] - 1)), -np.inf)
+        upto = np.cumsum(np.exp(values - values.max(axis=1, keepdims=True)), axis=1)
+        cell = (upto < rng.random(len(d))[:, None] * upto[:, -1:]).sum(axis=1)
+        inside = np.floor(rng.random(len(d)) * stride) - np.floor((stride - 1) / 2)
+        t[d] = np.clip(grid[np.arange(len(d)), cell] + inside, 1, customers[d]).astype(np.int64)
+    return t
+
+
 @dataclass
 class Totals:
     """Counts over all training tokens, and the fixed parameters."""
 
     n: int  # tokens
     v: int  # words
-    context: np.ndarray  # customers per context
-    discount: float
+    context: np.ndarray  # customers per class: tables of its contexts
+    discount: float  # of the classes
     root_discount: float
-    tables: np.ndarray  # tables per context
+    tables: np.ndarray  # tables per class
     root_tables: float
+    leaf_discount: float = 0.5  # of the contexts
 
     def root(self, c: np.ndarray, t: np.ndarray) -> np.ndarray:
-        """Probability of words with c customers at t tables of the parent."""
+        """Probability of words with c customers at t tables of the root."""
         customers = float(self.tables.sum())
         new = (STRENGTH + self.root_discount * self.root_tables) / (self.v + 1)
         return (np.maximum(c - self.root_discount * t, 0.0) + new) / (STRENGTH + customers)
 
     def back_off(self) -> np.ndarray:
-        """Weight of the parent's probability per context."""
+        """Weight of the root's probability per class."""
         return (STRENGTH + self.discount * self.tables) / (STRENGTH + self.context)
 
 
-def _rounds(dishes: np.ndarray) -> Iterator[np.ndarray]:
-    """The dishes in rounds without repetition."""
-    while len(dishes):
-        _, first = np.unique(dishes, return_index=True)
-        yield dishes[first]
-        dishes = np.delete(dishes, first)
+class Bucket:
+    """The seating of one bucket's words: tables of the pairs, of the words in each class, and of the words in the root."""
 
+    def __init__(self, words: np.ndarray, contexts: np.ndarray, counts: np.ndarray):
+        self.counts = counts
+        self.keys, self.dish = np.unique(words | (contexts & _CLASS_MASK), return_inverse=True)
+        self.words, self.word = np.unique(self.keys & ~_CLASS_MASK, return_inverse=True)
+        # To begin with, one table per dish.
+        self.t = np.ones(len(words), dtype=np.int64)
+        self.class_t, self.root_t = np.ones(len(self.keys), dtype=np.int64), np.ones(len(self.words), dtype=np.int64)
 
-class Bucket:
-    """The seating of one bucket's words."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, totals: Totals, seed: int):
-        self.totals, rng = totals, np.random.default_rng(seed)
-        self.context = keys & _CLASS_MASK
-        self.words, self.word = np.unique(keys & ~_CLASS_MASK, return_inverse=True)
-        spread = np.bincount(self.word, minlength=len(self.words))
-        weight = (STRENGTH + totals.discount * totals.tables[self.context]) * totals.root(spread, np.ones(len(spread)))[self.word]
-        self.leaf = Seating(counts, weight, totals.discount, rng)
-        at_root = np.bincount(self.word, weights=self.leaf.t, minlength=len(self.words)).astype(np.int64)
-        self.root = Seating(at_root, self.root_weight(len(self.words)), totals.root_discount, rng)
-
-    def root_weight(self, n: int) -> np.ndarray:
-        return np.full(n, (STRENGTH + self.totals.root_discount * self.totals.root_tables) / (self.totals.v + 1))
-
-    def sweep(self) -> None:
-        """Reseat a random customer of every dish, here and in the parent."""
-        d = np.flatnonzero(self.leaf.c > 1)  # a single customer's table can only open again
-        closed = self.leaf.remove(d)
-        for words in _rounds(self.word[d[closed]]):
-            self.root.remove(words)
-        parent = self.totals.root(self.root.c, self.root.t)[self.word[d]]
-        tables = self.totals.tables[self.context[d]] - closed
-        opened = self.leaf.add(d, (STRENGTH + self.totals.discount * tables) * parent)
-        for words in _rounds(self.word[d[opened]]):
-            self.root.add(words, self.root_weight(len(words)))
-        several = np.flatnonzero(self.root.c > 1)
-        self.root.remove(several)
-        self.root.add(several, self.root_weight(len(several)))
-
-
-def _bucket_sums(pdf: pd.DataFrame) -> Iterator[dict]:
-    for k, c in zip(pdf["keys"], pdf["counts"], strict=True):
-        keys, counts = np.frombuffer(k, dtype=np.int64), np.frombuffer(c, dtype=np.int64)
-        words, word = np.unique(keys & ~_CLASS_MASK, return_inverse=True)
-        per_word = np.bincount(word, weights=counts).astype(np.int64)
-        context = keys & _CLASS_MASK
-        yield {
-            "n": int(counts.sum()),
-            "v": len(words),
-            "context": np.bincount(context, weights=counts, minlength=CLASSES).astype(np.int64),
-            "dishes": np.bincount(context, minlength=CLASSES),
-            "ones": int((counts == 1).sum()),
-            "twos": int((counts == 2).sum()),
-            "word_ones": int((per_word == 1).sum()),
-            "word_twos": int((per_word == 2).sum()),
-        }
+    def class_c(self) -> np.ndarray:
+        return np.bincount(self.dish, weights=self.t, minlength=len(self.keys)).astype(np.int64)
+
+    def root_c(self) -> np.ndarray:
+        return np.bincount(self.word, weights=self.class_t, minlength=len(self.words)).astype(np.int64)
+
+    def sweep(self, totals: Totals, tables: np.ndarray, rng: np.random.Generator) -> None:
+        """Seat all customers anew; ``tables`` are those of each pair's context, over all buckets."""
+        context = self.keys & _CLASS_MASK
+        class_c, root_c = self.class_c(), self.root_c()
+        # The parent without the dish: its customers there leave tables in proportion.
+        rest = class_c[self.dish] - self.t
+        rest_t = self.class_t[self.dish] * rest / class_c[self.dish]
+        word = self.word[self.dish]
+        rest_root = root_c[word] - (self.class_t[self.dish] - rest_t)
+        root = totals.root(rest_root, self.root_t[word] * rest_root / root_c[word])
+        at = context[self.dish]
+        size = STRENGTH + totals.context[at]
+        p = (np.maximum(rest - totals.discount * rest_t, 0) + (STRENGTH + totals.discount * totals.tables[at]) * root) / size
+        less = np.where(rest > 0, 0.0, totals.discount)
+        self.t = draw_tables(self.counts, tables - self.t, p, 1 / size, less, totals.leaf_discount, rng)
+
+        class_c = self.class_c()
+        rest = root_c[self.word] - self.class_t
+        p = totals.root(rest, self.root_t[self.word] * rest / root_c[self.word])
+        gain = np.full(len(p), 1 / (STRENGTH + totals.tables.sum()))
+        less = np.where(rest > 0, 0.0, totals.root_discount)
+        self.class_t = draw_tables(class_c, totals.tables[context] - self.class_t, p, gain, less, totals.discount, rng)
+
+        n = len(self.words)
+        base = np.full(n, 1 / (totals.v + 1))  # the base does not change with its draws
+        self.root_t = draw_tables(self.root_c(), totals.root_tables - self.root_t, base, base * 1e-12, np.zeros(n), totals.root_discount, rng)
 
 
 def _added(df: DataFrame, columns: dict[str, int]) -> dict[str, np.ndarray]:
@@ -292,7 +410,8 @@ def _discount(ones: float, twos: float) -> float:
 
 @dataclass
 class Model:
-    state: DataFrame  # per bucket: words, their count; dishes, customers and tables per sample; parent's per sample
+    state: DataFrame  # per bucket: pairs and their probabilities; the classes' and the root's dishes per sample; words' counts
+    contexts: DataFrame  # per part: contexts, their customers, their back-off weights per sample
     buckets: int
     samples: list[Totals]
     tokens_per_bucket: dict[int, int]
@@ -306,7 +425,76 @@ class Model:
         return self.samples[0].v
 
 
-_STATE = "bucket int, keys binary, counts binary, tables binary, root_c binary, root_t binary"
+_SEATED = "bucket int, words binary, contexts binary, counts binary, t binary, class_t binary, root_t binary"
+_SEATED_COLUMNS = [c.split()[0] for c in _SEATED.split(", ")]
+_STATE = "bucket int, pairs binary, pair_n binary, p_n binary, p binary, keys binary, class_c binary, class_t binary, root_c binary, root_t binary, word_n binary"
+
+
+def _arrays(row, *names: str) -> Iterator[np.ndarray]:
+    return (np.frombuffer(row[c], dtype=np.int64) for c in names)
+
+
+def _seating(row, keep: int) -> tuple[Bucket, np.ndarray, np.ndarray, np.ndarray]:
+    """The bucket of a row, and the tables of its seatings so far (at most ``keep``), the last one last."""
+    at = Bucket(*_arrays(row, "words", "contexts", "counts"))
+    kept = [x.reshape(-1, n) for x, n in zip(_arrays(row, "t", "class_t", "root_t"), (len(at.t), len(at.keys), len(at.words)), strict=True)]
+    at.t, at.class_t, at.root_t = (x[-1] for x in kept)
+    return at, *(x[-keep:] for x in kept)
+
+
+def _own_parts(contexts: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
+    """(distinct contexts, position of each entry among them, [(part, positions among them)])."""
+    own, index = np.unique(contexts, return_inverse=True)
+    return own, index, list(_parts(_bucket(own, buckets), buckets))
+
+
+def _exchange(seated: DataFrame, buckets: int, keep: int, whole: bool) -> DataFrame:
+    """Totals of the contexts: every bucket sends its sums to the contexts' parts, which add them up.
+
+    Gives them back to each bucket (bucket, part, t, c), in the order of the bucket's own distinct contexts; or
+    ``whole``: part, contexts, c and t of each part. c are customers, t tables per kept seating.
+    """
+
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for _, row in pdf.iterrows():
+                contexts, counts = _arrays(row, "contexts", "counts")
+                t = np.frombuffer(row["t"], dtype=np.int64).reshape(-1, len(contexts))[-keep:]
+                own, index, parts = _own_parts(contexts, buckets)
+                sums = np.stack([np.bincount(index, weights=x, minlength=len(own)) for x in (counts, *t)]).astype(np.int64)
+                yield pd.DataFrame(
+                    [(row["bucket"], part, own[p].tobytes(), sums[:, p].tobytes()) for part, p in parts],
+                    columns=["bucket", "part", "contexts", "sums"],
+                )
+        trim()
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        each = [np.frombuffer(x, dtype=np.int64) for x in pdf["contexts"]]
+        sums = np.concatenate([np.frombuffer(x, dtype=np.int64).reshape(-1, len(e)) for x, e in zip(pdf["sums"], each, strict=True)], axis=1)
+        own, index = np.unique(np.concatenate(each), return_inverse=True)
+        total = np.stack([np.bincount(index, weights=x, minlength=len(own)) for x in sums]).astype(np.int64)
+        part = pdf["part"].iloc[0]
+        if whole:
+            return pd.DataFrame([(part, own.tobytes(), total.tobytes())], columns=["part", "contexts", "sums"])
+        edges = np.r_[0, np.cumsum([len(e) for e in each])]
+        spans = zip(pdf["bucket"], edges, edges[1:], strict=False)
+        out = pd.DataFrame([(b, part, total[:, index[lo:hi]].tobytes()) for b, lo, hi in spans], columns=["bucket", "part", "sums"])
+        trim()
+        return out
+
+    sent = seated.select("bucket", "contexts", "counts", "t").mapInPandas(send, "bucket int, part int, contexts binary, sums binary")
+    return sent.groupBy("part").applyInPandas(add, "part int, contexts binary, sums binary" if whole else "bucket int, part int, sums binary")
+
+
+def _received(contexts: np.ndarray, replies: pd.DataFrame, buckets: int) -> np.ndarray:
+    """Rows of sums (customers, tables per seating), one column per entry of ``contexts``."""
+    own, index, parts = _own_parts(contexts, buckets)
+    by_part = dict(zip(replies["part"], replies["sums"], strict=True))
+    first = np.frombuffer(by_part[parts[0][0]], dtype=np.int64)
+    out = np.empty((len(first) // len(parts[0][1]), len(own)), dtype=np.int64)
+    for part, p in parts:
+        out[:, p] = np.frombuffer(by_part[part], dtype=np.int64).reshape(-1, len(p))
+    return out[:, index]
 
 
 def fit(docs: DataFrame, burn_in: int = 2, samples: int = 2, seed: int = 8) -> Model:
@@ -314,190 +502,236 @@ def fit(docs: DataFrame, burn_in: int = 2, samples: int = 2, seed: int = 8) -> M
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     # A dish takes some tokens of some bytes: a bucket of this many bytes stays below BUCKET_DISHES.
-    buckets = max(1, -(-size // (BUCKET_DISHES * 32)))
+    buckets = max(1, -(-size // (BUCKET_DISHES * 16)))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets)
-    rows = docs.select("text").mapInPandas(_count(buckets), "bucket int, keys binary, counts binary")
-    merged = rows.repartition(parts, "bucket").mapInPandas(_merge, "bucket int, keys binary, counts binary")
-    counts = stored(merged, "counts")
+    merged = docs.select("text").mapInPandas(_count(buckets), _COUNTS).repartition(parts, "bucket").mapInPandas(_merge, _COUNTS)
 
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def begun(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for b, s in zip(pdf["bucket"], _bucket_sums(pdf), strict=True):
-                flat = [s["n"], s["v"], s["ones"], s["twos"], s["word_ones"], s["word_twos"]]
-                yield pd.DataFrame({"bucket": [b], "flat": [flat], "context": [s["context"]], "dishes": [s["dishes"]]})
-
-    stats = stored(counts.mapInPandas(sums, "bucket int, flat array<long>, context array<long>, dishes array<long>"), "stats")
-    s = _added(stats, {"flat": 6, "context": CLASSES, "dishes": CLASSES})
-    per_bucket = {r["bucket"]: r["n"] for r in stats.select("bucket", F.get("flat", F.lit(0)).alias("n")).collect()}  # one number per bucket
-    n, v, ones, twos, word_ones, word_twos = s["flat"]
-    start = Totals(
-        int(n), int(v), s["context"], _discount(ones, twos), _discount(word_ones, word_twos), tables=s["dishes"], root_tables=float(v)
-    )
+            for _, row in pdf.iterrows():
+                at = Bucket(*_arrays(row, "words", "contexts", "counts"))
+                tables = (x.tobytes() for x in (at.t, at.class_t, at.root_t))
+                yield pd.DataFrame([(*row[["bucket", "words", "contexts", "counts"]], *tables)], columns=_SEATED_COLUMNS)
+        trim()
+
+    seated = stored(merged.mapInPandas(begun, _SEATED), "seated")
 
-    def seated(totals: Totals, sweeps: int, keep: int):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def stats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for _, row in pdf.iterrows():
+                at = Bucket(*_arrays(row, "words", "contexts", "counts"))
+                levels = (at.counts, at.class_c(), at.root_c())
+                flat = [int(at.counts.sum()), len(at.words), *(int((c == k).sum()) for c in levels for k in (1, 2))]
+                yield pd.DataFrame({"bucket": [row["bucket"]], "flat": [flat]})
+        trim()
+
+    per_row = stored(seated.select("bucket", "words", "contexts", "counts").mapInPandas(stats, "bucket int, flat array<long>"), "stats")
+    flat = _added(per_row, {"flat": 8})["flat"]
+    per_bucket = {r["bucket"]: r["n"] for r in per_row.select("bucket", F.get("flat", F.lit(0)).alias("n")).collect()}  # one number per bucket
+    n, v = int(flat[0]), int(flat[1])
+    leaf, of_class, of_root = (_discount(*flat[i : i + 2]) for i in (2, 4, 6))
+
+    def totals_of(seated: DataFrame, keep: int) -> list[Totals]:
+        def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                for b, k, c in zip(pdf["bucket"], pdf["keys"], pdf["counts"], strict=True):
-                    keys, customers = np.frombuffer(k, dtype=np.int64), np.frombuffer(c, dtype=np.int64)
-                    at = Bucket(keys, customers, totals, seed * 1_000_003 + int(b))
-                    tables, root_c, root_t = [], [], []
-                    for sweep in range(sweeps + 1):
-                        if sweep:
-                            at.sweep()
-                        if sweep > sweeps - keep:
-                            tables.append(at.leaf.t.astype(np.int32))
-                            root_c.append(at.root.c.astype(np.int32))
-                            root_t.append(at.root.t.astype(np.int32))
+                for _, row in pdf.iterrows():
+                    at, t, class_t, root_t = _seating(row, keep)
+                    context = at.keys & _CLASS_MASK
+                    c = [np.bincount(context[at.dish], weights=x, minlength=CLASSES) for x in t]
+                    per_class = [np.bincount(context, weights=x, minlength=CLASSES) for x in class_t]
                     yield pd.DataFrame(
-                        [(b, k, c, *(np.concatenate(x).tobytes() for x in (tables, root_c, root_t)))],
-                        columns=["bucket", "keys", "counts", "tables", "root_c", "root_t"],
+                        {x: [np.concatenate(y).astype(np.int64)] for x, y in (("c", c), ("tables", per_class))} | {"root": [root_t.sum(axis=1)]}
                     )
-                    del at, tables, root_c, root_t
             trim()
 
+        out = _added(
+            seated.mapInPandas(sums, "c array<long>, tables array<long>, root array<long>"), {"c": keep * CLASSES, "tables": keep * CLASSES, "root": keep}
+        )
+        of = lambda name, i: out[name][i * CLASSES : (i + 1) * CLASSES]
+        return [Totals(n, v, of("c", i), of_class, of_root, of("tables", i), float(out["root"][i]), leaf) for i in range(keep)]
+
+    def swept(number: int, totals: Totals, keep: int):
+        def run(key, state: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+            row = state.iloc[0]
+            at, *kept = _seating(row, keep)
+            (contexts,) = _arrays(row, "contexts")
+            rng = np.random.default_rng([seed, number, int(key[0])])
+            at.sweep(totals, _received(contexts, replies, buckets)[-1], rng)
+            now = (at.t, at.class_t, at.root_t)
+            tables = (np.concatenate([*old, new] if keep > 1 else [new]).tobytes() for old, new in zip(kept, now, strict=True))
+            out = pd.DataFrame([(*row[["bucket", "words", "contexts", "counts"]], *tables)], columns=state.columns)
+            trim()
+            return out
+
         return run
 
-    def table_sums(keep: int):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for k, t, r in zip(pdf["keys"], pdf["tables"], pdf["root_t"], strict=True):
-                    context = np.frombuffer(k, dtype=np.int64) & _CLASS_MASK
-                    tables = np.frombuffer(t, dtype=np.int32).reshape(keep, -1)
-                    root = np.frombuffer(r, dtype=np.int32).reshape(keep, -1)
-                    sums = [np.bincount(context, weights=x, minlength=CLASSES) for x in tables]
-                    yield pd.DataFrame(
-                        {"tables": [np.concatenate(sums).astype(np.int64)], "root": [root.sum(axis=1, dtype=np.int64)]}
-                    )
+    for number in range(burn_in + samples):
+        replies = _exchange(seated, buckets, 1, whole=False)
+        step = swept(number, totals_of(seated, 1)[0], max(number - burn_in, 0) + 1)
+        seated = stored(seated.groupBy("bucket").cogroup(replies.groupBy("bucket")).applyInPandas(step, _SEATED), "seated")
+    every = totals_of(seated, samples)
+
+    def finished(key, state: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+        row = state.iloc[0]
+        words, contexts = _arrays(row, "words", "contexts")
+        at, t, class_t, root_t = _seating(row, samples)
+        sums = _received(contexts, replies, buckets)
+        class_c = np.stack([np.bincount(at.dish, weights=x, minlength=len(at.keys)) for x in t]).astype(np.int64)
+        root_c = np.stack([np.bincount(at.word, weights=x, minlength=len(at.words)) for x in class_t]).astype(np.int64)
+        word = at.word[at.dish]
+        word_n = np.bincount(word, weights=at.counts, minlength=len(at.words)).astype(np.int64)
+        out = {"keys": at.keys, "class_c": class_c, "class_t": class_t, "root_c": root_c, "root_t": root_t, "word_n": word_n}
+        out = {k: x.tobytes() for k, x in out.items()}
+        of_class = _Words(out, every).by_sample(at.keys)[:, at.dish]
+        p = np.zeros(len(words))
+        for s in range(samples):
+            own = np.maximum(at.counts - leaf * t[s], 0.0) + (STRENGTH + leaf * sums[1 + s]) * of_class[s]
+            p += own / (STRENGTH + sums[0]) / samples
+        out |= {"bucket": row["bucket"], "pairs": _pair(words, contexts).tobytes(), "pair_n": at.counts.tobytes()}
+        out |= {"p_n": word_n[word].tobytes(), "p": p.tobytes()}
+        trim()
+        return pd.DataFrame([out])[[c.split()[0] for c in _STATE.split(", ")]]
 
-        return run
+    replies = _exchange(seated, buckets, samples, whole=False)
+    state = stored(seated.groupBy("bucket").cogroup(replies.groupBy("bucket")).applyInPandas(finished, _STATE), "state")
 
-    def totals_of(state: DataFrame, keep: int) -> list[Totals]:
-        out = _added(state.mapInPandas(table_sums(keep), "tables array<long>, root array<long>"), {"tables": keep * CLASSES, "root": keep})
-        return [
-            Totals(start.n, start.v, start.context, start.discount, start.root_discount, out["tables"][i * CLASSES : (i + 1) * CLASSES], float(out["root"][i]))
-            for i in range(keep)
-        ]
+    def back_off(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for part, contexts, sums in zip(pdf["part"], pdf["contexts"], pdf["sums"], strict=True):
+                c, *t = np.frombuffer(sums, dtype=np.int64).reshape(samples + 1, -1)
+                weight = (STRENGTH + leaf * np.stack(t)) / (STRENGTH + c)
+                yield pd.DataFrame([(part, contexts, c.tobytes(), weight.tobytes())], columns=["part", "contexts", "c", "weight"])
 
-    begun = totals_of(counts.mapInPandas(seated(start, 0, 1), _STATE), 1)[0]
-    state = stored(counts.mapInPandas(seated(begun, burn_in + samples, samples), _STATE), "state")
-    return Model(state, buckets, totals_of(state, samples), per_bucket)
+    contexts = _exchange(seated, buckets, samples, whole=True).mapInPandas(back_off, "part int, contexts binary, c binary, weight binary")
+    return Model(state, stored(contexts, "contexts"), buckets, every, per_bucket)
 
 
 class _Words:
-    """Probabilities of one bucket's words, averaged over the samples."""
+    """Probabilities of one bucket's words in the classes, and of its pairs."""
 
     def __init__(self, row, samples: list[Totals]):
         self.samples = samples
-        self.keys = np.frombuffer(row["keys"], dtype=np.int64)
-        counts = np.frombuffer(row["counts"], dtype=np.int64)
-        tables = np.frombuffer(row["tables"], dtype=np.int32).reshape(len(samples), -1)
-        self.words, word = np.unique(self.keys & ~_CLASS_MASK, return_inverse=True)
-        self.count = np.bincount(word, weights=counts, minlength=len(self.words)).astype(np.int64)
-        root_c = np.frombuffer(row["root_c"], dtype=np.int32).reshape(len(samples), -1)
-        root_t = np.frombuffer(row["root_t"], dtype=np.int32).reshape(len(samples), -1)
-        self.root = np.stack([s.root(c, t) for s, c, t in zip(samples, root_c, root_t, strict=True)])
+        per = lambda name: np.frombuffer(row[name], dtype=np.int64).reshape(len(samples), -1)
+        self.keys, self.count = _arrays(row, "keys", "word_n")
+        self.words = np.unique(self.keys & ~_CLASS_MASK)
+        self.root = np.stack([s.root(c, t) for s, c, t in zip(samples, per("root_c"), per("root_t"), strict=True)])
         context = self.keys & _CLASS_MASK
-        own = [np.maximum(counts - s.discount * t, 0.0) / (STRENGTH + s.context[context]) for s, t in zip(samples, tables, strict=True)]
-        self.own = np.mean(own, axis=0)
+        own = [np.maximum(c - s.discount * t, 0.0) / (STRENGTH + s.context[context]) for s, c, t in zip(samples, per("class_c"), per("class_t"), strict=True)]
+        self.own = np.stack(own)
         self.back_off = np.stack([s.back_off() for s in samples])
 
-    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(training count of the word, probability in the context) of word | context keys."""
-        word, context = keys & ~_CLASS_MASK, keys & _CLASS_MASK
-        p = np.zeros(len(keys))
-        count = np.zeros(len(keys), dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.words, word), max(len(self.words) - 1, 0))
-        known = self.words[at] == word if len(self.words) else np.zeros(len(keys), dtype=bool)
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position, whether there) of words."""
+        at = np.minimum(np.searchsorted(self.words, words), max(len(self.words) - 1, 0))
+        return at, (self.words[at] == words) if len(self.words) else np.zeros(len(words), dtype=bool)
+
+    def by_sample(self, keys: np.ndarray) -> np.ndarray:
+        """Probabilities of word | class keys in every sample."""
+        context = keys & _CLASS_MASK
+        at, known = self.find(keys & ~_CLASS_MASK)
+        p = np.zeros((len(self.samples), len(keys)))
         if len(self.words):
-            count = np.where(known, self.count[at], 0)
             dish = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            p = np.where(self.keys[dish] == keys, self.own[dish], 0.0)
+            p += np.where(self.keys[dish] == keys, self.own[:, dish], 0.0)
         for s, totals in enumerate(self.samples):
             unknown = totals.root(np.zeros(1), np.zeros(1))[0]
-            root = np.where(known, self.root[s][at], unknown) if len(self.words) else unknown
-            p += self.back_off[s][context] * root / len(self.samples)
-        return count, p
+            p[s] += self.back_off[s][context] * (np.where(known, self.root[s][at], unknown) if len(self.words) else unknown)
+        return p
+
+    def counts(self, words: np.ndarray) -> np.ndarray:
+        """Training counts of words."""
+        at, known = self.find(words)
+        return np.where(known, self.count[at], 0) if len(self.words) else np.zeros(len(words), dtype=np.int64)
+
+    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(training count of the word, probability in the class) of word | class keys."""
+        return self.counts(keys & ~_CLASS_MASK), self.by_sample(keys).mean(axis=0)
 
 
 def _base(count: np.ndarray, n: int, v: int) -> np.ndarray:
     return np.log10((count + 0.1) / (n + 0.1 * (v + 1)))
 
 
-def _frequent(model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(sorted words, their counts, log10 probabilities per context) of the frequent words."""
+def _frequent(model: Model) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """(sorted pairs, their words' counts, log10 probabilities) and (sorted contexts, back-off weights) of the frequent."""
     samples, least = model.samples, max(1.0, model.n / MAX_FREQUENT)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for _, row in pdf.iterrows():
-                words = _Words(row, samples)
-                some = np.flatnonzero(words.count >= least)
-                if not len(some):
-                    continue
-                keys = (words.words[some][:, None] | np.arange(CLASSES)).ravel()
-                p = np.log10(words.look_up(keys)[1]).reshape(-1, CLASSES)
-                yield pd.DataFrame({"word": words.words[some], "count": words.count[some], "p": list(p)})
+                own, n, word_n = _arrays(row, "pairs", "pair_n", "p_n")
+                p = np.frombuffer(row["p"], dtype=np.float64)
+                some = np.flatnonzero(n >= least)
+                yield pd.DataFrame({"pair": own[some], "count": word_n[some], "p": np.log10(p[some])})
 
-    got = model.state.mapInPandas(run, "word long, count long, p array<double>").toPandas()  # at most MAX_FREQUENT rows
-    got = got.sort_values("word")
-    p = np.stack(got["p"].to_numpy()) if len(got) else np.zeros((0, CLASSES))
-    return got["word"].to_numpy(dtype=np.int64), got["count"].to_numpy(dtype=np.int64), p
+    def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for _, row in pdf.iterrows():
+                own, c = _arrays(row, "contexts", "c")
+                weight = np.frombuffer(row["weight"], dtype=np.float64).reshape(len(samples), -1)
+                some = np.flatnonzero(c >= least)
+                if len(some):
+                    yield pd.DataFrame({"context": own[some], "weight": list(weight[:, some].T)})
+
+    # At most MAX_FREQUENT rows each.
+    got = model.state.select("pairs", "pair_n", "p_n", "p").mapInPandas(pairs, "pair long, count long, p double").toPandas().sort_values("pair")
+    those = model.contexts.mapInPandas(contexts, "context long, weight array<double>").toPandas().sort_values("context")
+    weight = np.stack(those["weight"].to_numpy(), axis=1) if len(those) else np.zeros((len(samples), 0))
+    return (
+        (got["pair"].to_numpy(dtype=np.int64), got["count"].to_numpy(dtype=np.int64), got["p"].to_numpy(dtype=np.float64)),
+        (those["context"].to_numpy(dtype=np.int64), weight),
+    )
 
 
-def _find(words: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.minimum(np.searchsorted(words, keys & ~_CLASS_MASK), max(len(words) - 1, 0))
-    return at, (words[at] == keys & ~_CLASS_MASK) if len(words) else np.zeros(len(keys), dtype=bool)
+def _find(own: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.minimum(np.searchsorted(own, keys), max(len(own) - 1, 0))
+    return at, (own[at] == keys) if len(own) else np.zeros(len(keys), dtype=bool)
 
 
 def score(model: Model, docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(_frequent(model))  # MAX_FREQUENT words
+    shared = spark.sparkContext.broadcast(_frequent(model))  # MAX_FREQUENT pairs and contexts
     n, v, buckets, samples = model.n, model.v, model.buckets, model.samples
     id_mark = F.coalesce(F.col("doc_id").cast("string"), F.lit("\0"))
     marked = docs.select("doc_id", "text", F.xxhash64(id_mark, F.coalesce("text", F.lit("\0"))).alias("mark"))
 
     @F.pandas_udf("n_tokens long, n_known long, base double, p double")
     def frequent_part(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        words, count, log_p = shared.value
+        pairs, count, log_p = shared.value[0]
         for texts in batches:
             out = [pd.DataFrame({"n_tokens": [], "n_known": [], "base": [], "p": []})]
             for block in blocks(iter([texts.to_frame("text")])):
-                keys, per_text = tokens(block["text"].tolist())
-                at, found = _find(words, keys)
-                text = np.repeat(np.arange(len(per_text)), per_text)[found]
-                at, context = at[found], keys[found] & _CLASS_MASK
+                words, contexts, per_text = tokens(block["text"].tolist())
+                at, found = _find(pairs, _pair(words, contexts))
+                text, at = np.repeat(np.arange(len(per_text)), per_text)[found], at[found]
                 total = lambda x: np.bincount(text, weights=x, minlength=len(per_text))  # noqa: E731, B023
                 known = total(np.ones(len(text))).astype(np.int64)
-                out.append(
-                    pd.DataFrame({"n_tokens": per_text, "n_known": known, "base": total(_base(count[at], n, v)), "p": total(log_p[at, context])})
-                )
+                out.append(pd.DataFrame({"n_tokens": per_text, "n_known": known, "base": total(_base(count[at], n, v)), "p": total(log_p[at])}))
             yield pd.concat(out[1:] or out, ignore_index=True)
 
     def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, _, _ = shared.value
+        pairs = shared.value[0][0]
         held, marks, size = [], [], 0
 
         def rows() -> pd.DataFrame:
-            keys, text = (np.concatenate(x) for x in zip(*held, strict=True))
+            words, contexts, text = (np.concatenate(x) for x in zip(*held, strict=True))
             all_marks = np.concatenate(marks)
             chunk = int(mix(np.array([mix(all_marks).sum(dtype=np.uint64)])).view(np.int64)[0])
-            at = _bucket(keys, buckets)
-            order = np.argsort(at, kind="stable")
-            edges = np.searchsorted(at[order], np.arange(buckets + 1))
             out = []
-            for b in np.flatnonzero(np.diff(edges)):
-                part = order[edges[b] : edges[b + 1]]
+            for b, part in _parts(_bucket(words, buckets), buckets):
+                part = part[np.argsort(words[part], kind="stable")]
                 own, index = np.unique(text[part], return_inverse=True)
-                out.append((int(b), chunk, keys[part].tobytes(), index.astype(np.int32).tobytes(), all_marks[own].tobytes()))
-            return pd.DataFrame(out, columns=["bucket", "chunk", "keys", "text", "marks"])
+                arrays = (words[part], contexts[part], index.astype(np.int32), all_marks[own])
+                out.append((b, chunk, *(x.tobytes() for x in arrays)))
+            return pd.DataFrame(out, columns=["bucket", "chunk", "words", "contexts", "text", "marks"])
 
         first = 0
         for pdf in blocks(batches):
-            keys, per_text = tokens(pdf["text"].tolist())
-            _, found = _find(words, keys)
+            words, contexts, per_text = tokens(pdf["text"].tolist())
+            _, found = _find(pairs, _pair(words, contexts))
             text = np.repeat(np.arange(len(per_text)), per_text)
-            held.append((keys[~found], text[~found] + first))
+            held.append((words[~found], contexts[~found], text[~found] + first))
             marks.append(pdf["mark"].to_numpy(dtype=np.int64))
             first += len(per_text)
             size += int((~found).sum())
@@ -512,21 +746,60 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
     split = F.lit(1)
     for b, k in salts.items():
         split = F.when(F.col("bucket") == b, k).otherwise(split)
-    events = marked.select("text", "mark").mapInPandas(rest, "bucket int, chunk long, keys binary, text binary, marks binary")
+    events = marked.select("text", "mark").mapInPandas(rest, "bucket int, chunk long, words binary, contexts binary, text binary, marks binary")
     events = events.withColumn("salt", F.pmod(F.xxhash64("chunk"), split).cast("int"))
     state = model.state.withColumn("salt", F.explode(F.sequence(F.lit(0), split - 1)))
 
     def meet(key, tokens_: pd.DataFrame, state_: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        empty = np.zeros(0, dtype=np.int64).tobytes()
-        none = {"keys": empty, "counts": empty, "tables": b"", "root_c": b"", "root_t": b""}
-        words = _Words(state_.iloc[0] if len(state_) else none, samples)
-        for chunk, k, t, m in zip(tokens_["chunk"], tokens_["keys"], tokens_["text"], tokens_["marks"], strict=True):
+        """Sums per chunk and text; and, per part of the contexts, the tokens that wait for their context's weight."""
+        out, columns = [], ["chunk", "bucket", "marks", "n_known", "base", "p", "part", "contexts", "classes", "text", "size"]
+        if not len(tokens_):
+            return pd.DataFrame(out, columns=columns)
+        if len(state_):
+            row = state_.iloc[0]
+        else:
+            row = dict.fromkeys(("pairs", "p", "keys", "class_c", "class_t", "root_c", "root_t", "word_n"), b"")
+        known = _Words(row, samples)
+        (pairs,) = _arrays(row, "pairs")
+        order = np.argsort(pairs)
+        pairs, own_p = pairs[order], np.frombuffer(row["p"], dtype=np.float64)[order]
+        often, weight = shared.value[1]
+        for chunk, w, c, t, m in zip(tokens_["chunk"], tokens_["words"], tokens_["contexts"], tokens_["text"], tokens_["marks"], strict=True):
             text, marks = np.frombuffer(t, dtype=np.int32), np.frombuffer(m, dtype=np.int64)
-            count, p = words.look_up(np.frombuffer(k, dtype=np.int64))
+            words, contexts = np.frombuffer(w, dtype=np.int64), np.frombuffer(c, dtype=np.int64)
+            at, seen = _find(pairs, _pair(words, contexts))
+            p = own_p[at] if len(own_p) else np.ones(len(words))
+            new = np.flatnonzero(~seen)
+            of_class = known.by_sample(words[new] | (contexts[new] & _CLASS_MASK))
+            where, there = _find(often, contexts[new])
+            p[new[there]] = (weight[:, where[there]] * of_class[:, there]).mean(axis=0)
+            p[new[~there]] = 1.0
+            count = known.counts(words)
             total = lambda x: np.bincount(text, weights=x, minlength=len(marks))  # noqa: E731, B023
             sums = total(count > 0).astype(np.int32), total(_base(count, n, v)), total(np.log10(p))
-            out.append((chunk, key[0], m, *(x.tobytes() for x in sums)))
+            out.append((chunk, key[0], m, *(x.tobytes() for x in sums), None, None, None, None, 0))
+            new, of_class = new[~there], of_class[:, ~there]
+            for part, pos in _parts(_bucket(contexts[new], buckets), buckets):
+                own, index = np.unique(text[new[pos]], return_inverse=True)
+                arrays = contexts[new[pos]], np.ascontiguousarray(of_class[:, pos]), index.astype(np.int32)
+                out.append((chunk, key[0], marks[own].tobytes(), None, None, None, part, *(x.tobytes() for x in arrays), len(pos)))
+        trim()
+        return pd.DataFrame(out, columns=columns).astype({"part": "Int32"})
+
+    def weigh(key, waiting: pd.DataFrame, contexts_: pd.DataFrame) -> pd.DataFrame:
+        """Sums of the tokens that wait, their contexts' weights at hand; a context never seen leaves all to its class."""
+        out = []
+        own, weight = np.zeros(0, dtype=np.int64), np.zeros((len(samples), 0))
+        if len(contexts_):
+            (own,) = _arrays(contexts_.iloc[0], "contexts")
+            weight = np.frombuffer(contexts_["weight"].iloc[0], dtype=np.float64).reshape(len(samples), -1)
+        for chunk, bucket, m, c, p, t in zip(*(waiting[x] for x in ("chunk", "bucket", "marks", "contexts", "classes", "text")), strict=True):
+            text, size = np.frombuffer(t, dtype=np.int32), len(m) // 8
+            at, there = _find(own, np.frombuffer(c, dtype=np.int64))
+            of_class = np.frombuffer(p, dtype=np.float64).reshape(len(samples), -1)
+            both = (np.where(there, weight[:, at], 1.0) if len(own) else 1.0) * of_class
+            sums = np.zeros(size, dtype=np.int32), np.zeros(size), np.bincount(text, weights=np.log10(both.mean(axis=0)), minlength=size)
+            out.append((chunk, buckets + bucket, m, *(x.tobytes() for x in sums)))
         trim()
         return pd.DataFrame(out, columns=["chunk", "bucket", "marks", "n_known", "base", "p"])
 
@@ -539,9 +812,20 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
         total = {c: np.bincount(text, weights=flat[c], minlength=len(marks)) for c in ("n_known", "base", "p")}
         return pd.DataFrame({"mark": marks, "n_known": total["n_known"].astype(np.int64), "base": total["base"], "p": total["p"]})
 
-    sums = events.groupBy("bucket", "salt").cogroup(state.groupBy("bucket", "salt")).applyInPandas(
-        meet, "chunk long, bucket int, marks binary, n_known binary, base binary, p binary"
+    packed = "chunk long, bucket int, marks binary, n_known binary, base binary, p binary"
+    met = events.groupBy("bucket", "salt").cogroup(state.groupBy("bucket", "salt")).applyInPandas(
+        meet, f"{packed}, part int, contexts binary, classes binary, text binary, size long"
     )
+    met = stored(met, "met")
+    waiting = met.where("part IS NOT NULL")
+    many = waiting.groupBy("part").agg(F.sum("size").alias("n")).where(F.col("n") > BUCKET_TOKENS).collect()  # one number per part
+    split = F.lit(1)
+    for r in many:
+        split = F.when(F.col("part") == r["part"], -(-r["n"] // BUCKET_TOKENS)).otherwise(split)
+    waiting = waiting.withColumn("salt", F.pmod(F.xxhash64("chunk"), split).cast("int"))
+    weights = model.contexts.withColumn("salt", F.explode(F.sequence(F.lit(0), (split - 1).cast("int"))))
+    late = waiting.groupBy("part", "salt").cogroup(weights.groupBy("part", "salt")).applyInPandas(weigh, packed)
+    sums = met.where("part IS NULL").select(*late.columns).unionByName(late)
     # A chunk has at most FLUSH tokens (or one text), so it is a group of bounded size.
     sums = sums.groupBy("chunk").applyInPandas(gather, "mark long, n_known long, base double, p double")
     sums = sums.groupBy("mark").agg(F.sum("n_known").alias("rest_known"), F.sum("base").alias("rest_base"), F.sum("p").alias("rest_p"))

@@ -109,3 +109,40 @@ def test_no_training_text(spark):
     model = pitman_yor.fit(docs.where("false"))
     out = pitman_yor.score(model, docs).collect()
     assert len(out) == docs.count() and all(r["n_known"] == 0 and math.isfinite(r["score"]) for r in out)
+
+
+def test_contexts_are_the_preceding_words(spark):
+    """Two words with the same last three bytes foretell different words."""
+    rows = [("big kettle boils",)] * 300 + [("big nettle stings",)] * 300
+    model = pitman_yor.fit(spark.createDataFrame(rows, "text string"))
+    docs = spark.createDataFrame([(0, "kettle boils"), (1, "kettle stings"), (2, "nettle stings"), (3, "nettle boils")], "doc_id long, text string")
+    for most in (100_000, 0.5):
+        with_most, pitman_yor.MAX_FREQUENT = pitman_yor.MAX_FREQUENT, most
+        p = {r["doc_id"]: r["score"] for r in pitman_yor.score(model, docs).collect()}
+        pitman_yor.MAX_FREQUENT = with_most
+        assert p[0] > p[1] + 1 and p[2] > p[3] + 1
+    contexts = sum(len(r["contexts"]) // 8 for r in model.contexts.collect())
+    assert contexts == 6  # the start, and five words
+
+
+def test_probabilities_of_all_words_sum_to_one_after_real_words(spark):
+    model = _model(spark)
+    words = np.concatenate([pitman_yor._Words(r, model.samples).words for r in model.state.collect()])
+    bucket = {r["bucket"]: r for r in model.state.collect()}
+    part = {r["part"]: r for r in model.contexts.collect()}
+    contexts = np.concatenate([np.frombuffer(r["contexts"], dtype=np.int64) for r in part.values()])[:5]
+    for context in contexts:
+        row = next(r for r in part.values() if context in np.frombuffer(r["contexts"], dtype=np.int64))
+        at = np.frombuffer(row["contexts"], dtype=np.int64).tolist().index(context)
+        weight = np.frombuffer(row["weight"]).reshape(len(model.samples), -1)[:, at]
+        total, unknown = 0.0, None
+        for b in bucket.values():
+            known = pitman_yor._Words(b, model.samples)
+            of_class = known.by_sample(known.words | (context & (pitman_yor.CLASSES - 1)))
+            own = dict(zip(np.frombuffer(b["pairs"], dtype=np.int64).tolist(), np.frombuffer(b["p"]).tolist(), strict=True))
+            pairs = pitman_yor._pair(known.words, np.full(len(known.words), context))
+            total += sum(own.get(i, x) for i, x in zip(pairs.tolist(), weight @ of_class / len(weight), strict=True))
+            unknown = known.by_sample(np.array([np.int64(-(1 << 60)) & ~np.int64(31) | (context & 31)]))[:, 0]
+        total += float(weight @ unknown) / len(weight)
+        assert abs(total - 1) < 1e-9
+    assert len(words) == model.v
