@@ -146,3 +146,52 @@ def test_probabilities_of_all_words_sum_to_one_after_real_words(spark):
         total += float(weight @ unknown) / len(weight)
         assert abs(total - 1) < 1e-9
     assert len(words) == model.v
+
+
+def _law(customers, others, p, discount):
+    """Tables of a dish by adding its customers one by one; the weight of a seating is a product over its tables."""
+    ways = {1: 1.0}
+    for c in range(1, customers):
+        step = Counter()
+        for t, w in ways.items():
+            step[t + 1] += w
+            step[t] += w * (c - discount * t)
+        ways = step
+    law = {}
+    for t, w in ways.items():
+        law[t] = w * math.prod((pitman_yor.STRENGTH + discount * (others + k)) * p for k in range(t))
+    return {t: x / sum(law.values()) for t, x in law.items()}
+
+
+def test_a_sweep_reseats_all_customers_by_their_law(monkeypatch):
+    rng = np.random.default_rng(3)
+    n = 40_000
+    args = np.full(n, 7.0), np.full(n, 0.2), np.full(n, 1e-9), np.zeros(n), 0.6
+    law = _law(12, 7, 0.2, 0.6)
+    t = pitman_yor.draw_tables(np.full(n, 12), *args, rng)
+    assert all(abs((t == k).mean() - p) < 0.012 for k, p in law.items())
+    # The integral for many customers gives the tabulated law.
+    monkeypatch.setattr(pitman_yor, "EXACT", 64)
+    for discount in (0.1, 0.5, 0.9):
+        pitman_yor._log_ways.cache_clear()
+        n = 4000
+        args = np.full(n, 100.0), np.full(n, 0.05), np.full(n, 1e-9), np.zeros(n), discount
+        law = _law(150, 100, 0.05, discount)
+        t = pitman_yor.draw_tables(np.full(n, 150), *args, rng)
+        mean = sum(k * p for k, p in law.items())
+        assert abs(t.mean() - mean) < 0.25 and all(abs((t == k).mean() - p) < 0.04 for k, p in law.items())
+    pitman_yor._log_ways.cache_clear()
+
+
+def test_tables_of_hot_dishes_move_in_every_sweep():
+    """Dishes of a million customers: their tables are drawn anew, not four customers of them."""
+    word, context = np.array([32 * 5] * 2), np.array([32 * 9 + 1, 32 * 11 + 1])
+    tables = np.full(pitman_yor.CLASSES, 1e5)
+    totals = pitman_yor.Totals(10**8, 10**5, np.full(pitman_yor.CLASSES, 5e6), 0.6, 0.4, tables, 1e5, 0.7)
+    seen = set()
+    for seed in range(4):
+        at = pitman_yor.Bucket(word, context, np.array([1_000_000] * 2))
+        at.t[1] = 40_000  # the word has about one hundredth of the class
+        at.sweep(totals, np.array([50_000] * 2), np.random.default_rng(seed))
+        seen.add(int(at.t[0]))
+    assert len(seen) > 1 and min(seen) > 10
