@@ -16,6 +16,12 @@ A subtree is left out when its bound exceeds factor * (k-th best distance so
 far). With factor 1 that is the triangle inequality, and the search is exact;
 smaller factors visit less and may miss neighbours.
 
+Distances only prune, with a margin for their rounding, which grows with M;
+what is kept is decided by the products themselves, added up in double
+precision from the first component on, and ties go to the smaller id. As M
+sets the margin, a shard's vectors of far larger norm than its median have a
+tree of their own.
+
 Left out everywhere: null ids, null or zero vectors, vectors with null or
 non-finite components. Several rows of one id count as one (the smallest
 vector). Only vectors of a query's own length are its candidates. An empty
@@ -35,8 +41,12 @@ from pyspark.sql import functions as F
 from strata.llm.common import stored
 
 LEAF = 256
-#: Kept beyond the k wanted while searching: the query's own vector, and rounding of distances at the border.
-SPARE = 4
+#: Kept beyond the k wanted while searching: the query's own vector.
+SPARE = 1
+#: Norms above this multiple of the shard's median are searched apart.
+OUTLIER = 16
+#: Pairs whose products are added up at once.
+PAIRS = 1 << 15
 SHARD_ROWS = 8192
 QUERY_ROWS = 1024
 
@@ -82,37 +92,57 @@ def build(vectors: np.ndarray, leaf: int = LEAF) -> _Tree:
 
 
 class _Search:
-    """k nearest of one tree for a block of queries, all queries of a node at once."""
+    """k nearest of one tree for a block of queries, all queries of a node at once; ties go to the smaller of ``ids``."""
 
-    def __init__(self, tree: _Tree, queries: np.ndarray, k: int, factor: float):
-        self.tree, self.k, self.factor = tree, k, factor
+    def __init__(self, tree: _Tree, queries: np.ndarray, k: int, factor: float, ids: np.ndarray | None = None):
+        self.tree, self.k, self.factor, self.raw = tree, k, factor, queries
         self.queries = np.column_stack([queries, np.zeros(len(queries))])
-        self.best = np.full((len(queries), k), np.inf)
+        self.vectors = tree.points[:, :-1]
+        self.ids = np.asarray(tree.order if ids is None else ids[tree.order], dtype=np.int64)
+        self.score = np.full((len(queries), k), -np.inf)  # best first
         self.found = np.full((len(queries), k), -1)
-        self.worst = np.full(len(queries), np.inf)
+        self.id = np.full((len(queries), k), np.iinfo(np.int64).max)
+        # Bounds of rounding errors: sums of so many terms, of squares up to these.
+        error = 8 * (queries.shape[1] + 8) * np.finfo(float).eps
+        m2, q2 = (self.vectors * self.vectors).sum(axis=1).max(initial=0.0), (queries * queries).sum(axis=1)
+        self.square = q2 + m2
+        self.margin = error * np.sqrt(q2 * m2)  # of products
+        self.slack = error * (np.sqrt(q2) + np.sqrt(m2))  # of distances
+        self.slack2 = error * self.square  # of squared distances
         self.visited = 0
         self.visit(0, len(tree.points), np.arange(len(queries)))
 
-    def offer(self, q: np.ndarray, lo: int, hi: int, d: np.ndarray) -> None:
-        """Candidates lo..hi for the queries q, at distances d; only those nearer than a query's worst count."""
-        self.visited += d.size
-        better = (d < self.worst[q][:, None]).any(axis=1)
-        if not better.any():
+    def offer(self, q: np.ndarray, lo: int, hi: int) -> None:
+        """Candidates lo..hi for the queries q."""
+        self.visited += len(q) * (hi - lo)
+        near = self.raw[q] @ self.vectors[lo:hi].T
+        least = self.score[q, -1]
+        if hi - lo > self.k:
+            least = np.maximum(least, np.partition(near, hi - lo - self.k, axis=1)[:, hi - lo - self.k] - self.margin[q])
+        row, col = np.nonzero(~(near < (least - self.margin[q])[:, None]))
+        if not len(row):
             return
-        q, d, k = q[better], d[better], self.k
-        if d.shape[1] > k:
-            part = np.argpartition(d, k - 1, axis=1)[:, :k]
-            d, near = np.take_along_axis(d, part, 1), part + lo
-        else:
-            near = np.broadcast_to(np.arange(lo, hi), d.shape)
-        all_d = np.concatenate([self.best[q], d], axis=1)
-        all_i = np.concatenate([self.found[q], near], axis=1)
-        part = np.argpartition(all_d, k - 1, axis=1)[:, :k]
-        self.best[q], self.found[q] = np.take_along_axis(all_d, part, 1), np.take_along_axis(all_i, part, 1)
-        self.worst[q] = self.best[q].max(axis=1)
+        exact = np.concatenate(
+            [
+                np.cumsum(self.vectors[lo + col[at : at + PAIRS]] * self.raw[q[row[at : at + PAIRS]]], axis=1)[:, -1]
+                for at in range(0, len(row), PAIRS)
+            ]
+        )
+        some, row = np.unique(row, return_inverse=True)
+        q, k = q[some], self.k
+        rows = np.concatenate([np.repeat(np.arange(len(q)), k), row])
+        score = np.concatenate([self.score[q].ravel(), exact])
+        found = np.concatenate([self.found[q].ravel(), lo + col])
+        ids = np.concatenate([self.id[q].ravel(), self.ids[lo + col]])
+        order = np.lexsort((ids, -score, rows))
+        first = np.searchsorted(rows[order], np.arange(len(q)))
+        best = order[first[:, None] + np.arange(k)]
+        self.score[q], self.found[q], self.id[q] = score[best], found[best], ids[best]
 
     def reach(self, q: np.ndarray) -> np.ndarray:
-        return self.factor * self.worst[q] + 1e-9
+        """What the k-th best product so far is at most as a distance, times the factor."""
+        worst = np.sqrt(np.maximum(self.square[q] - 2 * self.score[q, -1] + self.slack2[q], 0))
+        return self.factor * worst + self.slack[q]
 
     def visit(self, lo: int, hi: int, q: np.ndarray) -> None:
         if not len(q) or lo >= hi:
@@ -120,21 +150,18 @@ class _Search:
         points = self.tree.points
         node = self.tree.vantage.get((lo, hi))
         if node is None:
-            x = points[lo:hi]
-            a = self.queries[q]
-            d2 = (a * a).sum(axis=1)[:, None] + (x * x).sum(axis=1)[None, :] - 2 * (a @ x.T)
-            self.offer(q, lo, hi, np.sqrt(np.maximum(d2, 0)))
+            self.offer(q, lo, hi)
             return
         median, split = node
         d = np.sqrt(((self.queries[q] - points[lo]) ** 2).sum(axis=1))
-        self.offer(q, lo, lo + 1, d[:, None])
+        self.offer(q, lo, lo + 1)
         inner_first = d <= median
         near, far = q[inner_first], q[~inner_first]
         self.visit(lo + 1, split, near)
         self.visit(split, hi, far)
         # The other half: no nearer than the distance to the border.
-        self.visit(split, hi, near[median - d[inner_first] <= self.reach(near)])
-        self.visit(lo + 1, split, far[d[~inner_first] - median <= self.reach(far)])
+        self.visit(split, hi, near[~(median - d[inner_first] > self.reach(near))])
+        self.visit(lo + 1, split, far[~(d[~inner_first] - median > self.reach(far))])
 
 
 def _pair(k: int, factor: float):
@@ -145,15 +172,21 @@ def _pair(k: int, factor: float):
         shard = shard.sort_values("mark", kind="stable")
         x = np.stack(shard["vector"].to_numpy())
         q = np.stack(queries["vector"].to_numpy())
-        search = _Search(build(x), q, min(k + SPARE, len(x)), factor)
-        found = search.tree.order[search.found]
-        # Added up from the first component on, whatever the position of the pair.
-        score = np.stack([np.cumsum(x[f] * v, axis=1)[:, -1] for f, v in zip(found, q, strict=True)])
         ids = shard["ids"].to_numpy()
-        rows = np.repeat(np.arange(len(q)), found.shape[1])
-        hit = pd.DataFrame(
-            {"query_id": queries["vec_id"].to_numpy()[rows], "vec_id": ids[found.ravel()], "score": score.ravel()}
-        ).explode("vec_id")
+        least_id = np.array([i[0] for i in ids], dtype=np.int64)
+        norm = np.sqrt((x * x).sum(axis=1))
+        apart = norm > OUTLIER * np.median(norm)
+        hits = []
+        for part in (np.flatnonzero(~apart), np.flatnonzero(apart)):
+            if not len(part):
+                continue
+            search = _Search(build(x[part]), q, min(k + SPARE, len(part)), factor, least_id[part])
+            rows, at = np.nonzero(search.found >= 0)
+            own = part[search.tree.order[search.found[rows, at]]]
+            hits.append(
+                pd.DataFrame({"query_id": queries["vec_id"].to_numpy()[rows], "vec_id": ids[own], "score": search.score[rows, at]})
+            )
+        hit = pd.concat(hits, ignore_index=True).explode("vec_id")
         hit = hit[hit["vec_id"] != hit["query_id"]].astype({"vec_id": np.int64})
         hit = hit.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
         return hit.groupby("query_id").head(k)

@@ -80,3 +80,26 @@ def test_relaxed_pruning_visits_less():
     recall = np.mean([len(set(a) & set(b)) / 8 for a, b in zip(exact.found, relaxed.found, strict=True)])
     assert relaxed.visited < exact.visited < 100 * 4000
     assert 0.85 < recall < 1
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_ties_of_many_distinct_vectors_go_to_the_smaller_id(spark, seed):
+    """One-hot and quantised vectors: hundreds share the product at the border."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(300):
+        v = [0.0] * 40
+        v[i % 40] = 1.0 + i // 40  # one-hot, of different lengths: all products are 0 but a few
+        rows.append((i, v, 0))
+    rows += [(300 + i, [float(rng.randint(-1, 1)) for _ in range(40)], 0) for i in range(100)]
+    rng.shuffle(rows)
+    rows = [(k, v, 0) for k, (_, v, _) in enumerate(rows) if any(v)]
+    got = _found(vptree.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 4 == 0, k=10))
+    assert got == _brute(rows, 10, 4)
+
+
+def test_one_huge_norm_does_not_blur_the_others(spark):
+    rows = _rows(600, 8, random.Random(9))
+    rows.append((600, [1e8] + [0.0] * 7, 0))
+    got = _found(vptree.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 7 == 0, k=5))
+    assert got == _brute(rows, 5, 7)
