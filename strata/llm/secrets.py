@@ -8,13 +8,17 @@ find: per kind, a prefix tree of a bounded sample of distinct values (characters
 mapped to classes) is generalised by merging statistically compatible states
 (the Hoeffding test on end and symbol frequencies, recursively, in red-blue
 order) into a probabilistic automaton. A background automaton is inferred from
-ordinary tokens in the same way. Every token of the text is a candidate; its
+ordinary tokens in the same way. Candidates are the maximal runs of the
+characters that credentials are made of, and within each run what lies between
+its marks ``. / =``: one part or several neighbouring ones, up to as many as a
+learned credential has; ``:`` and all other characters end a run. A candidate's
 score is the log2 likelihood of the best format against the background per
-character. A candidate is added as kind ``format`` when it touches no base
-span, its score is at least ``margin``, and its own likelihood under that
-format is at most ``slack`` bits per character below that of the least likely
-twentieth of the credentials. (Ordinary tokens may hold unmarked credentials,
-so they set no threshold themselves.)
+character. It is found when it touches no base span, its score is at least
+``margin``, and its own likelihood under that format is at most ``slack`` bits
+per character below that of the least likely twentieth of the credentials.
+(Ordinary tokens may hold unmarked credentials, so they set no threshold
+themselves.) Of overlapping finds that with the most bits in all stays; finds
+are added as kind ``format``.
 
 Null texts count as empty. Empty tables, or tables without credentials, give
 base spans only. Rows are independent, so repeated rows repeat their result.
@@ -41,8 +45,19 @@ BASE = (
 FORMAT = "format"
 _RULES = [(kind, re.compile(p), group, least) for kind, p, group, least in BASE]
 _RANK = {kind: k for k, (kind, *_) in enumerate(BASE)} | {FORMAT: len(BASE)}
-#: Candidates and background tokens.
-_TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
+#: Runs that hold candidates and background tokens, the marks between their parts, and a candidate's least length.
+_LEAST = 12
+_TOKEN = re.compile(rf"[A-Za-z0-9+/_.=-]{{{_LEAST},}}")
+_PART = re.compile(r"[^./=]+(?:=+(?=[./]|$))?")  # padding belongs to its part
+
+
+def pieces(run: str, most: int) -> list[tuple[int, int]]:
+    """(start, end) of the run less dots at its ends, and of one to ``most`` neighbouring parts, of at least _LEAST characters."""
+    parts = [m.span() for m in _PART.finditer(run)]
+    out = {(len(run) - len(run.lstrip(".")), len(run.rstrip(".")))}
+    for i, (start, _) in enumerate(parts):
+        out.update((start, end) for _, end in parts[i : i + most])
+    return sorted((a, b) for a, b in out if b - a >= _LEAST)
 
 
 def base_spans(text: str | None) -> list[tuple[str, int, int, str]]:
@@ -177,6 +192,7 @@ class Formats:
     kinds: dict[str, tuple[Automaton, float]]  # automaton, least likelihood of its own credentials
     background: Automaton | None
     least_score: float
+    most_parts: int = 1  # parts of a credential between marks
 
     def score(self, token: str) -> float | None:
         """Score of a candidate that some format explains well enough, else None."""
@@ -196,8 +212,10 @@ def _training(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             rows.update((kind, value) for kind, _, _, value in spans)
             covered = [(s, e) for _, s, e, _ in spans]
             for m in _TOKEN.finditer(text or ""):
-                if not any(s < m.end() and m.start() < e for s, e in covered):
-                    rows.add(("", m.group()))
+                for a, b in pieces(m.group(), 1):
+                    start, end = m.start() + a, m.start() + b
+                    if not any(s < end and start < e for s, e in covered):
+                        rows.add(("", text[start:end]))
         yield pd.DataFrame(sorted(rows), columns=["kind", "value"])
 
 
@@ -230,18 +248,27 @@ def fit(docs: DataFrame, sample: int = 2000, background: int = 4000, margin: flo
             automaton = infer(words)
             own = sorted(automaton.likelihood(w) for w in words)
             kinds[kind] = (automaton, own[len(own) // 20] - slack)
-    return Formats(kinds, plain, margin)
+    most = max((len(_PART.findall(v)) for kind, *_ in BASE for v in by.get(kind, [])), default=1)
+    return Formats(kinds, plain, margin, max(most, 1))
 
 
 def scan(text: str | None, formats: Formats) -> list[tuple[str, int, int, float | None]]:
     """All spans (kind, start, end, score of learned ones) by start, then kind."""
     base = base_spans(text)
     out = [(kind, s, e, None) for kind, s, e, _ in base]
+    found = []
     for m in _TOKEN.finditer(text or ""):
-        score = formats.score(m.group())
-        if score is not None and score >= formats.least_score:
-            if not any(s < m.end() and m.start() < e for _, s, e, _ in base):
-                out.append((FORMAT, m.start(), m.end(), score))
+        for a, b in pieces(m.group(), formats.most_parts):
+            score = formats.score(m.group()[a:b])
+            if score is not None and score >= formats.least_score:
+                start, end = m.start() + a, m.start() + b
+                if not any(s < end and start < e for _, s, e, _ in base):
+                    found.append((score * (end - start + 1), start, end, score))
+    taken: list[tuple[int, int]] = []
+    for _, start, end, score in sorted(found, key=lambda f: (-f[0], f[1], f[2])):
+        if not any(s < end and start < e for s, e in taken):
+            taken.append((start, end))
+            out.append((FORMAT, start, end, score))
     return sorted(out, key=lambda s: (s[1], _RANK[s[0]]))
 
 

@@ -50,3 +50,23 @@ def test_redaction(spark):
     formats = secrets.fit(docs)
     out = docs.withColumn("s", secrets.find_secrets(formats, F.col("text"), spark)).select(secrets.redact(F.col("text"), F.col("s")).alias("t"))
     assert {r["t"] for r in out.collect()} == {"key [assign] end", None, "clean", "[access] [assign]"}
+
+
+def test_dotted_and_prefixed_credentials_are_found(spark):
+    """Unmarked credentials of parts joined by dots, and behind a path or an unlisted name."""
+    rng = random.Random(4)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    dotted = lambda: ".".join(_token(rng, alphabet, n) for n in (8, 20, 16))
+    plain = lambda: _token(rng, alphabet, 40)
+    prose = [_token(rng, "etaoinshrdluc", rng.randint(12, 24)) for _ in range(300)]
+    texts = [f"{rng.choice(prose)} token = '{dotted()}' and secret: {plain()} {rng.choice(prose)}" for _ in range(300)]
+    first = len(texts)
+    bare = [dotted(), plain(), plain(), plain(), dotted()]
+    frames = ["unmarked {} here", "auth={} here", "see v1/hooks/{} there", "see authentication/hooks/incoming/{} there", "it is {}. Then"]
+    texts += [f.format(c) for f, c in zip(frames, bare, strict=True)] + ["see etaoinshrdlu/hooks/incoming.authentication there"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    formats = secrets.fit(docs)
+    for i, c in enumerate(bare):
+        spans = [texts[first + i][s:e] for kind, s, e, _ in secrets.scan(texts[first + i], formats) if kind == "format"]
+        assert spans == [c]
+    assert secrets.scan(texts[-1], formats) == []
