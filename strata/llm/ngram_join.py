@@ -45,6 +45,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -638,11 +639,19 @@ def _tile_pairs(named: DataFrame, open_: DataFrame, sketches: DataFrame, num: in
     return tiled.groupBy("sig", "i", "j").applyInPandas(pairs, "a long, b long").distinct()
 
 
-def jaccard_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, set_id, component (a set id) and component_id.
+@dataclass
+class _Joined:
+    """The join up to the links within groups of at most GROUP sets."""
 
-    component is null, and component_id the row's own id, where the set is empty.
-    """
+    docs: DataFrame
+    ids: DataFrame  # per row: doc_id, tid, n_shingles, sid, sketch
+    pairs: DataFrame  # verified pairs
+    entries: DataFrame  # members of large groups
+    sketches: DataFrame
+    links: DataFrame
+
+
+def _joined(docs: DataFrame, width: int, num: int, den: int) -> _Joined:
     docs = docs.select("doc_id", "text")
     ids = docs.select("doc_id", F.xxhash64("text").alias("tid"), set_ids(F.col("text"), width, sketches=True).alias("s"))
     ids = stored(ids.select("doc_id", "tid", "s.n_shingles", "s.sid", "s.sketch"), "set_ids")
@@ -654,7 +663,50 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den:
     named = pairs.select(F.explode(F.array("a", "b")).alias("sid")).unionByName(entries.select("sid"))
     sketches = _some_sketches(ids, named.distinct())
     links = stored(verify(pairs, sketches, docs, width, num, den), "links")
-    comp = stored(components(links), "components")
+    return _Joined(docs, ids, pairs, entries, sketches, links)
+
+
+def _all_links(joined: _Joined, width: int, num: int, den: int) -> DataFrame:
+    # Every member counts as a component of its own: all pairs of a group take part, tile by tile.
+    named = joined.entries.withColumn("comp", F.col("sid"))
+    tiles = _tile_pairs(named, stored(_open_groups(named), "open"), joined.sketches, num, den, nearest=False)
+    cross = stored(tiles.join(joined.pairs, ["a", "b"], "left_anti"), "pairs")
+    more = verify(cross, joined.sketches, joined.docs, width, num, den)
+    return stored(joined.links.unionByName(more), "links")
+
+
+def jaccard_links(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = DEN) -> tuple[DataFrame, DataFrame]:
+    """All links of ``docs`` (doc_id, text): the linked pairs of different sets, and the members of the sets.
+
+    The pairs are (a, b), a < b set ids, each once; equal sets have one id. Members are one row per row of ``docs``:
+    doc_id, n_shingles, set_id (null where the set is empty), n_equal (other rows of the same set) and n_links (rows of
+    other sets that link).
+    """
+    joined = _joined(docs, width, num, den)
+    links = _all_links(joined, width, num, den)
+    sizes = stored(joined.ids.where("sid IS NOT NULL").groupBy("sid").agg(F.count("*").alias("rows")), "sizes")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    counts = both.join(sizes, both["b"] == sizes["sid"]).groupBy("a").agg(F.sum("rows").alias("n_links"))
+    per_set = stored(sizes.join(counts, sizes["sid"] == counts["a"], "left").select("sid", "rows", "n_links"), "counts")
+    members = joined.ids.select("doc_id", "n_shingles", "sid").join(per_set, "sid", "left")
+    return links, members.select(
+        "doc_id",
+        "n_shingles",
+        F.col("sid").alias("set_id"),
+        F.coalesce(F.col("rows") - 1, F.lit(0)).cast("bigint").alias("n_equal"),
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+    )
+
+
+def jaccard_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, set_id, component (a set id) and component_id.
+
+    component is null, and component_id the row's own id, where the set is empty. Only as many pairs of large groups
+    are verified as the components need; ``jaccard_links`` has all.
+    """
+    joined = _joined(docs, width, num, den)
+    docs, ids, pairs, entries, sketches = joined.docs, joined.ids, joined.pairs, joined.entries, joined.sketches
+    comp = stored(components(joined.links), "components")
     for nearest in (True, False):
         named = _named(entries, comp)
         open_ = stored(_open_groups(named), "open")

@@ -120,6 +120,12 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+@register
+def op9_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, members = ngram_join.jaccard_links(table(spark, sf_dir, "documents"))
+    return members.select("doc_id", "n_shingles", "n_equal", "n_links")
+
+
 @register
 def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -132,3 +132,35 @@ def test_components_of_chains_stars_and_cycles(spark):
     out = {r["node"]: r["component"] for r in cc.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert out == {k: 100 for k in range(100, 161)} | {k: 500 for k in range(500, 540)} | {k: 900 for k in range(900, 909)}
     assert cc.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("group", [nj.GROUP, 2])
+def test_all_links_and_link_counts_against_all_pairs(spark, monkeypatch, group):
+    """Of large groups too: 60 near copies of one text link almost all to each other, not only to one component."""
+    monkeypatch.setattr(nj, "GROUP", group)
+    monkeypatch.setattr(nj, "TILE", 9)
+    rng = random.Random(group)
+    words = [f"w{k}" for k in range(80)]
+    docs = []
+    for k in range(60):
+        copy = list(words)
+        copy[rng.randrange(80)] = f"e{k}"
+        docs.append((k, " ".join(copy)))
+    docs += family(rng, 60, 14, 30, 2) + [(74, docs[0][1]), (75, docs[0][1].upper()), (76, ""), (77, None), (78, "alone")]
+    sets = {}
+    for i, text in docs:
+        ws = (text or "").lower().split()
+        sets[i] = frozenset(tuple(ws[k : k + 5]) for k in range(len(ws) - 4)) if len(ws) >= 5 else frozenset({tuple(ws)} - {()})
+    linked = lambda x, y: x != y and bool(x & y) and 100 * len(x & y) >= 75 * len(x | y)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    links, members = nj.jaccard_links(df)
+    got = {r["doc_id"]: r for r in members.collect()}
+    for i, s in sets.items():
+        assert got[i]["n_shingles"] == len(s)
+        assert got[i]["n_links"] == sum(linked(s, t) for t in sets.values())
+        assert got[i]["n_equal"] == (sum(s == t for t in sets.values()) - 1 if s else 0)
+    by_set = {got[i]["set_id"]: s for i, s in sets.items() if s}
+    expected = {(min(a, b), max(a, b)) for a, s in by_set.items() for b, t in by_set.items() if linked(s, t)}
+    rows_ = [(r["a"], r["b"]) for r in links.collect()]
+    assert len(rows_) == len(set(rows_)) and {(min(p), max(p)) for p in rows_} == expected
+    assert all(a < b for a, b in rows_)
