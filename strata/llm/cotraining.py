@@ -5,16 +5,20 @@ line and word lengths, and hashed word frequencies. The metadata view sees
 source, language label and length as stored, never the text. Each view is a
 regularised logistic regression.
 
-Both start from the labelled sample. In every round each view scores a pool of
+Both start from the labelled sample. In every round each view scores all
 unlabelled documents; those that it is sure of after calibration (probability
-``sure`` or more of either class, the surest ``exchange`` per class) become
-pseudo-labels of the other view, which is then fitted again. Finally both
+``sure`` or more of either class) become pseudo-labels of the other view, which
+is then fitted again by Newton's method, its gradient and Hessian over the
+pseudo-labels added up by Spark. Finally both
 views are calibrated (logistic calibration on the held-out part of the labelled
 sample) and combined: as views are taken to be independent given the class,
 their log odds add up, less those of the prior.
 
-Fitting uses bounded samples, first by hash of the id: at most ``sample``
-labelled documents per class and ``pool`` unlabelled ones. Scoring covers every
+Labels come from a bounded sample, first by hash of the id: at most ``sample``
+labelled documents per class, one row (the least by text hash) of each. The
+unlabelled documents all take part, row by row; their features are written
+once. Which of them are pseudo-labels follows from the views of the rounds so
+far and is worked out again in every pass. Scoring covers every
 document. Null texts have zero text features, null metadata a bucket of its
 own. If a class has no labels, every score is the labelled share of class one
 (0.5 without labels) and every document is kept. Rows are independent.
@@ -31,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import Words, blocks, mix
+from strata.llm.common import Words, blocks, mix, stored, trim
 from strata.llm.textstats import TextStats
 
 WORD_BUCKETS = 128
@@ -170,36 +174,125 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in blocks(batches):
         yield pd.DataFrame(
             {
-                "h": pdf["h"],
-                "quality": pdf["quality"],
-                "text_x": list(text_view(pdf["text"].tolist()).astype(np.float32)),
-                "meta_x": list(metadata_view(pdf).astype(np.float32)),
+                "doc_id": pdf["doc_id"],
+                "text_x": [x.tobytes() for x in text_view(pdf["text"].tolist()).astype(np.float32)],
+                "meta_x": [np.packbits(x).tobytes() for x in metadata_view(pdf).astype(bool)],
             }
         )
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, pool: int = 8000, **options) -> CoModel:
+def _unpack(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Both views' features of stored rows."""
+    n = len(pdf)
+    text = np.frombuffer(b"".join(pdf["text_x"]), dtype=np.float32).reshape(n, -1).astype(np.float64)
+    bits = np.frombuffer(b"".join(pdf["meta_x"]), dtype=np.uint8).reshape(n, -1)
+    return text, np.unpackbits(bits, axis=1, count=SOURCE_BUCKETS + LANG_BUCKETS + LENGTH_BUCKETS).astype(np.float64)
+
+
+def _pseudo_labels(x: tuple[np.ndarray, np.ndarray], past: list[tuple[View, View]], sure: float) -> list[np.ndarray]:
+    """The label that each view has been taught for every row by the rounds so far; nan where none."""
+    taught = [np.full(len(x[0]), np.nan), np.full(len(x[0]), np.nan)]
+    open_ = np.ones(len(x[0]), dtype=bool)
+    for views in past:
+        gone = np.zeros(len(open_), dtype=bool)
+        for k in (0, 1):
+            p = _sigmoid(views[k].log_odds(x[k]))
+            for label, confidence in ((1.0, p), (0.0, 1 - p)):
+                able = open_ & (confidence >= sure)
+                taught[1 - k][able] = label
+                gone |= able
+        open_ &= ~gone
+    return taught
+
+
+def _sums(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Hessian of the log likelihood (negative), and the gradient as one more row."""
+    x = np.column_stack([x, np.ones(len(x))])
+    p = _sigmoid(x @ w)
+    return np.vstack([(x * (p * (1 - p) + 1e-9)[:, None]).T @ x, x.T @ (y - p)])
+
+
+def _pool_sums(pool: DataFrame, past: list[tuple[View, View]], weights: list[np.ndarray], sure: float) -> list[np.ndarray]:
+    """The sums of both views over all pseudo-labels; rows of the sums are added up apart, so no task holds many."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = [np.zeros((len(w) + 1, len(w))) for w in weights]
+        for pdf in batches:
+            for at in range(0, len(pdf), 2048):
+                x = _unpack(pdf.iloc[at : at + 2048])
+                for k, y in enumerate(_pseudo_labels(x, past, sure)):
+                    own = ~np.isnan(y)
+                    if own.any():
+                        total[k] += _sums(x[k][own], y[own], weights[k])
+        for k in (0, 1):
+            yield pd.DataFrame({"view": np.int32(k), "i": np.arange(len(total[k]), dtype=np.int32), "sums": [r.tobytes() for r in total[k]]})
+        trim()
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(r) for r in pdf["sums"]], axis=0)
+        return pd.DataFrame({"view": [pdf["view"].iloc[0]], "i": [pdf["i"].iloc[0]], "sums": [total.tobytes()]})
+
+    rows = pool.select("text_x", "meta_x").mapInPandas(run, "view int, i int, sums binary")
+    got = rows.groupBy("view", "i").applyInPandas(add, "view int, i int, sums binary").collect()  # one row per feature
+    out = [np.zeros((len(w) + 1, len(w))) for w in weights]
+    for r in got:
+        out[r["view"]][r["i"]] = np.frombuffer(r["sums"])
+    return out
+
+
+def cotrain_all(
+    labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: DataFrame,
+    rounds: int = 4, sure: float = 0.95, decay: float = 1.0, steps: int = 12,
+) -> CoModel:
+    """As ``cotrain``, with all rows of the table ``pool`` (text_x, meta_x as stored) and all that a view is sure of."""
+    held = np.arange(len(y)) % 5 == 0
+    if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
+        return CoModel(None, float(y.mean()) if len(y) else 0.5)
+
+    def calibrated(weights: list[np.ndarray]) -> tuple[View, View]:
+        out = []
+        for w, x in zip(weights, labelled, strict=True):
+            a, b = logistic(_margin(w, x[held])[:, None], y[held], decay=1e-2)
+            out.append(View(w, max(float(a), 0.0), float(b)))
+        return out[0], out[1]
+
+    weights = [logistic(x[~held], y[~held], decay, steps) for x in labelled]
+    past: list[tuple[View, View]] = []
+    for _ in range(rounds):
+        past.append(calibrated(weights))
+        for _ in range(steps):
+            sums, moved = _pool_sums(pool, past, weights, sure), 0.0
+            for k, x in enumerate(labelled):
+                total = sums[k] + _sums(x[~held], y[~held], weights[k])
+                penalty = np.full(len(weights[k]), decay)
+                penalty[-1] = 1e-6
+                step = np.linalg.solve(total[:-1] + np.diag(penalty), total[-1] - penalty * weights[k])
+                weights[k] = weights[k] + step
+                moved = max(moved, float(np.abs(step).max()))
+            if moved < 1e-3:
+                break
+    return CoModel(calibrated(weights), float(np.clip(y.mean(), 1e-3, 1 - 1e-3)))
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, **options) -> CoModel:
     """``docs`` (doc_id, text, source, lang, n_chars), ``labels`` (doc_id, quality)."""
-    marked = labels.where("quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    ids = docs.where("text IS NOT NULL").select("doc_id").join(marked, "doc_id", "left").withColumn("h", F.xxhash64("doc_id"))
-    ids = ids.withColumn("quality", F.coalesce("quality", F.lit(-1)).cast("int"))
+    marked = labels.where("quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
+    columns = ["text", "source", "lang", "n_chars"]
+    docs = docs.where("text IS NOT NULL").select("doc_id", *columns)
     order = Window.partitionBy("quality").orderBy("h", "doc_id")
-    limit = F.when(F.col("quality") < 0, pool).otherwise(sample)
-    ranked = ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= max(sample, pool)).where(F.col("r") <= limit)
-    picked = ranked.select("doc_id", "quality", "h").distinct()
-    columns = ["doc_id", "text", "source", "lang", "n_chars"]
-    rows = docs.select(*columns).where("text IS NOT NULL").join(F.broadcast(picked), "doc_id")  # 2 * sample + pool ids
-    got = rows.mapInPandas(_features, "h long, quality int, text_x array<float>, meta_x array<float>").toPandas()
-    got = got.sort_values(["quality", "h"], kind="stable")
-    known = got[got["quality"] >= 0].sort_values("h", kind="stable")
-    rest = got[got["quality"] < 0]
+    ids = docs.select("doc_id").distinct().join(marked, "doc_id").withColumn("h", F.xxhash64("doc_id"))
+    picked = ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample).select("doc_id", "quality", "h")
+    rows = docs.join(F.broadcast(picked), "doc_id")  # 2 * sample ids
+    # One row per id, before anything reaches the driver: the least by text hash.
+    least = F.min_by(F.struct(*columns), F.struct(F.xxhash64("text"), *columns[1:])).alias("d")
+    rows = rows.groupBy("doc_id", "quality", "h").agg(least).select("doc_id", "d.*")
+    types = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_x binary, meta_x binary"
+    known = rows.mapInPandas(_features, types).join(F.broadcast(picked), "doc_id").toPandas()
+    known = known.sort_values("h", kind="stable")
     if not len(known):
         return CoModel(None, 0.5)
-    width = len(known["text_x"].iloc[0]), len(known["meta_x"].iloc[0])
-    arrays = lambda f: tuple(
-        np.stack(f[c].to_numpy()).astype(np.float64) if len(f) else np.zeros((0, n)) for c, n in zip(("text_x", "meta_x"), width, strict=True)
-    )
-    return cotrain(arrays(known), known["quality"].to_numpy(dtype=np.float64), arrays(rest), **options)
+    features = stored(docs.mapInPandas(_features, types).join(marked.select("doc_id"), "doc_id", "left_anti"), "pool")
+    return cotrain_all(_unpack(known), known["quality"].to_numpy(dtype=np.float64), features, **options)
 
 
 def quality(model: CoModel, docs: DataFrame, threshold: float = 0.5) -> Column:

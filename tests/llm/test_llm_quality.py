@@ -97,3 +97,34 @@ def test_cotraining_without_a_class(spark):
     model = cotraining.fit(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
     out = docs.select(cotraining.quality(model, docs).alias("r")).select("r.*").collect()
     assert all(r["kept"] for r in out)
+
+
+def test_all_unlabelled_documents_take_part(spark):
+    """What only unlabelled documents show is learned from all of them, and their number is not capped."""
+    seen = {}
+    real = cotraining._pool_sums
+
+    def pool_sums(pool, past, weights, sure):
+        seen["rows"] = pool.count()
+        out = real(pool, past, weights, sure)
+        seen["taught"] = max(seen.get("taught", 0.0), out[1][weights[1].size - 1, -1])
+        return out
+
+    rng = np.random.default_rng(5)
+    good, bad = ["The quiet river runs past old stone houses, and people walk there. "], ["BUY!!! CHEAP | CLICK!!! WIN | BUY!!! "]
+    docs, labels = [], []
+    for i in range(9000):
+        q = int(rng.integers(2))
+        docs.append((i, (good if q else bad)[0] * int(rng.integers(1, 4)), f"s{q}" if i < 400 else f"rare{q}", "en", 100))
+        if i < 400:
+            labels.append((i, q))
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string, n_chars long")
+    cotraining._pool_sums = pool_sums
+    try:
+        model = cotraining.fit(df, spark.createDataFrame(labels, "doc_id long, quality int"), rounds=1)
+    finally:
+        cotraining._pool_sums = real
+    assert seen["rows"] == 8600
+    probe = spark.createDataFrame([(1, None, "rare1", "en", 100), (2, None, "rare0", "en", 100)], df.schema)
+    score = {r["doc_id"]: r["meta_score"] for r in probe.select("doc_id", cotraining.quality(model, probe).alias("r")).select("doc_id", "r.*").collect()}
+    assert score[1] > 0.9 and score[2] < 0.1
