@@ -151,10 +151,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 2000, max_bytes: int =
     marked = labels.where("quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     order = Window.partitionBy("quality").orderBy("h", "doc_id")
     short = docs.where(f"octet_length(text) <= {int(max_bytes)}")
-    ranked = short.select("doc_id").join(marked, "doc_id").withColumn("h", F.xxhash64("doc_id"))
+    ranked = short.select("doc_id").distinct().join(marked, "doc_id").withColumn("h", F.xxhash64("doc_id"))
     picked = ranked.withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample).select("doc_id", "quality")
     # At most 2 * sample ids: the texts are picked where they are read, not shuffled.
-    rows = short.select("doc_id", "text").join(F.broadcast(picked.distinct()), "doc_id")
+    rows = short.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    # Of repeated rows of an id, the least by text hash counts, so at most 2 * sample rows are collected.
+    rows = rows.groupBy("doc_id", "quality").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     # One row per document: lines' features, flattened.
     names = rows.select("doc_id", "quality", "text").mapInPandas(_training_rows, "h long, quality int, lines int, features array<double>")
     got = sorted((r for r in names.collect() if r["lines"]), key=lambda r: (r["h"], r["lines"], r["features"]))

@@ -128,3 +128,17 @@ def test_all_unlabelled_documents_take_part(spark):
     probe = spark.createDataFrame([(1, None, "rare1", "en", 100), (2, None, "rare0", "en", 100)], df.schema)
     score = {r["doc_id"]: r["meta_score"] for r in probe.select("doc_id", cotraining.quality(model, probe).alias("r")).select("doc_id", "r.*").collect()}
     assert score[1] > 0.9 and score[2] < 0.1
+
+
+def test_repeated_rows_of_a_picked_document_count_once(spark):
+    """Of both fits: a document held by many rows brings one row to the driver."""
+    rng = np.random.default_rng(3)
+    docs = [(i, "A calm text with words, and more of them.\nSecond line here.\n" if i % 2 else "HOME | LOGIN | BUY!!!\nMENU | NEXT\n", "s", "en", 40) for i in range(80)]
+    docs = [(i, t + f"w{rng.integers(10**6)}", *r) for i, t, *r in docs]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    schema = "doc_id long, text string, source string, lang string, n_chars long"
+    once, often = (spark.createDataFrame(d, schema) for d in (docs, docs + [docs[7]] * 500))
+    a, b = (cotraining.fit(d, labels, rounds=1) for d in (once, often))
+    assert all(np.allclose(x.weights, y.weights) for x, y in zip(a.views, b.views, strict=True))
+    a, b = (quality_crf.fit(d.select("doc_id", "text"), labels) for d in (once, often))
+    assert np.allclose(a.emit, b.emit)
