@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import message, raw_from_messages
+from cases import message, raw_from_messages
 from pyspark.sql import functions as F
 
 from strata.operators import medallion

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import message, raw_from_messages
+from cases import message, raw_from_messages
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 

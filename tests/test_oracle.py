@@ -2,7 +2,7 @@
 ``python tests/check_oracle.py`` runs the same at sf0.01)."""
 
 import pytest
-from conftest import SF_SMALL
+from cases import SF_SMALL
 from oracle_harness import compare, duck
 
 import __spark_entry__ as entry

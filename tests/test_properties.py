@@ -2,7 +2,7 @@
 
 from collections import Counter, defaultdict
 
-from conftest import message, raw_from_messages
+from cases import message, raw_from_messages
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

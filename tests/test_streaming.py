@@ -3,7 +3,7 @@ import json
 import os
 
 import pytest
-from conftest import message
+from cases import message
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
