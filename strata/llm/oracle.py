@@ -125,4 +125,87 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scored QUALIFY rank <= 20
 """
 
-ORACLE = {"op5_mixing": MIXING, "op7_vp_tree": VP_TREE, "op9_ngram_join": NGRAM_JOIN}
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_ITEM_WORDS = rf"regexp_extract_all(translate(text, {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+# All windows of all documents against all windows of all items.
+DECONTAMINATION = rf"""
+WITH items AS (SELECT DISTINCT item_id, {_ITEM_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[s + 1:s + least(len(w), 10)], ' ') AS words
+    FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 9, 1))) AS s FROM items WHERE len(w) > 0)
+),
+lengths AS (SELECT DISTINCT k FROM windows),
+docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_ITEM_WORDS}, []) AS w FROM documents),
+cut AS (
+    SELECT r, k, s, array_to_string(w[s + 1:s + k], ' ') AS words
+    FROM (SELECT r, w, k, unnest(range(len(w) - k + 1)) AS s FROM docs, lengths WHERE len(w) >= k)
+),
+found AS (SELECT c.r, c.k, c.s, i.item_id FROM cut c JOIN windows i USING (k, words)),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + k)) AS p FROM (SELECT DISTINCT r, k, s FROM found)) GROUP BY r),
+named AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT r, coalesce(item_id::VARCHAR, '') AS item FROM found) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
+
+# crc32 by its table of 256 remainders; near words by what is left when one place is taken out.
+SPELLING = rf"""
+WITH RECURSIVE remainders AS MATERIALIZED (
+    SELECT list(v ORDER BY i) AS t FROM (
+        SELECT i, list_reduce([i::BIGINT] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM range(256) AS x(i)
+    )
+),
+runs AS MATERIALIZED (
+    SELECT run, coalesce(doc_id::VARCHAR, '') || ':' || run AS named, count(*) AS times
+    FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, {_AZ}), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+    WHERE length(run) >= 6 GROUP BY ALL
+),
+hashed AS (
+    SELECT run, times, xor(list_reduce(
+        [4294967295::BIGINT] || list_transform(range(1, strlen(named) + 1), lambda k: ('0x' || substr(hex(named), 2 * k - 1, 2))::BIGINT),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+    FROM runs, remainders
+),
+words AS MATERIALIZED (
+    SELECT word, sum(times)::BIGINT AS n FROM (
+        SELECT times, CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word
+        FROM hashed
+    ) WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+),
+holes AS MATERIALIZED (
+    SELECT word, n, i, left(word, i) AS head, substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+),
+pairs AS (
+    SELECT a.word, b.word AS other, b.n AS m FROM holes a JOIN holes b ON a.i = b.i AND a.head = b.head AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM holes a JOIN words b ON b.word = a.head || a.rest
+    UNION SELECT b.word, a.word, a.n FROM holes a JOIN words b ON b.word = a.head || a.rest
+),
+near AS (SELECT word, count(*) AS n_near, max(m) AS best_n FROM pairs GROUP BY word),
+best AS (
+    SELECT word, n_near, best_n, min(other COLLATE C) AS best FROM near JOIN pairs USING (word) WHERE m = best_n GROUP BY ALL
+),
+formed AS MATERIALIZED (
+    SELECT w.word, n, coalesce(n_near, 0)::BIGINT AS n_near,
+        CASE WHEN best_n >= 5 * n THEN best END AS form, CASE WHEN best_n >= 5 * n THEN best_n END::BIGINT AS form_n
+    FROM words w LEFT JOIN best USING (word)
+),
+walk AS (
+    SELECT word, form AS at FROM formed WHERE form IS NOT NULL
+    UNION ALL SELECT walk.word, f.form FROM walk JOIN formed f ON f.word = walk.at WHERE f.form IS NOT NULL
+),
+ends AS (SELECT walk.word, walk.at FROM walk JOIN formed f ON f.word = walk.at WHERE f.form IS NULL)
+SELECT formed.word, form, coalesce(ends.at, formed.word) AS root, n, n_near, form_n FROM formed LEFT JOIN ends ON ends.word = formed.word
+"""
+
+ORACLE = {
+    "op5_mixing": MIXING,
+    "op7_vp_tree": VP_TREE,
+    "op9_ngram_join": NGRAM_JOIN,
+    "op11_winnowing": DECONTAMINATION,
+    "op12_edit_transducer": SPELLING,
+}

@@ -7,7 +7,21 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import cotraining, language, mixing, ngram_join, pitman_yor, quality_crf, secrets, sentencepieces, sharding, vptree
+from strata.llm import (
+    cotraining,
+    decontamination,
+    language,
+    mixing,
+    ngram_join,
+    pitman_yor,
+    quality_crf,
+    secrets,
+    sentencepieces,
+    sharding,
+    spelling,
+    vptree,
+    whitening,
+)
 from strata.llm.common import fold, prepare, table
 from strata.llm.oracle import ORACLE  # noqa: F401  (read with QUERIES)
 
@@ -147,3 +161,28 @@ def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang", "n_chars")
     model = cotraining.fit(docs, table(spark, sf_dir, "labels"))
     return docs.select("doc_id", cotraining.quality(model, docs).alias("r")).select("doc_id", "r.*")
+
+
+@register
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@register
+def op12_edit_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"))
+    return spelling.forms(spelling.neighbours(words))
+
+
+@register
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(whitening.fit(vectors, components=4), vectors)

@@ -61,7 +61,7 @@ def table(spark, some: list[tuple] | None = None, extra: bool = False):
 
 @pytest.fixture()
 def stored_tables(spark, scratch):
-    """A folder with documents and labels as Parquet, with awkward rows and clashing columns."""
+    """A folder with documents, labels and benchmark as Parquet, with awkward rows and clashing columns."""
 
     def make(some=None, extra=True):
         import uuid
@@ -73,6 +73,8 @@ def stored_tables(spark, scratch):
         spark.createDataFrame([(i, int(q), 0) for i, q in labels], "doc_id long, quality int, toxic int").write.parquet(
             f"{path}/labels.parquet"
         )
+        items = [(1, rows()[2][1][:400]), (2, "one two"), (3, None), (None, "漢字"), (4, "")]
+        spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
         return path
 
     return make
