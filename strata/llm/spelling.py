@@ -379,7 +379,8 @@ def _near(pdf: pd.DataFrame) -> pd.DataFrame:
         found = by_rank[best[hit]]
         out.append((words[hit], near[hit], n[found], words[found]))
     trim()
-    columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [[]] * 4
+    none = [np.zeros(0, kind) for kind in (object, np.int64, np.int64, object)]
+    columns = [np.concatenate(x) for x in zip(none, *out, strict=True)]
     return pd.DataFrame(dict(zip(("word", "n_near", "best_n", "best"), columns, strict=True)))
 
 
