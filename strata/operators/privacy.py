@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import mask_email
 from strata.sinks.files import overwrite_via_staging
-from strata.sinks.swap import finish_swap
+from strata.sinks.subjects import erase_days
+from strata.sinks.swap import finish_swap, observe, partition_levels
 
 # A simple address pattern that Java and RE2 regex engines read the same way.
 EMAIL_PATTERN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
@@ -97,12 +98,25 @@ def erase_subjects(df: DataFrame, subjects: DataFrame, key: str, subject_key: st
 
 
 def erase_stored(
-    spark: SparkSession, path: str, subjects: DataFrame, key: str, subject_key: str | None = None, partition_by=None
+    spark: SparkSession, path: str, subjects: DataFrame, key: str, subject_key: str | None = None
 ) -> DataFrame:
-    """Rewrite a stored Parquet table without the subjects' rows; returns the new table."""
+    """Rewrite a stored Parquet table without the subjects' rows; returns the new table.
+
+    A partitioned table keeps its layout: a scan of the key column finds the
+    partitions that hold a subject, and only those are rewritten
+    (``sinks.subjects`` finds them by an index instead of the scan).
+    """
     finish_swap(spark, path)
-    kept = erase_subjects(spark.read.parquet(path), subjects, key, subject_key)
-    return overwrite_via_staging(spark, kept, path, partition_by=partition_by)
+    ids = subjects.select(F.col(subject_key or key).alias("_sid"))
+    levels = partition_levels(spark, path)
+    if not levels:
+        seen = observe(spark, path)
+        return overwrite_via_staging(spark, erase_subjects(spark.read.parquet(path), ids, key, "_sid"), path, seen=seen)
+    table = spark.read.parquet(path)
+    held = table.join(ids, table[key] == ids["_sid"], "left_semi")
+    days = [r[0] for r in held.select(F.col(levels[0]).cast("string")).distinct().collect()]
+    erase_days(spark, path, ids, key, days, levels[0])
+    return spark.read.schema(table.schema).parquet(path)
 
 
 def export_subject(df: DataFrame, key: str, value) -> DataFrame:

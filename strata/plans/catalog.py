@@ -35,6 +35,7 @@ def _load_all() -> None:
     from strata.plans import (  # noqa: F401
         queries_behaviour,
         queries_commerce,
+        queries_incremental,
         queries_medallion,
         queries_stored,
         queries_streaming,

@@ -7,11 +7,13 @@
   each layer stored and read back before the next.
 - ``run_daily_cycle``: one scheduled cycle in the event model's order:
   ingest -> raw check -> daily outputs -> validation -> layers.
+- ``run_incremental_cycle``: the same for the days that got new rows only.
 - ``publish_pages``: landed API pages -> envelopes (checkpointed) -> messages.
 """
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark import StorageLevel
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from strata.functions.constants import TABLES
 from strata.operators import medallion, metrics, quality
 from strata.sinks import files as sinks
-from strata.sinks.swap import finish_swap, replace
+from strata.sinks.swap import child_names, finish_swap, path_exists, read_text, replace, write_text
 
 DAILY_OUTPUTS = (
     "events_by_type_daily",
@@ -97,8 +99,11 @@ def run_medallion(spark: SparkSession, raw: DataFrame, prefix: str = "") -> dict
 TOTALS_DAILY = "question_score_totals_daily"
 
 
-def _write_days(df: DataFrame, path: str, dates: list[str]) -> None:
-    """Replace the given event_date partitions by those rows; a day without rows is removed."""
+def write_days(df: DataFrame, path: str, dates: list[str]) -> None:
+    """Replace the given event_date partitions by those rows; a day without rows is removed.
+
+    ``df`` must have rows of those days only, and not read ``path``.
+    """
     spark = df.sparkSession
     finish_swap(spark, path)
     names = [f"event_date={d}" for d in dates]
@@ -125,15 +130,16 @@ def run_daily_increment(spark: SparkSession, lake_path: str, out_dir: str, dates
     base = _narrow(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for name, df in metrics.daily_metrics(base, use_partition_date=True).items():
-            _write_days(df, os.path.join(out_dir, name), dates)
+            write_days(df, os.path.join(out_dir, name), dates)
         per_day = (
             base.filter(~metrics.malformed_condition())
             .groupBy("event_date", F.col("payload.question_id").alias("question_id"))
             .agg(F.sum(F.coalesce(F.col("payload.score"), F.lit(0)).cast("long")).alias("total"))
         )
-        _write_days(per_day, os.path.join(out_dir, TOTALS_DAILY), dates)
+        write_days(per_day, os.path.join(out_dir, TOTALS_DAILY), dates)
     finally:
         base.unpersist()
+    finish_swap(spark, os.path.join(out_dir, TOTALS_PARQUET))
     cumulative = (
         spark.read.parquet(os.path.join(out_dir, TOTALS_DAILY))
         .groupBy("question_id")
@@ -171,6 +177,51 @@ def run_daily_cycle(
     return {"recent_partitions": recent, **daily, "tables": tables}
 
 
+def _batches(spark: SparkSession, lake_path: str) -> dict[str, list[str]]:
+    days = [n for n in child_names(spark, lake_path) if n.startswith("event_date=")]
+    return {d: child_names(spark, f"{lake_path.rstrip('/')}/{d}") for d in days}
+
+
+def run_incremental_cycle(
+    spark: SparkSession, source: dict, lake_path: str, checkpoint: str, out_dir: str, distinct_path: str | None = None
+) -> dict:
+    """One scheduled cycle whose work follows the new data.
+
+    Drains the source into the lake and takes the days that got rows (new batch
+    folders under the day). Only those are read again: their daily outputs and
+    totals (``run_daily_increment``), their value states, and, with
+    ``distinct_path``, the new batches are appended there without rows that it
+    holds already (``sinks.distinct``). A cycle that failed is simply run again
+    with the days of its predecessor: days whose outputs are older than their
+    rows are found by the batches noted with the outputs.
+    """
+    from strata.operators.states import value_states
+    from strata.sinks.compaction import INGEST_COL
+    from strata.sinks.distinct import append_distinct
+    from strata.sources.lake import read_raw
+    from strata.streaming.ingest import ingest
+
+    ingest(spark, lake_path, checkpoint, source, trigger="available_now")
+    noted = os.path.join(out_dir, "_batches")
+    before = json.loads(read_text(spark, noted)) if path_exists(spark, noted) else {}
+    now = _batches(spark, lake_path)
+    dates = sorted(d.partition("=")[2] for d in now if now[d] != before.get(d))
+    if not dates:
+        return {"days": [], "row_counts": {}}
+    counts = run_daily_increment(spark, lake_path, out_dir, dates)
+    days = F.col("event_date").isin([F.lit(d).cast("date") for d in dates])
+    raw = read_raw(spark, lake_path).filter(days)
+    states = value_states(raw, ["event_date", F.date_trunc("hour", "event_time").alias("hour"), "event_type"], "payload.score", "user_id")
+    write_days(states, os.path.join(out_dir, "value_states"), dates)
+    if distinct_path:
+        new = sorted({b.partition("=")[2] for d in now for b in now[d] if b not in before.get(d, [])})
+        for batch in new:
+            rows = spark.read.schema(raw.schema.add(INGEST_COL, "string")).parquet(lake_path)
+            append_distinct(spark, distinct_path, rows.filter(days & (F.col(INGEST_COL) == batch)).select(*raw.columns), batch)
+    write_text(spark, noted, json.dumps(now))
+    return {"days": dates, "row_counts": counts}
+
+
 def publish_pages(
     spark: SparkSession,
     pages: DataFrame,

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.operators import metrics
 from strata.plans.catalog import register
 from strata.plans.oracle import with_raw
-from strata.sources.driver_tables import events_as_raw
+from strata.sources.driver_tables import events_as_raw, region_counts
 
 
 @register(
@@ -58,7 +58,7 @@ FROM raw GROUP BY 1, 2"""
     ),
 )
 def q_region_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.region_distribution(events_as_raw(spark, sf_dir))
+    return region_counts(spark, sf_dir)
 
 
 @register(

@@ -14,7 +14,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.sinks.swap import finish_swap, path_exists, replace
+from strata.sinks.compaction import INGEST_COL, rewrite_days
+from strata.sinks.swap import child_names, finish_swap, observe, partition_levels, path_exists, replace
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -54,24 +55,42 @@ def overwrite_via_staging(
     path: str,
     fmt: str = "parquet",
     partition_by: str | Iterable[str] | None = None,
+    seen: dict | None = None,
 ) -> DataFrame:
     """Overwrite ``path`` with ``df`` even when ``df`` reads ``path``; returns a frame over the new target.
 
-    The data is written once, next to the target, and renamed into place.
+    The data is written once, next to the target, and renamed into place. If
+    ``df`` reads ``path``, pass ``seen = observe(spark, path)`` taken before
+    ``df`` was made: rows that land in between then raise ``ConcurrentChange``.
     """
-    replace(spark, path, lambda folder: write_output(df, folder, fmt=fmt, partition_by=partition_by))
+    replace(spark, path, lambda folder: write_output(df, folder, fmt=fmt, partition_by=partition_by), seen=seen)
     return spark.read.format(fmt).load(path)
 
 
 def dedupe_path(spark: SparkSession, path: str, fmt: str = "parquet", partition_by=None) -> DataFrame:
-    """Whole-row distinct of a stored table, written back over itself safely.
+    """Distinct rows of a stored table, written back over itself safely; returns the new table.
 
-    An earlier run that stopped inside its swap is completed first.
+    Rows are compared in all columns but the batch level of an ingested lake,
+    which says where a row came from, not what it is; such a lake keeps its
+    layout and its marks. Partition columns are read off the folders unless
+    given. An earlier run that stopped inside its swap is completed first. This
+    compares all rows; ``sinks.distinct`` keeps a lake distinct as it grows.
     """
     finish_swap(spark, path)
     if not path_exists(spark, path):
         raise FileNotFoundError(path)
-    return overwrite_via_staging(spark, spark.read.format(fmt).load(path).distinct(), path, fmt, partition_by)
+    levels = partition_levels(spark, path) if partition_by is None else partition_by
+    levels = [levels] if isinstance(levels, str) else list(levels)
+    if INGEST_COL in levels and fmt == "parquet":
+        days = [n for n in child_names(spark, path) if "=" in n]
+        seen = observe(spark, path, days)
+        rows = spark.read.parquet(path)
+        kept = rows.drop(INGEST_COL).distinct()
+        rewrite_days(spark, path, kept, days, seen, levels)
+        return spark.read.schema(rows.schema).parquet(path)
+    seen = observe(spark, path)
+    kept = spark.read.format(fmt).load(path).distinct()
+    return overwrite_via_staging(spark, kept, path, fmt, levels, seen)
 
 
 def ensure_layers(spark: SparkSession, layers: Iterable[str] = LAYERS) -> None:

@@ -156,3 +156,18 @@ __all__ = [
     "events_as_raw",
     "read_table",
 ]
+
+
+def region_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_date, region, event_count) straight from the table.
+
+    Events are counted per day and user before they meet the customers, so the
+    join sees one row per user and day and a hot user costs one row per task.
+    """
+    ev = read_table(spark, sf_dir, "events")
+    counted = ev.groupBy(F.to_date(F.col("ts").cast("timestamp")).alias("event_date"), "user_id").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    named = counted.join(customer_regions(spark, sf_dir), counted.user_id == F.col("c_custkey"), "left")
+    region = F.coalesce(F.col("r_name"), F.lit(DEFAULT_REGION)).alias("region")
+    return named.groupBy("event_date", region).agg(F.sum("n").alias("event_count"))

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.envelope import derive_time, parse_events
-from strata.sinks.compaction import INGEST_COL, compacted_epochs
-from strata.sinks.swap import read_text
+from strata.sinks.compaction import INGEST_COL, merged_epochs
+from strata.sinks.swap import child_names, read_text
 
 # Topic metadata kept on request, renamed so it cannot collide with envelope
 # fields (the envelope has its own ``timestamp``).
@@ -83,6 +83,20 @@ def stream_to_raw(stream: DataFrame, lenient: bool = False, keep_metadata: bool
     return derive_time(parse_events(stream, "value", keep=list(meta.values())), lenient=lenient)
 
 
+def once_per_event(raw: DataFrame, within: str = "1 day", key: str = "event_id") -> DataFrame:
+    """Let each event through once, however often the stream delivers it within ``within`` of its arrival.
+
+    State is kept per event id and dropped by arrival time, so it doesn't depend
+    on the events' own times (which may be missing or old), and it is part of
+    the checkpoint, so a restart remembers. Rows without an id count as equal if
+    all their columns are.
+    """
+    content = F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns]), {"ignoreNullFields": "false"})
+    named = F.coalesce(F.concat(F.lit("id:"), F.col(key)), F.concat(F.lit("row:"), F.sha2(content, 256)))
+    timed = raw.withColumns({"_named": named, "_arrived": F.current_timestamp()}).withWatermark("_arrived", within)
+    return timed.dropDuplicatesWithinWatermark(["_named"]).drop("_named", "_arrived")
+
+
 def start_raw_sink(
     raw: DataFrame,
     path: str,
@@ -101,7 +115,8 @@ def start_raw_sink(
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         query = json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]  # of this checkpoint
-        done = [day for day, last in compacted_epochs(spark, path).get(query, {}).items() if last >= epoch]
+        days = [d for d in child_names(spark, path) if d.startswith("event_date=")]
+        done = [day for day, last in merged_epochs(spark, path, days).items() if last.get(query, -1) >= epoch]
         if done:
             day = F.concat(F.lit("event_date="), F.col("event_date").cast("string"))
             batch = batch.filter(~F.coalesce(day.isin(done), F.lit(False)))
@@ -149,10 +164,16 @@ def ingest(
     interval: str = "10 seconds",
     run_seconds: float = 300,
     lenient: bool = False,
+    once_within: str | None = None,
 ) -> StreamingQuery:
-    """Source -> parse -> lake; one-shot drain or a bounded interval run."""
-    stream = read_event_stream(spark, **source)
-    query = start_raw_sink(stream_to_raw(stream, lenient=lenient), lake_path, checkpoint, trigger, interval)
+    """Source -> parse -> lake; one-shot drain or a bounded interval run.
+
+    ``once_within``: drop events that were delivered before (``once_per_event``).
+    """
+    raw = stream_to_raw(read_event_stream(spark, **source), lenient=lenient)
+    if once_within:
+        raw = once_per_event(raw, once_within)
+    query = start_raw_sink(raw, lake_path, checkpoint, trigger, interval)
     if trigger == "available_now":
         query.awaitTermination()
         exc = query.exception()
