@@ -154,6 +154,17 @@ def fact_orders(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) ->
     )
 
 
+def order_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Line items with their order's customer and date.
+
+    On tables bucketed by the order key with one number of buckets
+    (``sinks.write_bucketed``) neither side is shuffled.
+    """
+    lines = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
+    ord_ = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    return lines.join(ord_, lines.l_orderkey == ord_.o_orderkey, "left")
+
+
 # --- change capture and SCD2 -------------------------------------------------------
 
 

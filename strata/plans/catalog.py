@@ -39,6 +39,7 @@ def _load_all() -> None:
         queries_medallion,
         queries_stored,
         queries_streaming,
+        queries_tables,
         queries_violations,
     )
 

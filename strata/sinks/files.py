@@ -131,8 +131,9 @@ def write_bucketed(
     bucket_by: str | Iterable[str],
     sort_by: str | Iterable[str] | None = None,
     partition_by: str | Iterable[str] | None = None,
+    path: str | None = None,
 ) -> DataFrame:
-    """Save a table bucketed (and optionally sorted / partitioned).
+    """Save a table bucketed (and optionally sorted / partitioned), below ``path`` if given.
 
     Two tables bucketed on the join key with the same bucket count join
     without a shuffle on either side.
@@ -143,6 +144,8 @@ def write_bucketed(
         w = w.sortBy(*([sort_by] if isinstance(sort_by, str) else sort_by))
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    if path:
+        w = w.option("path", path)
     w.saveAsTable(name)
     return df.sparkSession.table(name)
 

@@ -60,3 +60,13 @@ def parse_score_totals_text(lines: DataFrame, value_col: str = "value") -> DataF
 def read_score_totals_text(spark: SparkSession, path: str) -> DataFrame:
     """Read back the text sink of the score totals (no ``eval`` of the text)."""
     return parse_score_totals_text(spark.read.text(path))
+
+
+def store_variant(df: DataFrame, path: str, *json_cols: str) -> None:
+    """Store JSON text columns as VARIANT: parsed once, here; text that isn't JSON becomes null."""
+    df.withColumns({c: F.try_parse_json(c) for c in json_cols}).write.parquet(path)
+
+
+def variant_field(column: str, path: str, as_type: str):
+    """A field of a stored VARIANT by path; null if it is missing or has another type."""
+    return F.try_variant_get(column, path, as_type)
