@@ -73,14 +73,15 @@ def run_daily_outputs(
     return {"row_counts": counts, "malformed_rows": malformed}
 
 
-def run_medallion(spark: SparkSession, raw: DataFrame, prefix: str = "") -> dict[str, int]:
+def run_medallion(spark: SparkSession, raw: DataFrame, prefix: str = "", location: str | None = None) -> dict[str, int]:
     """Build bronze, silver and gold tables in the session catalog.
 
-    ``prefix`` is prepended to the layer database names (test isolation).
+    ``prefix`` is prepended to the layer database names (test isolation), and
+    the databases lie below ``location`` if given.
     Returns the row count of each table.
     """
     layers = [f"{prefix}{layer}" for layer in sinks.LAYERS]
-    sinks.ensure_layers(spark, layers)
+    sinks.ensure_layers(spark, layers, location)
     # Each layer is stored and read back before the next is derived: the
     # clean table feeds six gold tables without recomputing its window, and
     # a lost executor re-reads stored files instead of replaying the lineage.

@@ -260,23 +260,24 @@ def q_active_users_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
 _NOT_ERASED = """(user_id IS NULL OR user_id NOT IN (SELECT c_custkey::VARCHAR FROM customer WHERE c_acctbal < -500))"""
 
 
-def _erased(spark: SparkSession, sf_dir: str) -> str:
-    """A lake and its daily outputs, from which the subjects are erased by the index; their folder."""
+def _erased(spark: SparkSession, sf_dir: str, outputs: bool) -> str:
+    """A lake, and its daily outputs if wanted, from which the subjects are erased by the index; their folder."""
     base = _folder(spark, "erase")
     raw = events_as_raw(spark, sf_dir)
     raw.write.partitionBy("event_date").parquet(f"{base}/lake")
-    run_daily_increment(spark, f"{base}/lake", f"{base}/out", _days(raw))
+    if outputs:
+        run_daily_increment(spark, f"{base}/lake", f"{base}/out", _days(raw))
     refresh_subjects(spark, f"{base}/lake", "user_id")
     subjects = read_table(spark, sf_dir, "customer").filter("c_acctbal < -500").select("c_custkey")
     days = erase_indexed(spark, f"{base}/lake", subjects, "user_id")
-    if days:
+    if days and outputs:
         run_daily_increment(spark, f"{base}/lake", f"{base}/out", days)
     return base
 
 
 @register("lake_subjects_erased", with_raw(f"{RAW_FLAT_SQL} WHERE {_NOT_ERASED}"))
 def q_lake_subjects_erased(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_raw(lake.read_raw(spark, f"{_erased(spark, sf_dir)}/lake"))
+    return flatten_raw(lake.read_raw(spark, f"{_erased(spark, sf_dir, outputs=False)}/lake"))
 
 
 @register(
@@ -289,7 +290,7 @@ UNION ALL SELECT NULL, 'question ' || question_id, sum(coalesce(score, 0))::BIGI
     ),
 )
 def q_outputs_after_erasure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = f"{_erased(spark, sf_dir)}/out"
+    out = f"{_erased(spark, sf_dir, outputs=True)}/out"
 
     def rows(name: str, day, what: str, column: str, n: str) -> DataFrame:
         return spark.read.parquet(f"{out}/{name}").select(

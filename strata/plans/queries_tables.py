@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from strata.operators import medallion, metrics, model, quality
 from strata.operators.envelope import to_messages
 from strata.plans.catalog import register
-from strata.plans.jobs import run_daily_outputs
+from strata.plans.jobs import run_daily_outputs, run_medallion
 from strata.plans.oracle import CLEAN_CTE, SILVER_CTE, with_raw
 from strata.plans.queries_medallion import RAW_FLAT_SQL, flatten_raw
 from strata.plans.queries_stored import TOTALS, _folder
 from strata.schemas import RAW
-from strata.sinks import write_bucketed, write_messages_text
+from strata.sinks import clone_database, write_bucketed, write_messages_text
 from strata.sinks.keys import register_keys, with_keys
 from strata.sinks.published import publish
 from strata.sources import lake
@@ -191,3 +191,39 @@ def q_preview_of_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     if schema != totals.schema.simpleString():
         raise quality.CheckFailed(f"stored as {schema}")
     return rows
+
+
+@register(
+    "layers_built_and_cloned",
+    with_raw(
+        """SELECT 'score' AS mart, score::VARCHAR AS what, count(score) AS n FROM clean GROUP BY score
+UNION ALL SELECT 'user', user_id, 1 FROM (SELECT DISTINCT user_id FROM clean)""",
+        SILVER_CTE,
+        CLEAN_CTE,
+    ),
+)
+def q_layers_built_and_cloned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layer databases created, every table created or replaced twice, the gold layer copied and read from the copy."""
+    prefix, location = f"q{uuid.uuid4().hex[:12]}_", _folder(spark, "layers")
+    raw = events_as_raw(spark, sf_dir, with_region=False)
+    for rows in (raw.filter("event_id % 2 = 0"), raw):
+        run_medallion(spark, rows, prefix, location)
+    clone_database(spark, f"{prefix}gold", f"{prefix}copy", location)
+    scores = spark.table(f"{prefix}copy.score_distributions")
+    users = spark.table(f"{prefix}copy.user_dimension_table")
+    marts = scores.select(F.lit("score").alias("mart"), F.col("score").cast("string").alias("what"), F.col("score_count").alias("n"))
+    return marts.unionByName(users.select(F.lit("user").alias("mart"), F.col("user_id").alias("what"), F.lit(1).cast("bigint").alias("n")))
+
+
+@register("lake_ingest_bounded_runs", with_raw(RAW_FLAT_SQL))
+def q_lake_ingest_bounded_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interval runs of a few seconds each on one checkpoint, until one finds nothing new."""
+    base = _folder(spark, "bounded")
+    write_messages_text(events_as_raw(spark, sf_dir), f"{base}/landing")
+    source = {"fmt": "files", "path": f"{base}/landing"}
+    for _ in range(60):
+        run = ingest(spark, f"{base}/lake", f"{base}/ckpt", source, trigger="processing_time", interval="1 second", run_seconds=4)
+        done = [p["numInputRows"] for p in run.recentProgress]
+        if done and done[-1] == 0:
+            break
+    return flatten_raw(lake.read_raw(spark, f"{base}/lake"))

@@ -93,10 +93,11 @@ def dedupe_path(spark: SparkSession, path: str, fmt: str = "parquet", partition_
     return overwrite_via_staging(spark, kept, path, fmt, levels, seen)
 
 
-def ensure_layers(spark: SparkSession, layers: Iterable[str] = LAYERS) -> None:
-    """Create the layer databases if absent."""
+def ensure_layers(spark: SparkSession, layers: Iterable[str] = LAYERS, location: str | None = None) -> None:
+    """Create the layer databases if absent, below ``location`` if given (else in the warehouse)."""
     for layer in layers:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        at = "" if location is None else " LOCATION '" + f"{location.rstrip('/')}/{layer}".replace("'", "\\'") + "'"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}{at}")
 
 
 def _reads_table(df: DataFrame, name: str) -> bool:
@@ -156,13 +157,13 @@ def create_views(spark: SparkSession, frames: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def clone_database(spark: SparkSession, source: str, target: str) -> list[str]:
+def clone_database(spark: SparkSession, source: str, target: str, location: str | None = None) -> list[str]:
     """Deep copy every table of ``source`` into ``target`` (no zero-copy clone here).
 
     The loop is over table names from the catalog; each copy is a distributed
     read and write.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {target}")
+    ensure_layers(spark, [target], location)
     copied = []
     for t in spark.catalog.listTables(source):
         if t.isTemporary:

@@ -303,7 +303,7 @@ def test_lake_survives_compaction_and_replay(spark, scratch):
     assert read_raw(spark, lake).count() == 15
     assert compact_partitions(spark, lake, ["2026-03-03"]) == {"2026-03-03": 1}
     assert read_raw(spark, lake).count() == 15
-    assert len(os.listdir(f"{lake}/event_date=2026-03-03")) == 1
+    assert len([d for d in os.listdir(f"{lake}/event_date=2026-03-03") if "=" in d]) == 1
     # a replay of the last epoch (its commit was lost) adds nothing: compaction has its rows
     last = max(int(f) for f in os.listdir(f"{ckpt}/commits") if f.isdigit())
     os.remove(f"{ckpt}/commits/{last}")
