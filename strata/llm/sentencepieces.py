@@ -28,6 +28,7 @@ are read; tokenizers are never trained here.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -173,6 +174,10 @@ def _split(chunk_of: np.ndarray, n_chunks: int) -> np.ndarray:
     return np.searchsorted(chunk_of, np.arange(n_chunks + 1))
 
 
+#: Merges per chunk that all chunks of a batch make together; longer chunks go on alone.
+ROUNDS = 64
+
+
 def _contract(pieces: Pieces, n: int, chunk: np.ndarray, piece: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """BPE relaxation: token starts and their piece (-1: none), by position."""
     # The edges by position: a counting sort into one row per start, one column per length.
@@ -181,7 +186,9 @@ def _contract(pieces: Pieces, n: int, chunk: np.ndarray, piece: np.ndarray, star
     token, size = np.arange(n, dtype=np.int32), np.ones(n, dtype=np.int16)  # starts and lengths of the current tokens
     done = np.zeros(n, dtype=np.int16)  # lengths of the final tokens, by their starts
     owner = chunk
-    while len(token):
+    for _ in range(ROUNDS):
+        if not len(token):
+            break
         joined = size[:-1] + size[1:]
         fits = np.flatnonzero((owner[1:] == owner[:-1]) & (joined <= pieces.longest))
         edge = at[token[fits], joined[fits]]
@@ -198,10 +205,55 @@ def _contract(pieces: Pieces, n: int, chunk: np.ndarray, piece: np.ndarray, star
         size[left] += size[left + 1]
         keep[left + 1] = False
         token, size, owner = token[keep], size[keep], owner[keep]
+    for lo, hi in zip(*_runs(owner), strict=True):
+        done[token[lo:hi]] = _contract_long(pieces, at, token[lo:hi], size[lo:hi])
     token = np.flatnonzero(done)
     return token, at[token, done[token]]
 
 
+def _runs(owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and past-the-end index of each run of equal values."""
+    edges = np.flatnonzero(owner[1:] != owner[:-1]) + 1
+    return (np.r_[0, edges], np.r_[edges, len(owner)]) if len(owner) else (edges, edges)
+
+
+def _contract_long(pieces: Pieces, at: np.ndarray, token: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The same relaxation of one long chunk, edge by edge from a heap; final lengths by first token, 0 where merged away.
+
+    A round above looks at the whole chunk for one merge; here a merge looks at
+    its two neighbours.
+    """
+    n, longest, width = len(token), pieces.longest, at.shape[1]
+    starts, sizes, rank = token.tolist(), size.tolist(), pieces.rank.tolist()
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    edge_at = at.ravel().item
+
+    def edge(i: int) -> int:
+        """Rank of the piece that token i makes with the next one, or -1."""
+        j = after[i]
+        if j >= n or (joined := sizes[i] + sizes[j]) > longest:
+            return -1
+        piece = edge_at(starts[i] * width + joined)
+        return rank[piece] if piece >= 0 else -1
+
+    heap = [(r, i) for i in range(n - 1) if (r := edge(i)) >= 0]
+    heapq.heapify(heap)
+    while heap:
+        r, i = heapq.heappop(heap)
+        if not sizes[i] or edge(i) != r:
+            continue  # one of the two has been merged since
+        j = after[i]
+        sizes[i] += sizes[j]
+        sizes[j] = 0
+        after[i] = after[j]
+        if after[i] < n:
+            before[after[i]] = i
+        for k in (i, before[i]):
+            if k >= 0 and (r := edge(k)) >= 0:
+                heapq.heappush(heap, (r, k))
+    return np.array(sizes, dtype=np.int16)
+
+
 def _best_path(pieces: Pieces, n: int, chunk: np.ndarray, piece: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Unigram relaxation: the same result form as _contract, by the best-scored path per chunk."""
     least = pieces.scores.min(initial=0.0) - 10.0

@@ -78,3 +78,24 @@ def test_columns(spark):
 def test_pieces_that_span_words_are_refused():
     with pytest.raises(ValueError, match="span words"):
         _toy({f"a{sp.SPACE}b": -1.0})
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_long_chunks_are_relaxed_alike(monkeypatch, rounds):
+    """Edge by edge from a heap or all chunks together: the same merges."""
+    monkeypatch.setattr(sp, "ROUNDS", rounds)
+    rng = np.random.default_rng(rounds)
+    texts = ["".join(rng.choice(list("etaoinshr  é漢"), size=int(rng.integers(0, 400)))) for _ in range(60)] + ["aaaaaaaaaaaaa" * 9, "thethethe" * 30]
+    assert [g.tolist() for g in sp.Encoder(PIECES).encode(texts)] == [LIBRARY.encode(t) for t in texts]
+
+
+def test_a_very_long_run_without_spaces():
+    """Time near-linear in the run's length: a run of 300,000 letters, ids equal to the library's."""
+    import time
+
+    rng = np.random.default_rng(5)
+    text = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789+/"), size=300_000))
+    began = time.perf_counter()
+    ids = sp.Encoder(PIECES).encode([text])[0]
+    assert time.perf_counter() - began < 60
+    assert ids.tolist() == LIBRARY.encode(text)
