@@ -1,6 +1,6 @@
 """Summarise the final (adaptive) physical plan of every registered query.
 
-python tests/plan_report.py [sf_dir] > PLANS.md
+python tests/plan_report.py [sf_dir] > PLANS.md   (queries of the library; those of strata.llm store their steps and show only the last)
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ def summarise(plan: str) -> dict:
 
 
 def main() -> None:
-    import __spark_entry__ as entry
+    from strata.plans.catalog import QUERIES
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session(master="local[8]", shuffle_partitions=8, conf={"spark.driver.memory": "8g"})
@@ -58,7 +58,7 @@ def main() -> None:
     print("table (column pruning); pushed = scans with filters pushed into Parquet.\n")
     print("| query | exchanges | broadcasts | joins | scans (columns read) | pushed | notes |")
     print("|---|---|---|---|---|---|---|")
-    for name, fn in sorted(entry.queries().items()):
+    for name, fn in sorted(QUERIES.items()):
         df = fn(spark, sf_dir)
         df.collect()
         s = summarise(df._jdf.queryExecution().executedPlan().toString())
