@@ -20,6 +20,9 @@ per character below that of the least likely twentieth of the credentials.
 themselves.) Of overlapping finds that with the most bits in all stays; finds
 are added as kind ``format``.
 
+Very long texts and runs are scanned whole: a run's symbols are read once from
+each of its parts on, and overlaps are found by bisection.
+
 Null texts count as empty. Empty tables, or tables without credentials, give
 base spans only. Rows are independent, so repeated rows repeat their result.
 """
@@ -28,8 +31,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -60,6 +64,30 @@ def pieces(run: str, most: int) -> list[tuple[int, int]]:
     return sorted((a, b) for a, b in out if b - a >= _LEAST)
 
 
+class Covered:
+    """Disjoint spans by start, for overlap tests by bisection. Spans that overlap at first become one."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for s, e in sorted(spans):
+            if self.ends and s < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def meets(self, start: int, end: int) -> bool:
+        at = bisect_right(self.ends, start)
+        return at < len(self.starts) and self.starts[at] < end
+
+    def add(self, start: int, end: int) -> None:
+        """A span that meets none."""
+        at = bisect_right(self.starts, start)
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
+
+
 def base_spans(text: str | None) -> list[tuple[str, int, int, str]]:
     """(kind, start, end, value) by start, then kind as listed."""
     out = []
@@ -86,9 +114,8 @@ class Automaton:
     end: list[float]
     unseen: list[float]
 
-    def likelihood(self, word: str) -> float:
-        """log2 likelihood per symbol, the end included; unseen symbols have a smoothed share."""
-        state, total = 0, 0.0
+    def read(self, word: str, state: int = 0, total: float = 0.0) -> tuple[int, float]:
+        """State and log2 likelihood after more symbols; unseen symbols have a smoothed share."""
         for s in word:
             nxt = self.step[state].get(s)
             if nxt is None:
@@ -97,7 +124,14 @@ class Automaton:
             else:
                 state, p = nxt
                 total += p
-        return (total + self.end[state]) / (len(word) + 1)
+        return state, total
+
+    def ended(self, state: int, total: float, length: int) -> float:
+        """log2 likelihood per symbol of a word of this length that ends here, the end included."""
+        return (total + self.end[state]) / (length + 1)
+
+    def likelihood(self, word: str) -> float:
+        return self.ended(*self.read(word), len(word))
 
 
 #: Symbols that an automaton can tell apart at most, for the smoothed share of unseen ones.
@@ -196,12 +230,20 @@ class Formats:
 
     def score(self, token: str) -> float | None:
         """Score of a candidate that some format explains well enough, else None."""
+        return next((s for _, s in self.scores(symbols(token), 0, [len(token)])), None)
+
+    def scores(self, word: str, start: int, ends: Iterable[int]) -> Iterator[tuple[int, float | None]]:
+        """(end, score) of the candidates from ``start`` to each of the rising ``ends``: one reading of the symbols for all."""
         if not self.kinds or self.background is None:
-            return None
-        word = symbols(token)
-        base = self.background.likelihood(word)
-        best = [p - base for a, least in self.kinds.values() if (p := a.likelihood(word)) >= least]
-        return max(best, default=None)
+            return
+        automata = [self.background, *(a for a, _ in self.kinds.values())]
+        least = [t for _, t in self.kinds.values()]
+        at, read = start, [(0, 0.0)] * len(automata)
+        for end in ends:
+            read = [a.read(word[at:end], *r) for a, r in zip(automata, read, strict=True)]
+            at = end
+            base, *own = (a.ended(*r, end - start) for a, r in zip(automata, read, strict=True))
+            yield end, max((p - base for p, t in zip(own, least, strict=True) if p >= t), default=None)
 
 
 def _training(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -210,11 +252,11 @@ def _training(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text in pdf["text"]:
             spans = base_spans(text)
             rows.update((kind, value) for kind, _, _, value in spans)
-            covered = [(s, e) for _, s, e, _ in spans]
+            covered = Covered((s, e) for _, s, e, _ in spans)
             for m in _TOKEN.finditer(text or ""):
                 for a, b in pieces(m.group(), 1):
                     start, end = m.start() + a, m.start() + b
-                    if not any(s < end and start < e for s, e in covered):
+                    if not covered.meets(start, end):
                         rows.add(("", text[start:end]))
         yield pd.DataFrame(sorted(rows), columns=["kind", "value"])
 
@@ -252,22 +294,43 @@ def fit(docs: DataFrame, sample: int = 2000, background: int = 4000, margin: flo
     return Formats(kinds, plain, margin, max(most, 1))
 
 
+def candidates(run: str, offset: int, formats: Formats, covered: Covered) -> Iterator[tuple[int, int, float | None]]:
+    """(start, end, score) in the text of the run's ``pieces`` that meet no covered span.
+
+    From every part on, the symbols are read once and scored at every part's
+    end, up to the most parts of a learned credential or the first covered span.
+    """
+    word, parts, seen = symbols(run), [m.span() for m in _PART.finditer(run)], set()
+    for i, (start, _) in enumerate(parts):
+        def ends(i: int = i, start: int = start) -> Iterator[int]:
+            for _, end in parts[i : i + formats.most_parts]:
+                if covered.meets(offset + start, offset + end):
+                    return
+                yield end
+
+        for end, score in formats.scores(word, start, ends()):
+            seen.add((start, end))
+            if end - start >= _LEAST:
+                yield offset + start, offset + end, score
+    start, end = len(run) - len(run.lstrip(".")), len(run.rstrip("."))
+    if end - start >= _LEAST and (start, end) not in seen and not covered.meets(offset + start, offset + end):
+        yield offset + start, offset + end, formats.score(run[start:end])
+
+
 def scan(text: str | None, formats: Formats) -> list[tuple[str, int, int, float | None]]:
     """All spans (kind, start, end, score of learned ones) by start, then kind."""
     base = base_spans(text)
     out = [(kind, s, e, None) for kind, s, e, _ in base]
+    covered = Covered((s, e) for _, s, e, _ in base)
     found = []
     for m in _TOKEN.finditer(text or ""):
-        for a, b in pieces(m.group(), formats.most_parts):
-            score = formats.score(m.group()[a:b])
+        for start, end, score in candidates(m.group(), m.start(), formats, covered):
             if score is not None and score >= formats.least_score:
-                start, end = m.start() + a, m.start() + b
-                if not any(s < end and start < e for _, s, e, _ in base):
-                    found.append((score * (end - start + 1), start, end, score))
-    taken: list[tuple[int, int]] = []
+                found.append((score * (end - start + 1), start, end, score))
+    taken = Covered(())
     for _, start, end, score in sorted(found, key=lambda f: (-f[0], f[1], f[2])):
-        if not any(s < end and start < e for s, e in taken):
-            taken.append((start, end))
+        if not taken.meets(start, end):
+            taken.add(start, end)
             out.append((FORMAT, start, end, score))
     return sorted(out, key=lambda s: (s[1], _RANK[s[0]]))
 

@@ -70,3 +70,55 @@ def test_dotted_and_prefixed_credentials_are_found(spark):
         spans = [texts[first + i][s:e] for kind, s, e, _ in secrets.scan(texts[first + i], formats) if kind == "format"]
         assert spans == [c]
     assert secrets.scan(texts[-1], formats) == []
+
+
+def _plain_scan(text, formats):
+    """Every stretch scored by itself, every overlap tested against all spans."""
+    base = secrets.base_spans(text)
+    found = []
+    for m in secrets._TOKEN.finditer(text):
+        for a, b in secrets.pieces(m.group(), formats.most_parts):
+            score = formats.score(m.group()[a:b])
+            s, e = m.start() + a, m.start() + b
+            if score is not None and score >= formats.least_score and not any(x < e and s < y for _, x, y, _ in base):
+                found.append((score * (e - s + 1), s, e, score))
+    out, taken = [(k, s, e, None) for k, s, e, _ in base], []
+    for _, s, e, score in sorted(found, key=lambda f: (-f[0], f[1], f[2])):
+        if not any(x < e and s < y for x, y in taken):
+            taken.append((s, e))
+            out.append((secrets.FORMAT, s, e, score))
+    return sorted(out, key=lambda s: (s[1], secrets._RANK[s[0]]))
+
+
+def _formats(rng, most):
+    word = lambda n: _token(rng, "ABCDEFGHabcdefgh0123456789", n)
+    kinds = {k: (secrets.infer([secrets.symbols(word(30) + "." + word(9)) for _ in range(60)]), -4.5) for k in ("assign", "access")}
+    return secrets.Formats(kinds, secrets.infer([secrets.symbols(_token(rng, "etaoinshr.", 14)) for _ in range(200)]), 0.05, most)
+
+
+def test_scan_against_plain_loops():
+    rng = random.Random(8)
+    found = 0
+    for most in (1, 3, 50):
+        formats = _formats(rng, most)
+        for _ in range(60):
+            runs = [_token(rng, "ABCabc012345./=_-+", rng.randint(1, 60)) for _ in range(rng.randint(0, 8))]
+            text = rng.choice([" ", " token=", "..", "/"]).join(["start", *runs, "AKIA" + _token(rng, "AB01", 18)])
+            got = secrets.scan(text, formats)
+            assert got == _plain_scan(text, formats)
+            found += sum(k == secrets.FORMAT for k, *_ in got)
+    assert found > 20
+
+
+def test_long_runs_and_many_spans():
+    """A marked value of 400 KB in thousands of parts, and 20,000 spans in one text, take seconds."""
+    import time
+
+    rng = random.Random(9)
+    formats = _formats(rng, 5000)
+    value = _token(rng, "ABCDEFGHabcdefgh0123456789+/", 400_000)
+    many = " ".join(_token(rng, "0123456789abcdef", 16) + " " + _token(rng, "ABCabc0123456789", 20) for _ in range(20_000))
+    began = time.perf_counter()
+    assert [s[:3] for s in secrets.scan(f"token={value}", formats) if s[0] == "assign"] == [("assign", 0, 400_006)]
+    assert sum(k == "hex" for k, *_ in secrets.scan(many, formats)) >= 20_000
+    assert time.perf_counter() - began < 60
