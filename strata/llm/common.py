@@ -13,12 +13,12 @@ import pathlib
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import strata
@@ -34,15 +34,18 @@ _SHIPPED: set[str] = set()
 
 #: Bytes of a batch that goes to a Python worker at once (texts can be long, and rows of packed arrays are large).
 BATCH_BYTES = 4 << 20
+GROUP_LIMIT = 10_000
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound the batches of Python workers, and send them this package once per application.
+    """Bound the batches of Python workers and the rows of ranked samples; send workers this package once per application.
 
     They import it by name; where the session was started decides whether they
     could find it otherwise.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    # Ranks up to this are limited in every task before the shuffle; the samples of first_by_hash are larger than 1,000.
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", str(GROUP_LIMIT))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -71,6 +74,36 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def expand_copies(df: DataFrame, copies: str, number: str, block: int = 1 << 20) -> DataFrame:
+    """``copies`` rows for every row, numbered from 0 in ``number``.
+
+    Rows of a million copies each are dealt to the tasks first, so that no
+    array is longer than that and no task writes all copies of one row.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    starts = F.sequence(F.lit(0).cast("bigint"), F.col(copies) - 1, F.lit(block).cast("bigint"))
+    dealt = df.withColumn("__start", F.explode(starts))
+    dealt = dealt.repartition(tasks, F.xxhash64("__start", *[F.col(f"`{c}`") for c in df.columns]))
+    last = F.least(F.col("__start") + (block - 1), F.col(copies) - 1)
+    return dealt.withColumn(number, F.explode(F.sequence(F.col("__start"), last))).drop("__start")
+
+
+#: Slices of a class that are ranked apart before the class as a whole.
+SLICES = 256
+
+
+def first_by_hash(df: DataFrame, by: str, order: Sequence[str], limit: int) -> DataFrame:
+    """The first ``limit`` rows of each ``by`` in ``order`` (a hash, then what breaks ties); rank in ``r``.
+
+    Slices of the hash are ranked first: a class that holds most rows is
+    ranked by many tasks, and the last step reads SLICES * limit rows of it.
+    """
+    in_slice = Window.partitionBy(by, F.pmod(F.col(order[0]), F.lit(SLICES))).orderBy(*order)
+    in_class = Window.partitionBy(by).orderBy(*order)
+    least = df.withColumn("r", F.row_number().over(in_slice)).where(F.col("r") <= limit).drop("r")
+    return least.withColumn("r", F.row_number().over(in_class)).where(F.col("r") <= limit)
+
+
 def fold(n: int, col: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo ``n``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit(""))) % n

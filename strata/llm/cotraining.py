@@ -32,10 +32,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Words, blocks, mix, stored, trim
+from strata.llm.common import Words, blocks, first_by_hash, mix, stored, trim
 from strata.llm.textstats import TextStats
 
 WORD_BUCKETS = 128
@@ -279,9 +279,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, **options) -> Co
     marked = labels.where("quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     columns = ["text", "source", "lang", "n_chars"]
     docs = docs.where("text IS NOT NULL").select("doc_id", *columns)
-    order = Window.partitionBy("quality").orderBy("h", "doc_id")
     ids = docs.select("doc_id").distinct().join(marked, "doc_id").withColumn("h", F.xxhash64("doc_id"))
-    picked = ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample).select("doc_id", "quality", "h")
+    picked = first_by_hash(ids, "quality", ["h", "doc_id"], sample).select("doc_id", "quality", "h")
     rows = docs.join(F.broadcast(picked), "doc_id")  # 2 * sample ids
     # One row per id, before anything reaches the driver: the least by text hash.
     least = F.min_by(F.struct(*columns), F.struct(F.xxhash64("text"), *columns[1:])).alias("d")

@@ -23,10 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import blocks, mix
+from strata.llm.common import blocks, first_by_hash, mix
 from strata.llm.textstats import TextStats
 
 MIN_WORDS = 50
@@ -149,10 +149,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 2000, max_bytes: int =
     2 * sample * max_bytes. None if one class is missing.
     """
     marked = labels.where("quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    order = Window.partitionBy("quality").orderBy("h", "doc_id")
     short = docs.where(f"octet_length(text) <= {int(max_bytes)}")
     ranked = short.select("doc_id").distinct().join(marked, "doc_id").withColumn("h", F.xxhash64("doc_id"))
-    picked = ranked.withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample).select("doc_id", "quality")
+    picked = first_by_hash(ranked, "quality", ["h", "doc_id"], sample).select("doc_id", "quality")
     # At most 2 * sample ids: the texts are picked where they are read, not shuffled.
     rows = short.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
     # Of repeated rows of an id, the least by text hash counts, so at most 2 * sample rows are collected.

@@ -37,9 +37,11 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import first_by_hash
+
 #: The base patterns in their listed order, the group that is measured and its least length.
 BASE = (
     ("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
@@ -269,16 +271,8 @@ def fit(docs: DataFrame, sample: int = 2000, background: int = 4000, margin: flo
     """
     values = docs.select("text").where("text IS NOT NULL").mapInPandas(_training, "kind string, value string")
     limit = F.when(F.col("kind") == "", background).otherwise(sample)
-    # A hash range first: far fewer than all ordinary tokens take part, and the first by hash are the same.
-    order = Window.partitionBy("kind").orderBy("h", "value")
-    first = (
-        values.withColumn("h", F.xxhash64("value"))
-        .groupBy("kind", "h", "value")
-        .agg(F.lit(1).alias("one"))
-        .withColumn("r", F.row_number().over(order))
-        .where(F.col("r") <= max(sample, background))
-        .where(F.col("r") <= limit)
-    )
+    distinct = values.withColumn("h", F.xxhash64("value")).groupBy("kind", "h", "value").agg(F.lit(1).alias("one"))
+    first = first_by_hash(distinct, "kind", ["h", "value"], max(sample, background)).where(F.col("r") <= limit)
     by = defaultdict(list)
     for r in first.select("kind", "value").collect():
         by[r["kind"]].append(r["value"])

@@ -22,8 +22,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm.common import expand_copies
+
 #: Hash buckets of the row numbering; the only table that one task sorts has this many rows.
-BUCKETS = 1024
+BUCKETS = 1 << 14
 ROUNDS = 4
 #: Inlined walk beyond the first step. A cycle has at most a*b - N < a outside numbers, so for a <= WALK this is
 #: always enough; for larger a each further step is taken with a probability below 1/a (checked, never assumed).
@@ -55,9 +57,8 @@ def row_numbers(df: DataFrame, keys: Sequence[str], seed: int = 0, buckets: int
         "__upto", F.sum("__copies").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ).join(F.broadcast(sizes), "__b")
     first = F.col("__before") + F.col("__upto") - F.col("__copies")
-    return placed.select(
-        *keys, "n_rows", F.explode(F.sequence(first, first + F.col("__copies") - 1)).alias("row_no")
-    )
+    each = expand_copies(placed.select(*keys, "n_rows", "__copies", first.alias("__first")), "__copies", "__copy")
+    return each.select(*keys, "n_rows", (F.col("__first") + F.col("__copy")).alias("row_no"))
 
 
 def _feistel(x: Column, a: Column, b: Column, seed: int) -> Column:
