@@ -7,8 +7,8 @@ texts without a letter are rejected by the first stage; an empty table stays
 empty through all stages.
 
 1. language_id    keeps documents of a learned language and fills in a missing
-                  ``lang``; documents without a letter, or whose trigrams are
-                  hardly found in any language, go.
+                  ``lang``; documents without a letter, or far below what
+                  documents of their language usually reach, go.
 2. near_duplicates  keeps one document of each group of linked documents: the
                   one with the smallest id.
 3. secrets        replaces every secret in the text by its kind in brackets and
@@ -30,7 +30,7 @@ from strata.llm import language, mixing, ngram_join, secrets, sentencepieces
 from strata.llm.common import prepare
 from strata.session import checkpoint_root
 
-#: Least share of a text's trigrams that its language must explain.
+#: Least score: a text's part of what documents of its language usually reach, so alphabets of any size are alike.
 MIN_LANGUAGE_SCORE = 0.2
 
 
