@@ -7,10 +7,14 @@ nearest are those with the largest product, and the triangle inequality holds.
 
 Equal vectors are indexed once, with the k + 1 smallest of their ids: no
 further copy can be among k results, since ties go to the smaller id. Distinct
-vectors are dealt to shards by hash, ``shard_rows`` on average; each shard
-builds its tree (a vantage point, the median distance, the two halves) in one
-task. The queries meet the shards in blocks, and the k best of each pair are
-merged per query.
+vectors are dealt to shards by hash, ``shard_rows`` on average (fewer where
+they are so long that a shard would exceed SHARD_BYTES); each shard builds its
+tree (a vantage point, the median distance, the two halves) once, in one task,
+and the packed trees are written. Queries are packed in blocks by hash of their
+id. Every block is copied to every shard, where the blocks of a lane (LANE of
+them) are searched one after another beside the shard's tree: vectors travel
+once per lane, and a task holds one tree and one block. The k best of each
+block and shard are merged per query.
 
 A subtree is left out when its bound exceeds factor * (k-th best distance so
 far). With factor 1 that is the triangle inequality, and the search is exact;
@@ -38,7 +42,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored
+from strata.llm.common import prepare, stored
 
 LEAF = 256
 #: Kept beyond the k wanted while searching: the query's own vector.
@@ -49,6 +53,15 @@ OUTLIER = 16
 PAIRS = 1 << 15
 SHARD_ROWS = 8192
 QUERY_ROWS = 1024
+#: Bytes of a shard's or a block's numbers at most.
+SHARD_BYTES = 64 << 20
+#: Query blocks that search one copy of a tree.
+LANE = 64
+#: Partitions of the search at most; beyond, a task has several trees, one after another.
+SEARCHES = 1 << 15
+
+TREE = "dim int, shard bigint, piece int, points binary, ids binary, counts binary, nodes binary, medians binary"
+BLOCK = "dim int, block bigint, points binary, ids binary"
 
 
 def usable(vector: Column) -> Column:
@@ -164,32 +177,81 @@ class _Search:
         self.visit(lo + 1, split, far[~(d[~inner_first] - median > self.reach(far))])
 
 
-def _pair(k: int, factor: float):
-    def search(key, queries: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        if not len(queries) or not len(shard):
-            return empty
-        shard = shard.sort_values("mark", kind="stable")
-        x = np.stack(shard["vector"].to_numpy())
-        q = np.stack(queries["vector"].to_numpy())
-        ids = shard["ids"].to_numpy()
-        least_id = np.array([i[0] for i in ids], dtype=np.int64)
-        norm = np.sqrt((x * x).sum(axis=1))
-        apart = norm > OUTLIER * np.median(norm)
-        hits = []
-        for part in (np.flatnonzero(~apart), np.flatnonzero(apart)):
-            if not len(part):
-                continue
-            search = _Search(build(x[part]), q, min(k + SPARE, len(part)), factor, least_id[part])
-            rows, at = np.nonzero(search.found >= 0)
-            own = part[search.tree.order[search.found[rows, at]]]
-            hits.append(
-                pd.DataFrame({"query_id": queries["vec_id"].to_numpy()[rows], "vec_id": ids[own], "score": search.score[rows, at]})
-            )
-        hit = pd.concat(hits, ignore_index=True).explode("vec_id")
-        hit = hit[hit["vec_id"] != hit["query_id"]].astype({"vec_id": np.int64})
-        hit = hit.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-        return hit.groupby("query_id").head(k)
+def _plant(key: tuple, shard: pd.DataFrame) -> pd.DataFrame:
+    """The packed tree of one shard; a second one holds the vectors of far larger norm."""
+    shard = shard.sort_values("mark", kind="stable")
+    x = np.stack(shard["vector"].to_numpy())
+    ids = shard["ids"].to_numpy()
+    norm = np.sqrt((x * x).sum(axis=1))
+    apart = norm > OUTLIER * np.median(norm)
+    rows = []
+    for piece, part in enumerate((np.flatnonzero(~apart), np.flatnonzero(apart))):
+        if not len(part):
+            continue
+        tree = build(x[part])
+        own = [np.asarray(i, dtype=np.int64) for i in ids[part[tree.order]]]
+        nodes = np.array([(lo, hi, split) for (lo, hi), (_, split) in tree.vantage.items()], dtype=np.int64)
+        rows.append(
+            {
+                "piece": piece,
+                "points": tree.points.tobytes(),
+                "ids": np.concatenate(own).tobytes(),
+                "counts": np.array([len(i) for i in own], dtype=np.int64).tobytes(),
+                "nodes": nodes.tobytes(),
+                "medians": np.array([median for median, _ in tree.vantage.values()]).tobytes(),
+            }
+        )
+    return pd.DataFrame(rows).assign(dim=key[0], shard=key[1])
+
+
+def _pack(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
+    points = np.stack(block["vector"].to_numpy()).tobytes()
+    ids = block["vec_id"].to_numpy(dtype=np.int64).tobytes()
+    return pd.DataFrame({"dim": [key[0]], "block": [key[1]], "points": [points], "ids": [ids]})
+
+
+class _Planted:
+    """A tree unpacked, with the ids of its vectors in tree order: ``ids[first[i] : first[i + 1]]``, smallest first."""
+
+    def __init__(self, row):
+        points = np.frombuffer(row.points).reshape(-1, row.dim + 1)
+        nodes = np.frombuffer(row.nodes, dtype=np.int64).reshape(-1, 3).tolist()
+        medians = np.frombuffer(row.medians).tolist()
+        vantage = {(lo, hi): (median, split) for (lo, hi, split), median in zip(nodes, medians, strict=True)}
+        self.tree = _Tree(points, np.arange(len(points)), vantage)
+        self.ids = np.frombuffer(row.ids, dtype=np.int64)
+        self.counts = np.frombuffer(row.counts, dtype=np.int64)
+        self.first = np.r_[0, np.cumsum(self.counts)]
+
+    def hits(self, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> pd.DataFrame:
+        found = _Search(self.tree, queries, min(k + SPARE, len(self.counts)), factor, self.ids[self.first[:-1]])
+        rows, at = np.nonzero(found.found >= 0)
+        vectors = found.found[rows, at]
+        copies = self.counts[vectors]
+        hit = np.repeat(np.arange(len(vectors)), copies)
+        nth = np.arange(len(hit)) - np.repeat(np.cumsum(copies) - copies, copies)
+        ids = self.ids[self.first[vectors[hit]] + nth]
+        return pd.DataFrame({"query_id": query_ids[rows[hit]], "vec_id": ids, "score": found.score[rows, at][hit]})
+
+
+def _search(k: int, factor: float):
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows come by shard and lane: its trees, then its blocks."""
+        trees: list[_Planted] = []
+        now = None
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                if (row.dim, row.shard, row.lane) != now:
+                    now, trees = (row.dim, row.shard, row.lane), []
+                if row.block < 0:
+                    trees.append(_Planted(row))
+                    continue
+                query_ids = np.frombuffer(row.ids, dtype=np.int64)
+                queries = np.frombuffer(row.points).reshape(len(query_ids), -1)
+                hit = pd.concat([t.hits(query_ids, queries, k, factor) for t in trees], ignore_index=True)
+                hit = hit[hit["vec_id"] != hit["query_id"]]
+                hit = hit.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+                yield hit.groupby("query_id").head(k)
 
     return search
 
@@ -203,6 +265,7 @@ def nearest(
     query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score of the k nearest found; ``vectors`` has vec_id and embedding."""
+    prepare(vectors.sparkSession)  # packed rows are large: batches are bounded by bytes
     doubles = F.transform("embedding", lambda x: x.cast("double"))
     clean = vectors.select("vec_id", "embedding").where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
     clean = clean.groupBy("vec_id").agg(F.min(doubles).alias("vector"))
@@ -211,26 +274,35 @@ def nearest(
     by_vector = Window.partitionBy("mark", "vector").orderBy("vec_id")
     first_ids = clean.withColumn("r", F.row_number().over(by_vector)).where(F.col("r") <= k + 1)
     distinct = first_ids.groupBy("mark", "vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.first("dim").alias("dim"))
-    queries = clean.where(is_query)
+
+    def pieces(rows: Column, most: int) -> Column:
+        fit = F.greatest(F.lit(1), F.floor(F.lit(SHARD_BYTES) / (8 * (F.col("dim") + 1))))
+        return F.greatest(F.lit(1), F.ceil(rows / F.least(F.lit(most), fit))).cast("bigint")
+
     # Shards and query blocks per vector length, sized by count.
-    sizes = {r["dim"]: (r["n"], r["q"]) for r in clean.groupBy("dim").agg(F.count("*").alias("n"), F.sum(is_query.cast("int")).alias("q")).collect()}
-
-    def pieces(of: int, rows: int) -> Column:
-        out = F.lit(1)
-        for dim, counts in sizes.items():
-            out = F.when(F.col("dim") == dim, -(-max(counts[of], 1) // rows)).otherwise(out)
-        return out.cast("bigint")
-
-    shards, q_blocks = pieces(0, shard_rows), pieces(1, query_rows)
-    # Every query block meets every shard of its length.
-    left = queries.withColumn("block", F.pmod("mark", q_blocks)).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), shards - 1)))
-    right = distinct.withColumn("shard", F.pmod("mark", shards)).withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), q_blocks - 1)))
-    # pmod of the same hash would tie shards to blocks: shards use other bits.
-    right = right.withColumn("shard", F.pmod(F.xxhash64("mark"), shards))
-    keys = ["dim", "shard", "block"]
-    hits = left.select(*keys, "vec_id", "vector").groupBy(*keys).cogroup(right.select(*keys, "mark", "ids", "vector").groupBy(*keys)).applyInPandas(
-        _pair(k, factor), "query_id long, vec_id long, score double"
+    asked = F.coalesce(is_query, F.lit(False))
+    sizes = clean.groupBy("dim").agg(
+        pieces(F.count("*"), shard_rows).alias("shards"), pieces(F.count_if(asked), query_rows).alias("blocks")
     )
+    sizes = stored(sizes.withColumn("lanes", F.ceil(F.col("blocks") / LANE).cast("bigint")), "sizes")
+
+    def numbers(upto: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(upto) - 1))
+
+    dealt = distinct.join(sizes, "dim").withColumn("shard", F.pmod("mark", F.col("shards")))
+    trees = dealt.select("dim", "shard", "mark", "ids", "vector").groupBy("dim", "shard")
+    trees = stored(trees.applyInPandas(_plant, TREE), "trees")
+    blocks = clean.where(asked).join(sizes, "dim").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")))
+    blocks = blocks.select("dim", "block", "vec_id", "vector").groupBy("dim", "block")
+    blocks = stored(blocks.applyInPandas(_pack, BLOCK), "blocks")
+    # Every block goes to every shard of its length, a shard's tree to every lane.
+    lanes = trees.join(sizes, "dim").withColumn("lane", numbers("lanes")).withColumn("block", F.lit(-1).cast("bigint"))
+    copies = blocks.join(sizes, "dim").withColumn("shard", numbers("shards")).withColumn("lane", F.floor(F.col("block") / LANE).cast("bigint"))
+    rows = lanes.drop("shards", "blocks", "lanes").unionByName(copies.drop("shards", "blocks", "lanes"), allowMissingColumns=True)
+    searches = sizes.agg(F.sum(F.col("shards") * F.col("lanes"))).first()[0] or 1
+    keys = ["dim", "shard", "lane"]
+    rows = rows.repartition(min(searches, SEARCHES), *keys).sortWithinPartitions(*keys, "block", "piece")
+    hits = rows.mapInPandas(_search(k, factor), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

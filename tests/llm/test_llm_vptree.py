@@ -44,6 +44,20 @@ def test_factor_one_is_exact_with_copies_and_ties(spark, shard_rows):
     assert got == _brute(rows, 7, 5)
 
 
+def test_shards_bounded_by_bytes_lanes_and_shared_partitions(spark, monkeypatch):
+    """Long vectors make smaller shards; every lane gets the shard's tree; a task may have several trees in turn."""
+    monkeypatch.setattr(vptree, "SHARD_BYTES", 20 * 8 * 7)
+    monkeypatch.setattr(vptree, "LANE", 2)
+    monkeypatch.setattr(vptree, "SEARCHES", 3)
+    rows = _rows(120, 6, random.Random(5), copies=30) + [(k, v, w) for k, v, w in _rows(9, 3, random.Random(6))]
+    rows = [(k, *r[1:]) for k, r in enumerate(rows)]
+    got = _found(vptree.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 2 == 0, k=5, query_rows=9))
+    expected = {}
+    for dim in (6, 3):
+        expected |= _brute([r for r in rows if len(r[1]) == dim], 5, 2)
+    assert got == expected
+
+
 def test_fewer_candidates_than_k(spark):
     rows = _rows(4, 3, random.Random(1))
     got = _found(vptree.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") >= 0, k=20))
