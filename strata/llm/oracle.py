@@ -78,9 +78,9 @@ def _due(s: str) -> str:
 
 MIXING = MIXING.replace("{first}", _due("s_1")).replace("{second}", _due("s_2"))
 
-# Every pair of sets by an index of their shingles, then the closure of the links.
-NGRAM_JOIN = rf"""
-WITH RECURSIVE words AS (
+# Every pair of documents by an index of their shingles.
+_LINKED = rf"""
+words AS (
     SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WORDS}) AS w
     FROM documents
 ),
@@ -94,9 +94,14 @@ pairs AS (
     FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
 ),
 links AS (
-    SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+    SELECT x, y, shared = p.n AND shared = q.n AS equal FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
     WHERE 100 * shared >= 75 * (p.n + q.n - shared)
-),
+)
+"""
+
+# The closure of the links.
+NGRAM_JOIN = rf"""
+WITH RECURSIVE {_LINKED},
 edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
 reach AS (
     SELECT x AS node, x AS least FROM edges
@@ -109,6 +114,18 @@ LEFT JOIN sizes s ON s.doc_id = d.doc_id
 LEFT JOIN (SELECT node, min(least) AS least FROM reach GROUP BY node) r ON r.node = d.doc_id
 """
 
+NGRAM_LINKS = rf"""
+WITH {_LINKED},
+ends AS (SELECT x AS doc_id, equal FROM links UNION ALL SELECT y, equal FROM links),
+counted AS (
+    SELECT doc_id, count(*) FILTER (WHERE equal) AS n_equal, count(*) FILTER (WHERE NOT equal) AS n_links FROM ends GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(n_equal, 0)::BIGINT AS n_equal, coalesce(n_links, 0)::BIGINT AS n_links
+FROM documents d
+LEFT JOIN sizes s ON s.doc_id = d.doc_id
+LEFT JOIN counted c ON c.doc_id = d.doc_id
+"""
+
 # Exact search (factor 1): every candidate's product, added up from the first component on.
 VP_TREE = """
 WITH vectors AS (
@@ -206,6 +223,7 @@ ORACLE = {
     "op5_mixing": MIXING,
     "op7_vp_tree": VP_TREE,
     "op9_ngram_join": NGRAM_JOIN,
+    "op9_ngram_links": NGRAM_LINKS,
     "op11_winnowing": DECONTAMINATION,
     "op12_edit_transducer": SPELLING,
 }
