@@ -45,7 +45,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Words, blocks, mix, stored, trim
+from strata.llm.common import Words, blocks, expand_copies, mix, stored, trim
 
 #: Classes of contexts; word identities leave their lowest bits for them.
 CLASSES = 32
@@ -832,7 +832,8 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
     whole = marked.select("doc_id", "mark", frequent_part.asNondeterministic()("text").alias("r")).select("doc_id", "mark", "r.*")
     # Equal rows brought their rest once each: count them to share it.
     whole = whole.groupBy("doc_id", "mark", "n_tokens", "n_known", "base", "p").agg(F.count("*").alias("copies"))
-    joined = whole.join(sums, "mark", "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    # One row per copy again.
+    joined = expand_copies(whole.join(sums, "mark", "left"), "copies", "copy")
     part = lambda c: F.coalesce(F.col(c) / F.col("copies"), F.lit(0.0))
     return joined.select(
         "doc_id",
