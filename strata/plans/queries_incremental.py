@@ -135,11 +135,13 @@ FROM opened WINDOW w AS (PARTITION BY order_id ORDER BY seen_on)""",
 )
 def q_order_status_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three snapshots in a row, the second applied twice: only buckets with changes are written."""
-    path = _folder(spark, "dimension")
+    base = _folder(spark, "dimension")
+    path = f"{base}/versions"
     orders = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("first"))
     derived = model.derived_order_status(read_table(spark, sf_dir, "lineitem"))
     named = orders.join(derived, orders.order_id == derived.o_orderkey, "left")
-    named = named.select("order_id", "first", F.coalesce("o_orderstatus", "first").alias("second"))
+    named.select("order_id", "first", F.coalesce("o_orderstatus", "first").alias("second")).write.parquet(f"{base}/named")
+    named = spark.read.parquet(f"{base}/named")  # all snapshots come from it
     snapshots = [
         named.filter("order_id % 10 <> 0").select("order_id", F.col("first").alias("status")),
         named.select("order_id", F.col("second").alias("status")),

@@ -3,11 +3,11 @@
 ``current/<n>/_bucket=k`` holds the open versions of the keys of bucket k,
 ``history/<n>`` the versions that snapshot n closed. A snapshot
 
-1. compares a digest of the tracked values per key: one hash aggregate over the
-   current versions' and the snapshot's digests (never over history, and the
-   values themselves aren't shuffled);
+1. brings the current and the snapshot's version of every key together: one
+   aggregate over both (never over history), kept while the snapshot is applied,
+   so the snapshot's frame is evaluated once;
 2. writes the closed versions of changed keys to a new history folder, and the
-   buckets that hold a changed or new key to new folders;
+   buckets that hold a changed or new key to new folders, few files each;
 3. switches the pointer (``strata.sinks.versions``).
 
 Untouched buckets and all earlier history stay as they are. ``read_dimension``
@@ -25,7 +25,19 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    ByteType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from strata.sinks.swap import child_names
 from strata.sinks.versions import commit, forget, latest
@@ -34,13 +46,19 @@ BUCKET = "_bucket"
 BUCKETS = 64
 
 
-def _digest(columns: list[str]) -> Column:
-    content = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
-    return F.struct(F.xxhash64(F.lit(0), content).alias("a"), F.xxhash64(F.lit(1), content).alias("b"))
+#: Types that are compared as they are; values of all others by their JSON text.
+_PLAIN = (BooleanType, ByteType, ShortType, IntegerType, LongType, DecimalType, DateType, StringType, BinaryType)
 
 
-def _same(left: str, right: str, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+def _differs(old: str, new: str, fields: list[StructField]) -> Column:
+    """Whether the tracked values of two structs differ; a missing struct differs from any other."""
+    differs = F.col(old).isNull() != F.col(new).isNull()
+    for field in fields:
+        pair = [F.col(side).getField(field.name) for side in (old, new)]
+        if not isinstance(field.dataType, _PLAIN):
+            pair = [F.to_json(F.struct(c.alias("v")), {"ignoreNullFields": "false"}) for c in pair]
+        differs = differs | ~pair[0].eqNullSafe(pair[1])
+    return differs
 
 
 def _current(spark: SparkSession, path: str, state: dict) -> DataFrame | None:
@@ -97,40 +115,42 @@ def apply_snapshot(
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in row.schema.fields)
         state = {"schema": fields, "buckets": buckets, "current": {}, "history": []}
     bucket = F.pmod(F.xxhash64(*keys), F.lit(state["buckets"])).cast("int")
-    new = incoming.groupBy(*keys).agg(F.max(F.struct(*tracked)).alias("_t")).select(*keys, "_t.*")
+    schema = StructType.fromDDL(state["schema"])
     current = _current(spark, path, state)
 
-    none = F.lit(None).cast("struct<a:bigint,b:bigint>")
-    sides = new.select(*keys, none.alias("_old"), _digest(tracked).alias("_new"))
+    # Of several snapshot rows of one key the largest counts; a key has one open version.
+    versions = [*tracked, "valid_from"]
+    arrived = F.struct(*[F.col(f"`{c}`") for c in tracked])
+    held = F.struct(*[F.col(f"`{c}`") for c in versions])
+    nothing = F.lit(None).cast(StructType([schema[c] for c in versions]))
+    sides = incoming.select(*keys, arrived.alias("_new"), nothing.alias("_old"))
     if current is not None:
-        sides = sides.unionByName(current.select(*keys, _digest(tracked).alias("_old"), none.alias("_new")))
-    flat = sides.select(*keys, *[F.col(f"{s}.{x}").alias(f"{s}_{x}") for s in ("_old", "_new") for x in "ab"])
-    both = flat.groupBy(*keys).agg(*[F.max(f"{s}_{x}").alias(f"{s}_{x}") for s in ("_old", "_new") for x in "ab"])
-    differs = ~(F.col("_old_a").eqNullSafe(F.col("_new_a")) & F.col("_old_b").eqNullSafe(F.col("_new_b")))
+        none = F.lit(None).cast(StructType([schema[c] for c in tracked]))
+        sides = sides.unionByName(current.select(*keys, none.alias("_new"), held.alias("_old")))
+    both = sides.groupBy(*keys).agg(F.max("_new").alias("_new"), F.max("_old").alias("_old"))
+    differs = _differs("_old", "_new", [schema[c] for c in tracked])
     if not close_missing:
-        differs = differs & F.col("_new_a").isNotNull()
-    changed = both.filter(differs).select(*keys, bucket.alias(BUCKET)).persist(StorageLevel.MEMORY_AND_DISK)
+        differs = differs & F.col("_new").isNotNull()
+    both = both.withColumns({"_changed": differs, BUCKET: bucket}).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        touched = sorted(r[0] for r in changed.select(BUCKET).distinct().collect())  # at most ``buckets`` numbers
+        touched = sorted(r[0] for r in both.filter("_changed").select(BUCKET).distinct().collect())  # at most ``buckets`` numbers
         if not touched:
             return base
         number = base + 1
         effective = F.lit(effective_date).cast("date")
-        opened = new.alias("n").join(changed.alias("c"), _same("n", "c", keys), "left_semi")
-        rows = opened.select(*keys, *tracked, effective.alias("valid_from"))
         history = list(state["history"])
-        if current is not None:
-            live = {k: f for k, f in state["current"].items() if int(k) in touched}
-            held = _current(spark, path, {"schema": state["schema"], "current": live})
-            if held is not None:
-                closed = held.alias("h").join(changed.alias("c"), _same("h", "c", keys), "left_semi")
-                closed.select("*", effective.alias("valid_to")).write.mode("overwrite").parquet(f"{path}/history/{number}")
-                history.append(f"history/{number}")
-                rows = held.alias("h").join(changed.alias("c"), _same("h", "c", keys), "left_anti").unionByName(rows)
+        if any(int(k) in touched for k in state["current"]):
+            closed = both.filter("_changed AND _old IS NOT NULL").select(*keys, "_old.*", effective.alias("valid_to"))
+            closed.write.mode("overwrite").parquet(f"{path}/history/{number}")
+            history.append(f"history/{number}")
+        opened = F.when(F.col("_new").isNotNull(), F.struct("_new.*", effective.alias("valid_from")))
+        live = F.when(F.col("_changed"), opened).otherwise(F.col("_old"))
+        rows = both.filter(F.col(BUCKET).isin(touched)).select(*keys, live.alias("_live"), BUCKET).filter("_live IS NOT NULL")
         out = f"{path}/current/{number}"
-        rows.withColumn(BUCKET, bucket).write.mode("overwrite").partitionBy(BUCKET).parquet(out)
+        rows = rows.select(*keys, "_live.*", BUCKET).hint("rebalance", BUCKET)
+        rows.write.mode("overwrite").partitionBy(BUCKET).parquet(out)
     finally:
-        changed.unpersist()
+        both.unpersist()
     written = {n.partition("=")[2]: f"current/{number}/{n}" for n in child_names(spark, out)}
     kept = {k: f for k, f in state["current"].items() if int(k) not in touched}
     return commit(spark, path, base, {**state, "current": kept | written, "history": history})

@@ -308,6 +308,36 @@ def test_a_snapshot_writes_touched_buckets_only(spark, scratch):
     assert dimension.forget_versions(spark, path, keep=1) and _versions(spark, path) == rows
 
 
+def test_a_snapshot_is_evaluated_once(spark, scratch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def status(k):
+        seen.add(1)
+        return "ab"[k % 2]
+
+    path = f"{scratch}/dim"
+    for n, day in ((60, "2024-01-01"), (100, "2024-02-01"), (100, "2024-03-01")):
+        before = seen.value
+        incoming = spark.range(n).select(F.col("id").alias("k"), F.udf(status, "string")("id").alias("s"))
+        dimension.apply_snapshot(spark, path, incoming, "k", ["s"], day, buckets=4)
+        assert seen.value - before == n
+    assert len(_versions(spark, path)) == 100
+
+
+def test_snapshots_differ_by_null_and_by_typed_values(spark, scratch):
+    path = f"{scratch}/dim"
+    first, second = float("nan"), dt.datetime(2024, 1, 1, 0, 0, 1)
+    rows = [
+        [(1, None, None, [1]), (2, first, second, None), (3, 0.5, second, [])],
+        [(1, None, None, [1]), (2, first, second, []), (3, None, None, None)],
+    ]
+    for k, snapshot in enumerate(rows):
+        incoming = spark.createDataFrame(snapshot, "k int, x double, t timestamp, a array<int>")
+        dimension.apply_snapshot(spark, path, incoming, "k", ["x", "t", "a"], f"2024-01-0{k + 1}", buckets=4)
+    found = dimension.read_dimension(spark, path).collect()
+    assert sorted((r.k, r.is_current) for r in found) == [(1, True), (2, False), (2, True), (3, False), (3, True)]
+
+
 def test_two_writers_of_one_version(spark, scratch):
     path = f"{scratch}/v"
     assert versions.commit(spark, path, 0, {"a": 1}) == 1
