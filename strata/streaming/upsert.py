@@ -18,7 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import MapType, StructField, StructType, TimestampType, VariantType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType, TimestampType, VariantType
 
 from strata.sinks.swap import ConcurrentChange, finish_swap, observe, partition_folders, path_exists, replace
 
@@ -26,13 +26,28 @@ DELETE_FLAG = "_deleted"
 LOGGED_AT = "_logged_at"
 
 
+def _has_order(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return all(_has_order(f.dataType) for f in kind.fields)
+    return _has_order(kind.elementType) if isinstance(kind, ArrayType) else not isinstance(kind, (MapType, VariantType))
+
+
 def latest_per_key(changes: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """One row per key: the last by ``order_by``, ties broken by all other (orderable) columns.
 
-    Null keys are one key. Planned with a partial group limit before the shuffle.
+    Null keys are one key. Rows of a key are combined before the shuffle: by an
+    aggregate that sorts by the keys only, or, where a column has no order, by
+    a window with a group limit.
     """
-    unordered = [f.name for f in changes.schema.fields if isinstance(f.dataType, (MapType, VariantType))]
-    rest = [c for c in changes.columns if c not in keys and c not in order_by and c not in unordered]
+    unordered = [f.name for f in changes.schema.fields if not _has_order(f.dataType)]
+    first = list(dict.fromkeys(c for c in order_by if c not in keys))
+    rest = [c for c in changes.columns if c not in keys and c not in first and c not in unordered]
+    if keys and not unordered and (first or rest):
+        # The struct's order, nulls lowest, is that of the window below.
+        row = F.max(F.struct(*[F.col(f"`{c}`") for c in [*first, *rest]])).alias("_row")
+        latest = changes.groupBy(*keys).agg(row)
+        whole = {c: F.col("_row").getField(c) for c in [*first, *rest]}
+        return latest.select(*[whole[c].alias(c) if c in whole else F.col(c) for c in changes.columns])
     order = [F.col(c).desc_nulls_last() for c in [*order_by, *rest]]
     w = Window.partitionBy(*keys).orderBy(*order)
     return changes.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
@@ -117,8 +132,8 @@ def apply_changes_batch(
     Only target partitions that hold a partition value of the batch are read
     and rewritten; null is a value like any other. A key may change its
     partition: the partitions that hold the batch's keys now are found by a scan
-    of the target's key columns and rewritten too (``keys_move=False`` saves the
-    scan where keys never move). The partition column must be coarse: a batch
+    of the key columns of the target's other partitions and rewritten too
+    (``keys_move=False`` saves the scan where keys never move). The partition column must be coarse: a batch
     that touches more than ``max_partitions`` values is an error.
 
     Deletions are appended to the deletion log before the target changes, with
@@ -156,25 +171,30 @@ def apply_changes_batch(
         # Read with the change schema so partition values keep their type.
         schema = StructType([f for f in batch.schema.fields if f.name != delete_col])
         exists = path_exists(spark, target_path)
-        values = batch.select(partition_col)
         wanted = batch.select(*keys).distinct().alias("b")
-        if keys_move and exists:
-            held = spark.read.schema(schema).parquet(target_path).alias("t").join(wanted, same("t", "b"), "left_semi")
-            values = values.union(held.select(partition_col))
-        found = values.distinct().select(partition_col, F.col(partition_col).cast("string").alias("name"))
-        parts = [(r[0], r[1]) for r in found.limit(max_partitions + 1).collect()]
+
+        def parts_of(rows: DataFrame) -> list[tuple]:
+            found = rows.select(partition_col).distinct().select(partition_col, F.col(partition_col).cast("string").alias("name"))
+            return [(r[0], r[1]) for r in found.limit(max_partitions + 1).collect()]
+
+        def within(parts: list[tuple]) -> Column:
+            inside = F.coalesce(F.col(partition_col).isin([p for p, _ in parts if p is not None]), F.lit(False))
+            return inside | F.col(partition_col).isNull() if any(p is None for p, _ in parts) else inside
+
+        parts = parts_of(batch)
+        folders = partition_folders(spark, target_path, partition_col) if exists else {}
+        # The batch's own partitions are read anyway: only the others are searched for its keys.
+        if keys_move and folders.keys() - {name for _, name in parts}:
+            others = spark.read.schema(schema).parquet(target_path).filter(~within(parts)).alias("t")
+            parts += parts_of(others.join(wanted, same("t", "b"), "left_semi").select(f"t.{partition_col}"))
         if len(parts) > max_partitions:
             raise ValueError(f"a batch touches more than {max_partitions} values of {partition_col}")
         if not parts:
             return
         target, seen = None, {}
         if exists:
-            folders = partition_folders(spark, target_path, partition_col)
             seen = observe(spark, target_path, [folders[name] for _, name in parts if name in folders])
-            touched = F.col(partition_col).isin([p for p, _ in parts if p is not None])
-            if any(p is None for p, _ in parts):
-                touched = F.coalesce(touched, F.lit(False)) | F.col(partition_col).isNull()
-            target = spark.read.schema(schema).parquet(target_path).filter(touched)
+            target = spark.read.schema(schema).parquet(target_path).filter(within(parts))
         deletions = _read_deletions(spark, target_path, _log_schema(batch.schema, keys, order_by))
         if deletions is not None:
             deletions = deletions.alias("d").join(wanted, same("d", "b"), "left_semi")

@@ -20,6 +20,7 @@ from strata.streaming import (
     start_raw_sink,
     stream_to_raw,
     windowed_summary,
+    upsert,
 )
 
 
@@ -344,3 +345,29 @@ def test_late_rows_over_several_batches(spark, scratch):
     got = {r.window_start.hour: r.event_count for r in spark.read.parquet(out).collect()}
     # 00:55 came in time for the open first hour; 00:56 after that hour had been closed at 02:00.
     assert got == {0: 3, 2: 1}
+
+
+def test_latest_row_without_sorting_whole_rows(spark):
+    rows = [(1, 2, "b", None), (1, 2, "b", "x"), (1, 1, "z", "z"), (None, None, "a", "a"), (None, 0, None, None), (2, None, "q", "q")]
+    changes = spark.createDataFrame(rows * 2, "k int, v int, a string, b string")
+    latest = upsert.latest_per_key(changes, ["k"], ["v"])
+    assert latest.columns == changes.columns
+    assert sorted(map(tuple, latest.collect()), key=str) == [(1, 2, "b", "x"), (2, None, "q", "q"), (None, 0, None, None)]
+    assert "Window" not in latest._jdf.queryExecution().executedPlan().toString()
+    with_map = changes.withColumn("m", F.create_map(F.lit("m"), "a"))
+    assert sorted(map(str, upsert.latest_per_key(with_map, ["k"], ["v"]).drop("m").collect())) == sorted(map(str, latest.collect()))
+
+
+def test_moved_keys_are_searched_in_other_partitions_only(spark, scratch):
+    path = os.path.join(scratch, "t")
+    apply = apply_changes_batch(spark, path, ["k"], ["v"], "p")
+
+    def rows(*values):
+        return spark.createDataFrame(values, "k int, v int, p string")
+
+    apply(rows((1, 1, "a"), (2, 1, "b"), (3, 1, None)), 0)
+    apply(rows((1, 2, "b"), (2, 2, None), (3, 2, "a")), 1)  # all move among the batch's own partitions
+    assert sorted(map(tuple, spark.read.parquet(path).select("k", "v", "p").collect())) == [(1, 2, "b"), (2, 2, None), (3, 2, "a")]
+    apply(rows((3, 3, "c")), 2)  # from a partition that the batch doesn't name
+    apply(rows((2, 3, "c")), 3)  # from the null partition
+    assert sorted(map(tuple, spark.read.parquet(path).select("k", "v", "p").collect())) == [(1, 2, "b"), (2, 3, "c"), (3, 3, "c")]
