@@ -152,6 +152,16 @@ def mix(docs: DataFrame, profiles=PROFILES, weights=WEIGHTS, share=(3, 2), limit
     )
 
 
+def by_position(mixed: DataFrame) -> DataFrame:
+    """The rows of a mix in training order: range-sorted by the position of their first occurrence.
+
+    Rows of one position (empty documents) are told apart by the columns that follow, so they
+    are split among tasks too; rows without an occurrence come last.
+    """
+    first = F.get("passes", F.lit(0))["position"]
+    return mixed.orderBy(first.asc_nulls_last(), "source", "doc_id", "text_md5", "copy")
+
+
 def in_order(docs: DataFrame, **options) -> DataFrame:
     """The rows of the mix, all columns of ``docs``, range-sorted by their training position.
 

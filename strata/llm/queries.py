@@ -62,7 +62,8 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    """One row per document, in training order (of its first occurrence)."""
+    mixed = mixing.by_position(mixing.mix(table(spark, sf_dir, "documents")))
     return mixed.select(
         "doc_id",
         "size",

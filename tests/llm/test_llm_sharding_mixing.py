@@ -9,7 +9,7 @@ import xxhash
 from llm_cases import WORD, table
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, sharding
+from strata.llm import mixing, queries, sharding
 
 
 def _hash(*values: tuple[int, str]) -> int:
@@ -132,6 +132,16 @@ def test_curriculum_order_and_repeats(spark):
     assert max(times.values()) <= 4  # two rows of id 104, twice each
 
 
+def test_query_returns_the_curriculum_order(spark, scratch):
+    table(spark, extra=True).repartition(5).write.parquet(f"{scratch}/documents.parquet")
+    out = queries.QUERIES["op5_mixing"](spark, scratch)
+    rows = [r["position"] for r in out.collect()]
+    taken = [p for p in rows if p is not None]
+    assert len(taken) > 10 and taken == sorted(taken)
+    assert rows[len(taken) :] == [None] * (len(rows) - len(taken))
+    assert "rangepartitioning" in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_sources_without_words(spark):
     docs = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     out = mixing.mix(docs).collect()
