@@ -74,6 +74,55 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, label: str, key: str, tasks: int) -> DataFrame:
+    """``stored``, the files bucketed by ``key``: grouping by it, alone or beside another frame, doesn't shuffle these rows again.
+
+    Rows of one key come from one task of ``df``. The name is dropped at once (the files stay): nobody else reads the table by it.
+    """
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/llm/{name}"
+    df.write.format("parquet").bucketBy(tasks, key).option("path", path).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+def pack(x: np.ndarray) -> bytes:
+    """Long integers as compressed bytes: rising ones by their differences, bytes of one weight side by side, empty upper ones left out."""
+    x = np.ascontiguousarray(x, dtype=np.int64)
+    rises = len(x) > 1 and bool((x[1:] >= x[:-1]).all())
+    planes = (np.r_[x[:1], np.diff(x)] if rises else x).view(np.uint8).reshape(-1, 8)
+    width = 8
+    while width > 1 and not planes[:, width - 1].any():
+        width -= 1
+    head = np.array([len(x), width, rises], dtype=np.int64).tobytes()
+    return head + pa.compress(planes[:, :width].T.tobytes(), codec="zstd", asbytes=True) if len(x) else head
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    n, width, rises = (int(i) for i in np.frombuffer(raw, dtype=np.int64, count=3))
+    out = np.zeros((n, 8), dtype=np.uint8)
+    if n:
+        planes = pa.decompress(raw[24:], decompressed_size=n * width, codec="zstd", asbytes=True)
+        out[:, :width] = np.frombuffer(planes, dtype=np.uint8).reshape(width, n).T
+    x = out.view(np.int64).ravel()
+    return np.cumsum(x) if rises else x
+
+
+def pack_ids(x: np.ndarray) -> bytes:
+    """Identities that repeat: the distinct ones, and the position of each entry among them."""
+    own, index = np.unique(x, return_inverse=True)
+    first = pack(own)
+    return len(first).to_bytes(8, "little") + first + pack(index)
+
+
+def unpack_ids(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct identities in rising order, position of each entry among them)."""
+    edge = 8 + int.from_bytes(raw[:8], "little")
+    return unpack(raw[8:edge]), unpack(raw[edge:])
+
+
 def expand_copies(df: DataFrame, copies: str, number: str, block: int = 1 << 20) -> DataFrame:
     """``copies`` rows for every row, numbered from 0 in ``number``.
 

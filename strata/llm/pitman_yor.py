@@ -11,23 +11,26 @@ a class one of the root.
 
 Learning. Occurrences are counted per (word, context) in each task, then per
 hash bucket of the words, so that no frequent word is shuffled one occurrence
-at a time; a context's dishes are spread over all buckets. A sweep resamples
-the seating of all customers of every dish: the number of tables of a dish is
-drawn at once from its law given its customers, the other tables of its
-restaurant and the parent without the dish (``draw_tables``), first in the
-contexts, then in the classes, then in the root. Between sweeps the tables of
-each context are added up over all buckets and sent back to the buckets that
-have it, and the totals of the classes and the root are refreshed. Within a
-sweep the dishes of a restaurant are drawn side by side, given the totals of
-the sweep before. After ``burn_in`` sweeps, ``samples`` sweeps are kept; the
-predictive probability of a word is the mean over the kept seatings.
-
-Scoring. (word, context) pairs of at least 1 / MAX_FREQUENT of the training
-tokens, hence at most MAX_FREQUENT, are sent to the tasks with their
-probabilities, and as many contexts with their back-off weights; all other
-tokens of the texts meet their word's bucket, large buckets split by salt.
-Tokens of a rare context whose pair was never seen go on to the bucket of the
-context. Sums per text are exact sums over all its tokens.
+at a time; a context's dishes are spread over all buckets. The counts are
+written once, in a table bucketed by that number, and never shuffled again. A
+sweep resamples the seating of all customers of every dish: the number of
+tables of a dish is drawn at once from its law given its customers, the other
+tables of its restaurant and the parent without the dish (``draw_tables``),
+first in the contexts, then in the classes, then in the root. Between sweeps
+only numbers of tables travel: every bucket sends the sums of its contexts to
+the contexts' parts, which add them up over all buckets and send the totals
+back. Which contexts a bucket has is told to the parts once, before the first
+sweep; later messages keep that order. The totals of the classes and the root
+are refreshed, too. Within a sweep the dishes of a restaurant are drawn side by
+side, given the totals of the sweep before. After ``burn_in`` sweeps,
+``samples`` sweeps are kept; the predictive probability of a word is the mean
+over the kept seatings.
+
+Scoring. The most frequent (word, context) pairs, at most MAX_FREQUENT, are
+sent to the tasks with their probabilities, and as many contexts with their
+back-off weights; all other tokens of the texts meet their word's bucket, large
+buckets split by salt. Tokens of a rare context whose pair was never seen go on
+to the part of the context. Sums per text are exact sums over all its tokens.
 
 Words are told apart by 59-bit hashes, pairs by 64-bit hashes. Null texts count
 as empty: one token, the end. Rows equal in id and text are scored alike. With
@@ -42,20 +45,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Words, blocks, expand_copies, mix, stored, trim
+from strata.llm.common import Words, blocks, expand_copies, mix, pack, pack_ids, stored, stored_by, trim, unpack, unpack_ids
 
 #: Classes of contexts; word identities leave their lowest bits for them.
 CLASSES = 32
 _CLASS_MASK = np.int64(CLASSES - 1)
 MAX_FREQUENT = 100_000
-#: Dishes of one bucket, and tokens that one task takes for a bucket at once.
-BUCKET_DISHES = 100_000
-BUCKET_TOKENS = 4_000_000
-#: Tokens that a task holds before it sends their counts on.
+#: Dishes of one bucket (about), and tokens that one task takes for a bucket at once.
+BUCKET_DISHES = 1_000_000
+BUCKET_TOKENS = 8_000_000
+#: Tokens that a task counts at once, and pairs or tokens that it holds before it sends them on.
 FLUSH = 1 << 20
+HELD = 1 << 21
+#: Counts below this are tallied one by one to find the most frequent.
+TALLIED = 4096
 STRENGTH = 1.0
 _END = int(mix(np.array([0xE0D], dtype=np.uint64)).view(np.int64)[0]) & ~(CLASSES - 1)
 
@@ -94,59 +101,89 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 def _parts(at: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, positions) of the buckets that occur in ``at``."""
-    order = np.argsort(at, kind="stable")
+    order = np.argsort(at.astype(np.uint16) if buckets <= 1 << 16 else at, kind="stable")
     edges = np.searchsorted(at[order], np.arange(buckets + 1))
     for b in np.flatnonzero(np.diff(edges)):
         yield int(b), order[edges[b] : edges[b + 1]]
 
 
+def _by_word(words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    """Order by word, then by context: one sort of the word's rank and the context's upper bits, where these tell contexts apart."""
+    _, rank = np.unique(words, return_inverse=True)
+    key = (rank.astype(np.uint64) << np.uint64(40)) | ((contexts.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(24))
+    order = np.argsort(key)
+    same = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+    if len(words) >= 1 << 24 or (contexts[order[same]] != contexts[order[same + 1]]).any():
+        return np.lexsort((contexts, words))
+    return order
+
+
 def _summed(words: np.ndarray, contexts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Equal pairs added up, by word (equal neighbours take hardly any room once compressed), then by context."""
-    order = np.lexsort((contexts, words))
+    """Equal pairs added up, by word (equal neighbours take hardly any room once packed), then by context."""
+    order = _by_word(words, contexts)
     words, contexts = words[order], contexts[order]
     first = np.flatnonzero(np.r_[True, (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1])]) if len(words) else np.zeros(0, dtype=np.int64)
     return words[first], contexts[first], np.add.reduceat(counts[order], first) if len(first) else counts
 
 
 _COUNTS = "bucket int, words binary, contexts binary, counts binary"
+_COUNTS_COLUMNS = ["bucket", "words", "contexts", "counts"]
+
+
+def _packed(b: int, words: np.ndarray, contexts: np.ndarray, counts: np.ndarray) -> tuple:
+    return b, pack_ids(words), pack_ids(contexts), pack(counts)
+
+
+def _unpacked(words: bytes, contexts: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    (own_words, word), (own_contexts, context) = unpack_ids(words), unpack_ids(contexts)
+    return own_words[word], own_contexts[context], unpack(counts)
 
 
 def _count(buckets: int):
-    def rows(held: list) -> pd.DataFrame:
-        words, contexts = (np.concatenate(x) for x in zip(*held, strict=True))
-        words, contexts, counts = _summed(words, contexts, np.ones(len(words), dtype=np.int64))
-        return pd.DataFrame(
-            [(b, words[p].tobytes(), contexts[p].tobytes(), counts[p].tobytes()) for b, p in _parts(_bucket(words, buckets), buckets)],
-            columns=["bucket", "words", "contexts", "counts"],
-        )
+    def rows(sums: tuple[np.ndarray, ...]) -> pd.DataFrame:
+        return pd.DataFrame([_packed(b, *(x[p] for x in sums)) for b, p in _parts(_bucket(sums[0], buckets), buckets)], columns=_COUNTS_COLUMNS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, n = [], 0
+        held, new, n = [], [], 0
+
+        def added() -> list:
+            words, contexts = (np.concatenate(x) for x in zip(*new, strict=True))
+            sums = [*held, _summed(words, contexts, np.ones(len(words), dtype=np.int64))]
+            return [_summed(*(np.concatenate(x) for x in zip(*sums, strict=True)))]
+
         for pdf in blocks(batches):
             words, contexts, _ = tokens(pdf["text"].tolist())
-            held.append((words, contexts))
+            new.append((words, contexts))
             n += len(words)
             if n >= FLUSH:
-                yield rows(held)
-                held, n = [], 0
-        if held:
-            yield rows(held)
+                held, new, n = added(), [], 0
+                if len(held[0][0]) >= HELD:
+                    yield rows(held[0])
+                    held = []
+        if new:
+            held = added()
+        for sums in held:
+            yield rows(sums)
 
     return run
 
 
 def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One row per bucket; equal pairs are added up as they come, so a frequent pair stays one entry."""
-    held: dict[int, list] = {}
+    sums: dict[int, tuple] = {}
+    new: dict[int, list] = {}
+
+    def added(b: int) -> tuple:
+        parts = ([sums[b]] if b in sums else []) + new.pop(b, [])
+        return _summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
     for pdf in batches:
-        for b, *arrays in zip(pdf["bucket"], pdf["words"], pdf["contexts"], pdf["counts"], strict=True):
-            parts = held.setdefault(b, [])
-            parts.append(tuple(np.frombuffer(x, dtype=np.int64) for x in arrays))
-            if len(parts) >= 16:
-                held[b] = [_summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
-    for b, parts in held.items():
-        sums = _summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        yield pd.DataFrame([(b, *(x.tobytes() for x in sums))], columns=["bucket", "words", "contexts", "counts"])
+        for b, *arrays in zip(*(pdf[c] for c in _COUNTS_COLUMNS), strict=True):
+            new.setdefault(b, []).append(_unpacked(*arrays))
+            if sum(len(x[0]) for x in new[b]) > max(FLUSH, len(sums[b][0]) if b in sums else 0):
+                sums[b] = added(b)
+    for b in sorted({*sums, *new}):
+        yield pd.DataFrame([_packed(b, *(added(b) if b in new else sums[b]))], columns=_COUNTS_COLUMNS)
     trim()
 
 
@@ -408,11 +445,23 @@ def _discount(ones: float, twos: float) -> float:
     return float(np.clip(ones / (ones + 2 * twos) if ones else 0.5, 0.05, 0.95))
 
 
+_SAID = "sample int, bucket int, part int, t binary, class_t binary, root_t binary, sums array<long>"
+_SAID_COLUMNS = [c.split()[0] for c in _SAID.split(", ")]
+_LINKS = "part int, contexts binary, c binary, buckets array<int>, indexes array<binary>"
+_STATE = "bucket int, pairs binary, pair_n binary, p_n binary, p binary, keys binary, class_c binary, class_t binary, root_c binary, root_t binary, word_n binary"
+_STATE_COLUMNS = [c.split()[0] for c in _STATE.split(", ")]
+#: Part of a message that isn't for a context's part: a bucket's own tables, kept for its next sweep.
+_OWN = -1
+
+
 @dataclass
 class Model:
-    state: DataFrame  # per bucket: pairs and their probabilities; the classes' and the root's dishes per sample; words' counts
-    contexts: DataFrame  # per part: contexts, their customers, their back-off weights per sample
+    pairs: DataFrame  # per bucket: words, contexts and counts of its pairs
+    inbox: DataFrame  # per bucket and kept sample: its tables, and the totals of its contexts
+    links: DataFrame  # per part: contexts, their customers, and which of them each bucket has
+    totals: DataFrame  # per part: contexts, their customers, their tables per sample
     buckets: int
+    parts: int
     samples: list[Totals]
     tokens_per_bucket: dict[int, int]
 
@@ -424,186 +473,235 @@ class Model:
     def v(self) -> int:
         return self.samples[0].v
 
+    @property
+    def state(self) -> DataFrame:
+        """Per bucket: pairs and their probabilities; the classes' and the root's dishes per sample; words' counts."""
 
-_SEATED = "bucket int, words binary, contexts binary, counts binary, t binary, class_t binary, root_t binary"
-_SEATED_COLUMNS = [c.split()[0] for c in _SEATED.split(", ")]
-_STATE = "bucket int, pairs binary, pair_n binary, p_n binary, p binary, keys binary, class_c binary, class_t binary, root_c binary, root_t binary, word_n binary"
+        def run(key, pairs: pd.DataFrame, inbox: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame([_finished(pairs.iloc[0], inbox, self_samples, self_parts)])[_STATE_COLUMNS]
+
+        self_samples, self_parts = self.samples, self.parts
+        return self.pairs.groupBy("bucket").cogroup(self.inbox.groupBy("bucket")).applyInPandas(run, _STATE)
+
+    @property
+    def contexts(self) -> DataFrame:
+        """Per part: contexts, their customers, their back-off weights per sample."""
+        samples = self.samples
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for _, row in pdf.iterrows():
+                    own, c, weight = _back_off(row, samples)
+                    yield pd.DataFrame([(row["part"], own.tobytes(), c.tobytes(), weight.tobytes())], columns=["part", "contexts", "c", "weight"])
+
+        return self.totals.mapInPandas(run, "part int, contexts binary, c binary, weight binary")
 
 
 def _arrays(row, *names: str) -> Iterator[np.ndarray]:
     return (np.frombuffer(row[c], dtype=np.int64) for c in names)
 
 
-def _seating(row, keep: int) -> tuple[Bucket, np.ndarray, np.ndarray, np.ndarray]:
-    """The bucket of a row, and the tables of its seatings so far (at most ``keep``), the last one last."""
-    at = Bucket(*_arrays(row, "words", "contexts", "counts"))
-    kept = [x.reshape(-1, n) for x, n in zip(_arrays(row, "t", "class_t", "root_t"), (len(at.t), len(at.keys), len(at.words)), strict=True)]
-    at.t, at.class_t, at.root_t = (x[-1] for x in kept)
-    return at, *(x[-keep:] for x in kept)
+def _back_off(row, samples: list[Totals]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(contexts, customers, back-off weights per sample) of a part."""
+    c = unpack(row["c"])
+    t = unpack(row["t"]).reshape(len(samples), -1)
+    weight = (STRENGTH + samples[0].leaf_discount * t) / (STRENGTH + c)
+    return unpack(row["contexts"]), c, weight
 
 
-def _own_parts(contexts: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
-    """(distinct contexts, position of each entry among them, [(part, positions among them)])."""
-    own, index = np.unique(contexts, return_inverse=True)
-    return own, index, list(_parts(_bucket(own, buckets), buckets))
+def _opened(row) -> tuple[Bucket, np.ndarray, np.ndarray]:
+    """The bucket of a row; its distinct contexts, and the position of each pair's among them."""
+    (own_words, word), (own, index) = unpack_ids(row["words"]), unpack_ids(row["contexts"])
+    return Bucket(own_words[word], own[index], unpack(row["counts"])), own, index
 
 
-def _exchange(seated: DataFrame, buckets: int, keep: int, whole: bool) -> DataFrame:
-    """Totals of the contexts: every bucket sends its sums to the contexts' parts, which add them up.
+def _seated(at: Bucket, inbox: pd.DataFrame, sample: int) -> None:
+    """Give the bucket the tables of a sample."""
+    row = inbox[(inbox["part"] == _OWN) & (inbox["sample"] == sample)].iloc[0]
+    at.t, at.class_t, at.root_t = (unpack(row[c]) for c in ("t", "class_t", "root_t"))
 
-    Gives them back to each bucket (bucket, part, t, c), in the order of the bucket's own distinct contexts; or
-    ``whole``: part, contexts, c and t of each part. c are customers, t tables per kept seating.
-    """
 
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _received(inbox: pd.DataFrame, own: np.ndarray, parts: int, sample: int) -> np.ndarray:
+    """Totals of a bucket's contexts from the parts' replies."""
+    some = inbox[(inbox["part"] != _OWN) & (inbox["sample"] == sample)]
+    by_part = dict(zip(some["part"], some["t"], strict=True))
+    out = np.empty(len(own), dtype=np.int64)
+    for part, p in _parts(_bucket(own, parts), parts):
+        out[p] = unpack(by_part[part])
+    return out
+
+
+def _says(sample: int, bucket: int, at: Bucket, own: np.ndarray, index: np.ndarray, parts: int) -> pd.DataFrame:
+    """A bucket's messages: its tables, and its sums for the classes, the root and the parts of its contexts."""
+    context = at.keys & _CLASS_MASK
+    class_c = at.class_c()
+    per_class = [np.bincount(context, weights=x, minlength=CLASSES).astype(np.int64) for x in (class_c, at.class_t)]
+    levels = (at.counts, class_c, at.root_c())
+    counts = [int(at.counts.sum()), len(at.words), *(int((c == k).sum()) for c in levels for k in (1, 2))]
+    sums = [*per_class[0].tolist(), *per_class[1].tolist(), int(at.root_t.sum()), *counts]
+    rows = [(sample, bucket, _OWN, pack(at.t), pack(at.class_t), pack(at.root_t), sums)]
+    tables = np.bincount(index, weights=at.t, minlength=len(own)).astype(np.int64)
+    rows += [(sample, bucket, part, pack(tables[p]), None, None, None) for part, p in _parts(_bucket(own, parts), parts)]
+    return pd.DataFrame(rows, columns=_SAID_COLUMNS)
+
+
+def _link(pairs: DataFrame, parts: int, tasks: int) -> DataFrame:
+    """Every bucket tells the contexts' parts which contexts it has, and how many customers."""
+
+    def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for _, row in pdf.iterrows():
-                contexts, counts = _arrays(row, "contexts", "counts")
-                t = np.frombuffer(row["t"], dtype=np.int64).reshape(-1, len(contexts))[-keep:]
-                own, index, parts = _own_parts(contexts, buckets)
-                sums = np.stack([np.bincount(index, weights=x, minlength=len(own)) for x in (counts, *t)]).astype(np.int64)
-                yield pd.DataFrame(
-                    [(row["bucket"], part, own[p].tobytes(), sums[:, p].tobytes()) for part, p in parts],
-                    columns=["bucket", "part", "contexts", "sums"],
-                )
+                own, index = unpack_ids(row["contexts"])
+                c = np.bincount(index, weights=unpack(row["counts"]), minlength=len(own)).astype(np.int64)
+                rows = [(row["bucket"], part, pack(own[p]), pack(c[p])) for part, p in _parts(_bucket(own, parts), parts)]
+                yield pd.DataFrame(rows, columns=["bucket", "part", "contexts", "c"])
         trim()
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        each = [np.frombuffer(x, dtype=np.int64) for x in pdf["contexts"]]
-        sums = np.concatenate([np.frombuffer(x, dtype=np.int64).reshape(-1, len(e)) for x, e in zip(pdf["sums"], each, strict=True)], axis=1)
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("bucket")
+        each = [unpack(x) for x in pdf["contexts"]]
         own, index = np.unique(np.concatenate(each), return_inverse=True)
-        total = np.stack([np.bincount(index, weights=x, minlength=len(own)) for x in sums]).astype(np.int64)
-        part = pdf["part"].iloc[0]
-        if whole:
-            return pd.DataFrame([(part, own.tobytes(), total.tobytes())], columns=["part", "contexts", "sums"])
-        edges = np.r_[0, np.cumsum([len(e) for e in each])]
-        spans = zip(pdf["bucket"], edges, edges[1:], strict=False)
-        out = pd.DataFrame([(b, part, total[:, index[lo:hi]].tobytes()) for b, lo, hi in spans], columns=["bucket", "part", "sums"])
+        c = np.bincount(index, weights=np.concatenate([unpack(x) for x in pdf["c"]]), minlength=len(own)).astype(np.int64)
+        indexes = [pack(x) for x in np.split(index, np.cumsum([len(e) for e in each])[:-1])]
+        row = pdf["part"].iloc[0], pack(own), pack(c), pdf["bucket"].tolist(), indexes
         trim()
-        return out
+        return pd.DataFrame([row], columns=["part", "contexts", "c", "buckets", "indexes"])
+
+    told = pairs.mapInPandas(tell, "bucket int, part int, contexts binary, c binary")
+    return stored_by(told.groupBy("part").applyInPandas(link, _LINKS), "links", "part", tasks)
+
+
+def _added_up(link, sent: pd.DataFrame) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """(tables of a part's contexts over all buckets, positions of each bucket's contexts)."""
+    index = {b: unpack(x) for b, x in zip(link["buckets"], link["indexes"], strict=True)}
+    total = np.zeros(len(unpack(link["c"])), dtype=np.int64)
+    for b, t in zip(sent["bucket"], sent["t"], strict=True):
+        total[index[b]] += unpack(t)  # a bucket has a context once
+    return total, index
 
-    sent = seated.select("bucket", "contexts", "counts", "t").mapInPandas(send, "bucket int, part int, contexts binary, sums binary")
-    return sent.groupBy("part").applyInPandas(add, "part int, contexts binary, sums binary" if whole else "bucket int, part int, sums binary")
 
+def _replies(said: DataFrame, links: DataFrame) -> DataFrame:
+    """A sample's messages to the buckets: the totals of their contexts, and what each said to itself."""
 
-def _received(contexts: np.ndarray, replies: pd.DataFrame, buckets: int) -> np.ndarray:
-    """Rows of sums (customers, tables per seating), one column per entry of ``contexts``."""
-    own, index, parts = _own_parts(contexts, buckets)
-    by_part = dict(zip(replies["part"], replies["sums"], strict=True))
-    first = np.frombuffer(by_part[parts[0][0]], dtype=np.int64)
-    out = np.empty((len(first) // len(parts[0][1]), len(own)), dtype=np.int64)
-    for part, p in parts:
-        out[:, p] = np.frombuffer(by_part[part], dtype=np.int64).reshape(-1, len(p))
-    return out[:, index]
+    def add(key, link: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
+        if not len(sent):
+            return pd.DataFrame([], columns=_SAID_COLUMNS[:4])
+        total, index = _added_up(link.iloc[0], sent)
+        sample = sent["sample"].iloc[0]
+        out = pd.DataFrame([(sample, b, key[0], pack(total[i])) for b, i in index.items()], columns=_SAID_COLUMNS[:4])
+        trim()
+        return out
+
+    sent = said.where(F.col("part") != _OWN).select("sample", "bucket", "part", "t")
+    heard = links.groupBy("part").cogroup(sent.groupBy("part")).applyInPandas(add, "sample int, bucket int, part int, t binary")
+    return said.where(F.col("part") == _OWN).drop("sums").unionByName(heard, allowMissingColumns=True)
+
+
+#: The ``sample`` of messages that hold customers, which stay the same.
+_CUSTOMERS = -1
+
+
+def _finished(pairs, inbox: pd.DataFrame, samples: list[Totals], parts: int) -> dict:
+    """The state of a bucket: see ``Model.state``."""
+    at, own, index = _opened(pairs)
+    class_c, class_t, root_c, root_t, tables = [], [], [], [], []
+    for s in range(len(samples)):
+        _seated(at, inbox, s)
+        for out, x in zip((class_c, class_t, root_c, root_t), (at.class_c(), at.class_t, at.root_c(), at.root_t), strict=True):
+            out.append(x)
+        tables.append(at.t)
+    word = at.word[at.dish]
+    word_n = np.bincount(word, weights=at.counts, minlength=len(at.words)).astype(np.int64)
+    levels = {"class_c": class_c, "class_t": class_t, "root_c": root_c, "root_t": root_t}
+    out = {"keys": at.keys.tobytes(), "word_n": word_n.tobytes()} | {k: np.stack(x).tobytes() for k, x in levels.items()}
+    of_class = _Words(out, samples).by_sample(at.keys)
+    customers = _received(inbox, own, parts, _CUSTOMERS)
+    p, leaf = np.zeros(len(index)), samples[0].leaf_discount
+    for s in range(len(samples)):
+        total = _received(inbox, own, parts, s)
+        mine = np.maximum(at.counts - leaf * tables[s], 0.0) + (STRENGTH + leaf * total[index]) * of_class[s][at.dish]
+        p += mine / (STRENGTH + customers[index]) / len(samples)
+    out |= {"bucket": pairs["bucket"], "pairs": _pair(at.words[word], own[index]).tobytes(), "pair_n": at.counts.tobytes()}
+    out |= {"p_n": word_n[word].tobytes(), "p": p.tobytes()}
+    trim()
+    return out
 
 
 def fit(docs: DataFrame, burn_in: int = 2, samples: int = 2, seed: int = 8) -> Model:
     """Learn from all rows of ``docs`` (text)."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
-    # A dish takes some tokens of some bytes: a bucket of this many bytes stays below BUCKET_DISHES.
+    # A dish takes some tokens of some bytes: a bucket of this many bytes has about BUCKET_DISHES.
     buckets = max(1, -(-size // (BUCKET_DISHES * 16)))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets)
-    merged = docs.select("text").mapInPandas(_count(buckets), _COUNTS).repartition(parts, "bucket").mapInPandas(_merge, _COUNTS)
-
-    def begun(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # Contexts are far fewer than pairs; every bucket writes to every part.
+    parts = max(min(buckets, 64), buckets // 8)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets)
+    counted = docs.select("text").mapInPandas(_count(buckets), _COUNTS).repartition(tasks, "bucket").mapInPandas(_merge, _COUNTS)
+    pairs = stored_by(counted, "pairs", "bucket", tasks)
+    links = _link(pairs, parts, tasks)
+
+    def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for _, row in pdf.iterrows():
-                at = Bucket(*_arrays(row, "words", "contexts", "counts"))
-                tables = (x.tobytes() for x in (at.t, at.class_t, at.root_t))
-                yield pd.DataFrame([(*row[["bucket", "words", "contexts", "counts"]], *tables)], columns=_SEATED_COLUMNS)
+                yield _says(0, row["bucket"], *_opened(row), parts)
         trim()
 
-    seated = stored(merged.mapInPandas(begun, _SEATED), "seated")
+    said = stored(pairs.mapInPandas(begin, _SAID), "said")
 
-    def stats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for _, row in pdf.iterrows():
-                at = Bucket(*_arrays(row, "words", "contexts", "counts"))
-                levels = (at.counts, at.class_c(), at.root_c())
-                flat = [int(at.counts.sum()), len(at.words), *(int((c == k).sum()) for c in levels for k in (1, 2))]
-                yield pd.DataFrame({"bucket": [row["bucket"]], "flat": [flat]})
-        trim()
+    def sums_of(said: DataFrame) -> np.ndarray:
+        return _added(said.where(F.col("part") == _OWN), {"sums": 2 * CLASSES + 9})["sums"]
 
-    per_row = stored(seated.select("bucket", "words", "contexts", "counts").mapInPandas(stats, "bucket int, flat array<long>"), "stats")
-    flat = _added(per_row, {"flat": 8})["flat"]
-    per_bucket = {r["bucket"]: r["n"] for r in per_row.select("bucket", F.get("flat", F.lit(0)).alias("n")).collect()}  # one number per bucket
+    first = sums_of(said)
+    flat = first[2 * CLASSES + 1 :]
+    own = said.where(F.col("part") == _OWN).select("bucket", F.get("sums", F.lit(2 * CLASSES + 1)).alias("n"))
+    per_bucket = {r["bucket"]: r["n"] for r in own.collect()}  # one number per bucket
     n, v = int(flat[0]), int(flat[1])
     leaf, of_class, of_root = (_discount(*flat[i : i + 2]) for i in (2, 4, 6))
 
-    def totals_of(seated: DataFrame, keep: int) -> list[Totals]:
-        def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for _, row in pdf.iterrows():
-                    at, t, class_t, root_t = _seating(row, keep)
-                    context = at.keys & _CLASS_MASK
-                    c = [np.bincount(context[at.dish], weights=x, minlength=CLASSES) for x in t]
-                    per_class = [np.bincount(context, weights=x, minlength=CLASSES) for x in class_t]
-                    yield pd.DataFrame(
-                        {x: [np.concatenate(y).astype(np.int64)] for x, y in (("c", c), ("tables", per_class))} | {"root": [root_t.sum(axis=1)]}
-                    )
-            trim()
+    def totals_of(sums: np.ndarray) -> Totals:
+        return Totals(n, v, sums[:CLASSES], of_class, of_root, sums[CLASSES : 2 * CLASSES], float(sums[2 * CLASSES]), leaf)
+
+    def swept(number: int, totals: Totals):
+        sample = max(number - burn_in, 0)
 
-        out = _added(
-            seated.mapInPandas(sums, "c array<long>, tables array<long>, root array<long>"), {"c": keep * CLASSES, "tables": keep * CLASSES, "root": keep}
-        )
-        of = lambda name, i: out[name][i * CLASSES : (i + 1) * CLASSES]
-        return [Totals(n, v, of("c", i), of_class, of_root, of("tables", i), float(out["root"][i]), leaf) for i in range(keep)]
-
-    def swept(number: int, totals: Totals, keep: int):
-        def run(key, state: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-            row = state.iloc[0]
-            at, *kept = _seating(row, keep)
-            (contexts,) = _arrays(row, "contexts")
+        def run(key, state: pd.DataFrame, inbox: pd.DataFrame) -> pd.DataFrame:
+            at, own, index = _opened(state.iloc[0])
+            _seated(at, inbox, inbox["sample"].iloc[0])
             rng = np.random.default_rng([seed, number, int(key[0])])
-            at.sweep(totals, _received(contexts, replies, buckets)[-1], rng)
-            now = (at.t, at.class_t, at.root_t)
-            tables = (np.concatenate([*old, new] if keep > 1 else [new]).tobytes() for old, new in zip(kept, now, strict=True))
-            out = pd.DataFrame([(*row[["bucket", "words", "contexts", "counts"]], *tables)], columns=state.columns)
+            at.sweep(totals, _received(inbox, own, parts, inbox["sample"].iloc[0])[index], rng)
+            out = _says(sample, key[0], at, own, index, parts)
             trim()
             return out
 
         return run
 
+    kept, totals = [], totals_of(first)
     for number in range(burn_in + samples):
-        replies = _exchange(seated, buckets, 1, whole=False)
-        step = swept(number, totals_of(seated, 1)[0], max(number - burn_in, 0) + 1)
-        seated = stored(seated.groupBy("bucket").cogroup(replies.groupBy("bucket")).applyInPandas(step, _SEATED), "seated")
-    every = totals_of(seated, samples)
-
-    def finished(key, state: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        row = state.iloc[0]
-        words, contexts = _arrays(row, "words", "contexts")
-        at, t, class_t, root_t = _seating(row, samples)
-        sums = _received(contexts, replies, buckets)
-        class_c = np.stack([np.bincount(at.dish, weights=x, minlength=len(at.keys)) for x in t]).astype(np.int64)
-        root_c = np.stack([np.bincount(at.word, weights=x, minlength=len(at.words)) for x in class_t]).astype(np.int64)
-        word = at.word[at.dish]
-        word_n = np.bincount(word, weights=at.counts, minlength=len(at.words)).astype(np.int64)
-        out = {"keys": at.keys, "class_c": class_c, "class_t": class_t, "root_c": root_c, "root_t": root_t, "word_n": word_n}
-        out = {k: x.tobytes() for k, x in out.items()}
-        of_class = _Words(out, every).by_sample(at.keys)[:, at.dish]
-        p = np.zeros(len(words))
-        for s in range(samples):
-            own = np.maximum(at.counts - leaf * t[s], 0.0) + (STRENGTH + leaf * sums[1 + s]) * of_class[s]
-            p += own / (STRENGTH + sums[0]) / samples
-        out |= {"bucket": row["bucket"], "pairs": _pair(words, contexts).tobytes(), "pair_n": at.counts.tobytes()}
-        out |= {"p_n": word_n[word].tobytes(), "p": p.tobytes()}
-        trim()
-        return pd.DataFrame([out])[[c.split()[0] for c in _STATE.split(", ")]]
-
-    replies = _exchange(seated, buckets, samples, whole=False)
-    state = stored(seated.groupBy("bucket").cogroup(replies.groupBy("bucket")).applyInPandas(finished, _STATE), "state")
+        inbox = _replies(said, links)
+        said = stored(pairs.groupBy("bucket").cogroup(inbox.groupBy("bucket")).applyInPandas(swept(number, totals), _SAID), "said")
+        totals = totals_of(sums_of(said))
+        if number >= burn_in:
+            kept.append((said, totals))
 
-    def back_off(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def customers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for part, contexts, sums in zip(pdf["part"], pdf["contexts"], pdf["sums"], strict=True):
-                c, *t = np.frombuffer(sums, dtype=np.int64).reshape(samples + 1, -1)
-                weight = (STRENGTH + leaf * np.stack(t)) / (STRENGTH + c)
-                yield pd.DataFrame([(part, contexts, c.tobytes(), weight.tobytes())], columns=["part", "contexts", "c", "weight"])
+            for _, row in pdf.iterrows():
+                c = unpack(row["c"])
+                rows = [(_CUSTOMERS, b, row["part"], pack(c[unpack(i)])) for b, i in zip(row["buckets"], row["indexes"], strict=True)]
+                yield pd.DataFrame(rows, columns=_SAID_COLUMNS[:4])
+
+    inbox = links.mapInPandas(customers, "sample int, bucket int, part int, t binary")
+    every = functools.reduce(DataFrame.unionByName, [said for said, _ in kept])
+    for said, _ in kept:
+        inbox = inbox.unionByName(_replies(said, links), allowMissingColumns=True)
 
-    contexts = _exchange(seated, buckets, samples, whole=True).mapInPandas(back_off, "part int, contexts binary, c binary, weight binary")
-    return Model(state, stored(contexts, "contexts"), buckets, every, per_bucket)
+    def whole(key, link: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
+        t = [_added_up(link.iloc[0], sent[sent["sample"] == s])[0] for s in range(samples)]
+        return pd.DataFrame([(key[0], link["contexts"].iloc[0], link["c"].iloc[0], pack(np.concatenate(t)))], columns=["part", "contexts", "c", "t"])
+
+    sent = every.where(F.col("part") != _OWN).select("sample", "bucket", "part", "t")
+    totals = links.groupBy("part").cogroup(sent.groupBy("part")).applyInPandas(whole, "part int, contexts binary, c binary, t binary")
+    return Model(pairs, stored(inbox, "inbox"), links, stored(totals, "totals"), buckets, parts, [x for _, x in kept], per_bucket)
 
 
 class _Words:
@@ -652,30 +750,48 @@ def _base(count: np.ndarray, n: int, v: int) -> np.ndarray:
     return np.log10((count + 0.1) / (n + 0.1 * (v + 1)))
 
 
+def _least(df: DataFrame, column: str, n: int) -> float:
+    """A count that at most MAX_FREQUENT entries of the packed ``column`` reach, the smallest one below TALLIED."""
+
+    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for raw in pdf[column]:
+                count, entries = np.unique(np.minimum(unpack(raw), TALLIED), return_counts=True)
+                yield pd.DataFrame({"count": count, "entries": entries})
+
+    counts = df.select(column).mapInPandas(tally, "count long, entries long").groupBy("count").agg(F.sum("entries").alias("entries"))
+    least, above = max(1.0, n / MAX_FREQUENT), 0
+    for r in counts.orderBy(F.desc("count")).collect():  # at most TALLIED rows
+        above += r["entries"]
+        if above > MAX_FREQUENT:
+            break
+        least = min(least, float(r["count"]))
+    return least
+
+
 def _frequent(model: Model) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
     """(sorted pairs, their words' counts, log10 probabilities) and (sorted contexts, back-off weights) of the frequent."""
-    samples, least = model.samples, max(1.0, model.n / MAX_FREQUENT)
+    samples, parts = model.samples, model.parts
+    least, least_c = _least(model.pairs, "counts", model.n), _least(model.totals, "c", model.n)
 
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for _, row in pdf.iterrows():
-                own, n, word_n = _arrays(row, "pairs", "pair_n", "p_n")
-                p = np.frombuffer(row["p"], dtype=np.float64)
-                some = np.flatnonzero(n >= least)
-                yield pd.DataFrame({"pair": own[some], "count": word_n[some], "p": np.log10(p[some])})
+    def pairs(key, row: pd.DataFrame, inbox: pd.DataFrame) -> pd.DataFrame:
+        at = _finished(row.iloc[0], inbox, samples, parts)
+        own, n, word_n = _arrays(at, "pairs", "pair_n", "p_n")
+        some = np.flatnonzero(n >= least)
+        return pd.DataFrame({"pair": own[some], "count": word_n[some], "p": np.log10(np.frombuffer(at["p"], dtype=np.float64)[some])})
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for _, row in pdf.iterrows():
-                own, c = _arrays(row, "contexts", "c")
-                weight = np.frombuffer(row["weight"], dtype=np.float64).reshape(len(samples), -1)
-                some = np.flatnonzero(c >= least)
+                own, c, weight = _back_off(row, samples)
+                some = np.flatnonzero(c >= least_c)
                 if len(some):
                     yield pd.DataFrame({"context": own[some], "weight": list(weight[:, some].T)})
 
     # At most MAX_FREQUENT rows each.
-    got = model.state.select("pairs", "pair_n", "p_n", "p").mapInPandas(pairs, "pair long, count long, p double").toPandas().sort_values("pair")
-    those = model.contexts.mapInPandas(contexts, "context long, weight array<double>").toPandas().sort_values("context")
+    got = model.pairs.groupBy("bucket").cogroup(model.inbox.groupBy("bucket")).applyInPandas(pairs, "pair long, count long, p double")
+    got = got.toPandas().sort_values("pair")
+    those = model.totals.mapInPandas(contexts, "context long, weight array<double>").toPandas().sort_values("context")
     weight = np.stack(those["weight"].to_numpy(), axis=1) if len(those) else np.zeros((len(samples), 0))
     return (
         (got["pair"].to_numpy(dtype=np.int64), got["count"].to_numpy(dtype=np.int64), got["p"].to_numpy(dtype=np.float64)),
@@ -692,71 +808,63 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(_frequent(model))  # MAX_FREQUENT pairs and contexts
-    n, v, buckets, samples = model.n, model.v, model.buckets, model.samples
+    n, v, buckets, parts, samples = model.n, model.v, model.buckets, model.parts, model.samples
     id_mark = F.coalesce(F.col("doc_id").cast("string"), F.lit("\0"))
     marked = docs.select("doc_id", "text", F.xxhash64(id_mark, F.coalesce("text", F.lit("\0"))).alias("mark"))
+    sums_of = "n_tokens binary, n_known binary, base binary, p binary"
+    sum_columns = [c.split()[0] for c in sums_of.split(", ")]
 
-    @F.pandas_udf("n_tokens long, n_known long, base double, p double")
-    def frequent_part(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        pairs, count, log_p = shared.value[0]
-        for texts in batches:
-            out = [pd.DataFrame({"n_tokens": [], "n_known": [], "base": [], "p": []})]
-            for block in blocks(iter([texts.to_frame("text")])):
-                words, contexts, per_text = tokens(block["text"].tolist())
-                at, found = _find(pairs, _pair(words, contexts))
-                text, at = np.repeat(np.arange(len(per_text)), per_text)[found], at[found]
-                total = lambda x: np.bincount(text, weights=x, minlength=len(per_text))  # noqa: E731, B023
-                known = total(np.ones(len(text))).astype(np.int64)
-                out.append(pd.DataFrame({"n_tokens": per_text, "n_known": known, "base": total(_base(count[at], n, v)), "p": total(log_p[at])}))
-            yield pd.concat(out[1:] or out, ignore_index=True)
-
-    def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pairs = shared.value[0][0]
-        held, marks, size = [], [], 0
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Per chunk of texts: the sums of the frequent pairs, in one row with the texts' marks; the other tokens by bucket."""
+        pairs, pair_words, log_p = shared.value[0]
+        number = TaskContext.get().partitionId() << 32
+        held, marks, sums, size, first = [], [], [], 0, 0
+        columns = ["bucket", "chunk", "words", "contexts", "text", "marks", *sum_columns]
 
         def rows() -> pd.DataFrame:
             words, contexts, text = (np.concatenate(x) for x in zip(*held, strict=True))
-            all_marks = np.concatenate(marks)
-            chunk = int(mix(np.array([mix(all_marks).sum(dtype=np.uint64)])).view(np.int64)[0])
+            n_tokens, n_known, base, p = (np.concatenate(x) for x in zip(*sums, strict=True))
+            own = np.concatenate(marks).tobytes(), pack(n_tokens), pack(n_known), base.tobytes(), p.tobytes()
             out = []
             for b, part in _parts(_bucket(words, buckets), buckets):
                 part = part[np.argsort(words[part], kind="stable")]
-                own, index = np.unique(text[part], return_inverse=True)
-                arrays = (words[part], contexts[part], index.astype(np.int32), all_marks[own])
-                out.append((b, chunk, *(x.tobytes() for x in arrays)))
-            return pd.DataFrame(out, columns=["bucket", "chunk", "words", "contexts", "text", "marks"])
+                out.append((b, number, pack_ids(words[part]), pack_ids(contexts[part]), pack(text[part]), *([None] * 5 if out else own)))
+            empty = np.zeros(0, dtype=np.int64)
+            out = out or [(number % buckets, number, pack_ids(empty), pack_ids(empty), pack(empty), *own)]
+            return pd.DataFrame(out, columns=columns)
 
-        first = 0
         for pdf in blocks(batches):
             words, contexts, per_text = tokens(pdf["text"].tolist())
-            _, found = _find(pairs, _pair(words, contexts))
+            at, found = _find(pairs, _pair(words, contexts))
             text = np.repeat(np.arange(len(per_text)), per_text)
+            total = lambda x: np.bincount(text[found], weights=x, minlength=len(per_text))  # noqa: E731, B023
+            known = total(np.ones(int(found.sum()))).astype(np.int64)
+            sums.append((per_text, known, total(_base(pair_words[at[found]], n, v)), total(log_p[at[found]])))
             held.append((words[~found], contexts[~found], text[~found] + first))
             marks.append(pdf["mark"].to_numpy(dtype=np.int64))
             first += len(per_text)
             size += int((~found).sum())
-            if size >= FLUSH:
+            if size >= HELD or first >= HELD:
                 yield rows()
-                held, marks, size, first = [], [], 0, 0
-        if size:
+                held, marks, sums, size, first = [], [], [], 0, 0
+                number += 1
+        if first:
             yield rows()
 
-    # A bucket of many tokens is split by salt; its words go to every part.
-    salts = {b: -(-t // BUCKET_TOKENS) for b, t in model.tokens_per_bucket.items() if t > BUCKET_TOKENS}
-    split = F.lit(1)
-    for b, k in salts.items():
-        split = F.when(F.col("bucket") == b, k).otherwise(split)
-    events = marked.select("text", "mark").mapInPandas(rest, "bucket int, chunk long, words binary, contexts binary, text binary, marks binary")
-    events = events.withColumn("salt", F.pmod(F.xxhash64("chunk"), split).cast("int"))
-    state = model.state.withColumn("salt", F.explode(F.sequence(F.lit(0), split - 1)))
+    event = "bucket int, chunk long, words binary, contexts binary, text binary, marks binary, " + sums_of
+    events = marked.select("text", "mark").mapInPandas(read, event)
+    summed = f"chunk long, place long, text binary, marks binary, {sums_of}"
+    packed = f"{summed}, part int, contexts binary, classes binary, size long"
+    out_columns, late_columns = ([c.split()[0] for c in x.split(", ")] for x in (packed, summed))
 
-    def meet(key, tokens_: pd.DataFrame, state_: pd.DataFrame) -> pd.DataFrame:
+    def meet(key, row_: pd.DataFrame, mail: pd.DataFrame) -> pd.DataFrame:
         """Sums per chunk and text; and, per part of the contexts, the tokens that wait for their context's weight."""
-        out, columns = [], ["chunk", "bucket", "marks", "n_known", "base", "p", "part", "contexts", "classes", "text", "size"]
+        out, nothing = [], [None] * 4
+        tokens_ = mail[mail["chunk"].notna()].sort_values("chunk")
         if not len(tokens_):
-            return pd.DataFrame(out, columns=columns)
-        if len(state_):
-            row = state_.iloc[0]
+            return pd.DataFrame(out, columns=out_columns)
+        if len(row_):
+            row = _finished(row_.iloc[0], mail[mail["chunk"].isna()], samples, parts)
         else:
             row = dict.fromkeys(("pairs", "p", "keys", "class_c", "class_t", "root_c", "root_t", "word_n"), b"")
         known = _Words(row, samples)
@@ -764,9 +872,15 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
         order = np.argsort(pairs)
         pairs, own_p = pairs[order], np.frombuffer(row["p"], dtype=np.float64)[order]
         often, weight = shared.value[1]
-        for chunk, w, c, t, m in zip(tokens_["chunk"], tokens_["words"], tokens_["contexts"], tokens_["text"], tokens_["marks"], strict=True):
-            text, marks = np.frombuffer(t, dtype=np.int32), np.frombuffer(m, dtype=np.int64)
-            words, contexts = np.frombuffer(w, dtype=np.int64), np.frombuffer(c, dtype=np.int64)
+        for chunk, w, c, t, *first in zip(*(tokens_[x] for x in ("chunk", "words", "contexts", "text", "marks", *sum_columns)), strict=True):
+            chunk = int(chunk)
+            if first[0] is not None:
+                out.append((chunk, -1, None, *first, None, None, None, 0))
+            (own_words, word), (own_contexts, context), token = unpack_ids(w), unpack_ids(c), unpack(t)
+            if not len(token):
+                continue
+            words, contexts = own_words[word], own_contexts[context]
+            texts, text = np.unique(token, return_inverse=True)
             at, seen = _find(pairs, _pair(words, contexts))
             p = own_p[at] if len(own_p) else np.ones(len(words))
             new = np.flatnonzero(~seen)
@@ -774,71 +888,82 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
             where, there = _find(often, contexts[new])
             p[new[there]] = (weight[:, where[there]] * of_class[:, there]).mean(axis=0)
             p[new[~there]] = 1.0
-            count = known.counts(words)
-            total = lambda x: np.bincount(text, weights=x, minlength=len(marks))  # noqa: E731, B023
-            sums = total(count > 0).astype(np.int32), total(_base(count, n, v)), total(np.log10(p))
-            out.append((chunk, key[0], m, *(x.tobytes() for x in sums), None, None, None, None, 0))
+            count = known.counts(own_words)[word]
+            total = lambda x: np.bincount(text, weights=x, minlength=len(texts))  # noqa: E731, B023
+            sums = None, pack(total(count > 0)), total(_base(count, n, v)).tobytes(), total(np.log10(p)).tobytes()
+            out.append((chunk, int(key[0]), pack(texts), None, *sums, None, None, None, 0))
             new, of_class = new[~there], of_class[:, ~there]
-            for part, pos in _parts(_bucket(contexts[new], buckets), buckets):
-                own, index = np.unique(text[new[pos]], return_inverse=True)
-                arrays = contexts[new[pos]], np.ascontiguousarray(of_class[:, pos]), index.astype(np.int32)
-                out.append((chunk, key[0], marks[own].tobytes(), None, None, None, part, *(x.tobytes() for x in arrays), len(pos)))
+            for part, pos in _parts(_bucket(contexts[new], parts), parts):
+                arrays = pack_ids(contexts[new[pos]]), np.ascontiguousarray(of_class[:, pos]).tobytes()
+                out.append((chunk, int(key[0]), pack(token[new[pos]]), None, *nothing, part, *arrays, len(pos)))
         trim()
-        return pd.DataFrame(out, columns=columns).astype({"part": "Int32"})
+        return pd.DataFrame(out, columns=out_columns).astype({"part": "Int32"})
 
     def weigh(key, waiting: pd.DataFrame, contexts_: pd.DataFrame) -> pd.DataFrame:
         """Sums of the tokens that wait, their contexts' weights at hand; a context never seen leaves all to its class."""
         out = []
         own, weight = np.zeros(0, dtype=np.int64), np.zeros((len(samples), 0))
         if len(contexts_):
-            (own,) = _arrays(contexts_.iloc[0], "contexts")
-            weight = np.frombuffer(contexts_["weight"].iloc[0], dtype=np.float64).reshape(len(samples), -1)
-        for chunk, bucket, m, c, p, t in zip(*(waiting[x] for x in ("chunk", "bucket", "marks", "contexts", "classes", "text")), strict=True):
-            text, size = np.frombuffer(t, dtype=np.int32), len(m) // 8
-            at, there = _find(own, np.frombuffer(c, dtype=np.int64))
+            own, _, weight = _back_off(contexts_.iloc[0], samples)
+        for chunk, place, t, c, p in zip(*(waiting[x] for x in ("chunk", "place", "text", "contexts", "classes")), strict=True):
+            texts, text = np.unique(unpack(t), return_inverse=True)
+            mine, context = unpack_ids(c)
+            at, there = (x[context] for x in _find(own, mine))
             of_class = np.frombuffer(p, dtype=np.float64).reshape(len(samples), -1)
             both = (np.where(there, weight[:, at], 1.0) if len(own) else 1.0) * of_class
-            sums = np.zeros(size, dtype=np.int32), np.zeros(size), np.bincount(text, weights=np.log10(both.mean(axis=0)), minlength=size)
-            out.append((chunk, buckets + bucket, m, *(x.tobytes() for x in sums)))
+            total = np.bincount(text, weights=np.log10(both.mean(axis=0)), minlength=len(texts))
+            none = np.zeros(len(texts))
+            out.append((chunk, buckets + place * parts + int(key[0]), pack(texts), None, None, pack(none), none.tobytes(), total.tobytes()))
         trim()
-        return pd.DataFrame(out, columns=["chunk", "bucket", "marks", "n_known", "base", "p"])
+        return pd.DataFrame(out, columns=late_columns)
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
-        """The sums of a chunk's texts over all buckets, added up in the order of the buckets."""
-        pdf = pdf.sort_values(["bucket", "marks"])
-        kinds = {"marks": np.int64, "n_known": np.int32, "base": np.float64, "p": np.float64}
-        flat = {c: np.concatenate([np.frombuffer(x, dtype=k) for x in pdf[c]]) for c, k in kinds.items()}
-        marks, text = np.unique(flat["marks"], return_inverse=True)
-        total = {c: np.bincount(text, weights=flat[c], minlength=len(marks)) for c in ("n_known", "base", "p")}
-        return pd.DataFrame({"mark": marks, "n_known": total["n_known"].astype(np.int64), "base": total["base"], "p": total["p"]})
-
-    packed = "chunk long, bucket int, marks binary, n_known binary, base binary, p binary"
-    met = events.groupBy("bucket", "salt").cogroup(state.groupBy("bucket", "salt")).applyInPandas(
-        meet, f"{packed}, part int, contexts binary, classes binary, text binary, size long"
-    )
-    met = stored(met, "met")
+        """The sums of a chunk's texts over all buckets, added up in the order of the buckets, the frequent pairs' first."""
+        pdf = pdf.sort_values("place")
+        row, rest = pdf.iloc[0], pdf.iloc[1:]
+        out = {"mark": np.frombuffer(row["marks"], dtype=np.int64), "n_tokens": unpack(row["n_tokens"]), "n_known": unpack(row["n_known"]).copy()}
+        out |= {c: np.frombuffer(row[c], dtype=np.float64).copy() for c in ("base", "p")}
+        for texts, known, base, p in zip(*(rest[c] for c in ("text", "n_known", "base", "p")), strict=True):
+            at = unpack(texts)  # a text once
+            out["n_known"][at] += unpack(known)
+            out["base"][at] += np.frombuffer(base, dtype=np.float64)
+            out["p"][at] += np.frombuffer(p, dtype=np.float64)
+        return pd.DataFrame(out)
+
+    events, inbox, state, keys = marked.select("text", "mark").mapInPandas(read, event), model.inbox, model.pairs, ["bucket"]
+    # A bucket of many tokens is split by salt; its words go to every part.
+    salts = {b: -(-t // BUCKET_TOKENS) for b, t in model.tokens_per_bucket.items() if t > BUCKET_TOKENS}
+    if salts:
+        split = F.lit(1)
+        for b, k in salts.items():
+            split = F.when(F.col("bucket") == b, k).otherwise(split)
+        events = events.withColumn("salt", F.pmod(F.xxhash64("chunk"), split).cast("int"))
+        inbox, state = (df.withColumn("salt", F.explode(F.sequence(F.lit(0), split - 1))) for df in (inbox, state))
+        keys = ["bucket", "salt"]
+    mail = events.unionByName(inbox, allowMissingColumns=True)
+    met = stored(state.groupBy(*keys).cogroup(mail.groupBy(*keys)).applyInPandas(meet, packed), "met")
     waiting = met.where("part IS NOT NULL")
     many = waiting.groupBy("part").agg(F.sum("size").alias("n")).where(F.col("n") > BUCKET_TOKENS).collect()  # one number per part
     split = F.lit(1)
     for r in many:
         split = F.when(F.col("part") == r["part"], -(-r["n"] // BUCKET_TOKENS)).otherwise(split)
     waiting = waiting.withColumn("salt", F.pmod(F.xxhash64("chunk"), split).cast("int"))
-    weights = model.contexts.withColumn("salt", F.explode(F.sequence(F.lit(0), (split - 1).cast("int"))))
-    late = waiting.groupBy("part", "salt").cogroup(weights.groupBy("part", "salt")).applyInPandas(weigh, packed)
+    weights = model.totals.withColumn("salt", F.explode(F.sequence(F.lit(0), (split - 1).cast("int"))))
+    late = waiting.groupBy("part", "salt").cogroup(weights.groupBy("part", "salt")).applyInPandas(weigh, summed)
     sums = met.where("part IS NULL").select(*late.columns).unionByName(late)
-    # A chunk has at most FLUSH tokens (or one text), so it is a group of bounded size.
-    sums = sums.groupBy("chunk").applyInPandas(gather, "mark long, n_known long, base double, p double")
-    sums = sums.groupBy("mark").agg(F.sum("n_known").alias("rest_known"), F.sum("base").alias("rest_base"), F.sum("p").alias("rest_p"))
-    whole = marked.select("doc_id", "mark", frequent_part.asNondeterministic()("text").alias("r")).select("doc_id", "mark", "r.*")
-    # Equal rows brought their rest once each: count them to share it.
-    whole = whole.groupBy("doc_id", "mark", "n_tokens", "n_known", "base", "p").agg(F.count("*").alias("copies"))
+    # A chunk has some millions of tokens at most (or one text), so it is a group of bounded size.
+    sums = sums.groupBy("chunk").applyInPandas(gather, "mark long, n_tokens long, n_known long, base double, p double")
+    # Equal rows brought their sums once each: count them to share these.
+    total = [F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "p")]
+    sums = sums.groupBy("mark").agg(F.count("*").alias("rows"), *total)
+    whole = marked.groupBy("doc_id", "mark").agg(F.count("*").alias("copies"))
     # One row per copy again.
-    joined = expand_copies(whole.join(sums, "mark", "left"), "copies", "copy")
-    part = lambda c: F.coalesce(F.col(c) / F.col("copies"), F.lit(0.0))
+    joined = expand_copies(whole.join(sums, "mark"), "copies", "copy")
+    count = lambda c: F.round(F.col(c) / F.col("rows")).cast("bigint").alias(c)
     return joined.select(
         "doc_id",
-        "n_tokens",
-        (F.col("n_known") + F.round(part("rest_known")).cast("bigint")).alias("n_known"),
-        (F.col("base") + part("rest_base")).alias("base_score"),
-        (F.col("p") + part("rest_p")).alias("score"),
+        count("n_tokens"),
+        count("n_known"),
+        (F.col("base") / F.col("rows")).alias("base_score"),
+        (F.col("p") / F.col("rows")).alias("score"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 from llm_cases import rows
 from pyspark.sql import functions as F
 
@@ -48,3 +49,13 @@ def test_ties_and_nulls_in_samples(spark):
     df = spark.createDataFrame(docs, "id long").select("id", F.lit("c").alias("c"), F.lit(1).alias("h"))
     got = [r["id"] for r in common.first_by_hash(df, "c", ["h", "id"], 3).orderBy("r").collect()]
     assert got == [None, 0, 1]
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(1)
+    ids = rng.integers(-(2**63), 2**63, 500)
+    for x in (ids, np.sort(ids), np.zeros(0, dtype=np.int64), np.array([-1]), np.array([2**63 - 1, -(2**63)]), rng.poisson(1, 500)):
+        assert (common.unpack(common.pack(x)) == x).all()
+    own, index = common.unpack_ids(common.pack_ids(np.repeat(ids, 3)))
+    assert (own[index] == np.repeat(ids, 3)).all() and (np.diff(own.astype(object)) > 0).all()
+    assert len(common.pack(np.ones(10_000))) < 200

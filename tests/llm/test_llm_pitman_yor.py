@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import pathlib
 import re
 import zlib
 from collections import Counter
@@ -10,6 +11,7 @@ from llm_cases import table
 from pyspark.sql import functions as F
 
 from strata.llm import pitman_yor, queries
+from strata.session import checkpoint_root
 
 SF = "/root/testdata/sf0.001"
 
@@ -195,3 +197,24 @@ def test_tables_of_hot_dishes_move_in_every_sweep():
         at.sweep(totals, np.array([50_000] * 2), np.random.default_rng(seed))
         seen.add(int(at.t[0]))
     assert len(seen) > 1 and min(seen) > 10
+
+
+def test_counts_are_stored_once_and_never_shuffled_again(spark):
+    """All that learning and scoring store is less than twice the text; counts meet messages where they lie."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    root = pathlib.Path(checkpoint_root(spark).removeprefix("file:")) / "llm"
+    before = set(root.rglob("*.parquet"))
+    model = pitman_yor.fit(docs)
+    pitman_yor.score(model, docs).collect()
+    stored = sum(f.stat().st_size for f in set(root.rglob("*.parquet")) - before)
+    assert stored < 2 * docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    plan = model.state._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1  # the messages
+
+
+def test_sorted_pairs_with_equal_upper_bits():
+    """Contexts that only differ in their lower bits are told apart, and negative ones come first."""
+    words = np.array([64, 32, 64, 32, 64, 32], dtype=np.int64)
+    contexts = np.array([7, -5, 3, 9, 7, -5], dtype=np.int64)
+    got = pitman_yor._summed(words, contexts, np.ones(6, dtype=np.int64))
+    assert [x.tolist() for x in got] == [[32, 32, 64, 64], [-5, 9, 3, 7], [2, 1, 1, 2]]
