@@ -112,7 +112,11 @@ def unpack(raw: bytes) -> np.ndarray:
 
 def pack_ids(x: np.ndarray) -> bytes:
     """Identities that repeat: the distinct ones, and the position of each entry among them."""
-    own, index = np.unique(x, return_inverse=True)
+    if len(x) and (x[1:] >= x[:-1]).all():
+        new = np.r_[True, x[1:] != x[:-1]]
+        own, index = x[new], np.cumsum(new) - 1
+    else:
+        own, index = np.unique(x, return_inverse=True)
     first = pack(own)
     return len(first).to_bytes(8, "little") + first + pack(index)
 

@@ -139,31 +139,45 @@ def _unpacked(words: bytes, contexts: bytes, counts: bytes) -> tuple[np.ndarray,
     return own_words[word], own_contexts[context], unpack(counts)
 
 
+def _alike(words: np.ndarray, contexts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal pairs added up in the order of their identities (two pairs of one identity may stay apart in several entries)."""
+    pairs = _pair(words, contexts)
+    order = np.argsort(pairs)
+    pairs, words, contexts = pairs[order], words[order], contexts[order]
+    first = np.flatnonzero(np.r_[True, (pairs[1:] != pairs[:-1]) | (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1])])
+    return words[first], contexts[first], np.add.reduceat(counts[order], first)
+
+
 def _count(buckets: int):
-    def rows(sums: tuple[np.ndarray, ...]) -> pd.DataFrame:
-        return pd.DataFrame([_packed(b, *(x[p] for x in sums)) for b, p in _parts(_bucket(sums[0], buckets), buckets)], columns=_COUNTS_COLUMNS)
+    def rows(held: list) -> pd.DataFrame:
+        words, contexts, counts = _alike(*(np.concatenate(x) for x in zip(*held, strict=True))) if len(held) > 1 else held[0]
+        out = []
+        for b, p in _parts(_bucket(words, buckets), buckets):
+            p = p[np.argsort(words[p])]
+            out.append(_packed(b, words[p], contexts[p], counts[p]))
+        return pd.DataFrame(out, columns=_COUNTS_COLUMNS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, new, n = [], [], 0
 
-        def added() -> list:
+        def added() -> tuple[np.ndarray, ...]:
             words, contexts = (np.concatenate(x) for x in zip(*new, strict=True))
-            sums = [*held, _summed(words, contexts, np.ones(len(words), dtype=np.int64))]
-            return [_summed(*(np.concatenate(x) for x in zip(*sums, strict=True)))]
+            return _alike(words, contexts, np.ones(len(words), dtype=np.int64))
 
         for pdf in blocks(batches):
             words, contexts, _ = tokens(pdf["text"].tolist())
             new.append((words, contexts))
             n += len(words)
             if n >= FLUSH:
-                held, new, n = added(), [], 0
-                if len(held[0][0]) >= HELD:
-                    yield rows(held[0])
+                held.append(added())
+                new, n = [], 0
+                if sum(len(x[0]) for x in held) >= HELD:
+                    yield rows(held)
                     held = []
         if new:
-            held = added()
-        for sums in held:
-            yield rows(sums)
+            held.append(added())
+        if held:
+            yield rows(held)
 
     return run
 
@@ -392,9 +406,17 @@ class Bucket:
     """The seating of one bucket's words: tables of the pairs, of the words in each class, and of the words in the root."""
 
     def __init__(self, words: np.ndarray, contexts: np.ndarray, counts: np.ndarray):
+        """Pairs by rising words."""
         self.counts = counts
-        self.keys, self.dish = np.unique(words | (contexts & _CLASS_MASK), return_inverse=True)
-        self.words, self.word = np.unique(self.keys & ~_CLASS_MASK, return_inverse=True)
+        new = np.diff(words, prepend=words[:1] - 1) != 0
+        self.words = words[new]
+        slot = (np.cumsum(new) - 1) * CLASSES + (contexts & _CLASS_MASK)
+        there = np.zeros(len(self.words) * CLASSES, dtype=bool)
+        there[slot] = True
+        at = np.flatnonzero(there)
+        self.word = at // CLASSES
+        self.keys = self.words[self.word] | (at & _CLASS_MASK)
+        self.dish = (np.cumsum(there, dtype=np.int32) - 1)[slot]
         # To begin with, one table per dish.
         self.t = np.ones(len(words), dtype=np.int64)
         self.class_t, self.root_t = np.ones(len(self.keys), dtype=np.int64), np.ones(len(self.words), dtype=np.int64)
@@ -601,8 +623,8 @@ def _replies(said: DataFrame, links: DataFrame) -> DataFrame:
 _CUSTOMERS = -1
 
 
-def _finished(pairs, inbox: pd.DataFrame, samples: list[Totals], parts: int) -> dict:
-    """The state of a bucket: see ``Model.state``."""
+def _finished(pairs, inbox: pd.DataFrame, samples: list[Totals], parts: int, least: float = 0) -> dict:
+    """The state of a bucket: see ``Model.state``; its pairs only where they occur at least ``least`` times."""
     at, own, index = _opened(pairs)
     class_c, class_t, root_c, root_t, tables = [], [], [], [], []
     for s in range(len(samples)):
@@ -616,12 +638,14 @@ def _finished(pairs, inbox: pd.DataFrame, samples: list[Totals], parts: int) ->
     out = {"keys": at.keys.tobytes(), "word_n": word_n.tobytes()} | {k: np.stack(x).tobytes() for k, x in levels.items()}
     of_class = _Words(out, samples).by_sample(at.keys)
     customers = _received(inbox, own, parts, _CUSTOMERS)
-    p, leaf = np.zeros(len(index)), samples[0].leaf_discount
+    some = np.flatnonzero(at.counts >= least)
+    counts, dish, word, context = at.counts[some], at.dish[some], word[some], index[some]
+    p, leaf = np.zeros(len(some)), samples[0].leaf_discount
     for s in range(len(samples)):
         total = _received(inbox, own, parts, s)
-        mine = np.maximum(at.counts - leaf * tables[s], 0.0) + (STRENGTH + leaf * total[index]) * of_class[s][at.dish]
-        p += mine / (STRENGTH + customers[index]) / len(samples)
-    out |= {"bucket": pairs["bucket"], "pairs": _pair(at.words[word], own[index]).tobytes(), "pair_n": at.counts.tobytes()}
+        mine = np.maximum(counts - leaf * tables[s][some], 0.0) + (STRENGTH + leaf * total[context]) * of_class[s][dish]
+        p += mine / (STRENGTH + customers[context]) / len(samples)
+    out |= {"bucket": pairs["bucket"], "pairs": _pair(at.words[word], own[context]).tobytes(), "pair_n": counts.tobytes()}
     out |= {"p_n": word_n[word].tobytes(), "p": p.tobytes()}
     trim()
     return out
@@ -775,10 +799,9 @@ def _frequent(model: Model) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, .
     least, least_c = _least(model.pairs, "counts", model.n), _least(model.totals, "c", model.n)
 
     def pairs(key, row: pd.DataFrame, inbox: pd.DataFrame) -> pd.DataFrame:
-        at = _finished(row.iloc[0], inbox, samples, parts)
-        own, n, word_n = _arrays(at, "pairs", "pair_n", "p_n")
-        some = np.flatnonzero(n >= least)
-        return pd.DataFrame({"pair": own[some], "count": word_n[some], "p": np.log10(np.frombuffer(at["p"], dtype=np.float64)[some])})
+        at = _finished(row.iloc[0], inbox, samples, parts, least)
+        own, word_n = _arrays(at, "pairs", "p_n")
+        return pd.DataFrame({"pair": own, "count": word_n, "p": np.log10(np.frombuffer(at["p"], dtype=np.float64))})
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -804,6 +827,13 @@ def _find(own: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, (own[at] == keys) if len(own) else np.zeros(len(keys), dtype=bool)
 
 
+def _mask(own: np.ndarray) -> np.ndarray:
+    """Which upper bits occur."""
+    mask = np.zeros(1 << 22, dtype=bool)
+    mask[own.view(np.uint64) >> np.uint64(42)] = True
+    return mask
+
+
 def score(model: Model, docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -817,6 +847,7 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Per chunk of texts: the sums of the frequent pairs, in one row with the texts' marks; the other tokens by bucket."""
         pairs, pair_words, log_p = shared.value[0]
+        mask, base = _mask(pairs), _base(pair_words, n, v)
         number = TaskContext.get().partitionId() << 32
         held, marks, sums, size, first = [], [], [], 0, 0
         columns = ["bucket", "chunk", "words", "contexts", "text", "marks", *sum_columns]
@@ -827,7 +858,7 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
             own = np.concatenate(marks).tobytes(), pack(n_tokens), pack(n_known), base.tobytes(), p.tobytes()
             out = []
             for b, part in _parts(_bucket(words, buckets), buckets):
-                part = part[np.argsort(words[part], kind="stable")]
+                part = part[np.argsort(words[part])]
                 out.append((b, number, pack_ids(words[part]), pack_ids(contexts[part]), pack(text[part]), *([None] * 5 if out else own)))
             empty = np.zeros(0, dtype=np.int64)
             out = out or [(number % buckets, number, pack_ids(empty), pack_ids(empty), pack(empty), *own)]
@@ -835,11 +866,14 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
 
         for pdf in blocks(batches):
             words, contexts, per_text = tokens(pdf["text"].tolist())
-            at, found = _find(pairs, _pair(words, contexts))
+            pair = _pair(words, contexts)
+            found = mask[pair.view(np.uint64) >> np.uint64(42)]
+            at, there = _find(pairs, pair[found])
+            found[found], at = there, at[there]
             text = np.repeat(np.arange(len(per_text)), per_text)
             total = lambda x: np.bincount(text[found], weights=x, minlength=len(per_text))  # noqa: E731, B023
-            known = total(np.ones(int(found.sum()))).astype(np.int64)
-            sums.append((per_text, known, total(_base(pair_words[at[found]], n, v)), total(log_p[at[found]])))
+            known = np.bincount(text[found], minlength=len(per_text))
+            sums.append((per_text, known, total(base[at]), total(log_p[at])))
             held.append((words[~found], contexts[~found], text[~found] + first))
             marks.append(pdf["mark"].to_numpy(dtype=np.int64))
             first += len(per_text)
@@ -854,12 +888,12 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
     event = "bucket int, chunk long, words binary, contexts binary, text binary, marks binary, " + sums_of
     events = marked.select("text", "mark").mapInPandas(read, event)
     summed = f"chunk long, place long, text binary, marks binary, {sums_of}"
-    packed = f"{summed}, part int, contexts binary, classes binary, size long"
+    packed = f"{summed}, part int, chunks binary, contexts binary, classes binary, size long"
     out_columns, late_columns = ([c.split()[0] for c in x.split(", ")] for x in (packed, summed))
 
     def meet(key, row_: pd.DataFrame, mail: pd.DataFrame) -> pd.DataFrame:
         """Sums per chunk and text; and, per part of the contexts, the tokens that wait for their context's weight."""
-        out, nothing = [], [None] * 4
+        out = []
         tokens_ = mail[mail["chunk"].notna()].sort_values("chunk")
         if not len(tokens_):
             return pd.DataFrame(out, columns=out_columns)
@@ -870,50 +904,65 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
         known = _Words(row, samples)
         (pairs,) = _arrays(row, "pairs")
         order = np.argsort(pairs)
-        pairs, own_p = pairs[order], np.frombuffer(row["p"], dtype=np.float64)[order]
+        pairs, own_p = pairs[order], np.log10(np.frombuffer(row["p"], dtype=np.float64)[order])
         often, weight = shared.value[1]
+        late = []
         for chunk, w, c, t, *first in zip(*(tokens_[x] for x in ("chunk", "words", "contexts", "text", "marks", *sum_columns)), strict=True):
             chunk = int(chunk)
             if first[0] is not None:
-                out.append((chunk, -1, None, *first, None, None, None, 0))
+                out.append((chunk, -1, None, *first, None, None, None, None, 0))
             (own_words, word), (own_contexts, context), token = unpack_ids(w), unpack_ids(c), unpack(t)
             if not len(token):
                 continue
             words, contexts = own_words[word], own_contexts[context]
-            texts, text = np.unique(token, return_inverse=True)
-            at, seen = _find(pairs, _pair(words, contexts))
-            p = own_p[at] if len(own_p) else np.ones(len(words))
-            new = np.flatnonzero(~seen)
+            pair = _pair(words, contexts)
+            order = np.argsort(pair)  # sorted ones are found faster
+            at, seen = _find(pairs, pair[order])
+            p = np.zeros(len(words))
+            p[order[seen]] = own_p[at[seen]]
+            new = np.sort(order[~seen])
             of_class = known.by_sample(words[new] | (contexts[new] & _CLASS_MASK))
             where, there = _find(often, contexts[new])
-            p[new[there]] = (weight[:, where[there]] * of_class[:, there]).mean(axis=0)
-            p[new[~there]] = 1.0
-            count = known.counts(own_words)[word]
-            total = lambda x: np.bincount(text, weights=x, minlength=len(texts))  # noqa: E731, B023
-            sums = None, pack(total(count > 0)), total(_base(count, n, v)).tobytes(), total(np.log10(p)).tobytes()
-            out.append((chunk, int(key[0]), pack(texts), None, *sums, None, None, None, 0))
+            p[new[there]] = np.log10((weight[:, where[there]] * of_class[:, there]).mean(axis=0))
+            count = known.counts(own_words)
+            tokens_of = np.bincount(token)
+            texts = np.flatnonzero(tokens_of)
+            total = lambda x: np.bincount(token, weights=x)[texts]  # noqa: E731, B023
+            unknown = total((count == 0)[word]).astype(np.int64)
+            sums = None, pack(tokens_of[texts] - unknown), total(_base(count, n, v)[word]).tobytes(), total(p).tobytes()
+            out.append((chunk, int(key[0]), pack(texts), None, *sums, None, None, None, None, 0))
             new, of_class = new[~there], of_class[:, ~there]
-            for part, pos in _parts(_bucket(contexts[new], parts), parts):
-                arrays = pack_ids(contexts[new[pos]]), np.ascontiguousarray(of_class[:, pos]).tobytes()
-                out.append((chunk, int(key[0]), pack(token[new[pos]]), None, *nothing, part, *arrays, len(pos)))
+            late.append((np.full(len(new), chunk), token[new], contexts[new], of_class))
+        if late:
+            chunks, token, contexts = (np.concatenate(x) for x in list(zip(*late, strict=True))[:3])
+            of_class = np.concatenate([x[3] for x in late], axis=1)
+            for part, pos in _parts(_bucket(contexts, parts), parts):
+                arrays = pack_ids(chunks[pos]), pack_ids(contexts[pos]), np.ascontiguousarray(of_class[:, pos]).tobytes()
+                out.append((None, int(key[0]), pack(token[pos]), *[None] * 5, part, *arrays, len(pos)))
         trim()
-        return pd.DataFrame(out, columns=out_columns).astype({"part": "Int32"})
+        return pd.DataFrame(out, columns=out_columns).astype({"part": "Int32", "chunk": "Int64"})
 
     def weigh(key, waiting: pd.DataFrame, contexts_: pd.DataFrame) -> pd.DataFrame:
         """Sums of the tokens that wait, their contexts' weights at hand; a context never seen leaves all to its class."""
-        out = []
+        late, out = [], []
         own, weight = np.zeros(0, dtype=np.int64), np.zeros((len(samples), 0))
         if len(contexts_):
             own, _, weight = _back_off(contexts_.iloc[0], samples)
-        for chunk, place, t, c, p in zip(*(waiting[x] for x in ("chunk", "place", "text", "contexts", "classes")), strict=True):
-            texts, text = np.unique(unpack(t), return_inverse=True)
-            mine, context = unpack_ids(c)
+        waiting = waiting.sort_values("place")
+        for t, k, c, p in zip(*(waiting[x] for x in ("text", "chunks", "contexts", "classes")), strict=True):
+            (own_chunks, chunk), (mine, context) = unpack_ids(k), unpack_ids(c)
             at, there = (x[context] for x in _find(own, mine))
             of_class = np.frombuffer(p, dtype=np.float64).reshape(len(samples), -1)
             both = (np.where(there, weight[:, at], 1.0) if len(own) else 1.0) * of_class
-            total = np.bincount(text, weights=np.log10(both.mean(axis=0)), minlength=len(texts))
-            none = np.zeros(len(texts))
-            out.append((chunk, buckets + place * parts + int(key[0]), pack(texts), None, None, pack(none), none.tobytes(), total.tobytes()))
+            late.append((own_chunks[chunk], unpack(t), np.log10(both.mean(axis=0))))
+        if late:
+            chunks, token, p = (np.concatenate(x) for x in zip(*late, strict=True))
+            own_chunks, chunk = np.unique(chunks, return_inverse=True)
+            for i, pos in _parts(chunk, len(own_chunks)):
+                texts, text = np.unique(token[pos], return_inverse=True)
+                none = np.zeros(len(texts))
+                sums = pack(none), none.tobytes(), np.bincount(text, weights=p[pos]).tobytes()
+                out.append((int(own_chunks[i]), buckets + int(key[1]) * parts + int(key[0]), pack(texts), None, None, *sums))
         trim()
         return pd.DataFrame(out, columns=late_columns)
 
@@ -942,12 +991,12 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
         keys = ["bucket", "salt"]
     mail = events.unionByName(inbox, allowMissingColumns=True)
     met = stored(state.groupBy(*keys).cogroup(mail.groupBy(*keys)).applyInPandas(meet, packed), "met")
-    waiting = met.where("part IS NOT NULL")
-    many = waiting.groupBy("part").agg(F.sum("size").alias("n")).where(F.col("n") > BUCKET_TOKENS).collect()  # one number per part
+    waiting, most = met.where("part IS NOT NULL"), max(1, BUCKET_TOKENS // 4)
+    many = waiting.groupBy("part").agg(F.sum("size").alias("n")).where(F.col("n") > most).collect()  # one number per part
     split = F.lit(1)
     for r in many:
-        split = F.when(F.col("part") == r["part"], -(-r["n"] // BUCKET_TOKENS)).otherwise(split)
-    waiting = waiting.withColumn("salt", F.pmod(F.xxhash64("chunk"), split).cast("int"))
+        split = F.when(F.col("part") == r["part"], -(-r["n"] // most)).otherwise(split)
+    waiting = waiting.withColumn("salt", F.pmod(F.xxhash64("place"), split).cast("int"))
     weights = model.totals.withColumn("salt", F.explode(F.sequence(F.lit(0), (split - 1).cast("int"))))
     late = waiting.groupBy("part", "salt").cogroup(weights.groupBy("part", "salt")).applyInPandas(weigh, summed)
     sums = met.where("part IS NULL").select(*late.columns).unionByName(late)
