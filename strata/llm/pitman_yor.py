@@ -16,7 +16,8 @@ written once, in a table bucketed by that number, and never shuffled again. A
 sweep resamples the seating of all customers of every dish: the number of
 tables of a dish is drawn at once from its law given its customers, the other
 tables of its restaurant and the parent without the dish (``draw_tables``),
-first in the contexts, then in the classes, then in the root. Between sweeps
+first in the contexts, then in the classes, then in the root; a bucket has
+several slices of words, each drawn from its own random stream. Between sweeps
 only numbers of tables travel: every bucket sends the sums of its contexts to
 the contexts' parts, which add them up over all buckets and send the totals
 back. Which contexts a bucket has is told to the parts once, before the first
@@ -55,8 +56,9 @@ from strata.llm.common import Words, blocks, expand_copies, mix, pack, pack_ids,
 CLASSES = 32
 _CLASS_MASK = np.int64(CLASSES - 1)
 MAX_FREQUENT = 100_000
-#: Dishes of one bucket (about), and tokens that one task takes for a bucket at once.
-BUCKET_DISHES = 1_000_000
+#: Dishes (about) that are drawn at once from one random stream, a slice; slices of a bucket; tokens that one task takes for a bucket at once.
+SLICE_DISHES = 100_000
+BUCKET_SLICES = 10
 BUCKET_TOKENS = 8_000_000
 #: Tokens that a task counts at once, and pairs or tokens that it holds before it sends them on.
 FLUSH = 1 << 20
@@ -99,6 +101,11 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (mix((keys & ~_CLASS_MASK).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
+def _dealt(words: np.ndarray, slices: int) -> np.ndarray:
+    """The bucket of each word: several slices."""
+    return _bucket(words, slices) % -(-slices // BUCKET_SLICES)
+
+
 def _parts(at: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, positions) of the buckets that occur in ``at``."""
     order = np.argsort(at.astype(np.uint16) if buckets <= 1 << 16 else at, kind="stable")
@@ -148,11 +155,13 @@ def _alike(words: np.ndarray, contexts: np.ndarray, counts: np.ndarray) -> tuple
     return words[first], contexts[first], np.add.reduceat(counts[order], first)
 
 
-def _count(buckets: int):
+def _count(slices: int):
+    buckets = -(-slices // BUCKET_SLICES)
+
     def rows(held: list) -> pd.DataFrame:
         words, contexts, counts = _alike(*(np.concatenate(x) for x in zip(*held, strict=True))) if len(held) > 1 else held[0]
         out = []
-        for b, p in _parts(_bucket(words, buckets), buckets):
+        for b, p in _parts(_dealt(words, slices), buckets):
             p = p[np.argsort(words[p])]
             out.append(_packed(b, words[p], contexts[p], counts[p]))
         return pd.DataFrame(out, columns=_COUNTS_COLUMNS)
@@ -421,6 +430,21 @@ class Bucket:
         self.t = np.ones(len(words), dtype=np.int64)
         self.class_t, self.root_t = np.ones(len(self.keys), dtype=np.int64), np.ones(len(self.words), dtype=np.int64)
 
+    def slices(self, contexts: np.ndarray, slices: int) -> Iterator[tuple[int, tuple]]:
+        """(slice, (its own bucket, positions of its pairs, keys and words)) of the slices of the words."""
+        of_word = _bucket(self.words, slices)
+        of_key = of_word[self.word]
+        levels = [dict(_parts(x, slices)) for x in (of_key[self.dish], of_key, of_word)]
+        for i, words in levels[2].items():
+            pairs, keys = levels[0][i], levels[1][i]
+            some = Bucket(self.words[self.word[self.dish[pairs]]], contexts[pairs], self.counts[pairs])
+            some.t, some.class_t, some.root_t = self.t[pairs], self.class_t[keys], self.root_t[words]
+            yield i, (some, pairs, keys, words)
+
+    def take(self, some: Bucket, pairs: np.ndarray, keys: np.ndarray, words: np.ndarray) -> None:
+        """The tables of a slice."""
+        self.t[pairs], self.class_t[keys], self.root_t[words] = some.t, some.class_t, some.root_t
+
     def class_c(self) -> np.ndarray:
         return np.bincount(self.dish, weights=self.t, minlength=len(self.keys)).astype(np.int64)
 
@@ -482,11 +506,15 @@ class Model:
     inbox: DataFrame  # per bucket and kept sample: its tables, and the totals of its contexts
     links: DataFrame  # per part: contexts, their customers, and which of them each bucket has
     totals: DataFrame  # per part: contexts, their customers, their tables per sample
-    buckets: int
+    slices: int
     parts: int
     samples: list[Totals]
     tokens_per_bucket: dict[int, int]
 
+    @property
+    def buckets(self) -> int:
+        return -(-self.slices // BUCKET_SLICES)
+
     @property
     def n(self) -> int:
         return self.samples[0].n
@@ -655,12 +683,13 @@ def fit(docs: DataFrame, burn_in: int = 2, samples: int = 2, seed: int = 8) -> M
     """Learn from all rows of ``docs`` (text)."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
-    # A dish takes some tokens of some bytes: a bucket of this many bytes has about BUCKET_DISHES.
-    buckets = max(1, -(-size // (BUCKET_DISHES * 16)))
+    # A dish takes some tokens of some bytes: a slice of this many bytes has about SLICE_DISHES.
+    slices = max(1, -(-size // (SLICE_DISHES * 16)))
+    buckets = -(-slices // BUCKET_SLICES)
     # Contexts are far fewer than pairs; every bucket writes to every part.
     parts = max(min(buckets, 64), buckets // 8)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets)
-    counted = docs.select("text").mapInPandas(_count(buckets), _COUNTS).repartition(tasks, "bucket").mapInPandas(_merge, _COUNTS)
+    counted = docs.select("text").mapInPandas(_count(slices), _COUNTS).repartition(tasks, "bucket").mapInPandas(_merge, _COUNTS)
     pairs = stored_by(counted, "pairs", "bucket", tasks)
     links = _link(pairs, parts, tasks)
 
@@ -691,8 +720,10 @@ def fit(docs: DataFrame, burn_in: int = 2, samples: int = 2, seed: int = 8) -> M
         def run(key, state: pd.DataFrame, inbox: pd.DataFrame) -> pd.DataFrame:
             at, own, index = _opened(state.iloc[0])
             _seated(at, inbox, inbox["sample"].iloc[0])
-            rng = np.random.default_rng([seed, number, int(key[0])])
-            at.sweep(totals, _received(inbox, own, parts, inbox["sample"].iloc[0])[index], rng)
+            tables = _received(inbox, own, parts, inbox["sample"].iloc[0])[index]
+            for i, some in at.slices(own[index], slices):
+                some[0].sweep(totals, tables[some[1]], np.random.default_rng([seed, number, i]))
+                at.take(*some)
             out = _says(sample, key[0], at, own, index, parts)
             trim()
             return out
@@ -725,7 +756,7 @@ def fit(docs: DataFrame, burn_in: int = 2, samples: int = 2, seed: int = 8) -> M
 
     sent = every.where(F.col("part") != _OWN).select("sample", "bucket", "part", "t")
     totals = links.groupBy("part").cogroup(sent.groupBy("part")).applyInPandas(whole, "part int, contexts binary, c binary, t binary")
-    return Model(pairs, stored(inbox, "inbox"), links, stored(totals, "totals"), buckets, parts, [x for _, x in kept], per_bucket)
+    return Model(pairs, stored(inbox, "inbox"), links, stored(totals, "totals"), slices, parts, [x for _, x in kept], per_bucket)
 
 
 class _Words:
@@ -838,7 +869,7 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(_frequent(model))  # MAX_FREQUENT pairs and contexts
-    n, v, buckets, parts, samples = model.n, model.v, model.buckets, model.parts, model.samples
+    n, v, slices, buckets, parts, samples = model.n, model.v, model.slices, model.buckets, model.parts, model.samples
     id_mark = F.coalesce(F.col("doc_id").cast("string"), F.lit("\0"))
     marked = docs.select("doc_id", "text", F.xxhash64(id_mark, F.coalesce("text", F.lit("\0"))).alias("mark"))
     sums_of = "n_tokens binary, n_known binary, base binary, p binary"
@@ -857,7 +888,7 @@ def score(model: Model, docs: DataFrame) -> DataFrame:
             n_tokens, n_known, base, p = (np.concatenate(x) for x in zip(*sums, strict=True))
             own = np.concatenate(marks).tobytes(), pack(n_tokens), pack(n_known), base.tobytes(), p.tobytes()
             out = []
-            for b, part in _parts(_bucket(words, buckets), buckets):
+            for b, part in _parts(_dealt(words, slices), buckets):
                 part = part[np.argsort(words[part])]
                 out.append((b, number, pack_ids(words[part]), pack_ids(contexts[part]), pack(text[part]), *([None] * 5 if out else own)))
             empty = np.zeros(0, dtype=np.int64)
